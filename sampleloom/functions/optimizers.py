@@ -81,11 +81,11 @@ class Rule:
             return F.struct(new_w.alias("w"), *[new_state[n].alias(n) for n in names])
 
         done = F.transform(typed, one)
-        kept = [F.transform(done, lambda e, n=n: e.getField(n)).alias(n) for n in names]
+        kept = [V.each(done, n).alias(n) for n in names]
         after = self.row_update(row, p) if self.row_update else row
         kept += [after[n].alias(n) for n in self.row_state]
         opt = F.struct(*(kept or [_num(0).alias("none")])).cast(self.state_type)
-        return F.struct(F.transform(done, lambda e: e.getField("w")).alias("num"), opt.alias("opt"))
+        return F.struct(V.each(done, "w").alias("num"), opt.alias("opt"))
 
 
 def _sgd(w, g, s, lr, p):

@@ -18,6 +18,11 @@ def zeros(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0), dim)
 
 
+def each(v: ColumnLike, field: str) -> Column:
+    """One field of every struct of a list."""
+    return F.transform(col_of(v), lambda e: e.getField(field))
+
+
 def add(a: ColumnLike, b: ColumnLike) -> Column:
     return F.zip_with(col_of(a), col_of(b), lambda x, y: x + y)
 

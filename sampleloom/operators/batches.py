@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sampleloom.functions.vectors import each
 from sampleloom.operators.joins import lookup_join
 from sampleloom.operators.ordering import HOT_ROWS, positions, with_totals
 
@@ -50,8 +51,7 @@ def rows_to_batches(df: DataFrame, batch: str, order: str, columns: Sequence[str
     g = df.groupBy(batch).agg(
         F.array_sort(F.collect_list(F.struct(order, *columns))).alias("_r"))
     return g.select(batch, F.size("_r").alias("batch_size"),
-                    *[F.transform("_r", lambda e, c=c: e.getField(c)).alias(c)
-                      for c in [order, *columns]])
+                    *[each("_r", c).alias(c) for c in [order, *columns]])
 
 
 def batches_to_rows(batches: DataFrame, batch: str, columns: Sequence[str],

@@ -20,15 +20,17 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-            totals: dict[str, Column], hot_rows: int = HOT_ROWS) -> DataFrame:
+            totals: dict[str, Column], hot_rows: int = HOT_ROWS,
+            largest: int | None = None) -> DataFrame:
     """Add inclusive running sums of ``totals`` inside ``keys`` along ``order`` (a total order).
 
     While every key is small this is one window. Otherwise rows are range-partitioned by key and
     order, so a big key spreads over many partitions; sums are taken inside each (key, partition)
-    and shifted by the sum of the earlier partitions of the key, of which there are few.
+    and shifted by the sum of the earlier partitions of the key, of which there are few. Pass
+    ``largest`` if the size of the biggest key is already known.
     """
     keys = list(keys)
-    if largest_group(df, keys) <= hot_rows:
+    if (largest_group(df, keys) if largest is None else largest) <= hot_rows:
         w = (Window.partitionBy(*keys).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.select("*", *[F.sum(c).over(w).alias(n) for n, c in totals.items()])
@@ -54,10 +56,10 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-              name: str = "position", hot_rows: int = HOT_ROWS) -> DataFrame:
+              name: str = "position", hot_rows: int = HOT_ROWS,
+              largest: int | None = None) -> DataFrame:
     """1-based position of each row inside ``keys`` along ``order``."""
-    out = running(df, keys, order, {name: F.lit(1).cast("bigint")}, hot_rows)
-    return out
+    return running(df, keys, order, {name: F.lit(1).cast("bigint")}, hot_rows, largest)
 
 
 def first_in_key(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[Column],
@@ -69,12 +71,12 @@ def first_in_key(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[Col
 
 
 def with_totals(df: DataFrame, keys: Sequence[str], totals: dict[str, Column],
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
     """Add per-key aggregates to every row: a window while keys are small, else an aggregation
     with partial sums that is joined back."""
     from sampleloom.operators.joins import lookup_join
 
-    if largest_group(df, keys) <= hot_rows:
+    if (largest_group(df, keys) if largest is None else largest) <= hot_rows:
         w = Window.partitionBy(*keys)
         return df.select("*", *[c.over(w).alias(n) for n, c in totals.items()])
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sampleloom.functions.base import u01
 from sampleloom.functions.numeric import cross_entropy, safe_log_sigmoid, sigmoid
-from sampleloom.operators.ordering import HOT_ROWS, first_in_key, positions, running, with_totals
+from sampleloom.operators.ordering import HOT_ROWS, first_in_key, largest_group, positions, running, with_totals
 from sampleloom.operators.pairs import TILE_ROWS, fold_pairs, per_left, tile_pairs
 
 Q, ITEM = "query_id", "item_id"
@@ -39,10 +39,17 @@ def top_n_by_score(lists: DataFrame, n: int) -> DataFrame:
     return first_in_key(lists, [Q], n, [F.desc("score"), F.col(ITEM)], "rank")
 
 
-def group_lists(rows: DataFrame, rank_id: str, order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def group_lists(rows: DataFrame, rank_id: str, order: str, hot_rows: int = HOT_ROWS,
+                largest: int | None = None) -> DataFrame:
     """Flat rows to lists: the place of each row in its list and the list's size."""
-    placed = positions(rows, [rank_id], [F.col(order)], "place", hot_rows)
-    return with_totals(placed, [rank_id], {"list_size": F.count(F.lit(1))}, hot_rows)
+    largest = largest_group(rows, [rank_id]) if largest is None else largest
+    placed = positions(rows, [rank_id], [F.col(order)], "place", hot_rows, largest)
+    return with_totals(placed, [rank_id], {"list_size": F.count(F.lit(1))}, hot_rows, largest)
+
+
+def _largest(lists: DataFrame, known: int | None) -> int:
+    """Size of the biggest list, measured once per call chain."""
+    return largest_group(lists, [Q]) if known is None else known
 
 
 def _clean(lists: DataFrame) -> DataFrame:
@@ -50,18 +57,22 @@ def _clean(lists: DataFrame) -> DataFrame:
 
 
 def inverse_max_dcg(lists: DataFrame, topn: int | None = None, gain=_gain, discount=_log_discount,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+                    hot_rows: int = HOT_ROWS,
+                    largest: int | None = None) -> DataFrame:
     """``(query_id, inv_max_dcg)``: one over the DCG of the ideal order, 0 without any gain."""
-    ideal = positions(_clean(lists).select(Q, ITEM, "_l"), [Q], [F.desc("_l"), F.col(ITEM)], "_r", hot_rows)
+    largest = _largest(lists, largest)
+    ideal = positions(_clean(lists).select(Q, ITEM, "_l"), [Q], [F.desc("_l"), F.col(ITEM)], "_r", hot_rows, largest)
     if topn is not None:
         ideal = ideal.filter(F.col("_r") <= topn)
     dcg = F.sum(gain(F.col("_l")) * discount(F.col("_r")))
     return ideal.groupBy(Q).agg(F.when(dcg > 0, F.lit(1.0) / dcg).otherwise(0.0).alias("inv_max_dcg"))
 
 
-def approx_ranks(lists: DataFrame, alpha: float = 10.0, tile_rows: int = TILE_ROWS) -> DataFrame:
+def approx_ranks(lists: DataFrame, alpha: float = 10.0, tile_rows: int = TILE_ROWS,
+                 largest: int | None = None) -> DataFrame:
     """``(query_id, item_id, approx_rank)``: 0.5 + Σ_j sigmoid(α·(s_j − s_i)) over the list."""
-    t = tile_pairs(lists.select(Q, ITEM, "score"), Q, ITEM, [ITEM, "score"], tile_rows=tile_rows)
+    largest = _largest(lists, largest)
+    t = tile_pairs(lists.select(Q, ITEM, "score"), Q, ITEM, [ITEM, "score"], tile_rows=tile_rows, largest=largest)
 
     def step(acc: Column, a: Column, b: Column) -> Column:
         return acc + sigmoid((b.getField("score") - a.getField("score")) * alpha)
@@ -72,17 +83,19 @@ def approx_ranks(lists: DataFrame, alpha: float = 10.0, tile_rows: int = TILE_RO
 
 
 def approx_ndcg(lists: DataFrame, alpha: float = 10.0, tile_rows: int = TILE_ROWS,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS,
+                largest: int | None = None) -> DataFrame:
     """``(query_id, loss)``: −DCG over smooth ranks times the inverse ideal DCG; lists without a
     positive label sum are left out."""
-    low = with_totals(_clean(lists), [Q], {"_min": F.min("score"), "_sum": F.sum("_l")}, hot_rows)
+    largest = _largest(lists, largest)
+    low = with_totals(_clean(lists), [Q], {"_min": F.min("score"), "_sum": F.sum("_l")}, hot_rows, largest)
     # an invalid row sinks far below the lowest score of its list
     rows = low.filter("_sum > 0").withColumn(
         "score", F.when(valid(), F.col("score")).otherwise(F.col("_min") - 1000.0))
-    ranks = approx_ranks(rows, alpha, tile_rows)
+    ranks = approx_ranks(rows, alpha, tile_rows, largest)
     dcg = (rows.select(Q, ITEM, "_l").join(ranks, [Q, ITEM]).groupBy(Q)
            .agg(F.sum(_gain(F.col("_l")) * _log_discount(F.col("approx_rank"))).alias("_dcg")))
-    inv = inverse_max_dcg(rows, hot_rows=hot_rows)
+    inv = inverse_max_dcg(rows, hot_rows=hot_rows, largest=largest)
     return dcg.join(inv, Q).select(Q, (-F.col("_dcg") * F.col("inv_max_dcg")).alias("loss"))
 
 
@@ -132,16 +145,16 @@ def p_list_mle_weight(list_size: int) -> LambdaWeight:
     return LambdaWeight("list_mle", list_size=list_size)
 
 
-def _ranked(lists: DataFrame, lam: LambdaWeight | None, hot_rows: int) -> DataFrame:
+def _ranked(lists: DataFrame, lam: LambdaWeight | None, hot_rows: int, largest: int) -> DataFrame:
     """Add the rank by score (invalid rows last), the list size and the row's gain."""
     cols = [Q, ITEM, "label", "score",
             (F.col("weight") if "weight" in lists.columns else F.lit(1.0)).cast("double").alias("weight")]
     out = _clean(lists.select(*cols))
-    out = positions(out, [Q], [F.col("label") < 0, F.desc("score"), F.col(ITEM)], "_rank", hot_rows)
-    out = with_totals(out, [Q], {"_size": F.count(F.lit(1)).cast("double")}, hot_rows)
+    out = positions(out, [Q], [F.col("label") < 0, F.desc("score"), F.col(ITEM)], "_rank", hot_rows, largest)
+    out = with_totals(out, [Q], {"_size": F.count(F.lit(1)).cast("double")}, hot_rows, largest)
     gain = lam.gain_of(F.col("_l")) if lam and lam.kind == "dcg" else F.col("_l")
     if lam and lam.kind == "dcg" and lam.normalized:
-        inv = inverse_max_dcg(lists, lam.topn, lam.gain_of, lam.discount_of, hot_rows)
+        inv = inverse_max_dcg(lists, lam.topn, lam.gain_of, lam.discount_of, hot_rows, largest)
         from sampleloom.operators.joins import lookup_join
         out = lookup_join(out, inv, Q, hot_rows=hot_rows)
         gain = gain * F.col("inv_max_dcg")
@@ -185,12 +198,14 @@ def pair_loss(kind: str, diff: Column) -> Column:
 
 def pairwise_loss(lists: DataFrame, kinds: Sequence[str], lam: LambdaWeight | None = None,
                   lambda_scale: bool = True, tile_rows: int = TILE_ROWS,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int = HOT_ROWS,
+                  largest: int | None = None) -> DataFrame:
     """Per list: weighted sum of each pairwise loss over pairs with l_i > l_j, and the number of
     pairs of nonzero weight. Divide totals by counts with :func:`reduce_nonzero`."""
-    rows = _ranked(lists, lam, hot_rows).filter(valid())
+    largest = _largest(lists, largest)
+    rows = _ranked(lists, lam, hot_rows, largest).filter(valid())
     fields = [ITEM, "score", "weight", "_l", "_rank", "_gain", "_size"]
-    t = tile_pairs(rows, Q, ITEM, fields, [ITEM, "score", "_l", "_rank", "_gain"], tile_rows=tile_rows)
+    t = tile_pairs(rows, Q, ITEM, fields, [ITEM, "score", "_l", "_rank", "_gain"], tile_rows=tile_rows, largest=largest)
     zero = F.struct(*[F.lit(0.0).alias(k) for k in kinds], F.lit(0).cast("bigint").alias("pairs"))
 
     def step(acc: Column, a: Column, b: Column) -> Column:
@@ -214,21 +229,25 @@ def reduce_nonzero(parts: DataFrame, sums: Sequence[str], count: str) -> DataFra
                      F.sum(count).alias(count))
 
 
-def dcg_row_weights(lists: DataFrame, lam: LambdaWeight, hot_rows: int = HOT_ROWS) -> DataFrame:
+def dcg_row_weights(lists: DataFrame, lam: LambdaWeight, hot_rows: int = HOT_ROWS,
+                    largest: int | None = None) -> DataFrame:
     """``(query_id, item_id, row_weight)``: gain times rank discount at the rank by score."""
-    r = _ranked(lists, lam, hot_rows)
+    largest = _largest(lists, largest)
+    r = _ranked(lists, lam, hot_rows, largest)
     return r.select(Q, ITEM, (F.col("_gain") * lam.discount_of(F.col("_rank"))).alias("row_weight"))
 
 
 def softmax_list_loss(lists: DataFrame, lam: LambdaWeight | None = None,
-                      hot_rows: int = HOT_ROWS) -> DataFrame:
+                      hot_rows: int = HOT_ROWS,
+                      largest: int | None = None) -> DataFrame:
     """``(query_id, loss, label_sum)``: list softmax cross-entropy with normalised labels times the
     label sum; lists without a positive label sum are left out."""
-    r = _ranked(lists, lam, hot_rows)
+    largest = _largest(lists, largest)
+    r = _ranked(lists, lam, hot_rows, largest)
     lab = F.col("_gain") * lam.discount_of(F.col("_rank")) if lam and lam.kind == "dcg" else F.col("_l")
     logit = F.when(valid(), F.col("score")).otherwise(F.lit(math.log(EPSILON)))
     r = r.select(Q, (lab * F.col("weight")).alias("_y"), logit.alias("_s"))
-    r = with_totals(r, [Q], {"_max": F.max("_s")}, hot_rows)
+    r = with_totals(r, [Q], {"_max": F.max("_s")}, hot_rows, largest)
     g = r.groupBy(Q).agg(F.sum("_y").alias("label_sum"), F.sum(F.col("_y") * F.col("_s")).alias("_ys"),
                          (F.log(F.sum(F.exp(F.col("_s") - F.col("_max")))) + F.max("_max")).alias("_lse"))
     loss = F.col("_lse") * F.col("label_sum") - F.col("_ys")
@@ -247,16 +266,18 @@ def pointwise_losses(lists: DataFrame) -> DataFrame:
 
 
 def list_mle(lists: DataFrame, seed: str = "mle", lam: LambdaWeight | None = None,
-             hot_rows: int = HOT_ROWS) -> DataFrame:
+             hot_rows: int = HOT_ROWS,
+             largest: int | None = None) -> DataFrame:
     """``(query_id, loss)``: Σ log Σ_{j≥i} e^{s_j} − s_i along the label order, ties in a repeatable
     random order. Read backwards, the inner sum is a plain running sum."""
+    largest = _largest(lists, largest)
     logit = F.when(valid(), F.col("score")).otherwise(F.lit(math.log(EPSILON)))
     tie = F.when(valid(), u01(F.concat_ws("|", Q, ITEM), seed)).otherwise(F.lit(-1e-6))
     r = _clean(lists).select(Q, ITEM, "_l", logit.alias("_s"), tie.alias("_u"))
-    r = with_totals(r, [Q], {"_max": F.max("_s"), "_n": F.count(F.lit(1))}, hot_rows)
+    r = with_totals(r, [Q], {"_max": F.max("_s"), "_n": F.count(F.lit(1))}, hot_rows, largest)
     r = r.withColumn("_s", F.col("_s") - F.col("_max"))
     back = [F.col("_l"), F.col("_u"), F.col(ITEM)]
-    r = running(r, [Q], back, {"_tail": F.exp(F.col("_s")), "_pos": F.lit(1).cast("bigint")}, hot_rows)
+    r = running(r, [Q], back, {"_tail": F.exp(F.col("_s")), "_pos": F.lit(1).cast("bigint")}, hot_rows, largest)
     term = F.log("_tail") - F.col("_s")
     if lam is not None and lam.kind == "list_mle":
         term = term * lam.mle_weight(F.col("_n") - F.col("_pos") + 1)
@@ -279,7 +300,7 @@ def loss_value(lists: DataFrame, key: str, lam: LambdaWeight | None = None, seed
     if key == "list_mle":
         return list_mle(lists, seed, lam).agg(F.avg("loss").alias("loss"))
     if key == "approx_ndcg":
-        return approx_ndcg(lists).agg(F.sum("loss").alias("loss"))
+        return approx_ndcg(lists).agg(F.avg("loss").alias("loss"))
     raise ValueError(f"unknown loss {key}; known: {LOSSES}")
 
 

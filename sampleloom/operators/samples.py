@@ -106,6 +106,14 @@ def map_to_fids(features: ColumnLike) -> Column:
     return F.flatten(F.map_values(col_of(features)))
 
 
+def _id_in(slot: int) -> Callable[[Column], Column]:
+    return lambda x: fids.make_fid(slot, x)
+
+
+def _bucket_in(slot: int) -> Callable[[Column], Column]:
+    return lambda x: fids.make_fid(slot, fids.float_bucket(x))
+
+
 def flat_to_sample(df: DataFrame, sparse: dict[str, int], dense: Sequence[str], label: str,
                    instance_weight: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Flat record to sample: integers become ids of their slot, floats ids of their log2 bucket,
@@ -125,12 +133,11 @@ def flat_to_sample(df: DataFrame, sparse: dict[str, int], dense: Sequence[str],
         base = kind.elementType if many else kind
         v = F.col(name) if many else F.array(name)
         if isinstance(base, T.IntegralType):
-            make = lambda x, s=slot: fids.make_fid(s, x)
+            cols.append(F.transform(v, _id_in(slot)).alias(name))
         elif isinstance(base, (T.FloatType, T.DoubleType)):
-            make = lambda x, s=slot: fids.make_fid(s, fids.float_bucket(x))
+            cols.append(F.transform(v, _bucket_in(slot)).alias(name))
         else:
             raise ValueError(f"sparse feature {name} must be integer or float")
-        cols.append(F.transform(v, make).alias(name))
     cols += [F.col(d) for d in dense]
     weight = F.coalesce(F.col(instance_weight).cast("double"), F.lit(1.0)) if instance_weight else F.lit(1.0)
     return df.select(*cols, F.col(label), weight.alias("instance_weight"))
