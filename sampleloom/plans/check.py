@@ -12,10 +12,14 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
+def _order(row: tuple) -> tuple:
+    return tuple((v is None, v) for v in row)
+
+
 def compare(spark, con, key: str, sf_dir: str) -> tuple[str, int]:
     """``('ok', rows)`` or a text that says what differs."""
     df = registry.QUERIES[key](spark, sf_dir)
-    got = sorted(tuple(r) for r in df.select(*sorted(df.columns)).toPandas().itertuples(index=False))
+    got = sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=_order)
     if key not in registry.ORACLES:
         return "rows only", len(got)
     rel = con.sql(registry.ORACLES[key])
@@ -27,7 +31,7 @@ def compare(spark, con, key: str, sf_dir: str) -> tuple[str, int]:
     if bad:
         return f"types {bad}", len(got)
     cols = ", ".join(f'"{c}"' for c in sorted(types))
-    want = sorted(tuple(r) for r in rel.project(cols).df().itertuples(index=False))
+    want = sorted(rel.project(cols).fetchall(), key=_order)
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}; {got[:2]} {want[:2]}", len(got)
     for g, x in zip(got, want):
