@@ -1 +1,262 @@
-"""Queries."""
+"""Embedding-table maintenance."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sampleloom.functions import vectors as V
+from sampleloom.functions.fid import make_fid
+from sampleloom.functions.optimizers import delay_compensated
+from sampleloom.operators import gradients as G
+from sampleloom.operators import tables as E
+from sampleloom.plans import bindings as bind
+from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, read, w
+from sampleloom.plans.q_pooling import _vec_of
+from sampleloom.plans.registry import query, r6, s_r6, s_u, s_vec, vec
+
+NOW = 1800000000
+
+
+def _show(df):
+    return df.select("table", "fid", vec("num").alias("num"), "last_update_ts")
+
+
+def _writes(spark, d):
+    """One write per event: the item's slot moved by 450, so some ids are new; every 50th is zero."""
+    s = bind.samples(spark, d)
+    x = F.when(F.col("item_id") % 50 == 0, 0.0).otherwise(F.col("sample_id") % 1000 / 1000.0)
+    return s.select(F.lit("item").alias("table"), make_fid(200, F.col("item_id") + 450).alias("fid"), F.col("sample_id").alias("seq"),
+                    F.array_repeat(x, DIM).alias("num"), F.col("req_time").alias("ts"))
+
+
+_WR = """
+wr AS (SELECT (200::BIGINT << 48) + item_id + 450 AS fid, sample_id AS seq, req_time AS ts,
+              CASE WHEN item_id % 50 = 0 THEN 0.0::DOUBLE ELSE sample_id % 1000 / 1000.0::DOUBLE END AS x FROM samples)""", """
+lw AS (SELECT fid, arg_max(x, seq) AS x, max(ts) AS ts FROM wr GROUP BY fid)"""
+
+
+@query("assign", w(SAMPLES, EMB, *_WR) + f"""
+SELECT 'item' AS "table", coalesce(e.fid, lw.fid) AS fid,
+       {s_vec('CASE WHEN lw.fid IS NOT NULL THEN list_resize([]::DOUBLE[], 64, lw.x) ELSE e.num END')} AS num,
+       coalesce(lw.ts, e.last_update_ts) AS last_update_ts
+FROM emb e FULL JOIN lw ON e.fid = lw.fid""")
+def _(spark, d):
+    return _show(E.assign(bind.emb(spark, d), _writes(spark, d), "seq"))
+
+
+@query("assign_skip_zero", w(SAMPLES, EMB, *_WR) + f"""
+SELECT 'item' AS "table", coalesce(e.fid, lw.fid) AS fid,
+       {s_vec('CASE WHEN lw.fid IS NOT NULL THEN list_resize([]::DOUBLE[], 64, lw.x) ELSE e.num END')} AS num,
+       coalesce(lw.ts, e.last_update_ts) AS last_update_ts
+FROM emb e FULL JOIN lw ON e.fid = lw.fid WHERE lw.fid IS NULL OR lw.x <> 0""")
+def _(spark, d):
+    return _show(E.assign(bind.emb(spark, d), _writes(spark, d), "seq", skip_zero=True))
+
+
+@query("assign_add", w(SAMPLES, EMB, _WR[0], """
+sw AS (SELECT fid, sum(x) AS x, max(ts) AS ts FROM wr GROUP BY fid)""") + f"""
+SELECT 'item' AS "table", coalesce(e.fid, sw.fid) AS fid,
+       {s_vec('list_transform(coalesce(e.num, list_resize([]::DOUBLE[], 64, 0.0::DOUBLE)), lambda y: y + coalesce(sw.x, 0.0::DOUBLE))')} AS num,
+       coalesce(sw.ts, e.last_update_ts) AS last_update_ts
+FROM emb e FULL JOIN sw ON e.fid = sw.fid""")
+def _(spark, d):
+    return _show(E.assign_add(bind.emb(spark, d), _writes(spark, d), DIM))
+
+
+@query("reinitialize", w(SAMPLES, EMB, _WR[0]) + f"""
+SELECT 'item' AS "table", fid, fid IN (SELECT fid FROM emb) AS existed, {s_vec('list_transform(range(0, 64), lambda i: 0.1::DOUBLE)')} AS num
+FROM (SELECT DISTINCT fid FROM wr)""")
+def _(spark, d):
+    out = E.reinitialize(bind.emb(spark, d), _writes(spark, d), DIM, E.initial_vector("fid", DIM, "constant", 0.1))
+    return out.withColumn("num", vec("num"))
+
+
+@query("initializers", w(EMB) + f"""
+SELECT fid, {s_vec('list_transform(range(0, 4), lambda i: 1.0::DOUBLE)')} AS ones,
+       {s_vec(f"list_transform(range(0, 4), lambda i: {s_u('fid', 'CAST(i AS VARCHAR)')} * 0.1::DOUBLE + -0.05::DOUBLE)")} AS uniform,
+       {s_vec(f"list_concat(list_transform(range(0, 2), lambda i: 0.5::DOUBLE), list_transform(range(0, 2), lambda i: {s_u('fid', 'CAST(i AS VARCHAR)')} * 0.1::DOUBLE + -0.05::DOUBLE))")} AS combined
+FROM emb""")
+def _(spark, d):
+    both = E.concat_initial([E.initial_vector("fid", 2, "constant", 0.5), E.initial_vector("fid", 2, "uniform")])
+    return bind.emb(spark, d).select("fid", vec(E.initial_vector("fid", 4, "ones")).alias("ones"),
+                                     vec(E.initial_vector("fid", 4, "uniform")).alias("uniform"), vec(both).alias("combined"))
+
+
+# ---------------------------------------------------------------- optimizer steps
+
+_JOIN = """
+j AS (SELECT e.fid, i AS dim, e.num[i + 1] AS w, m.g, e.last_update_ts
+      FROM (emb e CROSS JOIN range(0, 64) t(i)) LEFT JOIN merged m ON m.fid = e.fid AND m.dim = i)""".replace(
+    "(emb e CROSS JOIN range(0, 64) t(i))", "(SELECT * FROM emb, range(0, 64) t(i)) e").replace(
+    "i AS dim", "e.i AS dim").replace("e.num[i + 1]", "e.num[e.i + 1]").replace("m.dim = i", "m.dim = e.i")
+
+
+def _step_sql(new: str, *extra: str) -> str:
+    return w(SAMPLES, EMB, GRADS, _JOIN, *extra) + _vec_of(
+        f"SELECT fid, dim, CASE WHEN g IS NULL THEN w ELSE {new} END AS x, CASE WHEN g IS NULL THEN last_update_ts ELSE {NOW}::BIGINT END AS last_update_ts FROM j",
+        "'item' AS \"table\", fid, last_update_ts").replace("GROUP BY 'item' AS \"table\", fid, last_update_ts", "GROUP BY fid, last_update_ts")
+
+
+def _step(spark, d, name, **params):
+    seg = [E.Segment(DIM, name, tuple(params.items()))]
+    t = E.with_empty_state(bind.emb(spark, d), seg)
+    return _show(E.apply_gradients(t, bind.gradients(spark, d), seg, NOW))
+
+
+_D = "::DOUBLE"
+# New weight after one step from the initial state, as SQL over w (weight) and g (merged gradient).
+_RULES = {
+    "sgd": ({"learning_rate": 0.1}, "w - 0.1::DOUBLE * g"),
+    "adagrad": ({"learning_rate": 0.05, "weight_decay": 0.01},
+                "w - 0.05::DOUBLE / sqrt(0.1::DOUBLE + power(g + 0.01::DOUBLE * w, 2)) * (g + 0.01::DOUBLE * w)"),
+    "dynamic_wd_adagrad": ({"learning_rate": 0.05, "weight_decay": 0.01, "decouple": 1.0},
+                           "w - 0.05::DOUBLE / sqrt(0.1::DOUBLE + g * g) * g - 0.05::DOUBLE * 0.01::DOUBLE * w"),
+    "ftrl": ({"learning_rate": 0.05, "l1": 0.2, "l2": 0.1, "beta": 0.5}, """
+        CASE WHEN abs(g - (sqrt(0.1::DOUBLE + g * g) - sqrt(0.1::DOUBLE)) / 0.05::DOUBLE * w) > 0.2::DOUBLE THEN
+          0.05::DOUBLE * (sign(g - (sqrt(0.1::DOUBLE + g * g) - sqrt(0.1::DOUBLE)) / 0.05::DOUBLE * w) * 0.2::DOUBLE
+                  - (g - (sqrt(0.1::DOUBLE + g * g) - sqrt(0.1::DOUBLE)) / 0.05::DOUBLE * w))
+          / (sqrt(0.1::DOUBLE + g * g) + 0.5::DOUBLE + 0.1::DOUBLE * 0.05::DOUBLE) ELSE 0.0::DOUBLE END"""),
+    "adadelta": ({"learning_rate": 0.5, "weight_decay": 0.01},
+                 "w - 0.5::DOUBLE * sqrt(0.01::DOUBLE) / sqrt(power(g + 0.01::DOUBLE * w, 2) * (1.0::DOUBLE - 0.9::DOUBLE) + 0.01::DOUBLE) * (g + 0.01::DOUBLE * w)"),
+    "adam": ({"learning_rate": 0.05},
+             "w - (g * 0.1::DOUBLE) * (0.05::DOUBLE * sqrt(1.0::DOUBLE - 0.99::DOUBLE) / (1.0::DOUBLE - 0.9::DOUBLE)) / (sqrt(g * g * 0.01::DOUBLE) + 0.01::DOUBLE)"),
+    "amsgrad": ({"learning_rate": 0.05, "nesterov": 1.0},
+                "w - (g * 0.1::DOUBLE + 0.9::DOUBLE * (g * 0.1::DOUBLE)) * (0.05::DOUBLE * sqrt(1.0::DOUBLE - 0.99::DOUBLE) / (1.0::DOUBLE - 0.9::DOUBLE)) / (sqrt(g * g * 0.01::DOUBLE) + 0.01::DOUBLE)"),
+    "momentum": ({"learning_rate": 0.05, "nesterov": 1.0}, "w - (1.0::DOUBLE + 0.9::DOUBLE) * (0.05::DOUBLE * g)"),
+    "moving_average": ({"momentum": 0.8}, "0.8::DOUBLE * w + 0.2::DOUBLE * g"),
+    "rmsprop": ({"learning_rate": 0.05}, "w - 0.05::DOUBLE / (sqrt(0.1::DOUBLE * g * g) + 1) * g"),
+    "rmspropv2": ({"learning_rate": 0.05}, "w - 0.05::DOUBLE / (sqrt(g * g) + 1) * g"),
+}
+
+
+def _register(name, params, sql):
+    @query(f"apply_gradients_{name}", _step_sql(sql))
+    def _(spark, d):
+        return _step(spark, d, name, **params)
+
+
+for _name, (_params, _sql) in _RULES.items():
+    _register(_name, _params, _sql)
+
+
+@query("apply_gradients_group_ftrl", _step_sql("""
+CASE WHEN norm < 3.0::DOUBLE THEN 0.0::DOUBLE ELSE 0.05::DOUBLE * z * ((3.0::DOUBLE - norm) / norm)
+     / (1.0::DOUBLE + sqrt(n) + 0.1::DOUBLE * 0.05::DOUBLE) END""", """
+k AS (SELECT *, g * g AS n, g - sqrt(g * g) / 0.05::DOUBLE * w AS z FROM j)""", """
+kk AS (SELECT *, sqrt(sum(z * z) OVER (PARTITION BY fid)) AS norm FROM k)""").replace("AS last_update_ts FROM j", "AS last_update_ts FROM kk"))
+def _(spark, d):
+    return _step(spark, d, "group_ftrl", learning_rate=0.05, l1=3.0, l2=0.1)
+
+
+@query("apply_gradients_group_adagrad", _step_sql("""
+CASE WHEN norm < 2.0::DOUBLE THEN 0.0::DOUBLE ELSE -rate * (norm - 2.0::DOUBLE) / norm * z END""", """
+k AS (SELECT *, 0.05::DOUBLE / (0.5::DOUBLE + sqrt(0.1::DOUBLE + max(g * g) OVER (PARTITION BY fid))) AS rate FROM j)""", """
+kz AS (SELECT *, g - w / rate AS z FROM k)""", """
+kk AS (SELECT *, sqrt(sum(z * z) OVER (PARTITION BY fid)) AS norm FROM kz)""").replace("AS last_update_ts FROM j", "AS last_update_ts FROM kk"))
+def _(spark, d):
+    return _step(spark, d, "group_adagrad", learning_rate=0.05, beta=0.5, l2=2.0)
+
+
+@query("apply_gradients_dc", w(SAMPLES, EMB, GRADS) + _vec_of(
+    "SELECT m.fid, m.dim, m.g + 0.5::DOUBLE * m.g * m.g * (e.num[m.dim + 1] - e.num[m.dim + 1] * 0.9::DOUBLE) AS x FROM merged m JOIN emb e ON e.fid = m.fid",
+    "fid").replace("AS num", "AS grad"))
+def _(spark, d):
+    m = G.merge_gradients(bind.gradients(spark, d), DIM).join(bind.emb(spark, d).select("fid", "num"), "fid")
+    return m.select("fid", vec(delay_compensated("grad", "num", V.scale("num", 0.9), 0.5)).alias("grad"))
+
+
+@query("optimizer_segments", _step_sql("""
+CASE WHEN dim < 16 THEN w - 0.1::DOUBLE * g ELSE w - 0.05::DOUBLE / sqrt(0.1::DOUBLE + g * g) * g END"""))
+def _(spark, d):
+    segs = [E.Segment(16, "sgd", (("learning_rate", 0.1),)), E.Segment(48, "adagrad", (("learning_rate", 0.05),))]
+    t = E.with_empty_state(bind.emb(spark, d), segs)
+    return _show(E.apply_gradients(t, bind.gradients(spark, d), segs, NOW))
+
+
+@query("two_gradient_steps", _step_sql("""
+w - 0.05::DOUBLE / sqrt(0.1::DOUBLE + g * g) * g - 0.05::DOUBLE / sqrt(0.1::DOUBLE + g * g + g * g) * g"""))
+def _(spark, d):
+    seg = [E.Segment(DIM, "adagrad", (("learning_rate", 0.05),))]
+    g = G.merge_gradients(bind.gradients(spark, d), DIM, ("table", "fid"))
+    t = E.with_empty_state(bind.emb(spark, d), seg)
+    for step in (NOW - 10, NOW):
+        t = E.apply_gradients(t, g, seg, step, merged=True)
+    return _show(t)
+
+
+@query("multi_table_update", w(SAMPLES, EMB, GRADS, _WR[0], _WR[1], """
+a1 AS (SELECT 'item' AS tbl, coalesce(e.fid, lw.fid) AS fid, CASE WHEN lw.fid IS NOT NULL THEN list_resize([]::DOUBLE[], 64, lw.x) ELSE e.num END AS num,
+              coalesce(lw.ts, e.last_update_ts) AS ts FROM emb e FULL JOIN lw ON e.fid = lw.fid
+       UNION ALL SELECT 'user', fid, num, last_update_ts FROM emb)""", """
+j AS (SELECT a.tbl, a.fid, a.i AS dim, a.num[a.i + 1] AS w, m.g, a.ts FROM (SELECT * FROM a1, range(0, 64) t(i)) a
+      LEFT JOIN merged m ON a.tbl = 'item' AND m.fid = a.fid AND m.dim = a.i)""") + _vec_of(f"""
+SELECT tbl, fid, dim, CASE WHEN g IS NULL THEN w ELSE w - 0.1::DOUBLE * g END AS x, CASE WHEN g IS NULL THEN ts ELSE {NOW}::BIGINT END AS last_update_ts FROM j""",
+    "tbl AS \"table\", fid, last_update_ts").replace("GROUP BY tbl AS \"table\"", "GROUP BY tbl"))
+def _(spark, d):
+    seg = [E.Segment(DIM, "sgd", (("learning_rate", 0.1),))]
+    item = bind.emb(spark, d)
+    tables = E.with_empty_state(item.unionByName(item.withColumn("table", F.lit("user"))), seg)
+    last = _writes(spark, d).groupBy("table", "fid").agg(F.max_by("num", "seq").alias("num"), F.max("ts").alias("ts"))
+    return _show(E.update_tables(tables, DIM, assigns=last, grads=bind.gradients(spark, d), segments=seg, now=NOW))
+
+
+_CONFIGS = {"item": "dim=64;adagrad", "user": "dim=64;adagrad", "tags": "dim=8;sgd"}
+
+
+@query("merge_tables", w(SAMPLES) + f"""
+SELECT CASE WHEN tbl IN ('item', 'user') THEN md5('item,user') ELSE md5('tags') END AS "table", fid, n
+FROM (SELECT 'item' AS tbl, f_item[1] AS fid, count(*) AS n FROM samples GROUP BY 2
+      UNION ALL SELECT 'user', f_user[1], count(*) FROM samples GROUP BY 2 UNION ALL SELECT 'tags', f_tags[1], count(*) FROM samples GROUP BY 2)""")
+def _(spark, d):
+    s = bind.samples(spark, d)
+    rows = s.select(F.inline(F.array(*[F.struct(F.lit(t).alias("table"), F.get(c, F.lit(0)).alias("fid"))
+                                       for t, c in (("item", "f_item"), ("user", "f_user"), ("tags", "f_tags"))])))
+    return E.merge_tables(rows.groupBy("table", "fid").agg(F.count(F.lit(1)).alias("n")), _CONFIGS)
+
+
+@query("table_size", w(EMB) + 'SELECT tbl AS "table", count(*) AS entries, max(last_update_ts) AS max_update_ts FROM emb GROUP BY 1')
+def _(spark, d):
+    return E.table_sizes(bind.emb(spark, d))
+
+
+@query("table_iterate", w(EMB) + f"""
+SELECT tbl AS "table", fid, {s_vec('num')} AS num, last_update_ts
+FROM (SELECT *, row_number() OVER (ORDER BY fid) AS rn FROM emb WHERE fid % 3 = 1) WHERE rn > 20 AND rn <= 120""")
+def _(spark, d):
+    return _show(E.iterate(bind.emb(spark, d), 3, 1, 100, 20))
+
+
+def _two_slots(spark, d):
+    """Every second vector moved to slot 7, so that two expiry rules meet."""
+    e = bind.emb(spark, d)
+    return e.withColumn("fid", F.when(F.col("fid") % 2 == 0, make_fid(7, "fid")).otherwise(F.col("fid")))
+
+
+_EXP = """
+two AS (SELECT CASE WHEN fid % 2 = 0 THEN (7::BIGINT << 48) + vec_id ELSE fid END AS fid, last_update_ts, CASE WHEN fid % 2 = 0 THEN 2 ELSE 10 END AS days FROM emb)"""
+
+
+@query("evict", w(EMB, _EXP) + "SELECT fid, last_update_ts FROM two WHERE (SELECT max(last_update_ts) FROM two) - last_update_ts < days * 86400")
+def _(spark, d):
+    return E.evict(_two_slots(spark, d), {7: 2, 200: 10}).select("fid", "last_update_ts")
+
+
+@query("evict_entries", w(EMB, _EXP) + "SELECT fid, last_update_ts FROM two WHERE (SELECT max(last_update_ts) FROM two) - last_update_ts >= days * 86400")
+def _(spark, d):
+    return E.evict(_two_slots(spark, d), {7: 2, 200: 10}, keep_expired=True).select("fid", "last_update_ts")
+
+
+@query("delta_since", w(SAMPLES, EMB) + f"""
+SELECT 'item' AS "table", bucket, CAST((row_number() OVER (PARTITION BY bucket ORDER BY fid) - 1) // 5 AS BIGINT) AS chunk_no, fid, {s_vec('num')} AS num
+FROM (SELECT fid, num, CAST(fid % 8 AS INT) AS bucket FROM emb WHERE fid IN (SELECT f_item[1] FROM samples))""")
+def _(spark, d):
+    touched = bind.samples(spark, d).select(F.lit("item").alias("table"), F.get("f_item", F.lit(0)).alias("fid"))
+    return E.delta_since(bind.emb(spark, d), touched, 5, 8).withColumn("num", vec("num"))
+
+
+@query("delta_apply", w(SAMPLES, EMB, *_WR) + f"""
+SELECT 'item' AS "table", coalesce(e.fid, lw.fid) AS fid, {s_vec('CASE WHEN lw.fid IS NOT NULL THEN list_resize([]::DOUBLE[], 64, lw.x) ELSE e.num END')} AS num
+FROM emb e FULL JOIN lw ON e.fid = lw.fid""")
+def _(spark, d):
+    delta = _writes(spark, d).groupBy("table", "fid").agg(F.max_by("num", "seq").alias("num"))
+    return E.delta_apply(bind.emb(spark, d).select("table", "fid", "num"), delta).withColumn("num", vec("num"))
