@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,6 +28,11 @@ def lit_map(mapping: dict, key: str, value: str) -> Column:
     return F.create_map(*flat).cast(f"map<{key},{value}>")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also when the body uses it per list element."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def u01(key: ColumnLike, salt: str | Column) -> Column:
     """Repeatable uniform number in [0, 1) from a row key; stands in for every random draw."""
     salt = F.lit(salt) if isinstance(salt, str) else salt.cast("string")

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sampleloom.functions import vectors as V
-from sampleloom.functions.base import ColumnLike, col_of
+from sampleloom.functions.base import ColumnLike, col_of, let
 
 Elementwise = Callable[[Column, Column, dict[str, Column], Column, dict[str, float]],
                        tuple[Column, dict[str, Column]]]
@@ -80,12 +80,15 @@ class Rule:
             new_w, new_state = self.update(e.getField("w"), e.getField("g"), st, rate, p)
             return F.struct(new_w.alias("w"), *[new_state[n].alias(n) for n in names])
 
-        done = F.transform(typed, one)
-        kept = [V.each(done, n).alias(n) for n in names]
         after = self.row_update(row, p) if self.row_update else row
-        kept += [after[n].alias(n) for n in self.row_state]
-        opt = F.struct(*(kept or [_num(0).alias("none")])).cast(self.state_type)
-        return F.struct(V.each(done, "w").alias("num"), opt.alias("opt"))
+
+        def collect(done: Column) -> Column:
+            kept = [V.each(done, n).alias(n) for n in names]
+            kept += [after[n].alias(n) for n in self.row_state]
+            opt = F.struct(*(kept or [_num(0).alias("none")])).cast(self.state_type)
+            return F.struct(V.each(done, "w").alias("num"), opt.alias("opt"))
+
+        return let(F.transform(typed, one), collect)
 
 
 def _sgd(w, g, s, lr, p):
@@ -177,28 +180,43 @@ def _rmspropv2(w, g, s, lr, p):
 def _group_ftrl(w, g, s, lr, p):
     """Group soft threshold: the whole vector is zero while the norm of z stays under l1."""
     old = s.getField("norm")
-    n = F.zip_with(old, g, lambda a, b: a + b * b)
-    sigma = F.zip_with(n, old, lambda a, b: (F.sqrt(a) - F.sqrt(b)) / lr)
-    z = V.add(s.getField("zero"), F.zip_with(g, V.multiply(sigma, w), lambda a, b: a - b))
-    norm = F.sqrt(V.sum_squares(z))
     l1, l2, beta = _num(p["l1"]), _num(p["l2"]), _num(p["beta"])
-    shrink = (l1 - norm) / F.when(norm == 0, _num(1)).otherwise(norm)
-    moved = F.zip_with(z, n, lambda a, b: lr * a * shrink / (beta + F.sqrt(b) + l2 * lr))
-    num = F.when(norm < l1, F.transform(w, lambda x: _num(0))).otherwise(moved)
-    return F.struct(num.alias("num"), F.struct(n.alias("norm"), z.alias("zero")).alias("opt"))
+    pulled = F.zip_with(g, w, lambda a, b: F.struct(a.alias("g"), b.alias("w")))
+    moved = F.zip_with(pulled, old, lambda e, n0: F.struct(
+        (n0 + e.getField("g") * e.getField("g")).alias("n"),
+        (e.getField("g") - (F.sqrt(n0 + e.getField("g") * e.getField("g")) - F.sqrt(n0)) / lr
+         * e.getField("w")).alias("dz")))
+    parts = F.zip_with(moved, s.getField("zero"), lambda e, z0: F.struct(
+        e.getField("n").alias("n"), (z0 + e.getField("dz")).alias("z")))
+
+    def finish(nz: Column) -> Column:
+        norm = F.sqrt(V.sum_squares(V.each(nz, "z")))
+        return let(norm, lambda t: F.struct(
+            F.transform(nz, lambda e: F.when(t < l1, _num(0)).otherwise(
+                lr * e.getField("z") * (l1 - t) / F.when(t == 0, _num(1)).otherwise(t)
+                / (beta + F.sqrt(e.getField("n")) + l2 * lr))).alias("num"),
+            F.struct(V.each(nz, "n").alias("norm"), V.each(nz, "z").alias("zero")).alias("opt")))
+
+    return let(parts, finish)
 
 
 def _group_adagrad(w, g, s, lr, p):
     """One accumulator per row, fed by the largest squared gradient, and a proximal l2 step."""
-    d = F.zip_with(g, w, lambda a, b: a + _num(p["weight_decay"]) * b)
-    acc = s.getField("grad_square_sum") + F.array_max(F.transform(d, lambda x: x * x))
-    rate = lr / (_num(p["beta"]) + F.sqrt(acc))
-    z = F.zip_with(d, w, lambda a, b: a - b / rate)
-    norm = F.sqrt(V.sum_squares(z))
     l2 = _num(p["l2"])
-    k = -rate * (norm - l2) / F.when(norm == 0, _num(1)).otherwise(norm)
-    num = F.when(norm < l2, F.transform(w, lambda x: _num(0))).otherwise(V.scale(z, k))
-    return F.struct(num.alias("num"), F.struct(acc.alias("grad_square_sum")).alias("opt"))
+    d = F.zip_with(g, w, lambda a, b: a + _num(p["weight_decay"]) * b)
+
+    def with_rate(dd: Column) -> Column:
+        acc = s.getField("grad_square_sum") + F.array_max(F.transform(dd, lambda x: x * x))
+        return let(acc, lambda a: let(lr / (_num(p["beta"]) + F.sqrt(a)), lambda r: pull(dd, a, r)))
+
+    def pull(dd: Column, acc: Column, rate: Column) -> Column:
+        return let(F.zip_with(dd, w, lambda a, b: a - b / rate), lambda z: let(
+            F.sqrt(V.sum_squares(z)), lambda t: F.struct(
+                F.transform(z, lambda x: F.when(t < l2, _num(0)).otherwise(
+                    -rate * (t - l2) / F.when(t == 0, _num(1)).otherwise(t) * x)).alias("num"),
+                F.struct(acc.alias("grad_square_sum")).alias("opt"))))
+
+    return let(d, with_rate)
 
 
 _DECAY = {"learning_rate": 0.01, "weight_decay": 0.0}

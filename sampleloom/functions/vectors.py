@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sampleloom.functions.base import ColumnLike, col_of
+from sampleloom.functions.base import ColumnLike, col_of, let
 
 
 def doubles(v: ColumnLike) -> Column:
@@ -51,7 +51,7 @@ def sum_squares(v: ColumnLike) -> Column:
 def l2_normalize(v: ColumnLike) -> Column:
     """Unit vector, with the squared norm floored at 1e-12."""
     norm = F.sqrt(F.greatest(sum_squares(v), F.lit(1e-12)))
-    return F.transform(col_of(v), lambda x: x / norm)
+    return let(norm, lambda n: F.transform(col_of(v), lambda x: x / n))
 
 
 def piece(v: ColumnLike, start: int, end: int) -> Column:

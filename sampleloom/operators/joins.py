@@ -20,14 +20,14 @@ def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int =
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
     """Join many rows to a table that holds each ``key`` once.
 
     Heavy keys of ``left`` (few by construction) meet a broadcast of just their rows of ``right``;
     all other keys take the shuffle, where adaptive execution may still pick a broadcast by
-    measured size.
+    measured size. ``largest`` is a known upper bound of the rows per key; a low one saves the count.
     """
-    if left.isStreaming:
+    if left.isStreaming or (largest is not None and largest <= hot_rows):
         return left.join(right, key, how)
     hot = heavy_keys(left, key, hot_rows)
     if not hot:

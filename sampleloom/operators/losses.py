@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sampleloom.functions import numeric as N
 from sampleloom.functions import vectors as V
-from sampleloom.functions.base import ColumnLike, col_of, u01
+from sampleloom.functions.base import ColumnLike, col_of, let, u01
 from sampleloom.operators.pairs import TILE_ROWS, fold_pairs, per_left, tile_pairs
 
 
@@ -32,9 +32,13 @@ def sigmoid_prediction(logit: ColumnLike, sample_rate: ColumnLike | None = None,
 
 def softmax_loss(logits: ColumnLike, label: ColumnLike) -> Column:
     """Softmax cross-entropy of one row's logits against its label distribution."""
-    x, top = col_of(logits), F.array_max(logits)
-    lse = F.log(F.aggregate(x, F.lit(0.0), lambda s, v: s + F.exp(v - top))) + top
-    return F.aggregate(F.zip_with(col_of(label), x, lambda y, v: y * (lse - v)), F.lit(0.0), lambda s, v: s + v)
+    x = col_of(logits)
+
+    def at(lse: Column) -> Column:
+        return F.aggregate(F.zip_with(col_of(label), x, lambda y, v: y * (lse - v)), F.lit(0.0), lambda s, v: s + v)
+
+    return let(F.array_max(x), lambda top: let(
+        F.log(F.aggregate(x, F.lit(0.0), lambda s, v: s + F.exp(v - top))) + top, at))
 
 
 def softmax_prediction(logits: ColumnLike) -> Column:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from sampleloom.functions import labels as L
 from sampleloom.functions.base import u01, u32
-from sampleloom.operators.joins import HOT_ROWS, lookup_join
-from sampleloom.operators.ordering import positions, running, with_totals
+from sampleloom.operators.joins import lookup_join
+from sampleloom.operators.ordering import HOT_ROWS, largest_group, positions, running, with_totals
 
 ONE_POOL = 3  # fixed value: the channel that stands for "all rows share one pool"
 
@@ -76,8 +76,8 @@ def is_cached(cfg: NegativeConfig, positive: Column) -> Column:
     return keep & (F.col("_ch") != 0)
 
 
-def item_pool(rows: DataFrame, features: Sequence[str] = (), max_item_num: int = 100000,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+def item_pool(rows: DataFrame, features: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+              largest: int | None = None) -> DataFrame:
     """``(_ch, _item, seq, origin_cnt, first_at, features…)``: items numbered per channel by first
     sight; their features are those of the first sight. First sights are a partial aggregate, so
     only distinct items are ever ordered."""
@@ -85,16 +85,17 @@ def item_pool(rows: DataFrame, features: Sequence[str] = (), max_item_num: int =
     g = rows.groupBy("_ch", "_item").agg(
         F.min(at).alias("first_at"), F.count(F.lit(1)).alias("origin_cnt"),
         *[F.min_by(f, at).alias(f) for f in features])
-    return positions(g, ["_ch"], [F.col("first_at")], "seq", hot_rows)
+    return positions(g, ["_ch"], [F.col("first_at")], "seq", hot_rows, largest)
 
 
 def pool_state(rows: DataFrame, channel: str, item: str, start_num: int, max_item_num: int,
                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Final pools: live items per channel with their place in the queue, and whether the pool is
     big enough to be used."""
-    pool = item_pool(rows.withColumn("_ch", F.col(channel)).withColumn("_item", F.col(item)),
-                     hot_rows=hot_rows)
-    sized = with_totals(pool, ["_ch"], {"_n": F.max("seq")}, hot_rows)
+    base = rows.withColumn("_ch", F.col(channel)).withColumn("_item", F.col(item))
+    largest = largest_group(base, ["_ch"])
+    pool = item_pool(base, (), hot_rows, largest)
+    sized = with_totals(pool, ["_ch"], {"_n": F.max("seq")}, hot_rows, largest)
     live = sized.filter(F.col("seq") > F.col("_n") - max_item_num)
     size = F.least(F.col("_n"), F.lit(max_item_num))
     return live.select(
@@ -129,11 +130,15 @@ def draws(samples: DataFrame, cfg: NegativeConfig, hot_rows: int = HOT_ROWS,
     pos = is_positive(cfg)
     own = F.col(cfg.channel).cast("bigint") if cfg.per_channel else F.lit(ONE_POOL).cast("bigint")
     base = samples.withColumn("_ch", own).withColumn("_item", F.col(cfg.item))
-    pool = item_pool(base.filter(is_cached(cfg, pos)), cfg.item_features, cfg.max_item_num, hot_rows)
+    easy_draws = cfg.per_channel and cfg.easy_hard_ratio > 0
+    # One count bounds every group below; easy draws may gather in any channel.
+    rows = largest_group(base, [] if easy_draws else ["_ch"])
+    asked = rows * cfg.neg_num
+    pool = item_pool(base.filter(is_cached(cfg, pos)), cfg.item_features, hot_rows, rows)
 
     ask = base.filter(pos & (F.col("_ch") != 0)).select("_ch", "req_time", key)
     each = F.explode(F.sequence(F.lit(0), F.lit(cfg.neg_num - 1))).alias("k")
-    if cfg.per_channel and cfg.easy_hard_ratio > 0:
+    if easy_draws:
         weights = channel_weights(pool, cfg.max_item_num).scalar()
         ask = ask.select("*", each).withColumn("_w", weights)
         tag = F.concat_ws("|", F.col(key), F.col("k"))
@@ -149,18 +154,18 @@ def draws(samples: DataFrame, cfg: NegativeConfig, hot_rows: int = HOT_ROWS,
                        F.lit(1).cast("bigint").alias("_new"), F.lit(0).alias("_q"))
     both = seen.unionByName(ask.withColumn("_new", F.lit(0).cast("bigint")).withColumn("_q", F.lit(1)))
     order = [F.col("req_time"), F.col(key), F.col("_q"), F.col("k")]
-    known = running(both, ["_ch"], order, {"_n": F.col("_new")}, hot_rows).filter("_q = 1")
+    known = running(both, ["_ch"], order, {"_n": F.col("_new")}, hot_rows, rows + asked).filter("_q = 1")
 
     size = F.least("_n", F.lit(cfg.max_item_num))
     ready = known.withColumn("_size", size).filter(F.col("_size") > cfg.start_num)
-    if not (cfg.per_channel and cfg.easy_hard_ratio > 0):
+    if not easy_draws:
         ready = ready.drop("k").select("*", each)
     at = u32(F.concat_ws("|", F.col(key), F.col("k"), F.lit("item"))) % F.col("_size")
     hits = (ready.withColumn("_at", at)
             .withColumn("_pick", F.struct("_ch", (F.col("_n") - F.col("_size") + F.col("_at") + 1).alias("seq"))))
     items = pool.select(F.struct("_ch", "seq").alias("_pick"), "_item", *cfg.item_features)
-    got = lookup_join(hits, items, "_pick", "inner", hot_rows)
-    counted = positions(got, ["_ch", "_item"], [F.col("req_time"), F.col(key), F.col("k")], "_drawn", hot_rows)
+    got = lookup_join(hits, items, "_pick", "inner", hot_rows, asked)
+    counted = positions(got, ["_ch", "_item"], [F.col("req_time"), F.col(key), F.col("k")], "_drawn", hot_rows, asked)
     return counted.select(key, "k", F.col("_ch").alias("drawn_channel"), F.col("_item").alias("drawn_item"),
                           (F.lit(1.0) / F.col("_drawn")).alias("freq"),
                           ((F.col("_at") + 1.0) / F.col("_size")).alias("time_factor"),

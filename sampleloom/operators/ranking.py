@@ -151,7 +151,8 @@ def _ranked(lists: DataFrame, lam: LambdaWeight | None, hot_rows: int, largest:
             (F.col("weight") if "weight" in lists.columns else F.lit(1.0)).cast("double").alias("weight")]
     out = _clean(lists.select(*cols))
     out = positions(out, [Q], [F.col("label") < 0, F.desc("score"), F.col(ITEM)], "_rank", hot_rows, largest)
-    out = with_totals(out, [Q], {"_size": F.count(F.lit(1)).cast("double")}, hot_rows, largest)
+    out = with_totals(out, [Q], {"_size": F.count(F.lit(1))}, hot_rows, largest)
+    out = out.withColumn("_size", F.col("_size").cast("double"))
     gain = lam.gain_of(F.col("_l")) if lam and lam.kind == "dcg" else F.col("_l")
     if lam and lam.kind == "dcg" and lam.normalized:
         inv = inverse_max_dcg(lists, lam.topn, lam.gain_of, lam.discount_of, hot_rows, largest)

@@ -104,7 +104,7 @@ def ranked_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = F.floor(F.col("l_discount") * 50 + 0.5).cast("bigint") % 5 - 1
     return li.groupBy(*key).agg(
         F.max(lab).cast("double").alias("label"), (F.max("l_extendedprice") / 1e5).alias("score"),
-        (F.max("l_quantity") / 50.0).alias("weight"))
+        F.sqrt(F.max("l_quantity") / 50.0).alias("weight"))
 
 
 # ---------------------------------------------------------------- DuckDB text
@@ -168,7 +168,7 @@ LISTS = """
 lists AS (
   SELECT l_orderkey AS query_id, CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey AS item_id,
          CAST(max(CAST(floor(l_discount * 50 + 0.5::DOUBLE) AS BIGINT) % 5 - 1) AS DOUBLE) AS label,
-         max(l_extendedprice) / 100000.0::DOUBLE AS score, max(l_quantity) / 50.0::DOUBLE AS weight
+         max(l_extendedprice) / 100000.0::DOUBLE AS score, sqrt(max(l_quantity) / 50.0::DOUBLE) AS weight
   FROM lineitem GROUP BY 1, 2)"""
 
 
