@@ -283,3 +283,17 @@ def _(spark, d):
 SELECT sample_id, '{{"uid":' || uid || ',"req_time":' || req_time || ',"rank":' || rank || '}}' AS record FROM samples WHERE {s_u('sample_id', "'eval'")} < 0.25::DOUBLE""")
 def _(spark, d):
     return X.eval_samples(bind.samples(spark, d), "sample_id", 0.25, ["uid", "req_time", "rank"])
+
+
+@query("channel_loss", w(SAMPLES, f"""
+z AS (SELECT *, {_X} - ln(sample_rate) AS x FROM samples
+      WHERE actions[1] IN (1, 2, 4, 5) AND uid >= 5 AND uid < 140 AND (label[1] >= 1 OR label[2] >= 0.05::DOUBLE))""") + f"""
+SELECT chnid, {s_r6('sum(instance_weight * (greatest(x, 0) - x * label[1] + ln(1.0::DOUBLE + exp(-abs(x)))))')} AS loss, count(*) AS n FROM z GROUP BY 1""")
+def _(spark, d):
+    from sampleloom.functions import predicates as P
+    from sampleloom.operators import samples as S
+
+    flow = S.compose(S.keep_if(P.any_action("actions", [1, 2, 4, 5])), S.keep_if(P.compare("uid", "between", [5, 140])),
+                     S.keep_if(P.by_label("label", [1.0, 0.05])))
+    loss = X.sigmoid_loss(F.get("label", F.lit(1)) * 8.0 - 2.0, F.get("label", F.lit(0)), "sample_rate", instance_weight="instance_weight")
+    return _round(bind.samples(spark, d).transform(flow).groupBy("chnid").agg(F.sum(loss).alias("loss"), F.count(F.lit(1)).alias("n")), "loss")

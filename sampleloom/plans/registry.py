@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 MODULES = ("q_scans", "q_filters", "q_labels", "q_pooling", "q_ids", "q_tables", "q_negatives",
-           "q_ranking", "q_streaming")
+           "q_ranking", "q_streaming", "q_sinks")
 
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
