@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # Keys heavier than this go the broadcast way; at most MAX_HOT of them, the rest is shuffled.
@@ -19,6 +19,13 @@ def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int =
     return [r[0] for r in top.collect()]
 
 
+def _literal(value, dtype: str) -> Column:
+    """Key value, plain or a struct, as a literal of the key's type."""
+    if isinstance(value, Row):
+        return F.struct(*[F.lit(v).alias(n) for n, v in value.asDict().items()]).cast(dtype)
+    return F.lit(value)
+
+
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
                 hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
     """Join many rows to a table that holds each ``key`` once.
@@ -32,7 +39,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     hot = heavy_keys(left, key, hot_rows)
     if not hot:
         return left.join(right, key, how)
-    is_hot = F.col(key).isin(hot)
+    is_hot = F.col(key).isin([_literal(v, dict(left.dtypes)[key]) for v in hot])
     cold = left.filter(~is_hot | F.col(key).isNull()).join(right.filter(~is_hot), key, how)
     warm = left.filter(is_hot).join(F.broadcast(right.filter(is_hot)), key, how)
     return cold.unionByName(warm)
