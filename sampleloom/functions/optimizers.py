@@ -20,6 +20,10 @@ Elementwise = Callable[[Column, Column, dict[str, Column], Column, dict[str, flo
                        tuple[Column, dict[str, Column]]]
 
 
+# Widest vector whose update is written out element by element.
+UNROLL_MAX = 128
+
+
 def _num(x: float) -> Column:
     return F.lit(float(x))
 
@@ -60,8 +64,9 @@ class Rule:
         return F.struct(*(cols or [_num(0).alias("none")])).cast(self.state_type)
 
     def apply(self, num: ColumnLike, grad: ColumnLike, state: ColumnLike,
-              lr: ColumnLike | float | None = None, **overrides: float) -> Column:
-        """``STRUCT(num, opt)`` after one step."""
+              lr: ColumnLike | float | None = None, dim: int | None = None, **overrides: float) -> Column:
+        """``STRUCT(num, opt)`` after one step. With ``dim`` given, element rules are written out
+        per element, up to :data:`UNROLL_MAX`, and compile to plain code."""
         p = self.config(overrides)
         w, g, s = col_of(num), col_of(grad), col_of(state)
         rate = _num(p.get("learning_rate", 0.0)) if lr is None else (
@@ -70,6 +75,17 @@ class Rule:
         if self.whole is not None:
             return self.whole(w, g, s, rate, p)
         names = list(self.vector_state)
+        after = self.row_update(row, p) if self.row_update else row
+        if dim is not None and dim <= UNROLL_MAX:
+            def at(v: Column, i: int) -> Column:
+                return F.get(v, F.lit(i))
+
+            outs = [self.update(at(w, i), at(g, i), {n: at(s.getField(n), i) for n in names} | row, rate, p)
+                    for i in range(dim)]
+            parts = [F.array(*[o[1][n] for o in outs]).alias(n) for n in names]
+            parts += [after[n].alias(n) for n in self.row_state]
+            opt = F.struct(*(parts or [_num(0).alias("none")])).cast(self.state_type)
+            return F.struct(F.array(*[o[0] for o in outs]).alias("num"), opt.alias("opt"))
         zipped = F.arrays_zip(w.alias("w"), g.alias("g"), *[s.getField(n).alias(n) for n in names])
         # arrays_zip names nested accesses after the field; rebuild with fixed names instead.
         typed = zipped.cast("array<struct<" + ",".join(
@@ -80,8 +96,6 @@ class Rule:
             new_w, new_state = self.update(e.getField("w"), e.getField("g"), st, rate, p)
             return F.struct(new_w.alias("w"), *[new_state[n].alias(n) for n in names])
 
-        after = self.row_update(row, p) if self.row_update else row
-
         def collect(done: Column) -> Column:
             kept = [V.each(done, n).alias(n) for n in names]
             kept += [after[n].alias(n) for n in self.row_state]

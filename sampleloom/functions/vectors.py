@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,25 +69,25 @@ def fixed_width(v: ColumnLike, width: int, pad: float = 0.0) -> Column:
     return F.slice(F.concat(v, F.array_repeat(F.lit(float(pad)), width)), 1, width)
 
 
-def sum_agg(v: ColumnLike, dim: int) -> Column:
-    """Element-wise sum of a vector column as an aggregate.
+def unrolled(dim: int, at: Callable[[int], Column]) -> Column:
+    """Array of ``dim`` expressions, one per element. Unlike a higher-order function this is
+    compiled code, which pays off for the widths vectors have."""
+    return F.array(*[at(i) for i in range(dim)])
+
+
+def sum_agg(v: ColumnLike, dim: int) -> list[Column]:
+    """Sums of the elements of a vector column, as aggregates.
 
     One plain SUM per element: each has a fixed-width buffer, so the whole thing is a partial and
     a final hash aggregate. Nothing is collected and the row count is not multiplied by ``dim``.
     """
     v = col_of(v)
-    return F.array(*[F.coalesce(F.sum(F.get(v, F.lit(i))), F.lit(0.0)) for i in range(dim)])
-
-
-def sum_squares_agg(v: ColumnLike, dim: int) -> Column:
-    v = col_of(v)
-    return F.array(*[F.coalesce(F.sum(F.get(v, F.lit(i)) * F.get(v, F.lit(i))), F.lit(0.0))
-                     for i in range(dim)])
+    return [F.coalesce(F.sum(F.get(v, F.lit(i)).cast("double")), F.lit(0.0)) for i in range(dim)]
 
 
-def max_agg(v: ColumnLike, dim: int) -> Column:
-    v = col_of(v)
-    return F.array(*[F.max(F.get(v, F.lit(i))) for i in range(dim)])
+def sum_squares_agg(v: ColumnLike, dim: int) -> list[Column]:
+    parts = [F.get(col_of(v), F.lit(i)).cast("double") for i in range(dim)]
+    return [F.coalesce(F.sum(p * p), F.lit(0.0)) for p in parts]
 
 
 def fold(vectors: Sequence[ColumnLike], how: str) -> Column:

@@ -11,7 +11,7 @@ from sampleloom.functions import vectors as V
 def merge_gradients(grads: DataFrame, dim: int, keys: tuple[str, ...] = ("fid",)) -> DataFrame:
     """Sum the gradients of equal ids. Partial sums are taken before the shuffle, so a hot id
     costs one row per input partition."""
-    return grads.groupBy(*keys).agg(V.sum_agg("grad", dim).alias("grad"))
+    return grads.groupBy(*keys).agg(F.array(*V.sum_agg("grad", dim)).alias("grad"))
 
 
 def clip_by_global_norm(grads: DataFrame, clip: float, vector: str = "grad") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from sampleloom.operators.ordering import sampling
+
 # Keys heavier than this go the broadcast way; at most MAX_HOT of them, the rest is shuffled.
 HOT_ROWS = 1_000_000
 MAX_HOT = 1_000
@@ -13,8 +15,10 @@ BROADCAST_ROWS = 100_000
 
 
 def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> list:
-    """Values of ``key`` with more than ``hot_rows`` rows, heaviest first, ``max_hot`` at most."""
-    top = (df.groupBy(key).count().filter((F.col("count") > hot_rows) & F.col(key).isNotNull())
+    """Values of ``key`` with more than about ``hot_rows`` rows, heaviest first, ``max_hot`` at
+    most. A thin sample is enough: the list only decides which way a row is joined."""
+    thin, share = sampling(df.select(key), hot_rows)
+    top = (thin.groupBy(key).count().filter((F.col("count") > hot_rows * share) & F.col(key).isNotNull())
            .orderBy(F.desc("count"), key).limit(max_hot))
     return [r[0] for r in top.collect()]
 

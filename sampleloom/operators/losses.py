@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,9 +47,20 @@ def softmax_prediction(logits: ColumnLike) -> Column:
     return (F.array_position(col_of(logits), F.array_max(logits)) - 1).cast("int")
 
 
+@F.pandas_udf("array<double>")
+def _partition_sums(queries: pd.Series, items: pd.Series, shifts: pd.Series, temperature: pd.Series) -> pd.Series:
+    """Per tile pair: for each query the sum of exp(q·v / t − shift) over the items, as one matrix
+    product."""
+    out = []
+    for q, v, f, t in zip(queries, items, shifts, temperature):
+        sim = np.stack(q) @ np.stack(v).T / t
+        out.append(np.exp(sim - np.asarray(f)[None, :]).sum(axis=1))
+    return pd.Series(out)
+
+
 def batch_softmax_loss(df: DataFrame, batch: str, key: str, query: str, item: str, interval: str,
                        r: str, normalize: bool = True, temperature: float = 1.0,
-                       tile_rows: int = 64) -> DataFrame:
+                       tile_rows: int = TILE_ROWS) -> DataFrame:
     """``(batch, loss)``: −Σ r·log softmax of a row's own item among all items of its batch, with
     the popularity correction −log(1/max(interval, 1)) on every similarity."""
     if temperature <= 0:
@@ -57,13 +70,9 @@ def batch_softmax_loss(df: DataFrame, batch: str, key: str, query: str, item: st
     rows = df.select(batch, key, unit(V.doubles(query)).alias("_q"), unit(V.doubles(item)).alias("_v"),
                      F.log(freq).alias("_f"), F.col(r).cast("double").alias("_r"))
     t = tile_pairs(rows, batch, key, [key, "_q"], [key, "_v", "_f"], tile_rows=tile_rows)
-
-    def step(acc: Column, a: Column, b: Column) -> Column:
-        sim = V.dot(a.getField("_q"), b.getField("_v")) / F.lit(float(temperature))
-        return acc + F.exp(sim - b.getField("_f"))
-
-    sums = (t.select(batch, F.inline(per_left(F.col("left"), F.col("right"), F.lit(0.0), step, key)))
-            .groupBy(batch, key).agg(F.sum("value").alias("_all")))
+    scores = _partition_sums(V.each("left", "_q"), V.each("right", "_v"), V.each("right", "_f"), F.lit(float(temperature)))
+    each_key = F.arrays_zip(V.each("left", key).alias(key), scores.alias("value"))
+    sums = t.select(batch, F.inline(each_key)).toDF(batch, key, "value").groupBy(batch, key).agg(F.sum("value").alias("_all"))
     own = V.dot("_q", "_v") / F.lit(float(temperature)) - F.col("_f")
     each = rows.select(batch, key, "_r", own.alias("_own")).join(sums, [batch, key])
     return each.groupBy(batch).agg((-F.sum(F.col("_r") * (F.col("_own") - F.log("_all")))).alias("loss"))

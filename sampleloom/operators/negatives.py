@@ -93,7 +93,7 @@ def pool_state(rows: DataFrame, channel: str, item: str, start_num: int, max_ite
     """Final pools: live items per channel with their place in the queue, and whether the pool is
     big enough to be used."""
     base = rows.withColumn("_ch", F.col(channel)).withColumn("_item", F.col(item))
-    largest = largest_group(base, ["_ch"])
+    largest = largest_group(base, ["_ch"], hot_rows)
     pool = item_pool(base, (), hot_rows, largest)
     sized = with_totals(pool, ["_ch"], {"_n": F.max("seq")}, hot_rows, largest)
     live = sized.filter(F.col("seq") > F.col("_n") - max_item_num)
@@ -132,7 +132,7 @@ def draws(samples: DataFrame, cfg: NegativeConfig, hot_rows: int = HOT_ROWS,
     base = samples.withColumn("_ch", own).withColumn("_item", F.col(cfg.item))
     easy_draws = cfg.per_channel and cfg.easy_hard_ratio > 0
     # One count bounds every group below; easy draws may gather in any channel.
-    rows = largest_group(base, [] if easy_draws else ["_ch"])
+    rows = largest_group(base, [] if easy_draws else ["_ch"], hot_rows)
     asked = rows * cfg.neg_num
     pool = item_pool(base.filter(is_cached(cfg, pos)), cfg.item_features, hot_rows, rows)
 

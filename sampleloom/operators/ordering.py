@@ -13,10 +13,23 @@ from sampleloom.session import settled
 HOT_ROWS = 1_000_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest key: one partial aggregation over the key columns only."""
-    counts = df.groupBy(*keys).count() if keys else df.agg(F.count(F.lit(1)).alias("count"))
-    return counts.agg(F.max("count")).first()[0] or 0
+# Rows of a just-hot key a size check wants to see; fewer are enough to tell it from a small one.
+SEEN_ROWS = 200
+
+
+def sampling(df: DataFrame, limit: int) -> tuple[DataFrame, float]:
+    """``df`` thinned so that a key of ``limit`` rows keeps about :data:`SEEN_ROWS`, and the share
+    kept. Only for choosing between plans that give the same rows."""
+    share = min(1.0, SEEN_ROWS / max(1, limit))
+    return (df.sample(share, seed=17) if share < 1.0 else df), share
+
+
+def largest_group(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> int:
+    """Estimated row count of the biggest key, exact enough to compare with ``limit``; reads the key
+    columns only."""
+    thin, share = sampling(df.select(*keys) if keys else df.select(), limit)
+    counts = thin.groupBy(*keys).count() if keys else thin.agg(F.count(F.lit(1)).alias("count"))
+    return round((counts.agg(F.max("count")).first()[0] or 0) / share)
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
@@ -30,7 +43,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     ``largest`` if the size of the biggest key is already known.
     """
     keys = list(keys)
-    if (largest_group(df, keys) if largest is None else largest) <= hot_rows:
+    if (largest_group(df, keys, hot_rows) if largest is None else largest) <= hot_rows:
         w = (Window.partitionBy(*keys).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.select("*", *[F.sum(c).over(w).alias(n) for n, c in totals.items()])
@@ -76,7 +89,7 @@ def with_totals(df: DataFrame, keys: Sequence[str], totals: dict[str, Column],
     with partial sums that is joined back."""
     from sampleloom.operators.joins import lookup_join
 
-    if (largest_group(df, keys) if largest is None else largest) <= hot_rows:
+    if (largest_group(df, keys, hot_rows) if largest is None else largest) <= hot_rows:
         w = Window.partitionBy(*keys)
         return df.select("*", *[c.over(w).alias(n) for n, c in totals.items()])
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)

@@ -31,7 +31,7 @@ def tile_pairs(df: DataFrame, group: str, row_key: str, payload: Sequence[str],
         return F.collect_list(row if keep is None else F.when(keep, row))
 
     sides = [side(payload, left_if).alias("left"), side(right_payload, right_if).alias("right")]
-    if (largest_group(df, [group]) if largest is None else largest) <= tile_rows:
+    if (largest_group(df, [group], tile_rows) if largest is None else largest) <= tile_rows:
         return df.groupBy(group).agg(*sides)
     sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(tile_rows)).alias("_tiles"))
     cut = lookup_join(df, sizes, group).withColumn(

@@ -20,9 +20,9 @@ def explode_ids(rows: DataFrame, row_key: str, ids: str, keep_empty: bool = True
 
 def lookup(ids: DataFrame, table: DataFrame, dim: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``num`` to rows with a ``fid``; a missing id gets a zero vector, a NULL id NULL."""
-    vecs = table.select("fid", V.doubles("num").alias("num"))
-    j = lookup_join(ids, vecs, "fid", hot_rows=hot_rows)
-    num = F.when(F.col("fid").isNotNull(), F.coalesce("num", V.zeros(dim)))
+    kind = dict(table.dtypes)["num"]  # kept as stored: widening FLOAT here would double the shuffle
+    j = lookup_join(ids, table.select("fid", "num"), "fid", hot_rows=hot_rows)
+    num = F.when(F.col("fid").isNotNull(), F.coalesce("num", V.zeros(dim).cast(kind)))
     return j.select(*ids.columns, num.alias("num"))
 
 
@@ -51,17 +51,14 @@ def pool(looked_up: DataFrame, row_key: str, dim: int, how: str = "sum",
     """
     if how not in ("sum", "mean", "sqrt_sum_sq"):
         raise ValueError(f"unknown pooling {how}")
-    agg = V.sum_squares_agg("num", dim) if how == "sqrt_sum_sq" else V.sum_agg("num", dim)
-    g = looked_up.groupBy(row_key).agg(agg.alias("num"), F.count("num").alias("_n"))
+    n = F.count("num")
+    sums = V.sum_squares_agg("num", dim) if how == "sqrt_sum_sq" else V.sum_agg("num", dim)
     if how == "sqrt_sum_sq":
-        out = F.transform("num", lambda x: F.sqrt(x))
+        sums = [F.sqrt(s) for s in sums]
     elif how == "mean":
-        blank = F.array_repeat(F.lit(float("nan") if nan_on_empty else 0.0), dim)
-        out = F.when(F.col("_n") == 0, blank).otherwise(
-            F.transform("num", lambda x: x / F.col("_n")))
-    else:
-        out = F.col("num")
-    return g.select(row_key, out.alias("num"))
+        blank = F.lit(float("nan") if nan_on_empty else 0.0)
+        sums = [F.when(n == 0, blank).otherwise(s / n) for s in sums]
+    return looked_up.groupBy(row_key).agg(F.array(*sums).alias("num"))
 
 
 def pool_first_n(looked_up: DataFrame, row_key: str, dim: int, n: int) -> DataFrame:
@@ -83,7 +80,7 @@ def pool_gradients(looked_up: DataFrame, row_grads: DataFrame, row_key: str, dim
     length for ``mean``, times x/√Σx² for ``sqrt_sum_sq`` (0 where that is 0)."""
     ids = looked_up.filter("fid is not null")
     stats = {"mean": [F.count("fid").alias("_n")],
-             "sqrt_sum_sq": [V.sum_squares_agg("num", dim).alias("_sq")],
+             "sqrt_sum_sq": [F.array(*V.sum_squares_agg("num", dim)).alias("_sq")],
              "sum": []}[how]
     per_row = row_grads.select(row_key, V.doubles("grad").alias("_g"))
     if stats:
@@ -102,7 +99,7 @@ def pool_gradients(looked_up: DataFrame, row_grads: DataFrame, row_key: str, dim
 def segment_sum(df: DataFrame, segment: str, vector: str, dim: int,
                 splits: Sequence[int] = ()) -> DataFrame:
     """Sum vectors per segment, optionally cut into parts of the given widths ``part0, part1, …``."""
-    g = df.groupBy(segment).agg(V.sum_agg(vector, dim).alias("num"))
+    g = df.groupBy(segment).agg(F.array(*V.sum_agg(vector, dim)).alias("num"))
     if not splits:
         return g
     if sum(splits) != dim:

@@ -49,7 +49,7 @@ def group_lists(rows: DataFrame, rank_id: str, order: str, hot_rows: int = HOT_R
 
 def _largest(lists: DataFrame, known: int | None) -> int:
     """Size of the biggest list, measured once per call chain."""
-    return largest_group(lists, [Q]) if known is None else known
+    return largest_group(lists, [Q], TILE_ROWS) if known is None else known
 
 
 def _clean(lists: DataFrame) -> DataFrame:

@@ -72,11 +72,12 @@ def assign(table: DataFrame, updates: DataFrame, seq: str | None = None, ts: str
 def assign_add(table: DataFrame, updates: DataFrame, dim: int, ts: str = "ts",
                initial: Column | None = None) -> DataFrame:
     """Add to vectors; a missing id starts from its initial value."""
-    sums = updates.groupBy(*KEY).agg(V.sum_agg(V.doubles("num"), dim).alias("_new"),
+    sums = updates.groupBy(*KEY).agg(F.array(*V.sum_agg("num", dim)).alias("_new"),
                                      F.max(ts).alias("_ts"))
     start = V.zeros(dim) if initial is None else initial
     base = F.coalesce(F.col("num"), start)
-    num = F.when(F.col("_new").isNull(), F.col("num")).otherwise(V.add(base, "_new"))
+    num = F.when(F.col("_new").isNull(), F.col("num")).otherwise(
+        V.unrolled(dim, lambda i: F.get(base, F.lit(i)) + F.get("_new", F.lit(i))))
     return _joined(table, sums).select(*KEY, num.alias("num"), "opt",
                                        F.coalesce("_ts", "last_update_ts").alias("last_update_ts"))
 
@@ -113,7 +114,7 @@ def _segment_results(segments: Sequence[Segment], num: Column, grad: Column, opt
         r = rule(s.optimizer)
         w, g = V.piece(num, at, at + s.dim), V.piece(grad, at, at + s.dim)
         state = F.coalesce(opt.getField(f"s{i}"), r.initial(s.dim, **s.overrides))
-        parts.append(r.apply(w, g, state, lr, **s.overrides).alias(f"s{i}"))
+        parts.append(r.apply(w, g, state, lr, s.dim, **s.overrides).alias(f"s{i}"))
         at += s.dim
     return F.struct(*parts)
 
@@ -140,9 +141,9 @@ def apply_gradients(table: DataFrame, grads: DataFrame, segments: Sequence[Segme
         at += s.dim
     now_c = now if isinstance(now, Column) else F.lit(now).cast("bigint")
     j = _joined(table, g).withColumn("num", F.coalesce(F.col("num"), F.concat(*starts)))
-    j = j.withColumn("_r", F.when(F.col("_g").isNotNull(), _segment_results(
-        segments, F.col("num"), F.col("_g"), F.col("opt"), lr)))
-    touched = F.col("_r").isNotNull()
+    # Computed for every row, NULL gradients included, so that shared subexpressions are found.
+    j = j.withColumn("_r", _segment_results(segments, F.col("num"), F.col("_g"), F.col("opt"), lr))
+    touched = F.col("_g").isNotNull()
     new_num = F.concat(*[F.col(f"_r.s{i}.num") for i in range(len(segments))])
     new_opt = F.struct(*[F.col(f"_r.s{i}.opt").alias(f"s{i}") for i in range(len(segments))])
     return j.select(*KEY, F.when(touched, new_num).otherwise(F.col("num")).alias("num"),

@@ -18,6 +18,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the files give fewer splits than there are cores (a small file with
+    one row group). A large table has more splits than cores and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def epoch_seconds(ts: Column) -> Column:
     """Seconds since 1970 of a zone-less timestamp, whatever the session zone."""
     day = F.unix_date(F.to_date(ts)).cast("bigint")
@@ -52,7 +59,7 @@ def samples_of(events: DataFrame) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return samples_of(read(spark, sf_dir, "events"))
+    return samples_of(spread(read(spark, sf_dir, "events")))
 
 
 def multi_samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ def build_session(app: str = "sampleloom", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # hash instead of sort-merge where every build partition turned out small
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
