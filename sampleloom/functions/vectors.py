@@ -82,12 +82,12 @@ def sum_agg(v: ColumnLike, dim: int) -> list[Column]:
     a final hash aggregate. Nothing is collected and the row count is not multiplied by ``dim``.
     """
     v = col_of(v)
-    return [F.coalesce(F.sum(F.get(v, F.lit(i)).cast("double")), F.lit(0.0)) for i in range(dim)]
+    return [F.sum(F.get(v, F.lit(i)).cast("double")) for i in range(dim)]
 
 
 def sum_squares_agg(v: ColumnLike, dim: int) -> list[Column]:
     parts = [F.get(col_of(v), F.lit(i)).cast("double") for i in range(dim)]
-    return [F.coalesce(F.sum(p * p), F.lit(0.0)) for p in parts]
+    return [F.sum(p * p) for p in parts]
 
 
 def fold(vectors: Sequence[ColumnLike], how: str) -> Column:

@@ -54,11 +54,6 @@ def small_or_none(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else None
 
 
-def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if counting shows it is small; otherwise leave the choice to Spark."""
-    return small_or_none(df, rows) or df
-
-
 def context_join(rows: DataFrame, context: DataFrame, key: str) -> DataFrame:
     """Attach shared per-request features to the rows of the request."""
     return lookup_join(rows, context, key)
@@ -71,7 +66,9 @@ def semi_file(df: DataFrame, values: DataFrame, column: str, op: str) -> DataFra
     (name, dtype), = values.dtypes
     if dtype != dict(df.dtypes)[column]:
         raise ValueError(f"operand type {dtype} differs from {column}: {dict(df.dtypes)[column]}")
-    ops = checked_broadcast(values.select(F.col(name).alias("_v")).filter("_v is not null").distinct())
-    return df.join(ops, df[column] == ops["_v"], "left_semi" if op == "in" else "left_anti")
+    ops = values.select(F.col(name).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    how = "left_semi" if op == "in" else "left_anti"
+    small = None if df.isStreaming else small_or_none(ops)
+    return lookup_join(df, ops, column, how) if small is None else df.join(small, column, how)
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sampleloom.functions import numeric as N
 from sampleloom.functions import vectors as V
@@ -47,7 +48,7 @@ def softmax_prediction(logits: ColumnLike) -> Column:
     return (F.array_position(col_of(logits), F.array_max(logits)) - 1).cast("int")
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _partition_sums(queries: pd.Series, items: pd.Series, shifts: pd.Series, temperature: pd.Series) -> pd.Series:
     """Per tile pair: for each query the sum of exp(q·v / t − shift) over the items, as one matrix
     product."""

@@ -56,9 +56,9 @@ def pool(looked_up: DataFrame, row_key: str, dim: int, how: str = "sum",
     if how == "sqrt_sum_sq":
         sums = [F.sqrt(s) for s in sums]
     elif how == "mean":
-        blank = F.lit(float("nan") if nan_on_empty else 0.0)
-        sums = [F.when(n == 0, blank).otherwise(s / n) for s in sums]
-    return looked_up.groupBy(row_key).agg(F.array(*sums).alias("num"))
+        sums = [s / n for s in sums]
+    blank = F.array_repeat(F.lit(float("nan") if nan_on_empty and how == "mean" else 0.0), dim)
+    return looked_up.groupBy(row_key).agg(F.when(n == 0, blank).otherwise(F.array(*sums)).alias("num"))
 
 
 def pool_first_n(looked_up: DataFrame, row_key: str, dim: int, n: int) -> DataFrame:
@@ -85,7 +85,7 @@ def pool_gradients(looked_up: DataFrame, row_grads: DataFrame, row_key: str, dim
     per_row = row_grads.select(row_key, V.doubles("grad").alias("_g"))
     if stats:
         per_row = per_row.join(ids.groupBy(row_key).agg(*stats), row_key)
-    j = ids.join(per_row, row_key)
+    j = lookup_join(ids, per_row, row_key, "inner")
     if how == "sum":
         g = F.col("_g")
     elif how == "mean":

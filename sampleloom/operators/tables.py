@@ -19,6 +19,7 @@ from sampleloom.functions.base import ColumnLike, col_of, lit_map, u01
 from sampleloom.functions.fid import slot_of
 from sampleloom.functions.optimizers import rule
 from sampleloom.operators.gradients import merge_gradients
+from sampleloom.operators.joins import lookup_join
 from sampleloom.operators.ordering import HOT_ROWS, positions
 
 KEY = ["table", "fid"]
@@ -107,16 +108,19 @@ class Segment:
         return dict(self.params)
 
 
-def _segment_results(segments: Sequence[Segment], num: Column, grad: Column, opt: Column,
-                     lr: ColumnLike | float | None) -> Column:
-    parts, at = [], 0
+def _with_results(df: DataFrame, segments: Sequence[Segment], lr: ColumnLike | float | None) -> DataFrame:
+    """Add ``_r0, _r1, …``: the step of each segment on the columns num, _g and opt. Slices and
+    states become columns of their own first, so that no element recomputes them."""
+    inputs, at = {}, 0
     for i, s in enumerate(segments):
-        r = rule(s.optimizer)
-        w, g = V.piece(num, at, at + s.dim), V.piece(grad, at, at + s.dim)
-        state = F.coalesce(opt.getField(f"s{i}"), r.initial(s.dim, **s.overrides))
-        parts.append(r.apply(w, g, state, lr, s.dim, **s.overrides).alias(f"s{i}"))
+        whole = len(segments) == 1
+        inputs[f"_w{i}"] = F.col("num") if whole else V.piece("num", at, at + s.dim)
+        inputs[f"_d{i}"] = F.col("_g") if whole else V.piece("_g", at, at + s.dim)
+        inputs[f"_o{i}"] = F.coalesce(F.col(f"opt.s{i}"), rule(s.optimizer).initial(s.dim, **s.overrides))
         at += s.dim
-    return F.struct(*parts)
+    ready = df.withColumns(inputs)
+    return ready.withColumns({f"_r{i}": rule(s.optimizer).apply(f"_w{i}", f"_d{i}", f"_o{i}", lr, **s.overrides)
+                              for i, s in enumerate(segments)})
 
 
 def opt_type(segments: Sequence[Segment]) -> str:
@@ -141,11 +145,11 @@ def apply_gradients(table: DataFrame, grads: DataFrame, segments: Sequence[Segme
         at += s.dim
     now_c = now if isinstance(now, Column) else F.lit(now).cast("bigint")
     j = _joined(table, g).withColumn("num", F.coalesce(F.col("num"), F.concat(*starts)))
-    # Computed for every row, NULL gradients included, so that shared subexpressions are found.
-    j = j.withColumn("_r", _segment_results(segments, F.col("num"), F.col("_g"), F.col("opt"), lr))
+    # Computed for every row, NULL gradients included, so that the step is not behind a condition.
+    j = _with_results(j, segments, lr)
     touched = F.col("_g").isNotNull()
-    new_num = F.concat(*[F.col(f"_r.s{i}.num") for i in range(len(segments))])
-    new_opt = F.struct(*[F.col(f"_r.s{i}.opt").alias(f"s{i}") for i in range(len(segments))])
+    new_num = F.concat(*[F.col(f"_r{i}.num") for i in range(len(segments))])
+    new_opt = F.struct(*[F.col(f"_r{i}.opt").alias(f"s{i}") for i in range(len(segments))])
     return j.select(*KEY, F.when(touched, new_num).otherwise(F.col("num")).alias("num"),
                     F.when(touched, new_opt).otherwise(F.col("opt")).cast(opt_type(segments)).alias("opt"),
                     F.when(touched, now_c).otherwise(F.col("last_update_ts")).alias("last_update_ts"))
@@ -236,7 +240,10 @@ def delta_apply(serving: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def contains(ids: DataFrame, tables: DataFrame, present: bool = True) -> DataFrame:
-    return ids.join(tables.select(*KEY), KEY, "left_semi" if present else "left_anti")
+    """Rows of ``ids`` whose (table, fid) is, or is not, in the tables."""
+    key = F.struct(*KEY).alias("_k")
+    out = lookup_join(ids.select("*", key), tables.select(key), "_k", "left_semi" if present else "left_anti")
+    return out.select(*ids.columns)
 
 
 def lookup_entry(ids: DataFrame, tables: DataFrame) -> DataFrame:

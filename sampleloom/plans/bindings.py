@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sampleloom.functions.base import lit_map
 from sampleloom.functions.fid import make_fid
 from sampleloom.functions.numeric import sigmoid
+from sampleloom.operators.joins import lookup_join
 
 ITEM_SLOT, USER_SLOT, TAG_SLOT = 200, 1, 5
 DIM = 64
@@ -99,8 +100,8 @@ def gradients(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = sigmoid(F.get("label", F.lit(1)) * 4.0 - 1.0)
     g = s.select(F.lit("item").alias("table"), F.get("f_item", F.lit(0)).alias("fid"), F.col("sample_id").alias("seq"),
                  (pred - F.get("label", F.lit(0))).alias("d"))
-    t = emb(spark, sf_dir).select("table", "fid", "num")
-    return g.join(t, ["table", "fid"]).select("table", "fid", "seq", F.transform("num", lambda x: x * F.col("d")).alias("grad"))
+    t = emb(spark, sf_dir).select("fid", "num")
+    return lookup_join(g, t, "fid", "inner").select("table", "fid", "seq", F.transform("num", lambda x: x * F.col("d")).alias("grad"))
 
 
 def ranked_lists(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,7 +132,11 @@ def _(spark, d):
     return e.select("fid", vec(N.one_bit_forward("num", F.col("scale"))).alias("num"), r6("scale").alias("scale"))
 
 
-@query("fp16_round", None)
+_QUANT = "power(2.0::DOUBLE, greatest(floor(log2(greatest(abs(x), 1e-300::DOUBLE))), -14) - 10)"
+
+
+@query("fp16_round", w(EMB) + f"""
+SELECT fid, {s_vec(f'list_transform(num, lambda x: sign(x) * round_even(abs(x) / {_QUANT}, 0) * {_QUANT})')} AS num FROM emb""")
 def _(spark, d):
     return bind.emb(spark, d).select("fid", vec(N.fp16_round("num")).alias("num"))
 

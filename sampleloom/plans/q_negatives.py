@@ -105,7 +105,27 @@ def _(spark, d):
     return rows.select("sample_id", "easy", F.when(F.col("easy"), drawn).otherwise(F.col("chan")).alias("channel"))
 
 
-@query("negative_gen_easy_hard", None)
+_EH = f"""
+s AS (SELECT *, chnid + 1 AS chan, chnid + 1 AS ch, actions[1] IN (2, 3, 4) AS pos FROM samples),
+fs AS (SELECT ch, item_id, min(struct_pack(a := req_time, b := sample_id)) AS fa FROM s WHERE pos GROUP BY 1, 2),
+pool AS (SELECT *, row_number() OVER (PARTITION BY ch ORDER BY fa) AS seq FROM fs),
+cum AS (SELECT ch, sum(least(n, 8)) OVER (ORDER BY ch) AS upto, sum(least(n, 8)) OVER (ORDER BY ch) - least(n, 8) AS lo, sum(least(n, 8)) OVER () AS total
+        FROM (SELECT ch, count(*) AS n FROM pool GROUP BY 1)),
+tag AS (SELECT s.*, i AS k, CAST(sample_id AS VARCHAR) || '|' || CAST(i AS VARCHAR) AS tg FROM s, range(0, 3) t(i) WHERE pos),
+asks AS (SELECT tag.* EXCLUDE (ch), CASE WHEN {s_u('tg', "'easy'")} < 0.5::DOUBLE THEN c.ch ELSE tag.ch END AS ch
+         FROM tag JOIN cum c ON c.lo <= {s_u('tg', "'channel'")} * total AND c.upto > {s_u('tg', "'channel'")} * total),
+known AS (SELECT a.*, n, least(n, 8) AS size FROM (
+    SELECT ch, sample_id, k, q, sum(new) OVER (PARTITION BY ch ORDER BY req_time, sample_id, q, k) AS n FROM (
+      SELECT ch, fa.b AS sample_id, fa.a AS req_time, 1 AS new, 0 AS q, -1 AS k FROM pool
+      UNION ALL SELECT ch, sample_id, req_time, 0, 1, k FROM asks)) x
+  JOIN asks a ON a.sample_id = x.sample_id AND a.k = x.k WHERE x.q = 1),
+drawn AS (SELECT *, {s_u32("tg || '|item'")} % size AS at0 FROM known WHERE size > 4),
+hit AS (SELECT d.*, p.item_id AS new_item, (at0 + 1) / CAST(size AS DOUBLE) AS tf,
+         1.0::DOUBLE / row_number() OVER (PARTITION BY d.ch, p.item_id ORDER BY d.req_time, d.sample_id, d.k) AS freq
+  FROM drawn d JOIN pool p ON p.ch = d.ch AND p.seq = d.n - d.size + d.at0 + 1)"""
+
+
+@query("negative_gen_easy_hard", w(SAMPLES, _EH) + _out(8))
 def _(spark, d):
     return _show(N.negative_gen(_samples(spark, d), replace(CFG, easy_hard_ratio=0.5)))
 

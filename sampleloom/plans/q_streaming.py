@@ -11,6 +11,7 @@ from sampleloom.functions.numeric import sigmoid
 from sampleloom.operators import negatives as N
 from sampleloom.operators import tables as E
 from sampleloom.operators.admission import slot_threshold
+from sampleloom.operators.joins import lookup_join
 from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, read, w
 from sampleloom.plans.q_negatives import CFG, _pool
@@ -86,7 +87,7 @@ def _ids(batch):
 def _gradients(batch, table):
     pred = sigmoid(F.get("label", F.lit(1)) * 4.0 - 1.0)
     g = batch.select(F.lit("item").alias("table"), F.get("f_item", F.lit(0)).alias("fid"), (pred - F.get("label", F.lit(0))).alias("d"))
-    return g.join(table.select("table", "fid", "num"), ["table", "fid"]).select(
+    return lookup_join(g, table.select("fid", "num"), "fid", "inner").select(
         "table", "fid", F.transform("num", lambda x: x * F.col("d")).alias("grad"))
 
 
@@ -140,13 +141,13 @@ def _(spark, d):
 @query("stream_negative_gen", w(SAMPLES, _pool("chnid + 1", 8).replace("least(n, 8)", "least(n, 1000)")) + f"""
 SELECT sample_id, CAST(k AS INT) AS k, new_item AS drawn_item, 'item ' || CAST(new_item AS VARCHAR) AS payload, {s_r6('freq')} AS freq, {s_r6('tf')} AS time_factor FROM hit""")
 def _(spark, d):
-    spark.conf.set(*next(iter(ST.STATE_CONF.items())))
     s = _samples(spark, d).withColumn("chan", F.col("chnid") + 1)
     pos = N.is_positive(CFG)
     rows = s.select("sample_id", "req_time", "item_id", pos.alias("positive"), pos.alias("cached"),
                     F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("payload"), "chan")
     drawn = ST.stream_negatives(rows, CFG.neg_num, CFG.start_num, 1000, "chan")
-    out = spark.read.parquet(_run(spark, "negatives", drawn))
+    with ST.state_settings(spark):
+        out = spark.read.parquet(_run(spark, "negatives", drawn))
     return out.withColumns({"freq": r6("freq"), "time_factor": r6("time_factor")})
 
 
@@ -157,9 +158,9 @@ FROM (SELECT sample_id, req_time, f_item[1] AS fid FROM samples)"""
 
 @query("stream_admission", w(SAMPLES) + _ADMITTED)
 def _(spark, d):
-    spark.conf.set(*next(iter(ST.STATE_CONF.items())))
     rows = _samples(spark, d).select("sample_id", "req_time", F.get("f_item", F.lit(0)).alias("fid"))
-    return spark.read.parquet(_run(spark, "admission", ST.stream_admission(rows, slot_threshold({200: 20}))))
+    with ST.state_settings(spark):
+        return spark.read.parquet(_run(spark, "admission", ST.stream_admission(rows, slot_threshold({200: 20}))))
 
 
 @query("stream_admission_table", w(SAMPLES) + _ADMITTED)
@@ -182,5 +183,6 @@ def _(spark, d):
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{base}/out")
 
-    S.run_available(counts, f"{base}/ckpt", write, mode="complete")
+    with ST.state_settings(spark):
+        S.run_available(counts, f"{base}/ckpt", write, mode="complete")
     return spark.read.parquet(f"{base}/out")

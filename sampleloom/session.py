@@ -17,10 +17,14 @@ def build_session(app: str = "sampleloom", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # sums of many vector elements are too wide for the small first-level map
+        "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
         # hash instead of sort-merge where every build partition turned out small
         "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # no Python call site per Column: it costs more than planning for wide expressions
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:

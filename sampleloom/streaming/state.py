@@ -7,9 +7,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,6 +20,22 @@ STATE_CONF = {
 }
 
 
+@contextmanager
+def state_settings(spark: SparkSession):
+    """The state store settings for the time of one run; no more state partitions than two per
+    core, as each is a store of its own."""
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    wanted = {**STATE_CONF, "spark.sql.shuffle.partitions": str(parts)}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def _u32(text: str) -> int:
     return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
 
