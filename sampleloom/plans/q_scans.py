@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sampleloom.functions import fid as U
 from sampleloom.operators import batches as B
 from sampleloom.operators import samples as S
 from sampleloom.operators.joins import context_join
 from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import SAMPLES, read, w
-from sampleloom.plans.registry import ints, query, r6, s_ints, s_r6, s_u32, s_vec, vec
+from sampleloom.plans.registry import ints, query, s_ints, s_u32, s_vec, vec
+from sampleloom.sources.feature_meta import prune_features
 from sampleloom.sources.parquet import date_range, scan_parquet
 from sampleloom.sources.text import ingest_ratings
 
@@ -202,3 +202,9 @@ def _(spark, d):
     lab = labels_from_actions("actions", "2,4:1:1.0;3::1.0", 1.0, -1.0)
     return both[0].unionByName(both[1]).select("sample_id", "src", F.get(lab, F.lit(0)).alias("task0"),
                                                F.get(lab, F.lit(1)).alias("task1"))
+
+
+@query("prune_features", w(SAMPLES) + f"SELECT sample_id, {s_ints('f_item')} AS f_item, {s_ints('f_tags')} AS f_tags FROM samples")
+def _(spark, d):
+    out = prune_features(bind.samples(spark, d), ["item", "tags"], ["sample_id"])
+    return out.select("sample_id", ints("f_item").alias("f_item"), ints("f_tags").alias("f_tags"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sampleloom.plans import bindings as bind
 from sampleloom.session import checkpoint_dir, settled
 from sampleloom.sources import dump, kafka, text
+from sampleloom.sources import feature_meta as FM
 from sampleloom.sources import parquet as PQ
 from sampleloom.sources import table_store as TS
 from sampleloom.sources.generate import generate_samples
@@ -128,3 +129,25 @@ def test_generated_samples_are_repeatable(spark):
 def test_settled_uses_the_named_folder(spark):
     assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert settled(spark.range(3)).count() == 3
+
+
+def test_feature_meta(spark, tmp_path):
+    (tmp_path / "m.conf").write_text("feed_name=area; shared=true; feature_id=368235\nfeature_name=f_x; slot=12; method=Direct; args=a, 'b'\nnothing here\n")
+    rows = {r["name"]: r for r in FM.read_feature_meta(spark, str(tmp_path / "m.conf")).collect()}
+    assert rows["area"]["shared"] and rows["area"]["feature_id"] == 368235 and rows["area"]["slot"] is None
+    assert rows["f_x"]["slot"] == 12 and rows["f_x"]["args"] == ["a", "b"] and not rows["f_x"]["shared"]
+
+
+def test_feature_names():
+    n = FM.SlotNames([5], combined=True)
+    assert [n.slot(x) for x in ("fc_slot_5", "slot_77", "slot_x", "new", "other", "new")] == [5, 77, None, 1, 2, 1]
+    cols = ["f_a", "fc_b", "fc_a-fc_b", "c", "d_raw"]
+    assert [FM.resolve(cols, x) for x in ("a", "b", "a-b", "c")] == ["f_a", "fc_b", "fc_a-fc_b", "c"]
+    with pytest.raises(ValueError):
+        FM.resolve(cols, "zz")
+
+
+def test_prune_drops_raw(spark):
+    df = spark.range(1).selectExpr("id", "1 AS f_a", "2 AS b_raw")
+    assert FM.prune_features(df, ["a", "b_raw"], ["id"]).columns == ["id", "f_a"]
+    assert FM.prune_features(df, ["b_raw"], drop_raw=False).columns == ["b_raw"]
