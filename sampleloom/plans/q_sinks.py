@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sampleloom.operators import negatives as N
+from sampleloom.operators import pooling as P
 from sampleloom.plans import bindings as bind
-from sampleloom.plans.bindings import EMB, SAMPLES, read, w
+from sampleloom.plans.bindings import EMB, ORDER_IDS, SAMPLES, read, w
 from sampleloom.plans.registry import ints, query, r6, s_ints, s_r6, s_vec, vec
 from sampleloom.sources import dump, kafka, text
 from sampleloom.sources import table_store as TS
@@ -53,6 +54,15 @@ def _(spark, d):
     return TS.table_restore(spark, path).select("table", "fid", vec("num").alias("num"), "last_update_ts")
 
 
+@query("table_bucketed_lookup", w(EMB, ORDER_IDS) + f"""
+SELECT o.row, o.seq, o.fid, {s_vec('coalesce(e.num, list_resize([]::DOUBLE[], 64, 0.0::DOUBLE))')} AS num
+FROM oids o LEFT JOIN emb e ON e.fid = o.fid""")
+def _(spark, d):
+    path = work_dir(spark, "bucketed")
+    stored = TS.save_bucketed(bind.emb(spark, d).drop("opt"), path.rsplit("/", 1)[-1].replace("-", "_"), path, 8)
+    return P.lookup(bind.order_ids(spark, d), stored, bind.DIM).withColumn("num", vec("num"))
+
+
 @query("table_restore_max_ts", w(EMB) + "SELECT max(last_update_ts) AS max_update_ts FROM emb")
 def _(spark, d):
     path = work_dir(spark, "save")

@@ -17,6 +17,8 @@ def build_session(app: str = "sampleloom", master: str | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # buckets written as one sorted file each are not sorted again before a merge join
+        "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
         # sums of many vector elements are too wide for the small first-level map
         "spark.sql.codegen.aggregate.map.twolevel.enabled": "false",
         # hash instead of sort-merge where every build partition turned out small

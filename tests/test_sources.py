@@ -151,3 +151,15 @@ def test_prune_drops_raw(spark):
     df = spark.range(1).selectExpr("id", "1 AS f_a", "2 AS b_raw")
     assert FM.prune_features(df, ["a", "b_raw"], ["id"]).columns == ["id", "f_a"]
     assert FM.prune_features(df, ["b_raw"], drop_raw=False).columns == ["b_raw"]
+
+
+def test_bucketed_table_is_not_shuffled(spark, tmp_path):
+    from sampleloom.operators.pooling import lookup
+
+    stored = TS.save_bucketed(bind.emb(spark, SF).drop("opt"), "t_bucketed", str(tmp_path / "b"), 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = lookup(bind.order_ids(spark, SF), stored, 64)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
