@@ -13,6 +13,8 @@ from sampleloom.session import settled
 HOT_ROWS = 1_000_000
 
 
+# Largest rank limit that Spark applies before the shuffle by default.
+GROUP_LIMIT = 1000
 # Rows of a just-hot key a size check wants to see; fewer are enough to tell it from a small one.
 SEEN_ROWS = 200
 
@@ -78,7 +80,10 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 def first_in_key(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[Column],
                  name: str = "position") -> DataFrame:
     """The first ``n`` rows of each key with their position. The rank limit is applied before the
-    shuffle as well, so a hot key sends at most ``n`` rows per input partition."""
+    shuffle as well, so a hot key sends at most ``n`` rows per input partition; Spark does so up to
+    :data:`GROUP_LIMIT`, and a larger ``n`` takes the skew-safe numbering."""
+    if n > GROUP_LIMIT:
+        return positions(df, keys, order, name).filter(F.col(name) <= n)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
 

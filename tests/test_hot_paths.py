@@ -168,3 +168,11 @@ def test_step_interval_chunks(spark):
     assert np.isclose(out[2]["interval"], 0.3 * 0.81) and out[2]["appearances"] == 3
     whole = {r["item"]: r["interval"] for r in B.step_interval(df, "item", "step", 0.1).collect()}
     assert all(np.isclose(whole[k], out[k]["interval"]) for k in whole)
+
+
+def test_rank_limit_goes_before_the_shuffle(skewed):
+    few = O.first_in_key(skewed, ["k"], 3, [F.col("t"), F.col("id")])
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    many = O.first_in_key(skewed, ["k"], 1200, [F.col("t"), F.col("id")])
+    assert rows(many) == rows(O.positions(skewed, ["k"], [F.col("t"), F.col("id")]).filter("position <= 1200"))
