@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,9 +83,18 @@ def group_count(nbytes: int, size: int = 16 << 20, least: int = 64) -> int:
 
 
 def grouped(df: DataFrame, key: str, n: int) -> DataFrame:
-    """Rows with a group number ``gid`` from the hash of ``key`` and moved together by it. Two uses of the
-    result in one query read the same shuffle files."""
-    return df.withColumn("gid", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).repartition(n, "gid")
+    """Rows with a group number ``gid`` from the hash of ``key``. Grouping the result by ``gid`` twice in one query
+    moves the rows once: the second use reads the same shuffle files."""
+    return df.withColumn("gid", F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+
+
+def pack(**arrays: object) -> bytes:
+    """Numpy arrays and plain values as one compressed blob."""
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+
+
+def unpack(blob: bytes) -> dict:
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("secrets", "toxicity", "quality")
+MODULES = ("secrets", "suffixes", "toxicity", "quality")
 
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
