@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("token_files", "secrets", "suffixes", "minhash", "packing", "toxicity", "quality", "ngram_lm")
+MODULES = ("ann", "token_files", "secrets", "suffixes", "minhash", "packing", "toxicity", "quality", "ngram_lm")
 
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
