@@ -61,7 +61,7 @@ def chunk_anchors(c: Chunk, length: int, gram: int) -> tuple[np.ndarray, np.ndar
     new[1:] = at[1:] != at[:-1]
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at)) - 1
-    return h[at[first]], at[first], start[first], start[last]
+    return mix(h[at[first]] + _U(1)), at[first], start[first], start[last]  # mixed again: minima crowd at small hashes
 
 
 def anchors(column: pa.ChunkedArray, length: int, gram: int) -> tuple[np.ndarray, ...]:
