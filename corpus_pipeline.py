@@ -9,9 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sampleloom.llm.frames import shared_path, table
+from sampleloom.llm.minhash import near_duplicates_stage
+from sampleloom.llm.packing import packing_stage
 from sampleloom.llm.quality import quality_stage
-
-STAGES = [("quality rules", quality_stage)]
+from sampleloom.llm.secrets import secrets_stage
+from sampleloom.llm.suffixes import suffix_stage
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("MinHash near-dedup", near_duplicates_stage),
+    ("suffix-array dedup", suffix_stage),
+    ("secret scans", secrets_stage),
+    ("packing", packing_stage),
+]
 
 #: Trained and numeric stages have no SQL form; tests/llm holds the stages against brute force.
 ORACLE_SQL = None

@@ -220,5 +220,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents that the quality rules keep."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    marked = score_quality(docs.select("*", F.struct(*docs.columns).alias("__row")), model, keep=["__row"])
-    return marked.where("kept").select("__row.*")
+    plain = docs.toDF(*[f"column_{i}" for i in range(len(docs.columns))])  # no name of a result is in the way
+    marked = score_quality(plain, model, text_col=f"column_{docs.columns.index('text')}")
+    return marked.where("kept").select(*[F.col(p).alias(c) for p, c in zip(plain.columns, docs.columns)])

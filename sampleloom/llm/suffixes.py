@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sampleloom.llm.frames import group_count, grouped, pack, schema_of, table, total_bytes, unpack
 from sampleloom.llm.registry import query
@@ -289,8 +290,8 @@ def merge_range(t: pa.Table, length: int, gram: int) -> pa.Table:
     return pa.table({"gid": pa.array(out_gid, pa.int32()), "blob": pa.array(out_blob, pa.binary())})
 
 
-def cut_out(t: pa.Table, hits: pa.Table, length: int) -> pa.Table:
-    """Rows of a group with the removed byte spans and the bytes that stay."""
+def cut_out(t: pa.Table, hits: pa.Table, length: int, extra: list[str]) -> pa.Table:
+    """Rows of a group with the removed byte spans, the bytes that stay, and their text without halves of characters."""
     t = in_order(t, "doc_id", "text")
     data, off = columns(t["text"])
     edge = np.zeros(len(data) + 1, np.int32)
@@ -317,10 +318,11 @@ def cut_out(t: pa.Table, hits: pa.Table, length: int) -> pa.Table:
     row = np.searchsorted(off, starts, "right") - 1
     cut = np.searchsorted(row, np.arange(len(off)))
     pairs = np.column_stack([starts - off[row], ends - off[row]]) if len(starts) else np.zeros((0, 2), np.int64)
-    return pa.table({
-        "doc_id": t["doc_id"], "text": t["text"], "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-        "spans": pa.array([pairs[i:j].tolist() for i, j in zip(cut, cut[1:])], pa.list_(pa.list_(pa.int64()))),
-        "kept": pa.array([raw[i:j] for i, j in zip(kept_off, kept_off[1:])], pa.binary())})
+    kept = [raw[i:j] for i, j in zip(kept_off, kept_off[1:])]
+    made = {"text": pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()),
+            "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+            "spans": pa.array([pairs[i:j].tolist() for i, j in zip(cut, cut[1:])], pa.list_(pa.list_(pa.int64()))), "kept": pa.array(kept, pa.binary())}
+    return pa.table({c: made.get(c, t[c] if c in t.column_names else None) for c in ["doc_id", *extra, *made]})
 
 
 def split_points(docs: DataFrame, parts: int, length: int, gram: int) -> list[bytes]:
@@ -341,14 +343,17 @@ def split_points(docs: DataFrame, parts: int, length: int, gram: int) -> list[by
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   groups: int | None = None) -> DataFrame:
-    """``doc_id, text, n_bytes, n_removed, spans, kept``: each text as bytes without those covered by a string of ``length``
-    bytes that also starts earlier (smaller id, or the same document further left), judged on the input.
+                   groups: int | None = None, keep: list[str] | None = None) -> DataFrame:
+    """``doc_id``, the columns ``keep`` as ``keep_0, keep_1, ...``, and ``text, n_bytes, n_removed, spans, kept``: each text as
+    bytes without those covered by a string of ``length`` bytes that also starts earlier (smaller id, or the same document
+    further left), judged on the input; ``text`` is ``kept`` without halves of cut characters.
 
     ``spans`` are the maximal removed (start, end) runs. A null text is an empty one; shorter texts lose nothing. A null id
     comes before all others; rows with one id are ordered by text. Other columns are not read.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    extra = [f"keep_{i}" for i in range(len(keep or []))]
+    d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                    *[F.col(f"`{c}`").alias(k) for c, k in zip(keep or [], extra)])
     n = groups or group_count(total_bytes(d, "text"))
     splitters = split_points(d, n, length, gram)
     d = grouped(d, "doc_id", n)
@@ -362,9 +367,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = d.groupBy("gid").cogroup(replies.groupBy("gid")).applyInArrow(
         lambda a, b: runs(a, b, splitters, length, gram) if len(a) else _no_runs(), schema_of("part int, gid int, kind int, blob binary"))
     hits = sent.groupBy("part").applyInArrow(lambda t: merge_range(t, length, gram), schema_of("gid int, blob binary"))
-    return d.groupBy("gid").cogroup(hits.groupBy("gid")).applyInArrow(
-        lambda a, b: cut_out(a, b, length), schema_of(f"doc_id {d.schema['doc_id'].dataType.simpleString()}, text string, n_bytes long, "
-                                                      "n_removed long, spans array<array<long>>, kept binary"))
+    out = T.StructType([d.schema[c] for c in ("doc_id", *extra)] +
+                       list(schema_of("text string, n_bytes long, n_removed long, spans array<array<long>>, kept binary")))
+    return d.groupBy("gid").cogroup(hits.groupBy("gid")).applyInArrow(lambda a, b: cut_out(a, b, length, extra), out)
 
 
 def _no_runs() -> pa.Table:
@@ -376,3 +381,12 @@ def _no_runs() -> pa.Table:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: all documents, without passages of 100 bytes and more that also stand earlier."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    done = remove_repeats(docs, keep=rest)
+    named = {c: F.col(f"keep_{i}").alias(c) for i, c in enumerate(rest)}
+    named["n_chars"] = F.length("text").cast("long").alias("n_chars")
+    return done.select(*[named.get(c, F.col(c)) for c in docs.columns])
