@@ -52,7 +52,7 @@ class EliasFano:
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> "EliasFano":
         n = len(values)
-        width = max(0, (universe // max(1, n)).bit_length() - 1)
+        width = min(56, max(0, (universe // max(1, n)).bit_length() - 1))  # at most: a value lies in eight bytes
         values = values.astype(_U)
         low = values & _U((1 << width) - 1)
         bits = np.zeros((n, width), np.uint8)
@@ -71,10 +71,7 @@ class EliasFano:
             return np.zeros(len(i), _U)
         at = i * self.width
         window = np.ndarray((len(self.low) - 7,), "<u8", self.low, strides=(1,))
-        got = window[at >> 3] >> (at & 7).astype(_U)
-        if self.width > 56:  # the value may reach into a ninth byte
-            got |= self.low[np.minimum((at >> 3) + 8, len(self.low) - 1)].astype(_U) << (_U(64) - (at & 7).astype(_U)) * ((at & 7) > 0)
-        return got & _U((1 << self.width) - 1)
+        return (window[at >> 3] >> (at & 7).astype(_U)) & _U((1 << self.width) - 1)
 
     def before_zero(self, k: np.ndarray) -> np.ndarray:
         """How many values have an upper part of ``k`` or less: the ones before the k-th zero (from 0)."""
