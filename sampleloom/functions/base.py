@@ -43,3 +43,8 @@ def u01(key: ColumnLike, salt: str | Column) -> Column:
 def u32(text: Column) -> Column:
     """First 32 bits of the md5 of a text, as BIGINT."""
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
+def tail(v: Column, n: int) -> Column:
+    """Array without its first ``n`` elements, however long it is."""
+    return F.slice(v, n + 1, F.greatest(F.size(v) - n, F.lit(0)))

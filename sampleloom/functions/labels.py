@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sampleloom.functions.base import (INVALID_LABEL, POSITIVE_LABEL, ColumnLike, col_of, lit_array,
-                                       lit_map, u01)
+                                       lit_map, tail, u01)
 from sampleloom.functions.predicates import any_action, compare
 
 
@@ -65,7 +65,7 @@ def add_label(key: ColumnLike, label: ColumnLike, actions: ColumnLike, config: s
     """Append one label per task; a first label at or below 0 turns invalid."""
     v = col_of(label)
     first = F.get(v, F.lit(0))
-    fixed = F.when(first <= 0, F.concat(F.array(invalid()), F.slice(v, 2, 1 << 20))).otherwise(v)
+    fixed = F.when(first <= 0, F.concat(F.array(invalid()), tail(v, 1))).otherwise(v)
     extra = []
     for i, t in enumerate(parse_tasks(config)):
         sampled = F.lit(True) if t.rate == 1.0 else u01(key, f"label{i}") < t.rate
@@ -132,7 +132,7 @@ def label_upper_bound(label: ColumnLike, bounds: Sequence[float]) -> Column:
     v, n = col_of(label), len(bounds)
     clipped = F.zip_with(F.slice(v, 1, n), lit_array([float(b) for b in bounds], "double"),
                          lambda x, b: F.least(x, b))
-    return F.when(F.size(v) < n, v).otherwise(F.concat(clipped, F.slice(v, n + 1, 1 << 20)))
+    return F.when(F.size(v) < n, v).otherwise(F.concat(clipped, tail(v, n)))
 
 
 def normalize_label(label: ColumnLike, methods: Sequence[tuple[str, float]]) -> Column:

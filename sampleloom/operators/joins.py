@@ -10,8 +10,6 @@ from sampleloom.operators.ordering import sampling
 # Keys heavier than this go the broadcast way; at most MAX_HOT of them, the rest is shuffled.
 HOT_ROWS = 1_000_000
 MAX_HOT = 1_000
-# Upper limit for broadcasting a side whose rows were counted first.
-BROADCAST_ROWS = 100_000
 
 
 def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> list:
@@ -31,14 +29,15 @@ def _literal(value, dtype: str) -> Column:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
-                hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
+                hot_rows: int | None = None, largest: int | None = None) -> DataFrame:
     """Join many rows to a table that holds each ``key`` once.
 
-    Heavy keys of ``left`` (few by construction) meet a broadcast of just their rows of ``right``;
-    all other keys take the shuffle, where adaptive execution may still pick a broadcast by
-    measured size. ``largest`` is a known upper bound of the rows per key; a low one saves the count.
+    By default no job runs here: adaptive execution splits the skewed partitions of ``left`` and picks a broadcast by
+    measured size. With ``hot_rows`` the heavy keys of ``left`` are looked up first (a job over its key column); they
+    (few by construction) meet a broadcast of just their rows of ``right``, all others take the shuffle. ``largest`` is
+    a known upper bound of the rows per key; a low one saves the count.
     """
-    if left.isStreaming or (largest is not None and largest <= hot_rows):
+    if left.isStreaming or hot_rows is None or (largest is not None and largest <= hot_rows):
         return left.join(right, key, how)
     hot = heavy_keys(left, key, hot_rows)
     if not hot:
@@ -49,11 +48,6 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     return cold.unionByName(warm)
 
 
-def small_or_none(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, else None."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else None
-
-
 def context_join(rows: DataFrame, context: DataFrame, key: str) -> DataFrame:
     """Attach shared per-request features to the rows of the request."""
     return lookup_join(rows, context, key)
@@ -68,7 +62,6 @@ def semi_file(df: DataFrame, values: DataFrame, column: str, op: str) -> DataFra
         raise ValueError(f"operand type {dtype} differs from {column}: {dict(df.dtypes)[column]}")
     ops = values.select(F.col(name).alias(column)).filter(F.col(column).isNotNull()).distinct()
     how = "left_semi" if op == "in" else "left_anti"
-    small = None if df.isStreaming else small_or_none(ops)
-    return lookup_join(df, ops, column, how) if small is None else df.join(small, column, how)
+    return lookup_join(df, ops, column, how)  # Spark broadcasts the operands if their measured bytes are few
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sampleloom.functions import fid as fids
 from sampleloom.functions import labels as L
-from sampleloom.functions.base import ColumnLike, col_of, lit_array, lit_map, u01
+from sampleloom.functions.base import ColumnLike, col_of, lit_array, lit_map, tail, u01
 from sampleloom.functions.vectors import fixed_width
 
 # Fixed value: marker of a missing float of shape 1 (smallest normal FLOAT).
@@ -195,7 +195,7 @@ def special_strategy(df: DataFrame, strategies: Sequence[int], rates: dict[int,
     if not labels:
         return out
     new = lit_map(labels, "int", "double")[first]
-    changed = F.concat(F.array(new), F.slice("label", 2, 1 << 20))
+    changed = F.concat(F.array(new), tail(F.col("label"), 1))
     return out.withColumn("label", F.when(new.isNotNull(), changed).otherwise(F.col("label")))
 
 
@@ -217,7 +217,7 @@ def instance_reweight(df: DataFrame, priority: Sequence[int], table: dict[int, t
                       additive: bool = False) -> DataFrame:
     """Replicate each row by its weight and relabel it; rows with no copies disappear."""
     r = L.reweight("actions", "pre_actions", F.get("label", F.lit(0)), priority, table, additive)
-    changed = F.concat(F.array(F.col("_r.label")), F.slice("label", 2, 1 << 20))
+    changed = F.concat(F.array(F.col("_r.label")), tail(F.col("label"), 1))
     rows = df.withColumn("_r", r).filter("_r.copies > 0").withColumn("label", changed)
     return rows.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_r.copies"))).alias("copy_no"))
 

@@ -48,10 +48,8 @@ def concat_initial(parts: Sequence[Column]) -> Column:
 # ---------------------------------------------------------------- upserts
 
 def _latest(updates: DataFrame, seq: str | None, ts: str) -> DataFrame:
-    if seq is None:
-        return updates.select(*KEY, V.doubles("num").alias("_new"), F.col(ts).alias("_ts"))
-    return updates.groupBy(*KEY).agg(F.max_by(V.doubles("num"), seq).alias("_new"),
-                                     F.max(ts).alias("_ts"))
+    order = F.col(seq) if seq is not None else F.struct(ts, V.doubles("num"))
+    return updates.groupBy(*KEY).agg(F.max_by(V.doubles("num"), order).alias("_new"), F.max(ts).alias("_ts"))
 
 
 def _joined(table: DataFrame, changes: DataFrame) -> DataFrame:
@@ -60,7 +58,8 @@ def _joined(table: DataFrame, changes: DataFrame) -> DataFrame:
 
 def assign(table: DataFrame, updates: DataFrame, seq: str | None = None, ts: str = "ts",
            skip_zero: bool = False) -> DataFrame:
-    """Set vectors; the last write of an id wins. With ``skip_zero`` an all-zero vector deletes."""
+    """Set vectors; the last write of an id wins: the one with the largest ``seq`` or, without it, with the latest time
+    (at equal times the larger vector), so an id never gets two rows. With ``skip_zero`` an all-zero vector deletes."""
     j = _joined(table, _latest(updates, seq, ts))
     out = j.select(*KEY, F.coalesce("_new", "num").alias("num"), "opt",
                    F.coalesce("_ts", "last_update_ts").alias("last_update_ts"), "_new")
@@ -215,11 +214,12 @@ def expired(fid: ColumnLike, last_ts: ColumnLike, max_ts: Column, expire_days: d
 
 def evict(tables: DataFrame, expire_days: dict[int, int], default_days: int = DEFAULT_EXPIRE_DAYS,
           keep_expired: bool = False) -> DataFrame:
-    """Table without the entries that expired against its newest update time (a scalar subquery);
-    or only those entries."""
-    newest = tables.agg(F.max("last_update_ts")).scalar()
-    dead = expired("fid", "last_update_ts", newest, expire_days, default_days)
-    return tables.filter(dead if keep_expired else ~dead)
+    """Tables without the entries that expired against the newest update time of their own table; or only
+    those entries. An absent time counts as 0, so each entry is on one of the two sides."""
+    newest = tables.groupBy(F.col("table").alias("_t")).agg(F.coalesce(F.max("last_update_ts"), F.lit(0)).alias("_newest"))
+    dead = expired("fid", F.coalesce("last_update_ts", F.lit(0)), F.col("_newest"), expire_days, default_days)
+    both = tables.join(newest, F.col("table").eqNullSafe(F.col("_t")))  # one row per table: small, as Spark measures
+    return both.filter(dead if keep_expired else ~dead).select(*tables.columns)
 
 
 def delta_since(tables: DataFrame, touched: DataFrame, chunk: int, buckets: int = 64,

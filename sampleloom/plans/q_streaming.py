@@ -23,6 +23,10 @@ from sampleloom.streaming import state as ST
 from sampleloom.streaming import updates as UP
 
 
+#: State partitions of the stateful queries here: two for each of eight cores.
+STATE_PARTS = 16
+
+
 def _events(spark, d):
     return S.file_stream(spark, d, read(spark, d, "events").schema, "events.parquet")
 
@@ -76,7 +80,14 @@ def _(spark, d):
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
 
-    S.run_available(_events(spark, d).select("event_id"), f"{base}/ckpt", S.with_min_rows(10, write))
+    # two files of the same events, one of them short: its rows wait for the other file's, or for the end
+    ev = read(spark, d, "events").select("event_id")
+    ev.orderBy("event_id").limit(5).coalesce(1).write.parquet(f"{base}/in")
+    short = spark.read.parquet(f"{base}/in")
+    ev.join(short, "event_id", "left_anti").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    guard = S.MinRows(spark, 10, write, f"{base}/held")
+    q = S.run_available(S.file_stream(spark, f"{base}/in", ev.schema, files_per_trigger=1), f"{base}/ckpt", guard)
+    guard.flush(q.lastProgress["batchId"] if q.lastProgress else -1)
     return spark.read.parquet(f"{base}/out").select("event_id")
 
 
@@ -95,7 +106,7 @@ def _gradients(batch, table):
 def _(spark, d):
     seg = [E.Segment(DIM, "adagrad", (("learning_rate", 0.05),))]
     store = _seed(spark, "update", E.with_empty_state(bind.emb(spark, d), seg))
-    _run(spark, "update-run", _samples(spark, d), UP.update_writer(store, _gradients, seg))
+    _run(spark, "update-run", _samples(spark, d), UP.update_writer(store, _gradients, seg, ids=_ids))
     return _show(store.current())
 
 
@@ -131,11 +142,9 @@ def _(spark, d):
 @query("stream_counters", w(SAMPLES) + f'SELECT count(*) AS "rows", {s_r6("sum(label[1])")} AS positives FROM samples')
 def _(spark, d):
     base = S.work_dir(spark, "counters")
-    seen = S.observed(_samples(spark, d), "samples", {"positives": F.sum(F.get("label", F.lit(0)))})
-    q = S.run_available(seen.select("sample_id"), f"{base}/ckpt", path=f"{base}/out")
-    rows = [(int(o["rows"]), float(o["positives"] or 0.0)) for p in S.throughput(q) for o in p["observed"].values()]
-    out = spark.createDataFrame(rows, "rows bigint, positives double")
-    return out.agg(F.sum("rows").alias("rows"), r6(F.sum("positives")).alias("positives"))
+    counters = S.counting({"positives": F.sum(F.get("label", F.lit(0)))}, f"{base}/counters")
+    S.run_available(_samples(spark, d), f"{base}/ckpt", counters)
+    return spark.read.parquet(f"{base}/counters").agg(F.sum("rows").alias("rows"), r6(F.sum("positives")).alias("positives"))
 
 
 @query("stream_negative_gen", w(SAMPLES, _pool("chnid + 1", 8).replace("least(n, 8)", "least(n, 1000)")) + f"""
@@ -146,7 +155,7 @@ def _(spark, d):
     rows = s.select("sample_id", "req_time", "item_id", pos.alias("positive"), pos.alias("cached"),
                     F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("payload"), "chan")
     drawn = ST.stream_negatives(rows, CFG.neg_num, CFG.start_num, 1000, "chan")
-    with ST.state_settings(spark):
+    with ST.state_settings(spark, STATE_PARTS):
         out = spark.read.parquet(_run(spark, "negatives", drawn))
     return out.withColumns({"freq": r6("freq"), "time_factor": r6("time_factor")})
 
@@ -159,7 +168,7 @@ FROM (SELECT sample_id, req_time, f_item[1] AS fid FROM samples)"""
 @query("stream_admission", w(SAMPLES) + _ADMITTED)
 def _(spark, d):
     rows = _samples(spark, d).select("sample_id", "req_time", F.get("f_item", F.lit(0)).alias("fid"))
-    with ST.state_settings(spark):
+    with ST.state_settings(spark, STATE_PARTS):
         return spark.read.parquet(_run(spark, "admission", ST.stream_admission(rows, slot_threshold({200: 20}))))
 
 
@@ -183,6 +192,6 @@ def _(spark, d):
     def write(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{base}/out")
 
-    with ST.state_settings(spark):
+    with ST.state_settings(spark, STATE_PARTS):
         S.run_available(counts, f"{base}/ckpt", write, mode="complete")
     return spark.read.parquet(f"{base}/out")

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 def source_options(servers: Sequence[str], topics: Sequence[str], group_id: str | None = None,
                    max_per_trigger: int | None = None, starting: str = "latest",
-                   **kafka: str) -> dict[str, str]:
-    """Options of the Kafka source; extra settings are passed on as ``kafka.*``."""
+                   fail_on_data_loss: bool = True, **kafka: str) -> dict[str, str]:
+    """Options of the Kafka source; extra settings are passed on as ``kafka.*``. A stream whose messages
+    are gone before they were read fails, unless the caller accepts that loss."""
     if not servers or not topics:
         raise ValueError("servers and topics are needed")
     opts = {"kafka.bootstrap.servers": ",".join(servers), "subscribe": ",".join(topics),
-            "startingOffsets": starting, "failOnDataLoss": "false"}
+            "startingOffsets": starting, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if group_id:
         opts["kafka.group.id"] = group_id
     if max_per_trigger:

@@ -1,15 +1,16 @@
 """Versioned embedding tables on a plain file system, and one-off saves.
 
-A version is an ordinary Parquet folder. A one-line pointer file names the current version and the
-micro-batch that made it, so a batch that is run again after a failure changes nothing.
+A version is a small pointer file that names a Parquet folder for each bucket of ids and the micro-batch that made it, so
+a batch that is run again after a failure changes nothing and a batch of few ids reads and writes their buckets only.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampleloom.operators.tables import DEFAULT_EXPIRE_DAYS, evict
@@ -47,33 +48,107 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(aside, p)
 
 
+class Conflict(RuntimeError):
+    """Two writers made the same version; the later one has to start again from the current state."""
+
+
 class TableStore:
-    """Versions ``v0, v1, …`` of one table under a folder every executor can reach."""
+    """Versions of one table under a folder that every executor can reach, in ``buckets`` by the hash of ``key``.
+
+    Version n is the file ``pointer/n``: for each bucket the folder that holds it, and the micro-batch that made it. A
+    commit of some buckets writes those alone and carries the others over. The pointer file is renamed into place
+    only where none is, so of two writers one fails with :class:`Conflict`. Folders that the last ``keep`` versions do not name are removed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8, key: str = "fid", keep: int = 3) -> None:
+        self.spark, self.path, self.buckets, self.key, self.keep = spark, path.rstrip("/"), buckets, key, keep
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
+    def _versions(self) -> list[int]:
+        fs, p = _fs(self.spark, f"{self.path}/pointer")
+        if not fs.exists(p):
+            return []
+        return sorted(int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit())
+
+    def _state(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.path}/pointer/{version}"))
+
+    def _latest(self) -> dict:
+        v = self._versions()
+        return self._state(v[-1]) if v else {"version": -1, "batch": -1, "schema": None, "buckets": {}}
 
     def pointer(self) -> dict:
-        text = read_text(self.spark, f"{self.path}/pointer.json") or read_text(self.spark, f"{self.path}/pointer.json.new")
-        return json.loads(text) if text else {"version": -1, "batch": -1}
+        s = self._latest()
+        return {"version": s["version"], "batch": s["batch"]}
 
-    def current(self) -> DataFrame:
-        v = self.pointer()["version"]
-        if v < 0:
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def touched(self, ids: DataFrame) -> list[int]:
+        """Buckets of a column ``key``: at most ``buckets`` numbers."""
+        return sorted(r[0] for r in ids.select(self.bucket().alias("b")).distinct().collect())
+
+    def _read(self, state: dict, wanted: list[int] | None) -> DataFrame:
+        if state["version"] < 0:
             raise FileNotFoundError(f"no table version under {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v{v}")
+        folders = [d for b, d in sorted(state["buckets"].items(), key=lambda x: int(x[0])) if wanted is None or int(b) in wanted]
+        reader = self.spark.read.schema(state["schema"])
+        return reader.parquet(*[f"{self.path}/{d}" for d in folders]) if folders else self.spark.createDataFrame([], state["schema"])
+
+    def current(self) -> DataFrame:
+        return self._read(self._latest(), None)
 
-    def commit(self, df: DataFrame, batch: int | None = None) -> bool:
-        """Write ``df`` as the next version. False if ``batch`` was committed before."""
-        p = self.pointer()
-        if batch is not None and batch <= p["batch"]:
+    def part(self, buckets: list[int]) -> DataFrame:
+        """The rows of some buckets; no other file is read."""
+        return self._read(self._latest(), list(buckets))
+
+    def commit(self, df: DataFrame, batch: int | None = None, buckets: list[int] | None = None) -> bool:
+        """Write ``df`` as the next version, or as the content of ``buckets`` in it. False if ``batch`` was committed before.
+
+        Rows of other buckets than the named ones are refused: the write fails."""
+        old = self._latest()
+        if batch is not None and batch <= old["batch"]:
             return False
-        v = p["version"] + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        write_text(self.spark, f"{self.path}/pointer.json",
-                   json.dumps({"version": v, "batch": p["batch"] if batch is None else batch}))
+        v = old["version"] + 1
+        folder = f"data/v{v}-{uuid.uuid4().hex[:8]}"
+        place = self.bucket()
+        if buckets is not None:
+            named = F.array(*[F.lit(int(b)) for b in buckets]).cast("array<int>")
+            place = F.when(F.array_contains(named, place), place).otherwise(F.raise_error(F.lit("a row of a bucket that is not committed")).cast("int"))
+        rows = df.withColumn("_bucket", place)
+        rows.repartition(self.buckets, "_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
+        fs, p = _fs(self.spark, f"{self.path}/{folder}")
+        made = {f.getPath().getName().split("=")[1]: f"{folder}/{f.getPath().getName()}" for f in fs.listStatus(p) if f.isDirectory()
+                and f.getPath().getName().startswith("_bucket=")}
+        kept = {} if buckets is None else {b: d for b, d in old["buckets"].items() if int(b) not in buckets}
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        self._publish({"version": v, "batch": old["batch"] if batch is None else batch, "schema": schema, "buckets": kept | made})
         return True
 
+    def _publish(self, state: dict) -> None:
+        jvm, target = self.spark.sparkContext._jvm, f"{self.path}/pointer/{state['version']}"
+        aside = f"{self.path}/pointer/new-{uuid.uuid4().hex}"
+        write_text(self.spark, aside, json.dumps(state))
+        path = jvm.org.apache.hadoop.fs.Path
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(target).toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        keep_old = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            files.rename(path(aside), path(target), keep_old)  # fails where the version is there already
+        except Exception as e:
+            raise Conflict(f"version {state['version']} of {self.path} is made by another writer") from e
+        self._clean()
+
+    def _clean(self) -> None:
+        """Remove what the last ``keep`` versions do not name."""
+        versions = self._versions()
+        live = {d.split("/_bucket=")[0] for v in versions[-self.keep:] for d in self._state(v)["buckets"].values()}
+        old = versions[:-self.keep]
+        for v in old:
+            for d in {x.split("/_bucket=")[0] for x in self._state(v)["buckets"].values()} - live:
+                fs, p = _fs(self.spark, f"{self.path}/{d}")
+                fs.delete(p, True)
+            fs, p = _fs(self.spark, f"{self.path}/pointer/{v}")
+            fs.delete(p, False)
+
 
 def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     return max(1, -(-rows // rows_per_bucket))

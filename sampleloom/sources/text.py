@@ -13,9 +13,18 @@ CSV_SCHEMA = "mov BIGINT, uid BIGINT, label FLOAT"
 
 
 def csv_samples(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Lines ``mov,uid,label``; broken lines are dropped."""
+    """Lines ``mov,uid,label``; a broken line fails the read. See :func:`csv_lines` for files that hold some."""
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(CSV_SCHEMA).option("mode", "DROPMALFORMED").csv(path)
+    return reader.schema(CSV_SCHEMA).option("mode", "FAILFAST").csv(path)
+
+
+def csv_lines(spark: SparkSession, path: str, streaming: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of the good lines, and the broken lines (``line``) for a quarantine: each line is in one of the two."""
+    reader = spark.readStream if streaming else spark.read
+    lines = reader.text(path)
+    parsed = lines.select("value", F.from_csv("value", f"{CSV_SCHEMA}, _broken STRING", {"columnNameOfCorruptRecord": "_broken"}).alias("r"))
+    good = parsed.filter("r._broken is null and length(trim(value)) > 0")
+    return good.select("r.mov", "r.uid", "r.label"), parsed.filter("r._broken is not null").select(F.col("value").alias("line"))
 
 
 def hashed_id(text: ColumnLike, portable: bool = False) -> Column:

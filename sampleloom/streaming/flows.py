@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sampleloom.operators.samples import route_flow
 from sampleloom.session import checkpoint_dir
+from sampleloom.sources.table_store import exists, read_text, write_text
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -42,28 +43,56 @@ def run_available(df: DataFrame, checkpoint: str, each_batch: BatchFn | None = N
 
 
 def stop_when_idle(query: StreamingQuery, stream_timeout: float, poll: float = 1.0) -> int:
-    """Stop a query after ``stream_timeout / poll`` looks in a row without new input; data resets the
-    count. A negative timeout never stops. Returns the number of looks."""
+    """Stop a query after ``stream_timeout / poll`` looks in a row without new input. A running trigger, input that
+    waits and a finished batch with rows reset the count, so no batch is cut off. A negative timeout never stops.
+    Returns the number of looks."""
     limit = max(1, round(stream_timeout / poll)) if stream_timeout >= 0 else None
     idle, looks, last = 0, 0, None
     while query.isActive:
         time.sleep(poll)
         looks += 1
-        p = query.lastProgress
+        status, p = query.status, query.lastProgress
         moved = p is not None and p["numInputRows"] > 0 and p["batchId"] != last
         last = p["batchId"] if p is not None else last
-        idle = 0 if moved else idle + 1
+        # a trigger that looks for input in vain is active as well, but that is no batch
+        busy = status["isTriggerActive"] and not status["message"].startswith("Getting offsets")
+        idle = 0 if moved or busy or status["isDataAvailable"] else idle + 1
         if limit is not None and idle >= limit:
             query.stop()
     return looks
 
 
-def with_min_rows(rows: int, fn: BatchFn) -> BatchFn:
-    """Skip micro-batches with fewer than ``rows`` rows."""
-    def guarded(batch: DataFrame, batch_id: int) -> None:
-        if batch.limit(rows).count() >= rows:
-            fn(batch, batch_id)
-    return guarded
+class MinRows:
+    """Batch function that waits for at least ``rows`` rows: a short micro-batch is put aside under ``path`` and handed
+    over together with the next one that makes the number full. ``flush`` hands over what is left at the end.
+
+    ``done`` records the last batch handed over; a batch that is run again gives the same call again."""
+
+    def __init__(self, spark: SparkSession, rows: int, fn: BatchFn, path: str) -> None:
+        self.spark, self.rows, self.fn, self.path = spark, rows, fn, path.rstrip("/")
+
+    def _waiting(self, before: int) -> list[str]:
+        done = int(read_text(self.spark, f"{self.path}/done") or -1)
+        return [f"{self.path}/batch={i}" for i in range(done + 1, before) if exists(self.spark, f"{self.path}/batch={i}/_SUCCESS")]
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        held = self._waiting(batch_id)
+        full = batch.unionByName(self.spark.read.schema(batch.schema).parquet(*held)) if held else batch
+        if full.limit(self.rows).count() >= self.rows:
+            self._hand_over(full, batch_id)
+        else:
+            batch.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def _hand_over(self, rows: DataFrame, batch_id: int) -> None:
+        self.fn(rows, batch_id)
+        write_text(self.spark, f"{self.path}/done", str(batch_id))
+
+    def flush(self, last_batch: int) -> bool:
+        """Hands over short batches up to ``last_batch`` that still wait; False if there are none."""
+        held = self._waiting(last_batch + 1)
+        if held:
+            self._hand_over(self.spark.read.parquet(*held), last_batch)
+        return bool(held)
 
 
 def flow_writer(flows: Sequence[str], path: str, key: str = "data_source_key") -> BatchFn:
@@ -79,8 +108,22 @@ def observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> DataFrame:
     return df.observe(name, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
 
 
+def counting(metrics: dict[str, Column], path: str, fn: BatchFn | None = None) -> BatchFn:
+    """Batch function that writes the counters of each micro-batch to ``path`` (``batch, millis, rows`` and ``metrics``), then
+    calls ``fn``. A repeated batch replaces its own counters, so sums over ``path`` are right after any number of batches."""
+    def count(batch: DataFrame, batch_id: int) -> None:
+        began = time.time()
+        if fn is not None:
+            fn(batch, batch_id)
+        sums = batch.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+        sums.select(F.lit(batch_id).alias("batch_no"), F.lit(int(1000 * (time.time() - began))).alias("millis"), "*").coalesce(1).write.mode(
+            "overwrite").parquet(f"{path}/batch={batch_id}")
+    return count
+
+
 def throughput(query: StreamingQuery) -> list[dict]:
-    """Per finished batch: number, rows, rows per second, duration, and observed metrics."""
+    """Number, rows, rows per second, duration and observed metrics of the batches that Spark still remembers (the last
+    hundred by default): a look at a running query. Use :func:`counting` for totals."""
     out = []
     for p in query.recentProgress:
         out.append({"batch": p["batchId"], "rows": p["numInputRows"],

@@ -21,10 +21,11 @@ STATE_CONF = {
 
 
 @contextmanager
-def state_settings(spark: SparkSession):
-    """The state store settings for the time of one run; no more state partitions than two per
-    core, as each is a store of its own."""
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+def state_settings(spark: SparkSession, partitions: int | None = None):
+    """The state store settings for the time of one run. ``partitions`` is the number of state partitions, each a store of
+    its own; it stays fixed in the query's checkpoint, so choose it for the life of the query (default: the session's
+    shuffle partitions)."""
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = {**STATE_CONF, "spark.sql.shuffle.partitions": str(parts)}
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():

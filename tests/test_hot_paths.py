@@ -60,9 +60,18 @@ def test_lookup_join_hot_keys(spark, skewed, how):
     assert J.heavy_keys(skewed, "k", 300)[0] == 7
 
 
-def test_small_side_is_counted(spark):
-    assert J.small_or_none(spark.range(100), 100) is not None
-    assert J.small_or_none(spark.range(101), 100) is None
+def test_joins_are_built_without_jobs(spark):
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    sc.setJobGroup("build", "building a chain of joins")
+    try:
+        left, right = spark.range(1000).withColumn("k", F.col("id") % 3), spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        out = J.lookup_join(left, right, "k")
+        out = J.context_join(out, right.withColumnRenamed("v", "w"), "k")
+        out = J.semi_file(out, right.select("k"), "k", "in")
+        assert tracker.getJobIdsForGroup("build") == []
+        assert out.count() == 1000 and len(tracker.getJobIdsForGroup("build")) > 0
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_count_window_hot(skewed):

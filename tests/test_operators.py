@@ -262,3 +262,27 @@ def test_negative_config_checks():
     for bad in (dict(label_index=-1), dict(positive_actions=(1,), cache_negative_actions=(1,)), dict(action_priority=(1, 1))):
         with pytest.raises(ValueError):
             N.NegativeConfig(1, **bad)
+
+
+def test_expiry_is_per_table_and_keeps_every_row(spark):
+    day = 86400
+    rows = [("a", 1, 100 * day), ("a", 2, 95 * day), ("a", 3, None), ("b", 4, 10 * day), ("b", 5, 1 * day), (None, 6, None)]
+    df = spark.createDataFrame(rows, "table string, fid bigint, last_update_ts bigint")
+    live = {r.fid for r in E.evict(df, {}, 7).collect()}
+    dead = {r.fid for r in E.evict(df, {}, 7, keep_expired=True).collect()}
+    assert live == {1, 2, 4, 6} and dead == {3, 5}
+
+
+def test_assign_gives_one_row_per_id(spark):
+    table = spark.createDataFrame([("t", 1, [0.0], None, 1)], "table string, fid bigint, num array<double>, opt int, last_update_ts bigint")
+    up = spark.createDataFrame([("t", 1, [1.0], 5), ("t", 1, [2.0], 7), ("t", 2, [3.0], 5), ("t", 2, [4.0], 5)], "table string, fid bigint, num array<double>, ts bigint")
+    assert sorted((r.fid, r.num, r.last_update_ts) for r in E.assign(table, up).collect()) == [(1, [2.0], 7), (2, [4.0], 5)]
+
+
+def test_labels_beyond_a_million_stay(spark):
+    from sampleloom.functions import labels as L
+
+    n = (1 << 20) + 5
+    df = spark.range(1).select(F.array_repeat(F.lit(1.0), n).alias("label"), F.array(F.lit(4)).alias("actions"), F.lit(1).alias("sample_id"))
+    got = df.select(F.size(L.label_upper_bound("label", [0.5])).alias("a"), F.size(L.add_label("sample_id", "label", "actions", "4::1.0")).alias("b")).first()
+    assert tuple(got) == (n, n + 1)

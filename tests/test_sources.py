@@ -73,9 +73,13 @@ def test_reserved_names(spark, tmp_path):
     assert PQ.scan_parquet(spark, str(tmp_path / "r"), ["__LABEL__", "__REQ_TIME__"], ["float", "int"]).columns == ["label", "req_time"]
 
 
-def test_csv_drops_broken_lines(spark, tmp_path):
+def test_csv_keeps_broken_lines_apart(spark, tmp_path):
     (tmp_path / "a.csv").write_text("1,2,3.5\nx,y,z\n4,5,1\n")
-    assert [tuple(r) for r in text.csv_samples(spark, str(tmp_path / "a.csv")).orderBy("mov").collect()] == [(1, 2, 3.5), (4, 5, 1.0)]
+    good, broken = text.csv_lines(spark, str(tmp_path / "a.csv"))
+    assert [tuple(r) for r in good.orderBy("mov").collect()] == [(1, 2, 3.5), (4, 5, 1.0)]
+    assert [r.line for r in broken.collect()] == ["x,y,z"]
+    with pytest.raises(Exception):
+        text.csv_samples(spark, str(tmp_path / "a.csv")).collect()
     assert text.csv_samples(spark, str(tmp_path), streaming=True).isStreaming
 
 
@@ -107,7 +111,7 @@ def test_table_save_skips_expired_and_restore_checks(spark, tmp_path):
 
 
 def test_store_versions(spark, tmp_path):
-    st = TS.TableStore(spark, str(tmp_path / "v"))
+    st = TS.TableStore(spark, str(tmp_path / "v"), key="id")
     with pytest.raises(FileNotFoundError):
         st.current()
     assert st.commit(spark.range(1)) and st.commit(spark.range(2), 0) and not st.commit(spark.range(3), 0)

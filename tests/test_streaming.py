@@ -126,12 +126,90 @@ def test_flow_writer_is_repeatable(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "f")).count() == bind.samples(spark, SF).filter("device_type = 'pc'").count()
 
 
-def test_min_rows_guard(spark):
+def test_short_batches_wait_and_are_not_lost(spark, tmp_path):
     calls = []
-    fn = S.with_min_rows(5, lambda b, i: calls.append(i))
-    fn(spark.range(4), 0)
-    fn(spark.range(5), 1)
-    assert calls == [1]
+
+    def make():
+        return S.MinRows(spark, 5, lambda b, i: calls.append((i, sorted(r[0] for r in b.collect()))), str(tmp_path / "held"))
+
+    guard = make()
+    guard(spark.range(3), 0)
+    guard(spark.range(3, 4), 1)
+    assert calls == []
+    guard = make()  # after a restart
+    guard(spark.range(4, 6), 2)
+    guard(spark.range(4, 6), 2)  # a batch that is run again is a short one by now, and waits
+    assert calls == [(2, list(range(6)))]
+    guard(spark.range(6, 8), 3)
+    assert guard.flush(3) and not guard.flush(3) and calls[1:] == [(3, [6, 7])]
+
+
+def test_counters_over_many_batches(spark, tmp_path):
+    fn = S.counting({"top": F.max("id")}, str(tmp_path / "c"))
+    for i in range(3):
+        fn(spark.range(10 * i), i)
+    fn(spark.range(20), 2)
+    got = spark.read.parquet(str(tmp_path / "c")).orderBy("batch_no").select("rows", "top").collect()
+    assert [tuple(r) for r in got] == [(0, None), (10, 9), (20, 19)]
+
+
+def test_idle_stop_does_not_cut_a_running_batch(spark, parts, tmp_path):
+    import time
+
+    def slow(batch, batch_id):
+        time.sleep(2.5)
+        batch.write.mode("overwrite").parquet(str(tmp_path / "o" / f"batch={batch_id}"))
+
+    q = stream(spark, parts, 2).writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="100 milliseconds").foreachBatch(slow).start()
+    S.stop_when_idle(q, 1.0, 0.25)
+    assert spark.read.parquet(str(tmp_path / "o")).count() == spark.read.parquet(parts).count()
+
+
+def test_update_and_expiry_in_one_commit(spark, tmp_path):
+    seg = [E.Segment(2, "sgd", (("learning_rate", 1.0),))]
+    rows = [("t", 1, [1.0, 1.0], 100 * 86400), ("t", 2, [2.0, 2.0], 1)]
+    st = TableStore(spark, str(tmp_path / "t"))
+    st.commit(E.with_empty_state(spark.createDataFrame(rows, "table string, fid bigint, num array<double>, last_update_ts bigint"), seg))
+    grads = lambda b, t: b.select(F.lit("t").alias("table"), "fid", F.array(F.lit(1.0), F.lit(1.0)).alias("grad"))
+    batch = spark.createDataFrame([(1,)], "fid bigint")
+    keep_time = UP.Step(lambda t, b, i: t.withColumn("last_update_ts", F.when(F.col("fid") == 1, F.lit(100 * 86400)).otherwise(F.col("last_update_ts"))))
+    UP.table_writer(st, UP.gradient_step(grads, seg), keep_time, UP.expiry_step(1, {}, 30))(batch, 0)
+    assert [(r.fid, r.num) for r in st.current().collect()] == [(1, [0.0, 0.0])] and st.pointer() == {"version": 1, "batch": 0}
+
+
+def test_one_id_touches_one_bucket(spark, tmp_path):
+    st = TableStore(spark, str(tmp_path / "b"), buckets=8)
+    st.commit(spark.range(200).select(F.col("id").alias("fid"), F.lit(0).alias("n")))
+    one = spark.createDataFrame([(5,)], "fid bigint")
+    hit = st.touched(one)
+    assert len(hit) == 1
+    part = st.part(hit)
+    assert {f.split("_bucket=")[1].split("/")[0] for f in part.inputFiles()} == {str(hit[0])}
+    before = st._latest()["buckets"]
+    st.commit(part.withColumn("n", F.when(F.col("fid") == 5, 1).otherwise(F.col("n"))), 0, hit)
+    after = st._latest()["buckets"]
+    assert {b for b in before if before[b] != after[b]} == {str(hit[0])}
+    assert st.current().count() == 200 and st.current().where("n = 1").count() == 1
+    with pytest.raises(Exception):
+        st.commit(st.current(), 1, hit)  # rows of other buckets
+
+
+def test_second_writer_fails_and_old_versions_go(spark, tmp_path):
+    import os
+
+    from sampleloom.sources.table_store import Conflict
+
+    a = TableStore(spark, str(tmp_path / "w"), keep=2)
+    a.commit(spark.range(5).select(F.col("id").alias("fid")))
+    stale = a._latest()
+    a.commit(spark.range(6).select(F.col("id").alias("fid")))
+    b = TableStore(spark, str(tmp_path / "w"))
+    b._latest = lambda: stale
+    with pytest.raises(Conflict):
+        b.commit(spark.range(7).select(F.col("id").alias("fid")))
+    for i in range(4):
+        a.commit(spark.range(i + 1).select(F.col("id").alias("fid")))
+    assert a.current().count() == 4 and len([f for f in os.listdir(tmp_path / "w/pointer") if f.isdigit()]) == 2
 
 
 def test_idle_stop_and_metrics(spark, parts, tmp_path):
