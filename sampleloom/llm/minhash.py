@@ -23,11 +23,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 K = BANDS * ROWS
-#: Pairs left over in a bucket are checked exactly from this estimate on; 0.8 is 3.4 standard errors above it.
-LIKELY = 0.65
-#: So near by estimate, two texts need not both be compared with the rest of a bucket.
-SURE = 0.92
-#: Largest part of a bucket's rest that one task compares; a larger rest is dealt as pairs of parts.
+#: Pairs of different components are checked exactly from this estimate on; 0.8 is three standard errors above it.
+LIKELY = 0.67
+#: Largest part of a bucket that one task compares; a larger one is dealt as pairs of parts.
 TILE = 2000
 _U = np.uint64
 
@@ -191,44 +189,44 @@ def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, schema_of(f"a {kind}, b {kind}, linked boolean"))
 
 
-def _likely(rest: DataFrame) -> DataFrame:
-    """Distinct likely pairs ``a, b`` in what is left of buckets: rows ``band, key, doc_id, sketch``.
+def _links_between(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` between different components in the same bucket, from rows ``band, key, doc_id, root, sketch, parts``.
 
-    A row is compared with the rows before it that are not surely like another one. A rest above ``TILE`` rows is dealt
-    into parts, and each task compares two of them."""
-    kind = rest.schema["doc_id"].dataType.simpleString()
-    size = rest.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    A row is compared with those before it that belong to other components, the likeliest first and exactly; a link joins the
+    components at once, so a bucket gives fewer links than it has rows. A bucket above ``TILE`` rows is dealt into parts, and
+    each task compares two of them."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    size = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("doc_id"), tiles).cast("int")
-    dealt = rest.join(size, ["band", "key"]).withColumn("tiles", tiles).withColumn("mine", mine)
+    dealt = rows.join(size, ["band", "key"]).withColumn("tiles", tiles).withColumn("mine", mine)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("band", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "sketch")
+    dealt = dealt.select("band", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "root",
+                         "sketch", "parts")
 
     def compare(t: pa.Table) -> pa.Table:
         ids = np.array(t["doc_id"].to_pylist(), object)
         order = np.argsort(ids, kind="stable")
-        sk = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint16).reshape(len(t), -1)[order]
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint16).reshape(len(t), -1)[order]
+        parts = t["parts"].to_pylist()
+        parts = [parts[i] for i in order]
         ids, mine = ids[order], np.asarray(t["mine"])[order]
-        same_tile = t["i"][0].as_py() == t["j"][0].as_py()
-        heads: list[int] = []
+        _, of = np.unique(np.array(t["root"].to_pylist(), object)[order], return_inverse=True)
+        across = t["i"][0].as_py() != t["j"][0].as_py()  # pairs inside a part are the business of its own task
         a, b = [], []
-        for r in range(len(ids)):
-            sure = False
-            if heads:
-                h = np.array(heads)
-                got = (sk[h] == sk[r]).mean(1)
-                near = got >= LIKELY
-                if not same_tile:  # pairs inside a part are the business of its own task
-                    near &= mine[h] != mine[r]
-                a += ids[h[near]].tolist()
-                b += [ids[r]] * int(near.sum())
-                sure = bool((got >= SURE).any())
-            if not sure:
-                heads.append(r)
+        for r in range(1, len(ids)):
+            other = np.flatnonzero((of[:r] != of[r]) & (mine[:r] != mine[r] if across else True))
+            got = (sketch[other] == sketch[r]).mean(1)
+            near = np.flatnonzero(got >= LIKELY)
+            for h in other[near[np.argsort(-got[near], kind="stable")]]:
+                if of[h] != of[r] and weighted_jaccard(parts[h], parts[r]) >= similarity:
+                    a.append(ids[h])
+                    b.append(ids[r])
+                    of[of == of[r]] = of[h]
         t_id = t.schema.field("doc_id").type
         return pa.table({"a": pa.array(a, t_id), "b": pa.array(b, t_id)})
 
-    return dealt.groupBy("band", "key", "i", "j").applyInArrow(compare, schema_of(f"a {kind}, b {kind}")).distinct()
+    return dealt.groupBy("band", "key", "i", "j").applyInArrow(compare, schema_of(f"a {kind}, b {kind}"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -272,12 +270,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     _shingle_sets(plain.join(involved, "doc_id", "left_semi")).dropDuplicates(["doc_id"]).write.parquet(set_path)
     sets = spark.read.parquet(set_path)
     first = settled(_checked(stars, sets, similarity))
-    # members that are not like the head of their bucket may still be like each other
-    rest = members.join(first.where("not linked"), ["a", "b"]).select("band", "key", F.col("b").alias("doc_id"))
-    rest = rest.join(texts.select("doc_id", "sketch"), "doc_id")
-    more = _likely(rest).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    links = first.where("linked").select("a", "b").union(_checked(more, sets, similarity).where("linked").select("a", "b"))
+    links = first.where("linked").select("a", "b")
     roots = components(links)
+    # buckets that still hold several components: their members may be like each other, though not like the head
+    whole = members.select("band", "key", F.col("b").alias("doc_id")).union(members.select("band", "key", "a").distinct())
+    whole = whole.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    open_ = whole.groupBy("band", "key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("band", "key")
+    rows = whole.join(open_, ["band", "key"]).join(texts.select("doc_id", "sketch"), "doc_id").join(sets, "doc_id")
+    more = settled(_links_between(rows, similarity))
+    roots = components(links.union(more))
     heads = texts.select("copy", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "copy", F.coalesce("root", "doc_id").alias("class_id"))
     return signed.select("doc_id", "copy").join(heads, "copy").select("doc_id", "class_id")

@@ -67,21 +67,20 @@ def test_classes_against_all_pairs(spark):
     assert got == classes(rows)
 
 
-def test_rests_are_dealt_in_parts(spark, monkeypatch):
-    """A bucket whose head is like nobody: the others still find each other, also over parts."""
+def test_buckets_are_dealt_in_parts(spark, monkeypatch):
+    """A bucket whose head is like nobody: the others still find each other, also over parts, with fewer links than rows."""
     rnd = random.Random(9)
     base = " ".join(words(rnd, 80))
-    near = [base + " " + " ".join(words(rnd, 1)) for _ in range(12)]
-    rows = [(0, " ".join(words(rnd, 80)))] + list(enumerate(near, 1))
-    c = next(chunks(pa.array([t for _, t in rows])))
-    sig, _ = M.signatures(c)
-    sketch = [bytes(x) for x in (sig & np.uint64(0xFFFF)).astype(np.uint16).view(np.uint8).reshape(len(rows), -1)]
-    rest = spark.createDataFrame([(0, 1, i, bytearray(s)) for (i, _), s in zip(rows, sketch)], "band int, key long, doc_id long, sketch binary")
+    rows = [(0, " ".join(words(rnd, 80)))] + [(i, base + " " + words(rnd, 1)[0]) for i in range(1, 13)]
+    sig, _ = M.signatures(next(chunks(pa.array([t for _, t in rows]))))
+    sketch = [bytearray(x.tobytes()) for x in (sig & np.uint64(0xFFFF)).astype(np.uint16)]
+    sets = M._shingle_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    bucket = spark.createDataFrame([(0, 1, i, i, s) for (i, _), s in zip(rows, sketch)], "band int, key long, doc_id long, root long, sketch binary")
     for tile in (2000, 4):
         monkeypatch.setattr(M, "TILE", tile)
-        pairs = {(r.a, r.b) for r in M._likely(rest).collect()}
-        found = M.components(spark.createDataFrame(list(pairs), "a long, b long"))
-        assert {r.node: r.root for r in found.collect()} == {i: 1 for i in range(1, 13)}
+        links = M._links_between(bucket.join(sets, "doc_id"), 0.8)
+        assert tile < 100 or links.count() == 11
+        assert {r.node: r.root for r in M.components(links).collect()} == {i: 1 for i in range(1, 13)}
 
 
 def test_odd_rows_and_stage(spark):
