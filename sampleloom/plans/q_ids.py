@@ -166,10 +166,9 @@ def _(spark, d):
 @query("occurrence_admission", w(SAMPLES) + """
 SELECT sample_id, fid, row_number() OVER (PARTITION BY fid ORDER BY req_time, sample_id) - 1 >= CASE WHEN slot = 200 THEN 20 WHEN slot = 1 THEN 5 ELSE 0 END AS admitted
 FROM (SELECT sample_id, req_time, f_item[1] AS fid, 200 AS slot FROM samples
-      UNION ALL SELECT sample_id, req_time, f_user[1], 1 FROM samples UNION ALL SELECT sample_id, req_time, f_tags[1], 5 FROM samples)""")
+      UNION ALL SELECT sample_id, req_time, f_user[1], 1 FROM samples UNION ALL SELECT sample_id, req_time, unnest(f_tags), 5 FROM samples)""")
 def _(spark, d):
-    ids = bind.samples(spark, d).select("sample_id", "req_time", F.explode(F.array(
-        F.get("f_item", F.lit(0)), F.get("f_user", F.lit(0)), F.get("f_tags", F.lit(0)))).alias("fid"))
+    ids = bind.samples(spark, d).select("sample_id", "req_time", F.explode(F.concat("f_item", "f_user", "f_tags")).alias("fid"))
     return A.occurrence_admission(ids, ["req_time", "sample_id"], {200: 20, 1: 5}).select("sample_id", "fid", "admitted")
 
 

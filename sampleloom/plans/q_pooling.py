@@ -60,10 +60,12 @@ def _(spark, d):
 
 
 @query("lookup_entry", w(EMB, ORDER_IDS) + f"""
-SELECT tbl AS "table", fid, {s_vec('num')} AS num, last_update_ts FROM emb WHERE fid IN (SELECT fid FROM oids WHERE row % 5 = 0)""")
+SELECT tbl AS "table", fid, {s_vec('num')} AS num, {s_vec('list_transform(num, lambda x: x * x + 0.1::DOUBLE)')} AS norm, last_update_ts
+FROM emb WHERE fid IN (SELECT fid FROM oids)""")
 def _(spark, d):
-    ids = bind.order_ids(spark, d).filter("row % 5 = 0").select(F.lit("item").alias("table"), "fid")
-    return E.lookup_entry(ids, bind.emb(spark, d)).select("table", "fid", vec("num").alias("num"), "last_update_ts")
+    ids = bind.order_ids(spark, d).select(F.lit("item").alias("table"), "fid")
+    stored = bind.emb(spark, d).withColumn("opt", F.struct(F.transform("num", lambda x: x * x + 0.1).alias("norm")))
+    return E.lookup_entry(ids, stored).select("table", "fid", vec("num").alias("num"), vec("opt.norm").alias("norm"), "last_update_ts")
 
 
 @query("contains", w(EMB, ORDER_IDS) + "SELECT row, seq, fid IN (SELECT fid FROM emb) AS present FROM oids")
@@ -163,35 +165,42 @@ def _(spark, d):
     return cut.select("fid", *[vec(n).alias(n) for n in spans])
 
 
+#: The 64 elements as eight parts of eight.
+_EIGHTHS = range(0, DIM, 8)
+_ADDED = " + ".join(f"num[i + {a}]" for a in _EIGHTHS)
+
+
 @query("embedding_layout", w(EMB) + f"""
-SELECT fid, {s_vec('list_concat(list_concat(num[1:8], num[9:16]), num[17:24])')} AS joined,
-       {s_vec('list_transform(range(1, 9), lambda i: num[i] + num[i + 8] + num[i + 16])')} AS added,
+SELECT fid, {s_vec('num')} AS joined, {s_vec(f'list_transform(range(1, 9), lambda i: {_ADDED})')} AS added,
        {s_vec('num[9:16]')} AS stacked_second
 FROM emb""")
 def _(spark, d):
-    parts = [V.piece("num", a, a + 8) for a in (0, 8, 16)]
+    parts = [V.piece("num", a, a + 8) for a in _EIGHTHS]
     return bind.emb(spark, d).select("fid", vec(P.layout(parts, "concat")).alias("joined"), vec(P.layout(parts, "addn")).alias("added"),
                                      vec(F.get(P.layout(parts, "stack"), F.lit(1))).alias("stacked_second"))
 
 
+_PAIRS = [(a, b) for a in _EIGHTHS[:4] for b in _EIGHTHS[4:]]
+
+
 @query("field_interaction", w(EMB) + f"""
-SELECT fid, {s_vec('list_transform(range(1, 9), lambda i: num[i] * num[i + 16])')} AS first_pair,
-       {s_vec("[list_dot_product(num[1:8], num[17:24]), list_dot_product(num[1:8], num[25:32]), list_dot_product(num[9:16], num[17:24]), list_dot_product(num[9:16], num[25:32])]")} AS dots
+SELECT fid, {s_vec("[" + ", ".join(f"num[{a + i}] * num[{b + i}]" for a, b in _PAIRS for i in range(1, 9)) + "]")} AS products,
+       {s_vec("[" + ", ".join(f"list_dot_product(num[{a + 1}:{a + 8}], num[{b + 1}:{b + 8}])" for a, b in _PAIRS) + "]")} AS dots
 FROM emb""")
 def _(spark, d):
-    left = [V.piece("num", 0, 8), V.piece("num", 8, 16)]
-    right = [V.piece("num", 16, 24), V.piece("num", 24, 32)]
-    return bind.emb(spark, d).select("fid", vec(F.slice(P.field_interaction(left, right), 1, 8)).alias("first_pair"),
+    left = [V.piece("num", a, a + 8) for a in _EIGHTHS[:4]]
+    right = [V.piece("num", a, a + 8) for a in _EIGHTHS[4:]]
+    return bind.emb(spark, d).select("fid", vec(P.field_interaction(left, right)).alias("products"),
                                      vec(P.field_interaction(left, right, "dot")).alias("dots"))
 
 
 @query("cross_feature_pooling", w(EMB) + f"""
-SELECT fid, {s_vec('list_transform(range(1, 9), lambda i: num[i] + num[i + 8] + num[i + 16])')} AS summed,
-       {s_vec('list_transform(range(1, 9), lambda i: (num[i] + num[i + 8] + num[i + 16]) / 3.0::DOUBLE)')} AS averaged,
-       {s_vec('list_transform(range(1, 9), lambda i: greatest(num[i], num[i + 8], num[i + 16]))')} AS maxed
+SELECT fid, {s_vec(f'list_transform(range(1, 9), lambda i: {_ADDED})')} AS summed,
+       {s_vec(f'list_transform(range(1, 9), lambda i: ({_ADDED}) / 8.0::DOUBLE)')} AS averaged,
+       {s_vec('list_transform(range(1, 9), lambda i: greatest(' + ", ".join(f"num[i + {a}]" for a in _EIGHTHS) + '))')} AS maxed
 FROM emb""")
 def _(spark, d):
-    parts = [V.piece("num", a, a + 8) for a in (0, 8, 16)]
+    parts = [V.piece("num", a, a + 8) for a in _EIGHTHS]
     return bind.emb(spark, d).select("fid", vec(V.fold(parts, "sum")).alias("summed"), vec(V.fold(parts, "avg")).alias("averaged"),
                                      vec(V.fold(parts, "max")).alias("maxed"))
 

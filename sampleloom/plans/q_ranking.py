@@ -231,11 +231,11 @@ def _(spark, d):
 
 
 @query("softmax_loss", w(EMB, """
-z AS (SELECT fid, num[1:4] AS x, list_transform(range(0, 4), lambda i: CASE WHEN i = vec_id % 4 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS y FROM emb)""") + f"""
+z AS (SELECT fid, num AS x, list_transform(range(0, 64), lambda i: CASE WHEN i = vec_id % 64 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS y FROM emb)""") + f"""
 SELECT fid, {s_r6('ln(list_sum(list_transform(x, lambda v: exp(v)))) - list_dot_product(x, y)')} AS loss, CAST(list_position(x, list_max(x)) - 1 AS INT) AS pred FROM z""")
 def _(spark, d):
-    e = read(spark, d, "embeddings").select(make_fid(200, "vec_id").alias("fid"), V.piece(V.doubles("embedding"), 0, 4).alias("x"),
-                                            F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(i == F.col("vec_id") % 4, 1.0).otherwise(0.0)).alias("y"))
+    e = read(spark, d, "embeddings").select(make_fid(200, "vec_id").alias("fid"), V.doubles("embedding").alias("x"),
+                                            F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.when(i == F.col("vec_id") % 64, 1.0).otherwise(0.0)).alias("y"))
     return e.select("fid", r6(X.softmax_loss("x", "y")).alias("loss"), X.softmax_prediction("x").alias("pred"))
 
 
@@ -243,7 +243,7 @@ def _batches(spark, d):
     """Batches of 64 consecutive samples with a query and an item vector each."""
     s = bind.samples(spark, d).select("sample_id", "uid", "item_id", F.get("label", F.lit(0)).alias("y"), (F.get("label", F.lit(1)) * 4.0 - 1.0).alias("s"))
     b = B.count_window(s, [], ["sample_id"], 64, drop_remainder=False)
-    t = bind.emb(spark, d).select(F.col("fid"), F.slice("num", 1, 16).alias("num"))
+    t = bind.emb(spark, d).select("fid", "num")
     q = t.withColumnsRenamed({"fid": "qf", "num": "q"})
     v = t.withColumnsRenamed({"fid": "vf", "num": "v"})
     return b.join(q, F.col("qf") == make_fid(200, F.col("uid") % 500)).join(v, F.col("vf") == make_fid(200, "item_id"))
@@ -251,7 +251,7 @@ def _batches(spark, d):
 
 _B = """
 b AS (SELECT s.sample_id, (row_number() OVER (ORDER BY s.sample_id) - 1) // 64 AS batch_no, s.label[1] AS y, s.label[2] * 4.0::DOUBLE - 1.0::DOUBLE AS s,
-             s.item_id, q.num[1:16] AS q, v.num[1:16] AS v FROM samples s JOIN emb q ON q.vec_id = s.uid % 500 JOIN emb v ON v.vec_id = s.item_id)"""
+             s.item_id, q.num AS q, v.num AS v FROM samples s JOIN emb q ON q.vec_id = s.uid % 500 JOIN emb v ON v.vec_id = s.item_id)"""
 
 
 @query("batch_softmax_loss", w(SAMPLES, EMB, _B, """

@@ -11,8 +11,9 @@ from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import SAMPLES, read, w
 from sampleloom.plans.registry import ints, query, s_ints, s_u32, s_vec, vec
 from sampleloom.sources.feature_meta import prune_features
-from sampleloom.sources.parquet import date_range, scan_parquet
+from sampleloom.sources.parquet import date_range, exclude_files, read_patterns, scan_parquet, shard_files
 from sampleloom.sources.text import ingest_ratings
+from sampleloom.streaming.flows import work_dir
 
 
 @query("scan_parquet", "SELECT l_orderkey, l_partkey, l_quantity, l_returnflag FROM lineitem WHERE l_quantity > 45")
@@ -30,12 +31,44 @@ def _(spark, d):
     return B.count_window(read(spark, d, "events").select("event_id"), [], ["event_id"], 512)
 
 
+def _monthly(spark, d):
+    """Orders in one folder for each month, as a store keeps them."""
+    path = work_dir(spark, "orders")
+    o = read(spark, d, "orders").withColumn("dt", F.date_format(F.trunc("o_orderdate", "month"), "yyyyMMdd"))
+    o.select("o_orderkey", "o_totalprice", "dt").repartition("dt").write.partitionBy("dt").parquet(path)
+    return path
+
+
 @query("scan_date_range", """
-SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y%m%d') AS dt FROM orders
+SELECT o_orderkey, o_totalprice, strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS dt FROM orders
 WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-07-01'""")
 def _(spark, d):
-    o = read(spark, d, "orders").withColumn("dt", F.date_format("o_orderdate", "yyyyMMdd"))
-    return date_range(o, "19970101", "19970701").select("o_orderkey", "o_totalprice", "dt")
+    stored = spark.read.schema("o_orderkey bigint, o_totalprice double, dt string").parquet(_monthly(spark, d))
+    return date_range(stored, "19970101", "19970701").select("o_orderkey", "o_totalprice", "dt")
+
+
+@query("expand_patterns", """
+SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1997-04-01'""")
+def _(spark, d):
+    # days without a folder are skipped
+    return read_patterns(spark, [f"{_monthly(spark, d)}/dt={{DATE(19970101,19970331)}}"]).select("o_orderkey")
+
+
+def _by_type(spark, d):
+    path = work_dir(spark, "events")
+    read(spark, d, "events").select("event_id", "event_type").repartition(1).write.partitionBy("event_type").parquet(path)
+    return path
+
+
+@query("exclude_files", "SELECT event_id FROM events WHERE event_type <> 'error'")
+def _(spark, d):
+    df = spark.read.parquet(_by_type(spark, d)).select("event_id")
+    return exclude_files(df, lambda f: "/event_type=error/" in f, whole_path=True)
+
+
+@query("shard_files", "SELECT event_id FROM events WHERE event_type IN ('error', 'signup')")
+def _(spark, d):
+    return shard_files(spark, _by_type(spark, d), 2, 1).select("event_id")
 
 
 @query("shard_rows", f"SELECT event_id FROM events WHERE {s_u32('CAST(event_id AS VARCHAR)')} % 4 = 1")

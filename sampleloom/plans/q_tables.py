@@ -203,14 +203,18 @@ def _(spark, d):
 _CONFIGS = {"item": "dim=64;adagrad", "user": "dim=64;adagrad", "tags": "dim=8;sgd"}
 
 
+def _named(table):
+    return lambda x: F.struct(F.lit(table).alias("table"), x.alias("fid"))
+
+
 @query("merge_tables", w(SAMPLES) + f"""
 SELECT CASE WHEN tbl IN ('item', 'user') THEN md5('item,user') ELSE md5('tags') END AS "table", fid, n
 FROM (SELECT 'item' AS tbl, f_item[1] AS fid, count(*) AS n FROM samples GROUP BY 2
-      UNION ALL SELECT 'user', f_user[1], count(*) FROM samples GROUP BY 2 UNION ALL SELECT 'tags', f_tags[1], count(*) FROM samples GROUP BY 2)""")
+      UNION ALL SELECT 'user', f_user[1], count(*) FROM samples GROUP BY 2 UNION ALL SELECT 'tags', tag, count(*) FROM (SELECT unnest(f_tags) AS tag FROM samples) GROUP BY 2)""")
 def _(spark, d):
     s = bind.samples(spark, d)
-    rows = s.select(F.inline(F.array(*[F.struct(F.lit(t).alias("table"), F.get(c, F.lit(0)).alias("fid"))
-                                       for t, c in (("item", "f_item"), ("user", "f_user"), ("tags", "f_tags"))])))
+    rows = s.select(F.inline(F.concat(*[F.transform(c, _named(t))
+                                        for t, c in (("item", "f_item"), ("user", "f_user"), ("tags", "f_tags"))])))
     return E.merge_tables(rows.groupBy("table", "fid").agg(F.count(F.lit(1)).alias("n")), _CONFIGS)
 
 
@@ -227,23 +231,30 @@ def _(spark, d):
 
 
 def _two_slots(spark, d):
-    """Every second vector moved to slot 7, so that two expiry rules meet."""
-    e = bind.emb(spark, d)
-    return e.withColumn("fid", F.when(F.col("fid") % 2 == 0, make_fid(7, "fid")).otherwise(F.col("fid")))
+    """Every second vector moved to slot 7, so that two expiry rules meet; a third of them in a table whose newest entry is
+    ten days older; some without an update time."""
+    e = bind.emb(spark, d).withColumn("v", F.col("fid").bitwiseAND(F.lit((1 << 48) - 1)))
+    ts = F.col("last_update_ts")
+    ts = F.when(F.col("v") % 50 == 7, F.lit(None)).when(F.col("v") % 3 == 0, ts - 864000).otherwise(ts)
+    return e.withColumns({"fid": F.when(F.col("fid") % 2 == 0, make_fid(7, "fid")).otherwise(F.col("fid")), "last_update_ts": ts,
+                          "table": F.when(F.col("v") % 3 == 0, "old").otherwise("item")}).drop("v")
 
 
 _EXP = """
-two AS (SELECT CASE WHEN fid % 2 = 0 THEN (7::BIGINT << 48) + vec_id ELSE fid END AS fid, last_update_ts, CASE WHEN fid % 2 = 0 THEN 2 ELSE 10 END AS days FROM emb)"""
+two AS (SELECT CASE WHEN vec_id % 3 = 0 THEN 'old' ELSE 'item' END AS tbl, CASE WHEN fid % 2 = 0 THEN (7::BIGINT << 48) + vec_id ELSE fid END AS fid,
+               CASE WHEN vec_id % 50 = 7 THEN NULL WHEN vec_id % 3 = 0 THEN last_update_ts - 864000 ELSE last_update_ts END AS last_update_ts,
+               CASE WHEN fid % 2 = 0 THEN 2 ELSE 10 END AS days FROM emb),
+aged AS (SELECT *, max(last_update_ts) OVER (PARTITION BY tbl) - coalesce(last_update_ts, 0) >= days * 86400 AS dead FROM two)"""
 
 
-@query("evict", w(EMB, _EXP) + "SELECT fid, last_update_ts FROM two WHERE (SELECT max(last_update_ts) FROM two) - last_update_ts < days * 86400")
+@query("evict", w(EMB, _EXP) + 'SELECT tbl AS "table", fid, last_update_ts FROM aged WHERE NOT dead')
 def _(spark, d):
-    return E.evict(_two_slots(spark, d), {7: 2, 200: 10}).select("fid", "last_update_ts")
+    return E.evict(_two_slots(spark, d), {7: 2, 200: 10}).select("table", "fid", "last_update_ts")
 
 
-@query("evict_entries", w(EMB, _EXP) + "SELECT fid, last_update_ts FROM two WHERE (SELECT max(last_update_ts) FROM two) - last_update_ts >= days * 86400")
+@query("evict_entries", w(EMB, _EXP) + 'SELECT tbl AS "table", fid, last_update_ts FROM aged WHERE dead')
 def _(spark, d):
-    return E.evict(_two_slots(spark, d), {7: 2, 200: 10}, keep_expired=True).select("fid", "last_update_ts")
+    return E.evict(_two_slots(spark, d), {7: 2, 200: 10}, keep_expired=True).select("table", "fid", "last_update_ts")
 
 
 @query("delta_since", w(SAMPLES, EMB) + f"""

@@ -109,6 +109,16 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return found
 
 
+def shard_files(spark: SparkSession, paths: Sequence[str] | str, shards: int, index: int) -> DataFrame:
+    """The rows of every ``shards``-th file of the sorted file list, from ``index`` on: workers share the files, and none
+    reads another's. A worker beyond the files gets no rows."""
+    if not 0 <= index < shards:
+        raise ValueError("index must be in 0 to shards - 1")
+    df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    mine = sorted(df.inputFiles())[index::shards]
+    return spark.read.schema(df.schema).parquet(*mine) if mine else df.limit(0)
+
+
 def read_patterns(spark: SparkSession, patterns: Sequence[str],
                   exclude: Callable[[str], bool] | None = None) -> DataFrame:
     """Read all existing files of the expanded patterns; ``exclude`` drops files by name."""
@@ -117,10 +127,9 @@ def read_patterns(spark: SparkSession, patterns: Sequence[str],
     return df if exclude is None else exclude_files(df, exclude)
 
 
-def exclude_files(df: DataFrame, exclude: Callable[[str], bool]) -> DataFrame:
-    """Drop rows of files whose base name ``exclude`` accepts; the file list is metadata, the rows
-    are filtered by the scan's file path."""
-    drop = [f for f in df.inputFiles() if exclude(f.rsplit("/", 1)[-1])]
+def exclude_files(df: DataFrame, exclude: Callable[[str], bool], whole_path: bool = False) -> DataFrame:
+    """Read only the files of ``df`` whose base name (or whole path) ``exclude`` does not accept; the file list is metadata."""
+    drop = [f for f in df.inputFiles() if exclude(f if whole_path else f.rsplit("/", 1)[-1])]
     kept = [f for f in df.inputFiles() if f not in set(drop)]
     if not kept:
         raise FileNotFoundError("every file is excluded")
