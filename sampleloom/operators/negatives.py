@@ -1,14 +1,17 @@
 """Negative generation from per-channel item pools.
 
-Time is the order ``(req_time, sample_id)``. A pool holds the distinct items of a channel in the
-order they were first seen; at a row it holds what came up to and including that row.
+Time is the order ``(req_time, sample_id)``. A pool is a queue: an item that is not in it enters at the end, and beyond the
+capacity the oldest leaves, to enter again when it is seen again. At a row the pool holds what came up to and including
+that row. Entries are numbered per channel, so the pool at a moment is the last ``capacity`` numbers up to then.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import OrderedDict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,16 +79,76 @@ def is_cached(cfg: NegativeConfig, positive: Column) -> Column:
     return keep & (F.col("_ch") != 0)
 
 
+def queue_entries(rows: DataFrame, capacity: int) -> DataFrame:
+    """``(_ch, _item, seq, origin_cnt, req_time, sample_id)``: the entries of each channel's queue in order, with how often the
+    item was seen while it stayed.
+
+    What a queue lets in depends on all before it, so a channel is read by one task, in time order, holding the queue alone:
+    at most ``capacity`` items, whatever the number of rows."""
+    kind = rows.schema["_item"].dataType.simpleString()
+    src = rows.select("_ch", "req_time", "sample_id", "_item").repartition("_ch").sortWithinPartitions("_ch", "req_time", "sample_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = None
+        queue: OrderedDict = OrderedDict()
+        channel, seq, out = None, 0, []
+
+        def left(item, entry) -> None:
+            out.append((channel, item, *entry))
+
+        def made() -> pa.RecordBatch:
+            cols = list(zip(*out)) if out else [[]] * 6
+            types = [schema.field(0).type, schema.field(3).type, pa.int64(), pa.int64(), schema.field(1).type, schema.field(2).type]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                              names=["_ch", "_item", "seq", "origin_cnt", "req_time", "sample_id"])
+
+        for b in batches:
+            schema = b.schema
+            for ch, at, key, item in zip(*[c.to_pylist() for c in b.columns]):
+                if ch != channel:
+                    for i, e in queue.items():
+                        left(i, e)
+                    queue.clear()
+                    channel, seq = ch, 0
+                if item in queue:
+                    queue[item][1] += 1
+                    continue
+                seq += 1
+                queue[item] = [seq, 1, at, key]
+                if len(queue) > capacity:
+                    left(*queue.popitem(last=False))
+            if out:
+                yield made()
+        for i, e in queue.items():
+            left(i, e)
+        if out:
+            yield made()
+
+    types = {n: src.schema[n].dataType.simpleString() for n in ("_ch", "req_time", "sample_id")}
+    return src.mapInArrow(run, f"_ch {types['_ch']}, _item {kind}, seq bigint, origin_cnt bigint, req_time {types['req_time']}, "
+                               f"sample_id {types['sample_id']}")
+
+
 def item_pool(rows: DataFrame, features: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-              largest: int | None = None) -> DataFrame:
-    """``(_ch, _item, seq, origin_cnt, first_at, features…)``: items numbered per channel by first
-    sight; their features are those of the first sight. First sights are a partial aggregate, so
-    only distinct items are ever ordered."""
+              largest: int | None = None, capacity: int | None = None) -> DataFrame:
+    """``(_ch, _item, seq, origin_cnt, first_at, features…)``: the entries of each channel's queue with the features of the row
+    that brought them in.
+
+    A channel with no more items than ``capacity`` never loses one: its entries are the first sights, a partial aggregate of
+    which only distinct items are ordered. The other channels go through :func:`queue_entries`."""
     at = F.struct("req_time", "sample_id")
     g = rows.groupBy("_ch", "_item").agg(
         F.min(at).alias("first_at"), F.count(F.lit(1)).alias("origin_cnt"),
         *[F.min_by(f, at).alias(f) for f in features])
-    return positions(g, ["_ch"], [F.col("first_at")], "seq", hot_rows, largest)
+    if capacity is None:
+        return positions(g, ["_ch"], [F.col("first_at")], "seq", hot_rows, largest)
+    full = g.groupBy("_ch").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > capacity).select("_ch")
+    calm = positions(g.join(full, "_ch", "left_anti"), ["_ch"], [F.col("first_at")], "seq", hot_rows, largest)
+    busy = queue_entries(rows.join(full, "_ch", "left_semi"), capacity)
+    if features:
+        busy = busy.join(rows.select("_ch", "sample_id", *features), ["_ch", "sample_id"])
+    return calm.unionByName(busy.withColumn("first_at", at).select(*calm.columns))
 
 
 def pool_state(rows: DataFrame, channel: str, item: str, start_num: int, max_item_num: int,
@@ -94,7 +157,7 @@ def pool_state(rows: DataFrame, channel: str, item: str, start_num: int, max_ite
     big enough to be used."""
     base = rows.withColumn("_ch", F.col(channel)).withColumn("_item", F.col(item))
     largest = largest_group(base, ["_ch"], hot_rows)
-    pool = item_pool(base, (), hot_rows, largest)
+    pool = item_pool(base, (), hot_rows, largest, max_item_num)
     sized = with_totals(pool, ["_ch"], {"_n": F.max("seq")}, hot_rows, largest)
     live = sized.filter(F.col("seq") > F.col("_n") - max_item_num)
     size = F.least(F.col("_n"), F.lit(max_item_num))
@@ -104,23 +167,24 @@ def pool_state(rows: DataFrame, channel: str, item: str, start_num: int, max_ite
         ((F.col("seq") - F.col("_n") + size) / size.cast("double")).alias("time_factor"))
 
 
-def channel_weights(pool: DataFrame, max_item_num: int) -> DataFrame:
-    """One row with the channels and the running sum of their pool sizes, for weighted draws.
-    The number of channels is a property of the product, not of the data volume."""
-    sizes = pool.groupBy("_ch").agg(F.least(F.count(F.lit(1)), F.lit(max_item_num)).alias("_n"))
-    lists = sizes.agg(F.array_sort(F.collect_list(F.struct("_ch", "_n"))).alias("_l"))
-    upto = F.transform(F.sequence(F.lit(1), F.size("_l")), lambda i: F.struct(
-        F.get("_l", i - 1).getField("_ch").alias("ch"),
-        F.aggregate(F.slice("_l", 1, i), F.lit(0).cast("bigint"),
-                    lambda s, e: s + e.getField("_n")).alias("upto")))
-    return lists.select(F.when(F.size("_l") >= 1, upto).alias("channels"))
-
+def easy_channels(ask: DataFrame, pool: DataFrame, capacity: int, draw: Column, hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
+    """``ask`` with ``_easy``: a channel drawn in proportion to the pool sizes at the moment of each row; null while fewer
+    than two channels have items.
 
-def draw_channel(u: Column, channels: Column, own: Column) -> Column:
-    """Channel whose share of the total pool size covers ``u``; the row's own with under two."""
-    total = F.element_at(channels, -1).getField("upto").cast("double")
-    hit = F.get(F.filter(channels, lambda c: c.getField("upto").cast("double") > u * total), F.lit(0))
-    return F.when(F.size(channels) >= 2, hit.getField("ch")).otherwise(own)
+    Pools only grow up to ``capacity``, so the sum of their sizes is the number of entries that made one grow; the draw picks
+    one of those, and its channel."""
+    grown = pool.filter(F.col("seq") <= capacity).select("_ch", "seq", F.col("first_at.req_time").alias("req_time"), F.col("first_at.sample_id").alias("sample_id"))
+    slots = positions(grown, [], [F.col("req_time"), F.col("sample_id")], "_slot", hot_rows, largest)
+    marks = slots.select("req_time", "sample_id", F.lit(0).alias("_q"), F.lit(1).cast("bigint").alias("_one"),
+                         (F.col("seq") == 1).cast("bigint").alias("_first"), F.lit(None).cast("int").alias("k"))
+    rows = ask.select("req_time", "sample_id", F.lit(1).alias("_q"), F.lit(0).cast("bigint").alias("_one"), F.lit(0).cast("bigint").alias("_first"), "k")
+    order = [F.col(c) for c in ("req_time", "sample_id", "_q", "k")]
+    seen = running(marks.unionByName(rows), [], order, {"_all": F.col("_one"), "_chs": F.col("_first")}, hot_rows, largest)
+    seen = seen.filter("_q = 1").select("sample_id", "k", "_all", "_chs")
+    there = ask.join(seen.withColumnsRenamed({"k": "_k"}).withColumnRenamed("sample_id", "_sid"),
+                     (F.col("sample_id") == F.col("_sid")) & F.col("k").eqNullSafe(F.col("_k"))).drop("_sid", "_k")
+    there = there.withColumn("_slot", F.when(F.col("_chs") >= 2, F.floor(draw * F.col("_all")) + 1))
+    return lookup_join(there, slots.select("_slot", F.col("_ch").alias("_easy")), "_slot").drop("_slot", "_all", "_chs")
 
 
 def draws(samples: DataFrame, cfg: NegativeConfig, hot_rows: int = HOT_ROWS,
@@ -134,17 +198,17 @@ def draws(samples: DataFrame, cfg: NegativeConfig, hot_rows: int = HOT_ROWS,
     # One count bounds every group below; easy draws may gather in any channel.
     rows = largest_group(base, [] if easy_draws else ["_ch"], hot_rows)
     asked = rows * cfg.neg_num
-    pool = item_pool(base.filter(is_cached(cfg, pos)), cfg.item_features, hot_rows, rows)
+    pool = item_pool(base.filter(is_cached(cfg, pos)), cfg.item_features, hot_rows, rows, cfg.max_item_num)
 
     ask = base.filter(pos & (F.col("_ch") != 0)).select("_ch", "req_time", key)
-    each = F.explode(F.sequence(F.lit(0), F.lit(cfg.neg_num - 1))).alias("k")
+    if cfg.neg_num < 1:
+        ask = ask.filter("false")
+    each = F.explode(F.sequence(F.lit(0), F.lit(max(cfg.neg_num, 1) - 1))).alias("k")
     if easy_draws:
-        weights = channel_weights(pool, cfg.max_item_num).scalar()
-        ask = ask.select("*", each).withColumn("_w", weights)
         tag = F.concat_ws("|", F.col(key), F.col("k"))
         easy = u01(tag, "easy") < cfg.easy_hard_ratio
-        ask = (ask.withColumn("_ch", F.when(easy, draw_channel(u01(tag, "channel"), F.col("_w"), F.col("_ch")))
-                              .otherwise(F.col("_ch"))).drop("_w"))
+        drawn = easy_channels(ask.select("*", each), pool, cfg.max_item_num, u01(tag, "channel"), hot_rows, rows + asked)
+        ask = drawn.withColumn("_ch", F.when(easy, F.coalesce("_easy", "_ch")).otherwise(F.col("_ch"))).drop("_easy")
     else:
         ask = ask.withColumn("k", F.lit(None).cast("int"))
 
@@ -165,7 +229,9 @@ def draws(samples: DataFrame, cfg: NegativeConfig, hot_rows: int = HOT_ROWS,
             .withColumn("_pick", F.struct("_ch", (F.col("_n") - F.col("_size") + F.col("_at") + 1).alias("seq"))))
     items = pool.select(F.struct("_ch", "seq").alias("_pick"), "_item", *cfg.item_features)
     got = lookup_join(hits, items, "_pick", "inner", hot_rows, asked)
-    counted = positions(got, ["_ch", "_item"], [F.col("req_time"), F.col(key), F.col("k")], "_drawn", hot_rows, asked)
+    # an item that comes back is a new entry: its draws are counted from the start
+    got = got.withColumn("_entry", F.col("_pick.seq"))
+    counted = positions(got, ["_ch", "_entry"], [F.col("req_time"), F.col(key), F.col("k")], "_drawn", hot_rows, asked)
     return counted.select(key, "k", F.col("_ch").alias("drawn_channel"), F.col("_item").alias("drawn_item"),
                           (F.lit(1.0) / F.col("_drawn")).alias("freq"),
                           ((F.col("_at") + 1.0) / F.col("_size")).alias("time_factor"),

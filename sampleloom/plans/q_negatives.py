@@ -23,11 +23,26 @@ def _samples(spark, d):
         "sample_id", "uid", "req_time", "item_id", "chan", "actions", "label", "instance_weight", "f_item", "f_tags", "f_user")
 
 
+def _queue(capacity: int, rows: str = "s WHERE pos") -> str:
+    """The queue of each channel as a recursive fold: ``pool`` holds its entries, numbered by channel."""
+    return f"""
+ord AS (SELECT ch, item_id, req_time, sample_id, row_number() OVER (PARTITION BY ch ORDER BY req_time, sample_id) AS r FROM {rows}),
+fold AS (
+  SELECT DISTINCT ch, 0::BIGINT AS r, []::BIGINT[] AS q, 0::BIGINT AS seq, false AS enters FROM ord
+  UNION ALL
+  SELECT f.ch, o.r, CASE WHEN list_contains(f.q, o.item_id) THEN f.q WHEN len(f.q) >= {capacity} THEN list_append(f.q[2:], o.item_id) ELSE list_append(f.q, o.item_id) END,
+         f.seq + CASE WHEN list_contains(f.q, o.item_id) THEN 0 ELSE 1 END, NOT list_contains(f.q, o.item_id)
+  FROM fold f JOIN ord o ON o.ch = f.ch AND o.r = f.r + 1),
+pool AS (SELECT o.ch, o.item_id, struct_pack(a := o.req_time, b := o.sample_id) AS fa, f.seq, o.r FROM fold f JOIN ord o ON o.ch = f.ch AND o.r = f.r WHERE f.enters)"""
+
+
+def wr(*ctes: str) -> str:
+    return w(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _pool(channel: str, max_items: int) -> str:
     return f"""
-s AS (SELECT *, chnid + 1 AS chan, {channel} AS ch, actions[1] IN (2, 3, 4) AS pos FROM samples)""" + f""",
-fs AS (SELECT ch, item_id, min(struct_pack(a := req_time, b := sample_id)) AS fa, count(*) AS origin_cnt FROM s WHERE pos GROUP BY 1, 2),
-pool AS (SELECT *, row_number() OVER (PARTITION BY ch ORDER BY fa) AS seq FROM fs),
+s AS (SELECT *, chnid + 1 AS chan, {channel} AS ch, actions[1] IN (2, 3, 4) AS pos FROM samples)""" + "," + _queue(max_items) + f""",
 known AS (SELECT s.*, n, least(n, {max_items}) AS size FROM (
     SELECT ch, sample_id, req_time, sum(new) OVER (PARTITION BY ch ORDER BY req_time, sample_id, q) AS n, q FROM (
       SELECT ch, fa.b AS sample_id, fa.a AS req_time, 1 AS new, 0 AS q FROM pool
@@ -36,7 +51,7 @@ known AS (SELECT s.*, n, least(n, {max_items}) AS size FROM (
 drawn AS (SELECT k.*, i AS k, {s_u32("CAST(sample_id AS VARCHAR) || '|' || CAST(i AS VARCHAR) || '|item'")} % size AS at0
   FROM known k, range(0, 3) t(i) WHERE size > 4),
 hit AS (SELECT d.*, p.item_id AS new_item, (at0 + 1) / CAST(size AS DOUBLE) AS tf,
-         1.0::DOUBLE / row_number() OVER (PARTITION BY d.ch, p.item_id ORDER BY d.req_time, d.sample_id, d.k) AS freq
+         1.0::DOUBLE / row_number() OVER (PARTITION BY d.ch, p.seq ORDER BY d.req_time, d.sample_id, d.k) AS freq
   FROM drawn d JOIN pool p ON p.ch = d.ch AND p.seq = d.n - d.size + d.at0 + 1)"""
 
 
@@ -59,26 +74,26 @@ def _show(df):
                      F.get("f_user", F.lit(0)).alias("f_user"))
 
 
-@query("negative_gen", w(SAMPLES, _pool("chnid + 1", 8)) + _out(8))
+@query("negative_gen", wr(SAMPLES, _pool("chnid + 1", 8)) + _out(8))
 def _(spark, d):
     return _show(N.negative_gen(_samples(spark, d), CFG))
 
 
-@query("negative_gen_one_pool", w(SAMPLES, _pool("3", 50)) + _out(50))
+@query("negative_gen_one_pool", wr(SAMPLES, _pool("3", 50)) + _out(50))
 def _(spark, d):
     return _show(N.negative_gen(_samples(spark, d), replace(CFG, per_channel=False, max_item_num=50)))
 
 
-@query("negative_gen_only_negatives", w(SAMPLES, _pool("chnid + 1", 8)) + "SELECT * FROM (" + _out(8) + ") WHERE gen_no < 3")
+@query("negative_gen_only_negatives", wr(SAMPLES, _pool("chnid + 1", 8)) + "SELECT * FROM (" + _out(8) + ") WHERE gen_no < 3")
 def _(spark, d):
     return _show(N.negative_gen(_samples(spark, d), replace(CFG, throw_origin=True)))
 
 
-@query("item_pool", w(SAMPLES, """
-f AS (SELECT chnid + 1 AS channel, item_id AS item, min(struct_pack(a := req_time, b := sample_id)) AS fa, count(*) AS origin_cnt FROM samples GROUP BY 1, 2)""", """
-p AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY fa) AS seq, count(*) OVER (PARTITION BY channel) AS n FROM f)""") + f"""
-SELECT channel, item, seq, origin_cnt, least(n, 7) AS pool_size, least(n, 7) > 5 AS usable,
-       {s_r6('(seq - n + least(n, 7)) / CAST(least(n, 7) AS DOUBLE)')} AS time_factor
+@query("item_pool", wr(SAMPLES, """
+s AS (SELECT *, chnid + 1 AS ch FROM samples)""", _queue(7, "s"), """
+p AS (SELECT *, max(seq) OVER (PARTITION BY ch) AS n FROM pool)""") + f"""
+SELECT ch AS channel, item_id AS item, seq, (SELECT count(*) FROM ord o WHERE o.ch = p.ch AND o.item_id = p.item_id AND o.r >= p.r) AS origin_cnt,
+       least(n, 7) AS pool_size, least(n, 7) > 5 AS usable, {s_r6('(seq - n + least(n, 7)) / CAST(least(n, 7) AS DOUBLE)')} AS time_factor
 FROM p WHERE seq > n - 7""")
 def _(spark, d):
     out = N.pool_state(bind.samples(spark, d).withColumn("chan", F.col("chnid") + 1), "chan", "item_id", 5, 7)
@@ -88,32 +103,34 @@ def _(spark, d):
 _EASY = 0.4
 
 
-@query("easy_negative_channel", w(SAMPLES, """
-sz AS (SELECT chnid + 1 AS ch, least(count(DISTINCT item_id), 1000) AS n FROM samples GROUP BY 1)""", """
-cum AS (SELECT ch, sum(n) OVER (ORDER BY ch) AS upto, sum(n) OVER (ORDER BY ch) - n AS lo, sum(n) OVER () AS total FROM sz)""", f"""
-u AS (SELECT sample_id, chnid + 1 AS own, {s_u('sample_id', "'easy'")} < {_EASY}::DOUBLE AS easy, {s_u('sample_id', "'channel'")} AS v FROM samples)""") + """
-SELECT sample_id, easy, CASE WHEN easy THEN c.ch ELSE own END AS channel
-FROM u JOIN cum c ON c.lo <= v * total AND c.upto > v * total""")
+def _slots(capacity: int) -> str:
+    """Entries that made a pool grow, in order of time over all channels, and how many there are up to each question of ``tag``."""
+    return f"""
+slots AS (SELECT ch, seq, fa, row_number() OVER (ORDER BY fa) AS slot FROM pool WHERE seq <= {capacity}),
+total AS (SELECT t.sample_id, t.k, (SELECT count(*) FROM slots p WHERE p.fa <= struct_pack(a := t.req_time, b := t.sample_id)) AS n_all,
+                 (SELECT count(*) FROM slots p WHERE p.seq = 1 AND p.fa <= struct_pack(a := t.req_time, b := t.sample_id)) AS chs FROM tag t),
+pick AS (SELECT t.*, CASE WHEN chs >= 2 THEN CAST(floor({s_u('t.tg', "'channel'")} * n_all) AS BIGINT) + 1 END AS slot
+         FROM tag t JOIN total USING (sample_id, k)),
+easy AS (SELECT p.*, l.ch AS easy_ch FROM pick p LEFT JOIN slots l ON l.slot = p.slot)"""
+
+
+@query("easy_negative_channel", wr(SAMPLES, """
+s AS (SELECT *, chnid + 1 AS chan, chnid + 1 AS ch, actions[1] IN (2, 3, 4) AS pos FROM samples)""", _queue(5), """
+tag AS (SELECT s.*, 0 AS k, CAST(sample_id AS VARCHAR) AS tg FROM s)""", _slots(5)) + """
+SELECT sample_id, coalesce(easy_ch, chan) AS channel FROM easy""")
 def _(spark, d):
     from sampleloom.functions.base import u01
 
-    s = _samples(spark, d)
-    pool = N.item_pool(s.withColumn("_ch", F.col("chan")).withColumn("_item", F.col("item_id")))
-    channels = N.channel_weights(pool, 1000).scalar()
-    rows = s.select("sample_id", "chan", (u01("sample_id", "easy") < _EASY).alias("easy"), channels.alias("_w"))
-    drawn = N.draw_channel(u01("sample_id", "channel"), F.col("_w"), F.col("chan"))
-    return rows.select("sample_id", "easy", F.when(F.col("easy"), drawn).otherwise(F.col("chan")).alias("channel"))
-
-
-_EH = f"""
-s AS (SELECT *, chnid + 1 AS chan, chnid + 1 AS ch, actions[1] IN (2, 3, 4) AS pos FROM samples),
-fs AS (SELECT ch, item_id, min(struct_pack(a := req_time, b := sample_id)) AS fa FROM s WHERE pos GROUP BY 1, 2),
-pool AS (SELECT *, row_number() OVER (PARTITION BY ch ORDER BY fa) AS seq FROM fs),
-cum AS (SELECT ch, sum(least(n, 8)) OVER (ORDER BY ch) AS upto, sum(least(n, 8)) OVER (ORDER BY ch) - least(n, 8) AS lo, sum(least(n, 8)) OVER () AS total
-        FROM (SELECT ch, count(*) AS n FROM pool GROUP BY 1)),
-tag AS (SELECT s.*, i AS k, CAST(sample_id AS VARCHAR) || '|' || CAST(i AS VARCHAR) AS tg FROM s, range(0, 3) t(i) WHERE pos),
-asks AS (SELECT tag.* EXCLUDE (ch), CASE WHEN {s_u('tg', "'easy'")} < 0.5::DOUBLE THEN c.ch ELSE tag.ch END AS ch
-         FROM tag JOIN cum c ON c.lo <= {s_u('tg', "'channel'")} * total AND c.upto > {s_u('tg', "'channel'")} * total),
+    s = _samples(spark, d).withColumn("_ch", F.col("chan")).withColumn("_item", F.col("item_id"))
+    pool = N.item_pool(s.filter(N.is_positive(CFG)), capacity=5)
+    drawn = N.easy_channels(s.withColumn("k", F.lit(0)), pool, 5, u01("sample_id", "channel"))
+    return drawn.select("sample_id", F.coalesce("_easy", "chan").alias("channel"))
+
+
+_EH = """
+s AS (SELECT *, chnid + 1 AS chan, chnid + 1 AS ch, actions[1] IN (2, 3, 4) AS pos FROM samples)""" + "," + _queue(8) + """,
+tag AS (SELECT s.*, i AS k, CAST(sample_id AS VARCHAR) || '|' || CAST(i AS VARCHAR) AS tg FROM s, range(0, 3) t(i) WHERE pos)""" + "," + _slots(8) + f""",
+asks AS (SELECT * EXCLUDE (ch), CASE WHEN {s_u('tg', "'easy'")} < 0.5::DOUBLE THEN coalesce(easy_ch, ch) ELSE ch END AS ch FROM easy),
 known AS (SELECT a.*, n, least(n, 8) AS size FROM (
     SELECT ch, sample_id, k, q, sum(new) OVER (PARTITION BY ch ORDER BY req_time, sample_id, q, k) AS n FROM (
       SELECT ch, fa.b AS sample_id, fa.a AS req_time, 1 AS new, 0 AS q, -1 AS k FROM pool
@@ -121,11 +138,11 @@ known AS (SELECT a.*, n, least(n, 8) AS size FROM (
   JOIN asks a ON a.sample_id = x.sample_id AND a.k = x.k WHERE x.q = 1),
 drawn AS (SELECT *, {s_u32("tg || '|item'")} % size AS at0 FROM known WHERE size > 4),
 hit AS (SELECT d.*, p.item_id AS new_item, (at0 + 1) / CAST(size AS DOUBLE) AS tf,
-         1.0::DOUBLE / row_number() OVER (PARTITION BY d.ch, p.item_id ORDER BY d.req_time, d.sample_id, d.k) AS freq
+         1.0::DOUBLE / row_number() OVER (PARTITION BY d.ch, p.seq ORDER BY d.req_time, d.sample_id, d.k) AS freq
   FROM drawn d JOIN pool p ON p.ch = d.ch AND p.seq = d.n - d.size + d.at0 + 1)"""
 
 
-@query("negative_gen_easy_hard", w(SAMPLES, _EH) + _out(8))
+@query("negative_gen_easy_hard", wr(SAMPLES, _EH) + _out(8))
 def _(spark, d):
     return _show(N.negative_gen(_samples(spark, d), replace(CFG, easy_hard_ratio=0.5)))
 

@@ -14,7 +14,7 @@ from sampleloom.operators.admission import slot_threshold
 from sampleloom.operators.joins import lookup_join
 from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, read, w
-from sampleloom.plans.q_negatives import CFG, _pool
+from sampleloom.plans.q_negatives import CFG, _pool, wr
 from sampleloom.plans.q_tables import NOW, _show, _step_sql
 from sampleloom.plans.registry import INV, labs, query, r6, s_labs, s_r6, s_vec, vec
 from sampleloom.sources.table_store import TableStore
@@ -147,14 +147,14 @@ def _(spark, d):
     return spark.read.parquet(f"{base}/counters").agg(F.sum("rows").alias("rows"), r6(F.sum("positives")).alias("positives"))
 
 
-@query("stream_negative_gen", w(SAMPLES, _pool("chnid + 1", 8).replace("least(n, 8)", "least(n, 1000)")) + f"""
+@query("stream_negative_gen", wr(SAMPLES, _pool("chnid + 1", 8)) + f"""
 SELECT sample_id, CAST(k AS INT) AS k, new_item AS drawn_item, 'item ' || CAST(new_item AS VARCHAR) AS payload, {s_r6('freq')} AS freq, {s_r6('tf')} AS time_factor FROM hit""")
 def _(spark, d):
     s = _samples(spark, d).withColumn("chan", F.col("chnid") + 1)
     pos = N.is_positive(CFG)
     rows = s.select("sample_id", "req_time", "item_id", pos.alias("positive"), pos.alias("cached"),
                     F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("payload"), "chan")
-    drawn = ST.stream_negatives(rows, CFG.neg_num, CFG.start_num, 1000, "chan")
+    drawn = ST.stream_negatives(rows, CFG.neg_num, CFG.start_num, CFG.max_item_num, "chan")
     with ST.state_settings(spark, STATE_PARTS):
         out = spark.read.parquet(_run(spark, "negatives", drawn))
     return out.withColumns({"freq": r6("freq"), "time_factor": r6("time_factor")})

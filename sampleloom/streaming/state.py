@@ -5,7 +5,6 @@ Both need the RocksDB state store provider (see :data:`STATE_CONF`).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from sampleloom.functions.base import u32
+
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -37,10 +38,6 @@ def state_settings(spark: SparkSession, partitions: int | None = None):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def _u32(text: str) -> int:
-    return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
-
-
 class PoolProcessor(StatefulProcessor):
     """Exact FIFO pool of one channel: items enter at first sight, the oldest leaves beyond the
     capacity and may come back later. State holds at most ``max_item_num`` items."""
@@ -90,7 +87,7 @@ class PoolProcessor(StatefulProcessor):
             if not r.positive or size <= self.start_num:
                 continue
             for k in range(self.neg_num):
-                place = _u32(f"{r.sample_id}|{k}|item") % size
+                place = int(r.draws[k]) % size
                 i = at(head + place)
                 hit = item(i)
                 hit[2] += 1
@@ -123,7 +120,8 @@ def stream_negatives(rows: DataFrame, neg_num: int, start_num: int, max_item_num
     """Draws for the positives of a stream of ``(sample_id, req_time, item_id, positive, cached,
     payload, channel)``. ``sub_pools`` > 1 cuts each channel into independent pools by sample, for
     channels too big for one task; a pool then sees only its share of the items."""
-    rows = rows.withColumn("_sub", F.pmod(F.xxhash64("sample_id"), F.lit(sub_pools)))
+    random = F.array(*[u32(F.concat_ws("|", "sample_id", F.lit(k), F.lit("item"))) for k in range(neg_num)]).cast("array<bigint>")
+    rows = rows.withColumn("_sub", F.pmod(F.xxhash64("sample_id"), F.lit(sub_pools))).withColumn("draws", random)
     return rows.groupBy(channel, "_sub").transformWithStateInPandas(
         PoolProcessor(neg_num, start_num, max_item_num), NEGATIVE_SCHEMA, "Append", "None")
 
