@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 from sampleloom.session import checkpoint_dir
 
 
+#: Bytes of rows that one call works on, so that a worker holds little beside the batch it got.
+PIECE_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,15 +28,15 @@ def schema_of(ddl: str) -> T.StructType:
 
 
 def add_columns(df: DataFrame, read: list[str], ddl: str, make: Callable[[pa.RecordBatch], dict], keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (default: all columns) of ``df`` and the columns of ``ddl``, which ``make`` derives from each Arrow
-    batch. A kept column with the name of a new one is replaced."""
+    """``keep`` (default: all columns) of ``df`` and the columns of ``ddl``, which ``make`` derives from pieces of Arrow
+    batches: whole rows, about ``PIECE_BYTES`` of them. A kept column with the name of a new one is replaced."""
     new = schema_of(ddl)
     kept = [c for c in (keep if keep is not None else df.columns) if c not in new.names]
     out = T.StructType([df.schema[c] for c in kept] + list(new.fields))
     need = [*kept, *[c for c in read if c not in kept]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (piece for whole in batches for piece in _pieces(whole)):
             made = make(b)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [pa.array(made[f.name], _arrow(f.dataType)) for f in new],
                                              names=out.names)
@@ -40,6 +44,12 @@ def add_columns(df: DataFrame, read: list[str], ddl: str, make: Callable[[pa.Rec
     return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, out)
 
 
+def _pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    rows = max(1, b.num_rows * PIECE_BYTES // max(1, b.nbytes))
+    for at in range(0, b.num_rows, rows):
+        yield b.slice(at, rows)
+
+
 def _arrow(t: T.DataType) -> pa.DataType:
     if isinstance(t, T.ArrayType):
         return pa.list_(_arrow(t.elementType))

@@ -24,10 +24,10 @@ from sampleloom.llm.registry import query
 from sampleloom.llm.tokens import slices
 
 SPACE = "▁"
-#: Words remembered in a worker process; beyond that it starts afresh.
-REMEMBERED = 600_000
+#: Words remembered in a worker process; at that number the older half is only kept as far as it is used again.
+REMEMBERED = 120_000
 #: Characters indexed at a time.
-INDEXED = 300_000
+INDEXED = 200_000
 #: Longer words are relaxed with a queue of their own instead of in common rounds.
 LONG = 200
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
@@ -73,6 +73,7 @@ class Pieces:
         self.bytes = [bytes([int(x[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else " ⁇ ".encode() if sp.is_unknown(i)
                       else x.replace(SPACE, " ").encode() for i, x in enumerate(names)]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def edges(self, text: np.ndarray) -> np.ndarray:
         """Table of places and lengths: the piece of that length that starts there, or -1."""
@@ -195,10 +196,12 @@ class Pieces:
                 words = t.split(" ")
             cuts.append(words)
             new.update(words)
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
         new.difference_update(self.known)
-        if len(self.known) + len(new) > REMEMBERED and self.known:
-            self.known.clear()
-            new = set().union(*cuts)
+        again = new & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new -= again
         some, n = [], 0
         for w in sorted(new):
             some.append(w)
@@ -240,7 +243,7 @@ def encode_pieces(docs: DataFrame, text_col: str = "text", model: str | None = N
     path = model or public_tokenizers.path("piece_bpe_32k.model")
 
     def make(b: pa.RecordBatch) -> dict:
-        ids = [x for s in slices(b.column(text_col).to_pylist()) for x in pieces(path).encode(s)]
+        ids = [x for s in slices(b.column(text_col).to_pylist(), 1 << 20) for x in pieces(path).encode(s)]
         return {"n_pieces": [len(x) // 4 for x in ids], "piece_ids": ids}
 
     return add_columns(docs, [text_col], "n_pieces long, piece_ids binary", make, keep)
