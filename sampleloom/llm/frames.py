@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,6 +17,11 @@ from pyspark.sql import types as T
 from sampleloom.session import checkpoint_dir
 
 
+_LIBC = ctypes.CDLL(None) if sys.platform == "linux" else None
+if _LIBC is not None and not hasattr(_LIBC, "malloc_trim"):
+    _LIBC = None
+#: Bytes of text in a group of documents that a Python worker takes at once.
+GROUP_BYTES = 6 << 20
 #: Bytes of rows that one call works on, so that a worker holds little beside the batch it got.
 PIECE_BYTES = 4 << 20
 
@@ -40,10 +47,28 @@ def add_columns(df: DataFrame, read: list[str], ddl: str, make: Callable[[pa.Rec
             made = make(b)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [pa.array(made[f.name], _arrow(f.dataType)) for f in new],
                                              names=out.names)
+        release()
 
     return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, out)
 
 
+def release() -> None:
+    """Gives freed memory back to the system: a Python worker lives on after its task, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
+def light(f: Callable) -> Callable:
+    """A group function that gives back its memory when it is done."""
+    def run(*tables: pa.Table) -> pa.Table:
+        out = f(*tables)
+        del tables
+        release()
+        return out
+    return (lambda a: run(a)) if f.__code__.co_argcount == 1 else (lambda a, b: run(a, b))
+
+
 def _pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     rows = max(1, b.num_rows * PIECE_BYTES // max(1, b.nbytes))
     for at in range(0, b.num_rows, rows):
@@ -87,9 +112,11 @@ def total_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def group_count(nbytes: int, size: int = 16 << 20, least: int = 64) -> int:
-    """How many groups of about ``size`` bytes; at least 64, so that small inputs use all cores too."""
-    return max(least, -(-nbytes // size))
+def group_count(nbytes: int, size: int = GROUP_BYTES, least: int = 64, even: int = 10_000) -> int:
+    """How many groups of about ``size`` bytes; at least 64, so that small inputs use all cores too. Beyond ``even`` groups the
+    number and the size of groups grow alike, as each group sends a row to each shard."""
+    n = -(-nbytes // size)
+    return max(least, n if n <= even else int((even * n) ** 0.5))
 
 
 def grouped(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleloom.llm.frames import schema_of, shared_path, table
+from sampleloom.llm.frames import release, schema_of, shared_path, table
 from sampleloom.llm.registry import query
 from sampleloom.llm.textnum import Chunk, chunks, mix
 from sampleloom.session import settled
@@ -139,6 +139,7 @@ def _signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sketch += [x.tobytes() if s else None for x, s in zip(low, some)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                                              names=["doc_id", "copy", "bands", "sketch"])
+        release()
 
     return d.mapInArrow(run, schema_of(f"doc_id {kind}, copy string, bands array<long>, sketch binary"))
 
@@ -158,6 +159,7 @@ def _shingle_sets(df: DataFrame) -> DataFrame:
                 count = count.astype("<u4")
                 out += [low[i:j].tobytes() + high[i:j].tobytes() + count[i:j].tobytes() for i, j in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["doc_id", "parts"])
+        release()
 
     return df.select("doc_id", "text").mapInArrow(run, schema_of(f"doc_id {kind}, parts binary"))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleloom.llm.frames import fold_of, group_count, grouped, pack, schema_of, table, total_bytes, unpack
+from sampleloom.llm.frames import fold_of, group_count, grouped, light, pack, schema_of, table, total_bytes, unpack
 from sampleloom.llm.registry import query
 from sampleloom.llm.textnum import Chunk, chunks, mix
 
@@ -324,14 +324,14 @@ def score_documents(docs: DataFrame, held_out, id_col: str = "doc_id", text_col:
                     F.coalesce(held_out, F.lit(False)).alias("held_out"))
     parts = groups or group_count(total_bytes(d, "text"))
     d = grouped(d, "doc_id", parts)
-    words = d.groupBy("gid").applyInArrow(lambda t: ask_words(t, parts), schema_of("part int, gid int, blob binary"))
-    counted = words.groupBy("part").applyInArrow(answer_words, schema_of("gid int, blob binary"))
+    words = d.groupBy("gid").applyInArrow(light(lambda t: ask_words(t, parts)), schema_of("part int, gid int, blob binary"))
+    counted = words.groupBy("part").applyInArrow(light(answer_words), schema_of("gid int, blob binary"))
     asked = d.groupBy("gid").cogroup(counted.groupBy("gid")).applyInArrow(
-        lambda a, b: ask_pairs(a, b, parts), schema_of("part int, gid int, kind int, blob binary"))
-    told = asked.groupBy("part").applyInArrow(lambda t: answer_pairs(t, mu), schema_of("gid int, kind int, blob binary"))
+        light(lambda a, b: ask_pairs(a, b, parts)), schema_of("part int, gid int, kind int, blob binary"))
+    told = asked.groupBy("part").applyInArrow(light(lambda t: answer_pairs(t, mu)), schema_of("gid int, kind int, blob binary"))
     out = (f"doc_id {d.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
            "base_score double, score double")
-    return d.groupBy("gid").cogroup(told.groupBy("gid")).applyInArrow(lambda a, b: score_group(a, b, parts, mu), schema_of(out))
+    return d.groupBy("gid").cogroup(told.groupBy("gid")).applyInArrow(light(lambda a, b: score_group(a, b, parts, mu)), schema_of(out))
 
 
 @query("op10_ngram_lm")

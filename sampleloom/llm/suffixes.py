@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sampleloom.llm.frames import group_count, grouped, pack, schema_of, table, total_bytes, unpack
+from sampleloom.llm.frames import group_count, grouped, light, pack, schema_of, table, total_bytes, unpack
 from sampleloom.llm.registry import query
 from sampleloom.llm.textnum import Chunk, chunks, columns, mix, powers
 
@@ -357,19 +357,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = groups or group_count(total_bytes(d, "text"))
     splitters = split_points(d, n, length, gram)
     d = grouped(d, "doc_id", n)
-    asked = d.groupBy("gid").applyInArrow(lambda t: ask(t, n, length, gram), schema_of("bucket int, gid int, keys binary, multi binary"))
+    asked = d.groupBy("gid").applyInArrow(light(lambda t: ask(t, n, length, gram)), schema_of("bucket int, gid int, keys binary, multi binary"))
     asked = asked.withColumn("n", (F.octet_length("keys") / 8).cast("int"))
 
     def reply(t: pa.Table) -> pa.Table:
         return answer(t).append_column("n", t["n"])
 
-    replies = asked.groupBy("bucket").applyInArrow(reply, schema_of("gid int, bucket int, bits binary, n int"))
+    replies = asked.groupBy("bucket").applyInArrow(light(reply), schema_of("gid int, bucket int, bits binary, n int"))
     sent = d.groupBy("gid").cogroup(replies.groupBy("gid")).applyInArrow(
-        lambda a, b: runs(a, b, splitters, length, gram) if len(a) else _no_runs(), schema_of("part int, gid int, kind int, blob binary"))
-    hits = sent.groupBy("part").applyInArrow(lambda t: merge_range(t, length, gram), schema_of("gid int, blob binary"))
+        light(lambda a, b: runs(a, b, splitters, length, gram) if len(a) else _no_runs()), schema_of("part int, gid int, kind int, blob binary"))
+    hits = sent.groupBy("part").applyInArrow(light(lambda t: merge_range(t, length, gram)), schema_of("gid int, blob binary"))
     out = T.StructType([d.schema[c] for c in ("doc_id", *extra)] +
                        list(schema_of("text string, n_bytes long, n_removed long, spans array<array<long>>, kept binary")))
-    return d.groupBy("gid").cogroup(hits.groupBy("gid")).applyInArrow(lambda a, b: cut_out(a, b, length, extra), out)
+    return d.groupBy("gid").cogroup(hits.groupBy("gid")).applyInArrow(light(lambda a, b: cut_out(a, b, length, extra)), out)
 
 
 def _no_runs() -> pa.Table:

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sampleloom.llm.frames import group_count, pack, schema_of, shared_path, table, total_bytes, unpack
+from sampleloom.llm.frames import group_count, pack, release, schema_of, shared_path, table, total_bytes, unpack
 from sampleloom.llm.registry import query
 from sampleloom.llm.tokens import encoder, slices
 
@@ -164,6 +164,8 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                         before, n, ids, blobs = before + n, 0, [], []
         if blobs:
             yield shard()
+        blobs = []
+        release()
 
     ordered = d.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     key = d.schema["doc_id"].dataType.simpleString()
