@@ -218,6 +218,43 @@ def _reweight_count(actions: Column, best: Column, priority: Sequence[int],
                        if additive else n * F.coalesce(table[a], F.lit(1).cast("bigint")))
 
 
+def _ladder(actions: Column, priority: Sequence[int], values: Sequence[int]) -> Column:
+    """The value beside the first listed action that a row has, or NULL: a chain of conditions that compiles."""
+    out = None
+    for p, v in zip(priority, values):
+        test = F.array_contains(actions, F.lit(int(p)))
+        out = F.when(test, F.lit(int(v))) if out is None else out.when(test, F.lit(int(v)))
+    return F.lit(None).cast("int") if out is None else out.cast("int")
+
+
+def reweight_columns(actions: ColumnLike, priority: Sequence[int], table: dict[int, tuple[int, int]], additive: bool) -> tuple[Column, Column, Column]:
+    """Best action, its place (behind all for unlisted, last for no actions) and the copies of one list of actions."""
+    a = F.coalesce(col_of(actions).cast("array<int>"), F.array().cast("array<int>"))
+    best = _ladder(a, priority, priority)
+    place = F.coalesce(_ladder(a, priority, range(len(priority))), F.lit(len(priority)))
+    return best, F.when(F.size(a) == 0, len(priority) + 1).otherwise(place), _reweight_count(a, best, priority, table, additive)
+
+
+def reweight_result(label0: ColumnLike, cur: tuple[Column, Column, Column], pre: tuple[Column, Column, Column], absent: int,
+                    table: dict[int, tuple[int, int]]) -> Column:
+    """``STRUCT(copies, label)`` from the best action, place and copies of a row's actions and of its earlier ones."""
+    labels = lit_map({a: lab for a, (_, lab) in table.items()}, "int", "double")
+    (cur_best, cur_place, n_cur), (pre_best, pre_place, n_pre) = cur, pre
+    first = col_of(label0).cast("double")
+    cur_label, pre_label = F.coalesce(labels[cur_best], first), labels[pre_best]
+
+    def out(n: Column, lab: Column) -> Column:
+        return F.struct(n.cast("bigint").alias("copies"), lab.alias("label"))
+
+    later = pre_place > cur_place
+    return (F.when(later & pre_label.isNull(), out(n_cur, cur_label))
+            .when(later & (pre_label != cur_label), out(n_pre + n_cur, cur_label))
+            .when(later & (n_pre > n_cur), out(n_pre - n_cur, -cur_label))
+            .when(later, out(n_cur - n_pre, cur_label))
+            .when((pre_place == absent) & (cur_place == absent), out(F.lit(1), first))
+            .otherwise(out(F.lit(0), first)))
+
+
 def reweight(actions: ColumnLike, pre_actions: ColumnLike, label0: ColumnLike,
              priority: Sequence[int], table: dict[int, tuple[int, int]],
              additive: bool = False) -> Column:
@@ -227,31 +264,5 @@ def reweight(actions: ColumnLike, pre_actions: ColumnLike, label0: ColumnLike,
     ``pre_actions`` is corrected by the copies that follow; a sample that was emitted with an
     action of equal or higher priority is emitted no more.
     """
-    cur, pre = col_of(actions).cast("array<int>"), col_of(pre_actions).cast("array<int>")
-    empty = F.array().cast("array<int>")
-    cur, pre = F.coalesce(cur, empty), F.coalesce(pre, empty)
-    labels = lit_map({a: lab for a, (_, lab) in table.items()}, "int", "double")
-    unknown, absent = len(priority), len(priority) + 1
-
-    def best(a: Column) -> Column:
-        return most_prior_action(a, priority, fallback_first=False)
-
-    def rank(a: Column) -> Column:
-        place = F.array_position(lit_array(priority, "int"), best(a)).cast("int") - 1
-        return F.when(F.size(a) == 0, absent).otherwise(F.coalesce(place, F.lit(unknown)))
-
-    cur_label = F.coalesce(labels[best(cur)], col_of(label0).cast("double"))
-    pre_label = labels[best(pre)]
-    n_cur = _reweight_count(cur, best(cur), priority, table, additive)
-    n_pre = _reweight_count(pre, best(pre), priority, table, additive)
-    first = col_of(label0).cast("double")
-
-    def out(n: Column, lab: Column) -> Column:
-        return F.struct(n.cast("bigint").alias("copies"), lab.alias("label"))
-
-    return (F.when((rank(pre) > rank(cur)) & pre_label.isNull(), out(n_cur, cur_label))
-            .when((rank(pre) > rank(cur)) & (pre_label != cur_label), out(n_pre + n_cur, cur_label))
-            .when((rank(pre) > rank(cur)) & (n_pre > n_cur), out(n_pre - n_cur, -cur_label))
-            .when(rank(pre) > rank(cur), out(n_cur - n_pre, cur_label))
-            .when((F.size(pre) == 0) & (F.size(cur) == 0), out(F.lit(1), first))
-            .otherwise(out(F.lit(0), first)))
+    return reweight_result(label0, reweight_columns(actions, priority, table, additive), reweight_columns(pre_actions, priority, table, additive),
+                           len(priority) + 1, table)

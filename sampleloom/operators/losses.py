@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from sampleloom.functions import numeric as N
 from sampleloom.functions import vectors as V
 from sampleloom.functions.base import ColumnLike, col_of, let, u01
-from sampleloom.operators.pairs import TILE_ROWS, fold_pairs, per_left, tile_pairs
+from sampleloom.operators.pairs import TILE_ROWS, Pairs, map_pairs, per_left, tile_pairs
 
 
 def sigmoid_loss(logit: ColumnLike, label: ColumnLike, sample_rate: ColumnLike | None = None,
@@ -97,13 +98,14 @@ def inbatch_auc(df: DataFrame, batch: str, key: str, label: str, logit: str,
     pos, neg = _signs("_y")
     t = tile_pairs(rows, batch, key, [key, "_s"], left_if=pos, right_if=neg, tile_rows=tile_rows)
 
-    def step(acc: Column, a: Column, b: Column) -> Column:
-        d = a.getField("_s") - b.getField("_s")
-        inside = d - F.log1p(F.exp(F.least(F.greatest(d, F.lit(DIFF_LOW)), F.lit(DIFF_HIGH))))
-        return acc + F.when(d <= DIFF_LOW, d).when(d < DIFF_HIGH, inside).otherwise(F.lit(0.0))
+    def sums(group: pa.Array, p: Pairs) -> pa.RecordBatch:
+        d = p.a("_s") - p.b("_s")
+        inside = d - np.log1p(np.exp(np.clip(d, DIFF_LOW, DIFF_HIGH)))
+        x = np.where(d <= DIFF_LOW, d, np.where(d < DIFF_HIGH, inside, 0))
+        return pa.RecordBatch.from_arrays([group, pa.array(np.bincount(p.row, weights=x, minlength=p.rows))], names=[batch, "_x"])
 
-    return (t.select(batch, fold_pairs(F.col("left"), F.col("right"), F.lit(0.0), step).alias("_x"))
-            .groupBy(batch).agg(F.sum("_x").alias("loss")))
+    schema = f"{batch} {df.schema[batch].dataType.simpleString()}, _x double"
+    return map_pairs(t, schema, sums).groupBy(batch).agg(F.sum("_x").alias("loss"))
 
 
 def inbatch_auc_gradient(df: DataFrame, batch: str, key: str, label: str, logit: str,

@@ -7,8 +7,10 @@ meet each other in separate rows, so its pairs are spread over tasks and none is
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,14 +45,50 @@ def tile_pairs(df: DataFrame, group: str, row_key: str, payload: Sequence[str],
     return lefts.join(rights, [group, "_tile"]).select(group, "left", "right")
 
 
-def fold_pairs(left: Column, right: Column, zero: Column, step) -> Column:
-    """Fold ``step(acc, a, b)`` over all pairs of two arrays."""
-    return F.aggregate(left, zero, lambda acc, a: F.aggregate(right, acc, lambda acc2, b: step(acc2, a, b)))
-
-
 def per_left(left: Column, right: Column, zero: Column, step, key: str) -> Column:
     """For each left element ``STRUCT(key, value)`` with the fold of ``step(acc, a, b)`` over the
     right array."""
     return F.transform(left, lambda a: F.struct(
         a.getField(key).alias(key),
         F.aggregate(right, zero, lambda acc, b: step(acc, a, b)).alias("value")))
+
+
+# Pairs that one numpy call of a kernel works on.
+CALL_PAIRS = 1 << 21
+
+
+class Pairs:
+    """All pairs of some rows of :func:`tile_pairs`: ``a(name)`` and ``b(name)`` are the left and right members' numbers."""
+
+    def __init__(self, left: pa.ListArray, right: pa.ListArray) -> None:
+        n, m = (np.asarray(x.value_lengths().fill_null(0)) for x in (left, right))
+        self.left, self.right = left.flatten(), right.flatten()
+        self.rows, self.lefts = len(left), len(self.left)
+        row_of = np.repeat(np.arange(len(n)), n)
+        size = m[row_of]
+        self.l = np.repeat(np.arange(len(row_of)), size)
+        start = (np.cumsum(m) - m)[row_of]
+        self.r = np.arange(len(self.l)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+        self.row = row_of[self.l]
+        self.row_of_left = row_of
+
+    def a(self, name: str) -> np.ndarray:
+        return np.asarray(self.left.field(name))[self.l]
+
+    def b(self, name: str) -> np.ndarray:
+        return np.asarray(self.right.field(name))[self.r]
+
+
+def map_pairs(tiles: DataFrame, schema: str, kernel: Callable[[pa.Array, Pairs], pa.RecordBatch]) -> DataFrame:
+    """Rows that ``kernel(group keys, pairs)`` makes from ``(group, left, right)`` tiles, many small groups in one numpy call."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, m = (np.asarray(b.column(i).value_lengths().fill_null(0)).astype(np.int64) for i in (1, 2))
+            upto, at = np.cumsum(n * m), 0
+            while at < b.num_rows:
+                done = upto[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(upto, done + CALL_PAIRS, "right")))
+                part = b.slice(at, end - at)
+                yield kernel(part.column(0), Pairs(part.column(1), part.column(2)))
+                at = end
+    return tiles.mapInArrow(run, schema)

@@ -10,13 +10,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sampleloom.functions.base import u01
-from sampleloom.functions.numeric import cross_entropy, safe_log_sigmoid, sigmoid
+from sampleloom.functions.numeric import cross_entropy, sigmoid
 from sampleloom.operators.ordering import HOT_ROWS, first_in_key, largest_group, positions, running, with_totals
-from sampleloom.operators.pairs import TILE_ROWS, fold_pairs, per_left, tile_pairs
+from sampleloom.operators.pairs import TILE_ROWS, Pairs, map_pairs, tile_pairs
 
 Q, ITEM = "query_id", "item_id"
 EPSILON = 1e-10  # fixed value: smallest probability given to an invalid entry
@@ -74,11 +76,14 @@ def approx_ranks(lists: DataFrame, alpha: float = 10.0, tile_rows: int = TILE_RO
     largest = _largest(lists, largest)
     t = tile_pairs(lists.select(Q, ITEM, "score"), Q, ITEM, [ITEM, "score"], tile_rows=tile_rows, largest=largest)
 
-    def step(acc: Column, a: Column, b: Column) -> Column:
-        return acc + sigmoid((b.getField("score") - a.getField("score")) * alpha)
+    kind = lists.schema
 
-    each = per_left(F.col("left"), F.col("right"), F.lit(0.0), step, ITEM)
-    part = t.select(Q, F.inline(each))
+    def sums(group: pa.Array, p: Pairs) -> pa.RecordBatch:
+        value = 1 / (1 + np.exp(-np.clip((p.b("score") - p.a("score")) * alpha, -700, 700)))
+        total = np.bincount(p.l, weights=value, minlength=p.lefts)
+        return pa.RecordBatch.from_arrays([group.take(pa.array(p.row_of_left)), p.left.field(ITEM), pa.array(total)], names=[Q, ITEM, "value"])
+
+    part = map_pairs(t, f"{Q} {kind[Q].dataType.simpleString()}, {ITEM} {kind[ITEM].dataType.simpleString()}, value double", sums)
     return part.groupBy(Q, ITEM).agg((F.sum("value") + 0.5).alias("approx_rank"))
 
 
@@ -162,38 +167,39 @@ def _ranked(lists: DataFrame, lam: LambdaWeight | None, hot_rows: int, largest:
     return out.withColumn("_gain", gain)
 
 
-def _pair_weight(a: Column, b: Column, lam: LambdaWeight | None) -> Column:
+def _np_discount(lam: LambdaWeight, rank: np.ndarray) -> np.ndarray:
+    return 1 / np.log1p(rank) if lam.discount == "log" else 1 / rank
+
+
+def _pair_weight(p: Pairs, lam: LambdaWeight | None) -> np.ndarray:
+    """Weights of pairs; ranks are counted from 1."""
     if lam is None:
-        return F.abs(a.getField("_l") - b.getField("_l"))
+        return np.abs(p.a("_l") - p.b("_l"))
     if lam.kind == "identity":
-        return F.lit(1.0)
+        return np.ones(len(p.l))
     if lam.kind == "list_mle":
-        return b.getField("_l")
-    ra, rb = a.getField("_rank"), b.getField("_rank")
+        return p.b("_l")
+    ra, rb = p.a("_rank").astype(float), p.b("_rank").astype(float)
     if lam.kind == "precision":
-        differ = (a.getField("_l") >= 1.0) != (b.getField("_l") >= 1.0)
-        return F.when(differ & ((ra <= lam.topn) != (rb <= lam.topn)), 1.0).otherwise(0.0)
-    one = F.lit(1).cast("bigint")
-    cap = (lambda r: F.least(r, F.lit(lam.topn + 1).cast("bigint"))) if lam.topn else (lambda r: r)
-    gap = F.abs(cap(ra) - cap(rb))
-    # the discount is taken at gaps of at least 1 so that equal ranks raise no division by zero
-    near = F.greatest(gap, one)
-    u = F.when(gap > 0, F.abs(lam.discount_of(near) - lam.discount_of(near + 1))).otherwise(0.0)
-    out = u * (1.0 - lam.smooth)
+        differ = (p.a("_l") >= 1) != (p.b("_l") >= 1)
+        return (differ & ((ra <= lam.topn) != (rb <= lam.topn))).astype(float)
+    top = lam.topn or np.inf
+    gap = np.abs(np.minimum(ra, top + 1) - np.minimum(rb, top + 1))
+    near = np.maximum(gap, 1)  # equal ranks have weight 0
+    u = np.where(gap > 0, np.abs(_np_discount(lam, near) - _np_discount(lam, near + 1)), 0) * (1 - lam.smooth)
     if lam.smooth > 0:
-        at = (lambda r: F.when(r > lam.topn, 0.0).otherwise(lam.discount_of(r))) if lam.topn else lam.discount_of
-        out = out + F.abs(at(ra) - at(rb)) * lam.smooth
-    w = F.abs(a.getField("_gain") - b.getField("_gain")) * out
-    return F.when((ra <= lam.topn) | (rb <= lam.topn), w).otherwise(0.0) if lam.topn else w
+        at = lambda r: np.where(r > top, 0, _np_discount(lam, r))
+        u = u + np.abs(at(ra) - at(rb)) * lam.smooth
+    return np.where((ra <= top) | (rb <= top), np.abs(p.a("_gain") - p.b("_gain")) * u, 0)
 
 
-def pair_loss(kind: str, diff: Column) -> Column:
+def pair_loss(kind: str, diff: np.ndarray) -> np.ndarray:
     if kind == "hinge":
-        return F.greatest(F.lit(1.0) - diff, F.lit(0.0))
+        return np.maximum(1 - diff, 0)
     if kind == "logistic":
-        return -safe_log_sigmoid(diff)
+        return np.maximum(-diff, 0) + np.log1p(np.exp(-np.abs(diff)))
     if kind == "soft_zero_one":
-        return sigmoid(-diff)
+        return 1 / (1 + np.exp(np.clip(diff, -700, 700)))
     raise ValueError(f"unknown pairwise loss {kind}")
 
 
@@ -207,20 +213,17 @@ def pairwise_loss(lists: DataFrame, kinds: Sequence[str], lam: LambdaWeight | No
     rows = _ranked(lists, lam, hot_rows, largest).filter(valid())
     fields = [ITEM, "score", "weight", "_l", "_rank", "_gain", "_size"]
     t = tile_pairs(rows, Q, ITEM, fields, [ITEM, "score", "_l", "_rank", "_gain"], tile_rows=tile_rows, largest=largest)
-    zero = F.struct(*[F.lit(0.0).alias(k) for k in kinds], F.lit(0).cast("bigint").alias("pairs"))
-
-    def step(acc: Column, a: Column, b: Column) -> Column:
-        w = a.getField("weight") * _pair_weight(a, b, lam)
-        if lam is not None and lambda_scale:
-            w = w * a.getField("_size")
-        diff = a.getField("score") - b.getField("score")
-        sums = [(acc.getField(k) + w * pair_loss(k, diff)).alias(k) for k in kinds]
-        n = acc.getField("pairs") + F.when(w != 0, 1).otherwise(0)
-        return F.when(a.getField("_l") > b.getField("_l"), F.struct(*sums, n.alias("pairs"))).otherwise(acc)
-
-    folded = t.select(Q, fold_pairs(F.col("left"), F.col("right"), zero, step).alias("_s"))
-    return folded.groupBy(Q).agg(*[F.sum(f"_s.{k}").alias(k) for k in kinds],
-                                 F.sum("_s.pairs").alias("pairs"))
+
+    def sums(group: pa.Array, p: Pairs) -> pa.RecordBatch:
+        ahead = p.a("_l") > p.b("_l")
+        w = np.where(ahead, p.a("weight") * _pair_weight(p, lam) * (p.a("_size") if lam is not None and lambda_scale else 1), 0)
+        diff = p.a("score") - p.b("score")
+        cols = [np.bincount(p.row, weights=np.where(ahead, w * pair_loss(k, diff), 0), minlength=p.rows) for k in kinds]
+        n = np.bincount(p.row, weights=ahead & (w != 0), minlength=p.rows).astype(np.int64)
+        return pa.RecordBatch.from_arrays([group, *[pa.array(c) for c in cols], pa.array(n)], names=[Q, *kinds, "pairs"])
+
+    schema = ", ".join([f"{Q} {lists.schema[Q].dataType.simpleString()}", *[f"{k} double" for k in kinds], "pairs bigint"])
+    return map_pairs(t, schema, sums).groupBy(Q).agg(*[F.sum(k).alias(k) for k in kinds], F.sum("pairs").alias("pairs"))
 
 
 def reduce_nonzero(parts: DataFrame, sums: Sequence[str], count: str) -> DataFrame:

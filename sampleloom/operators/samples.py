@@ -216,9 +216,12 @@ def negative_sample(df: DataFrame, drop_rate: float, label_index: int = 0, thres
 def instance_reweight(df: DataFrame, priority: Sequence[int], table: dict[int, tuple[int, int]],
                       additive: bool = False) -> DataFrame:
     """Replicate each row by its weight and relabel it; rows with no copies disappear."""
-    r = L.reweight("actions", "pre_actions", F.get("label", F.lit(0)), priority, table, additive)
+    parts = {f"_{side}{i}": c for side, col in (("c", "actions"), ("p", "pre_actions"))
+             for i, c in enumerate(L.reweight_columns(col, priority, table, additive))}
+    cur, pre = ([F.col(f"_{side}{i}") for i in range(3)] for side in "cp")
+    r = L.reweight_result(F.get("label", F.lit(0)), cur, pre, len(priority) + 1, table)
     changed = F.concat(F.array(F.col("_r.label")), tail(F.col("label"), 1))
-    rows = df.withColumn("_r", r).filter("_r.copies > 0").withColumn("label", changed)
+    rows = df.withColumns(parts).withColumn("_r", r).filter("_r.copies > 0").withColumn("label", changed)
     return rows.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_r.copies"))).alias("copy_no"))
 
 

@@ -190,8 +190,9 @@ def _(spark, d):
     counts = ST.windowed_counts(rows, "ts", "24 hours", "12 hours", "400 days").select(F.unix_timestamp("start").alias("start_s"), "fid", "cnt")
 
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{base}/out")
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
 
+    # update mode: a batch writes the windows it changed, and the watermark clears the state of closed ones
     with ST.state_settings(spark, STATE_PARTS):
-        S.run_available(counts, f"{base}/ckpt", write, mode="complete")
-    return spark.read.parquet(f"{base}/out")
+        S.run_available(counts, f"{base}/ckpt", write, mode="update")
+    return spark.read.parquet(f"{base}/out").groupBy("start_s", "fid").agg(F.max_by("cnt", "batch").alias("cnt"))
