@@ -1,5 +1,8 @@
 """Worked examples of lookups, pooling, sharding, samples and tables."""
 
+import hashlib
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -286,3 +289,32 @@ def test_labels_beyond_a_million_stay(spark):
     df = spark.range(1).select(F.array_repeat(F.lit(1.0), n).alias("label"), F.array(F.lit(4)).alias("actions"), F.lit(1).alias("sample_id"))
     got = df.select(F.size(L.label_upper_bound("label", [0.5])).alias("a"), F.size(L.add_label("sample_id", "label", "actions", "4::1.0")).alias("b")).first()
     assert tuple(got) == (n, n + 1)
+
+
+def _queue_by_hand(rows, neg, start, most):
+    queue, drawn, out = [], {}, []
+    for sid, item, pos in rows:
+        if pos:
+            if item not in drawn:
+                queue.append(item)
+                drawn[item] = 0
+            if len(queue) > most:
+                del drawn[queue.pop(0)]
+            if len(queue) > start:
+                for k in range(neg):
+                    at = int(hashlib.md5(f"{sid}|{k}|item".encode()).hexdigest()[:8], 16) % len(queue)
+                    drawn[queue[at]] += 1
+                    out.append((sid, k, queue[at], 1 / drawn[queue[at]], (at + 1) / len(queue)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("neg", [0, 2])
+def test_batch_pool_is_the_queue(spark, neg):
+    """Capacity below the number of items: they leave and return, and draws count from the return."""
+    rnd = random.Random(4)
+    data = [(i, rnd.randrange(12), rnd.random() < 0.7) for i in range(300)]
+    rows = [(i, 1000 + i, item, 1, [1.0 if pos else 0.0], [1]) for i, item, pos in data]
+    df = spark.createDataFrame(rows, "sample_id bigint, req_time bigint, item_id bigint, channel bigint, label array<double>, actions array<int>")
+    cfg = N.NegativeConfig(neg_num=neg, per_channel=True, start_num=2, max_item_num=5)
+    got = sorted(tuple(r) for r in N.draws(df, cfg).select("sample_id", "k", "drawn_item", "freq", "time_factor").collect())
+    assert got == _queue_by_hand(data, neg, 2, 5)
