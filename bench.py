@@ -65,7 +65,7 @@ def table_insert(spark, sf_dir):
     stored = spark.table(TABLE[1]).select(F.lit("t").alias("table"), "fid", "num", F.lit(None).cast("int").alias("opt"),
                                           F.lit(0).cast("bigint").alias("last_update_ts"))
     path = work_dir(spark, "bench-insert")
-    save_bucketed(assign(stored, ids), path.rsplit("/", 1)[-1].replace("-", "_"), path, int(os.environ.get("BENCH_CPUS", "8")) * 4)
+    save_bucketed(assign(stored, ids, distinct=True), path.rsplit("/", 1)[-1].replace("-", "_"), path, int(os.environ.get("BENCH_CPUS", "8")) * 4)
     return spark.range(0)
 
 

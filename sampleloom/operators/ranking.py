@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sampleloom.functions.base import u01
-from sampleloom.functions.numeric import cross_entropy, sigmoid
+from sampleloom.functions.numeric import cross_entropy
 from sampleloom.operators.ordering import HOT_ROWS, first_in_key, largest_group, positions, running, with_totals
 from sampleloom.operators.pairs import TILE_ROWS, Pairs, map_pairs, tile_pairs
 

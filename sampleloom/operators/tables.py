@@ -47,7 +47,9 @@ def concat_initial(parts: Sequence[Column]) -> Column:
 
 # ---------------------------------------------------------------- upserts
 
-def _latest(updates: DataFrame, seq: str | None, ts: str) -> DataFrame:
+def _latest(updates: DataFrame, seq: str | None, ts: str, distinct: bool = False) -> DataFrame:
+    if distinct:
+        return updates.select(*KEY, V.doubles("num").alias("_new"), F.col(ts).alias("_ts"))
     order = F.col(seq) if seq is not None else F.struct(ts, V.doubles("num"))
     return updates.groupBy(*KEY).agg(F.max_by(V.doubles("num"), order).alias("_new"), F.max(ts).alias("_ts"))
 
@@ -57,10 +59,11 @@ def _joined(table: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def assign(table: DataFrame, updates: DataFrame, seq: str | None = None, ts: str = "ts",
-           skip_zero: bool = False) -> DataFrame:
+           skip_zero: bool = False, distinct: bool = False) -> DataFrame:
     """Set vectors; the last write of an id wins: the one with the largest ``seq`` or, without it, with the latest time
-    (at equal times the larger vector), so an id never gets two rows. With ``skip_zero`` an all-zero vector deletes."""
-    j = _joined(table, _latest(updates, seq, ts))
+    (at equal times the larger vector), so an id never gets two rows. ``distinct`` says that the updates hold each id once, which saves
+    finding its last write. With ``skip_zero`` an all-zero vector deletes."""
+    j = _joined(table, _latest(updates, seq, ts, distinct))
     out = j.select(*KEY, F.coalesce("_new", "num").alias("num"), "opt",
                    F.coalesce("_ts", "last_update_ts").alias("last_update_ts"), "_new")
     if skip_zero:

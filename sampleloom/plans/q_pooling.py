@@ -12,7 +12,7 @@ from sampleloom.operators import tables as E
 from sampleloom.operators.ordering import first_in_key
 from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import DIM, EMB, GRADS, ORDER_IDS, SAMPLES, w
-from sampleloom.plans.registry import ints, query, r6, s_ints, s_r6, s_vec, vec
+from sampleloom.plans.registry import query, r6, s_r6, s_vec, vec
 
 _LOOKED = """
 looked AS (

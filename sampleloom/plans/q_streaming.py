@@ -13,7 +13,7 @@ from sampleloom.operators import tables as E
 from sampleloom.operators.admission import slot_threshold
 from sampleloom.operators.joins import lookup_join
 from sampleloom.plans import bindings as bind
-from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, read, w
+from sampleloom.plans.bindings import DIM, EMB, SAMPLES, read, w
 from sampleloom.plans.q_negatives import CFG, _pool, wr
 from sampleloom.plans.q_tables import NOW, _show, _step_sql
 from sampleloom.plans.registry import INV, labs, query, r6, s_labs, s_r6, s_vec, vec

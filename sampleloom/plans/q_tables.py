@@ -10,9 +10,9 @@ from sampleloom.functions.optimizers import delay_compensated
 from sampleloom.operators import gradients as G
 from sampleloom.operators import tables as E
 from sampleloom.plans import bindings as bind
-from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, read, w
+from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, w
 from sampleloom.plans.q_pooling import _vec_of
-from sampleloom.plans.registry import query, r6, s_r6, s_u, s_vec, vec
+from sampleloom.plans.registry import query, s_u, s_vec, vec
 
 NOW = 1800000000
 
