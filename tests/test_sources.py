@@ -167,3 +167,27 @@ def test_bucketed_table_is_not_shuffled(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
+def test_shards_share_the_files(spark, tmp_path):
+    path = str(tmp_path / "files")
+    for i in range(5):
+        spark.range(i * 10, i * 10 + 10).coalesce(1).write.mode("append").parquet(path)
+    seen, files = [], []
+    for i in range(3):
+        df = PQ.shard_files(spark, path, 3, i)
+        files.append(set(df.inputFiles()))
+        seen += [r[0] for r in df.collect()]
+    assert sorted(seen) == list(range(50))
+    assert [len(f) for f in files] == [2, 2, 1] and len(set().union(*files)) == 5
+    assert PQ.shard_files(spark, path, 8, 7).count() == 0
+    with pytest.raises(ValueError):
+        PQ.shard_files(spark, path, 3, 3)
+
+
+def test_store_keeps_optimizer_state(spark, tmp_path):
+    rows = [("t", 1, [1.0], ([0.5],), 7), ("t", 2, [2.0], None, None)]
+    df = spark.createDataFrame(rows, "table string, fid bigint, num array<double>, opt struct<norm:array<double>>, last_update_ts bigint")
+    TS.table_save(df, str(tmp_path / "s"), buckets=2)
+    got = {r.fid: (r.num, r.opt and r.opt.norm, r.last_update_ts) for r in TS.table_restore(spark, str(tmp_path / "s")).collect()}
+    assert got == {1: ([1.0], [0.5], 7), 2: ([2.0], None, 0)}
