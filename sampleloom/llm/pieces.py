@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -25,11 +26,12 @@ from sampleloom.llm.tokens import slices
 
 SPACE = "▁"
 #: Words remembered in a worker process; at that number the older half is only kept as far as it is used again.
-REMEMBERED = 120_000
+REMEMBERED = 250_000
 #: Characters indexed at a time.
-INDEXED = 200_000
+INDEXED = 250_000
 #: Longer words are relaxed with a queue of their own instead of in common rounds.
 LONG = 200
+MARKS = ".,;:!?*#$%&|"
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -72,6 +74,9 @@ class Pieces:
         self.rank, self.levels = inv.astype(np.int64), len(levels)
         self.bytes = [bytes([int(x[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else " ⁇ ".encode() if sp.is_unknown(i)
                       else x.replace(SPACE, " ").encode() for i, x in enumerate(names)]
+        # marks that no piece joins to a letter or digit before them: a word is cut there, and merges never cross the cut
+        both = {names[i][k:k + 2] for i in self.ids for k in range(len(names[i]) - 1)}
+        self.marks = "".join(c for c in MARKS if not any(x[1] == c and x[0].isalnum() for x in both))
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -182,7 +187,7 @@ class Pieces:
                 out[w] += [self.byte[b] for b in c.encode("utf-8", "surrogatepass")]
             else:
                 out[w].append(self.unknown)
-        return [np.array(x, "<u4").tobytes() for x in out]
+        return [array("I", x).tobytes() for x in out]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cuts: list[list[str]] = []
@@ -217,8 +222,14 @@ class Pieces:
         if words:  # a NUL would end a word of the index: such words are done one by one around it
             odd = [w for w in words if "\0" in w]
             even = [w for w in words if "\0" not in w]
+            bare = {w: b for w in even if (b := w.rstrip(self.marks)) and b != w and b[-1].isalnum()}
+            heads = sorted({*bare.values(), *(w for w in even if w not in bare)} - self.known.keys())
+            tails = sorted({w[len(b):] for w, b in bare.items()})
             if even:
-                self.known.update(zip(even, self.segment([SPACE + w for w in even])))
+                done = self.segment([SPACE + w for w in heads] + tails)
+                self.known.update(zip(heads, done))
+                ends = dict(zip(tails, done[len(heads):]))
+                self.known.update((w, self.known[b] + ends[w[len(b):]]) for w, b in bare.items())
             nul = np.array([self.byte.get(0, self.unknown)], "<u4").tobytes()
             for w in odd:
                 parts = (SPACE + w).split("\0")
@@ -243,7 +254,7 @@ def encode_pieces(docs: DataFrame, text_col: str = "text", model: str | None = N
     path = model or public_tokenizers.path("piece_bpe_32k.model")
 
     def make(b: pa.RecordBatch) -> dict:
-        ids = [x for s in slices(b.column(text_col).to_pylist(), 1 << 20) for x in pieces(path).encode(s)]
+        ids = [x for s in slices(b.column(text_col).to_pylist(), 1 << 22) for x in pieces(path).encode(s)]
         return {"n_pieces": [len(x) // 4 for x in ids], "piece_ids": ids}
 
     return add_columns(docs, [text_col], "n_pieces long, piece_ids binary", make, keep)
