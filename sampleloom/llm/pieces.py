@@ -28,7 +28,7 @@ SPACE = "▁"
 #: Words remembered in a worker process; at that number the older half is only kept as far as it is used again.
 REMEMBERED = 250_000
 #: Characters indexed at a time.
-INDEXED = 250_000
+INDEXED = 200_000
 #: Longer words are relaxed with a queue of their own instead of in common rounds.
 LONG = 200
 MARKS = ".,;:!?*#$%&|"
@@ -254,7 +254,7 @@ def encode_pieces(docs: DataFrame, text_col: str = "text", model: str | None = N
     path = model or public_tokenizers.path("piece_bpe_32k.model")
 
     def make(b: pa.RecordBatch) -> dict:
-        ids = [x for s in slices(b.column(text_col).to_pylist(), 1 << 22) for x in pieces(path).encode(s)]
+        ids = [x for s in slices(b.column(text_col).to_pylist(), 1 << 20) for x in pieces(path).encode(s)]
         return {"n_pieces": [len(x) // 4 for x in ids], "piece_ids": ids}
 
     return add_columns(docs, [text_col], "n_pieces long, piece_ids binary", make, keep)
