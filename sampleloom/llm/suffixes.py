@@ -11,11 +11,14 @@ compared through the suffixes that start at anchors (one byte in about 35) with
    winner: unequal lengths decide without a look at the bytes, equal ones go on after the known prefix.
 4. Neighbours that share an anchor piece are compared as whole strings; the places that have an earlier equal go back to
    their documents.
+5. Anchors with very many different surroundings do not travel as suffixes: each group sends the 128-bit digests of the
+   strings around them, each once, to shards by digest, so that one anchor spreads over all shards.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,8 @@ LENGTH = 100
 GRAM = 32
 #: Documents whose anchors place the splitters. They set the balance of the ranges only, never the result.
 SPLIT_ROWS = 256
+#: An anchor with so many surroundings, counted by group, is compared by digests of its strings instead of in one range.
+HEAVY = 4000
 _U = np.uint64
 _LOW = _U(0xFFFFFFFF)
 
@@ -84,25 +89,37 @@ def in_order(t: pa.Table, key: str, text: str) -> pa.Table:
 
 
 def ask(t: pa.Table, buckets: int, length: int, gram: int) -> pa.Table:
-    """Distinct anchor hashes of a group for each bucket, and which of them it holds more than once."""
-    h, *_ = anchors(t["text"], length, gram)
-    keys, count = np.unique(h, return_counts=True)
+    """Distinct anchor hashes of a group for each bucket, which of them it holds more than once, and in how many surroundings."""
+    h, at, lo, hi = anchors(t["text"], length, gram)
+    keys, inv, count = np.unique(h, return_inverse=True, return_counts=True)
+    raw = columns(t["text"])[0].tobytes()
+    use = np.flatnonzero(count[inv] > 1)
+    different = {(k, a - p, raw[p:q + length]) for k, a, p, q in zip(inv[use].tolist(), at[use].tolist(), lo[use].tolist(), hi[use].tolist())}
+    around = np.bincount(np.array([k for k, _, _ in different], np.int64), minlength=len(keys)).astype("<u4")
     cut = np.searchsorted(keys, np.array([b * (1 << 64) // buckets for b in range(1, buckets)], _U))
     cut = [0, *cut.tolist(), len(keys)]
     gid = t["gid"][0].as_py()
-    rows = [(b, keys[i:j].tobytes(), np.packbits(count[i:j] > 1).tobytes()) for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
+    rows = [(b, keys[i:j].tobytes(), np.packbits(count[i:j] > 1).tobytes(), around[i:j][count[i:j] > 1].tobytes())
+            for b, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
     return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()), "gid": pa.array([gid] * len(rows), pa.int32()),
-                     "keys": pa.array([r[1] for r in rows], pa.binary()), "multi": pa.array([r[2] for r in rows], pa.binary())})
+                     "keys": pa.array([r[1] for r in rows], pa.binary()), "multi": pa.array([r[2] for r in rows], pa.binary()),
+                     "around": pa.array([r[3] for r in rows], pa.binary())})
 
 
-def answer(t: pa.Table) -> pa.Table:
-    """For each group of a bucket one bit for each of its hashes: whether it occurs elsewhere or more than once."""
+def answer(t: pa.Table, heavy: int = HEAVY) -> pa.Table:
+    """For each group of a bucket two bits for each of its hashes: whether it occurs elsewhere or more than once, and whether
+    it has ``heavy`` surroundings or more."""
     keys = [np.frombuffer(x.as_buffer(), _U) for x in t["keys"]]
     multi = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=len(k)) for x, k in zip(t["multi"], keys)]
+    around = [np.ones(len(k)) for k in keys]
+    for n, m, x in zip(around, multi, t["around"]):
+        n[m > 0] = np.frombuffer(x.as_buffer(), "<u4")
     _, inv = np.unique(np.concatenate(keys), return_inverse=True)
     again = np.bincount(inv, weights=np.concatenate(multi) + 1.0)[inv] > 1
+    many = again & (np.bincount(inv, weights=np.concatenate(around))[inv] >= heavy)
     cut = np.cumsum([len(k) for k in keys])[:-1]
-    return pa.table({"gid": t["gid"], "bucket": t["bucket"], "bits": pa.array([np.packbits(x).tobytes() for x in np.split(again, cut)], pa.binary())})
+    return pa.table({"gid": t["gid"], "bucket": t["bucket"], "bits": pa.array([np.packbits(x).tobytes() for x in np.split(again, cut)], pa.binary()),
+                     "heavy": pa.array([np.packbits(x).tobytes() for x in np.split(many, cut)], pa.binary())})
 
 
 def shared_prefix(a: bytes, b: bytes, known: int = 0) -> int:
@@ -130,20 +147,42 @@ def decoded(lcp: np.ndarray, size: np.ndarray, rest: bytes) -> list[bytes]:
     return keys
 
 
-def runs(t: pa.Table, bits: pa.Table, splitters: list[bytes], length: int, gram: int) -> pa.Table:
-    """Front-coded runs of a group's repeated suffixes for each range, and the repeats inside the group."""
+def joined(row: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+    """Starts of strings as runs of neighbours: row, first and last start."""
+    order = np.lexsort((at, row))
+    row, at = row[order], at[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row))[:len(first)] - 1
+    return {"row": row[first].astype(np.int32), "lo": at[first].astype(np.int64), "hi": at[last].astype(np.int64)}
+
+
+def digests(raw: bytes, lo: np.ndarray, hi: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the strings that start from ``lo`` to ``hi``, and their digests as two numbers each."""
+    n = hi - lo + 1
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+    out = bytearray()
+    for p in at:
+        out += blake2b(raw[p:p + length], digest_size=16).digest()
+    return at, np.frombuffer(bytes(out), "<u8").reshape(-1, 2)
+
+
+def runs(t: pa.Table, bits: pa.Table, splitters: list[bytes], parts: int, length: int, gram: int) -> pa.Table:
+    """Front-coded runs of a group's repeated suffixes for each range (kind 0), the repeats inside the group (kind 1), and the
+    first places of the strings at heavy anchors for each shard of their digests (kind 2)."""
     t = in_order(t, "doc_id", "text")
     data, off = columns(t["text"])
     h, at, lo, hi = anchors(t["text"], length, gram)
     keys, inv = np.unique(h, return_inverse=True)
     by = np.argsort(np.asarray(bits["bucket"])) if len(bits) else []
-    again = np.zeros(len(keys), bool)
+    again = many = np.zeros(len(keys), bool)
     if len(by):
-        flat = [np.frombuffer(bits["bits"][int(i)].as_buffer(), np.uint8) for i in by]
         sizes = [bits["n"][int(i)].as_py() for i in by]
-        again = np.concatenate([np.unpackbits(f, count=n) for f, n in zip(flat, sizes)]).astype(bool)
+        again, many = (np.concatenate([np.unpackbits(np.frombuffer(bits[c][int(i)].as_buffer(), np.uint8), count=n)
+                                       for i, n in zip(by, sizes)]).astype(bool) for c in ("bits", "heavy"))
     use = np.flatnonzero(again[inv])
-    h, at, lo, hi = h[use], at[use], lo[use], hi[use]
+    h, at, lo, hi, heavy = h[use], at[use], lo[use], hi[use], many[inv[use]]
     row = np.searchsorted(off, lo, "right") - 1
     raw = data.tobytes()
     # equal surroundings: the first stands for all of them
@@ -156,12 +195,27 @@ def runs(t: pa.Table, bits: pa.Table, splitters: list[bytes], length: int, gram:
             local.append(i)
     gid = t["gid"][0].as_py()
     loc = np.array(local, np.int64)
-    out = [(gid % (len(splitters) + 1), 1, pack(row=row[loc].astype(np.int32), lo=(lo - off[row])[loc], hi=(hi - off[row])[loc]))]
+    out = [(gid % parts, 1, pack(row=row[loc].astype(np.int32), lo=(lo - off[row])[loc], hi=(hi - off[row])[loc]))]
     ranges: dict[int, list] = {}
     for i in keep:
-        key = raw[at[i]:hi[i] + length]
-        ranges.setdefault(bisect_right(splitters, key[:16]), []).append((key, i))
+        if not heavy[i]:
+            key = raw[at[i]:hi[i] + length]
+            ranges.setdefault(bisect_right(splitters, key[:gram]), []).append((key, i))
     ids = np.asarray(t["doc_id"].fill_null(-(1 << 63)))
+    dense = np.array([i for i in keep if heavy[i]], np.int64)
+    if len(dense):
+        start, digest = digests(raw, lo[dense], hi[dense], length)
+        where = np.repeat(row[dense], (hi - lo + 1)[dense])
+        order = np.lexsort((start, digest[:, 1], digest[:, 0]))
+        start, digest, where = start[order] - off[where[order]], digest[order], where[order]
+        new = np.ones(len(digest), bool)
+        new[1:] = (digest[1:] != digest[:-1]).any(1)
+        out.append((gid % parts, 1, pack(**joined(where[~new], start[~new]))))
+        start, digest, where = start[new], digest[new], where[new]
+        shard = ((digest[:, 0] >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
+        cut = np.searchsorted(shard, np.arange(parts + 1))
+        out += [(p, 2, pack(digest=digest[i:j].tobytes(), doc=ids[where[i:j]], row=where[i:j].astype(np.int32), at=start[i:j].astype(np.int32)))
+                for p, (i, j) in enumerate(zip(cut, cut[1:])) if j > i]
     for r, found in ranges.items():
         found.sort()
         order = np.array([i for _, i in found], np.int64)
@@ -254,14 +308,17 @@ def repeated(group: list[tuple], length: int) -> list[tuple[tuple, int, int]]:
 
 
 def merge_range(t: pa.Table, length: int, gram: int) -> pa.Table:
-    """Repeats of one range, by document group; the repeats found inside groups pass through."""
-    out_gid, out_blob, keys, lcps, side = [], [], [], [], []
+    """Repeats of one range and of one shard of digests, by document group; the repeats found inside groups pass through."""
+    out_gid, out_blob, keys, lcps, side, sent = [], [], [], [], [], []
     for gid, kind, blob in zip(t["gid"].to_pylist(), t["kind"].to_pylist(), t["blob"]):
         if kind == 1:
             out_gid.append(gid)
             out_blob.append(blob.as_py())
             continue
         x = unpack(blob.as_py())
+        if kind == 2:
+            sent.append((np.frombuffer(x["digest"], "<u8").reshape(-1, 2), x["doc"], np.full(len(x["doc"]), gid), x["row"], x["at"]))
+            continue
         cut = np.concatenate([[0], np.cumsum(x["left_size"])]).tolist()
         lefts = [x["left"][i:j] for i, j in zip(cut, cut[1:])]
         keys.append(decoded(x["lcp"], x["size"], x["rest"]))
@@ -287,9 +344,25 @@ def merge_range(t: pa.Table, length: int, gram: int) -> pa.Table:
         a = np.array(rows, np.int64)
         out_gid.append(gid)
         out_blob.append(pack(row=a[:, 0].astype(np.int32), lo=a[:, 1], hi=a[:, 2]))
+    for gid, blob in later(sent) if sent else ():
+        out_gid.append(gid)
+        out_blob.append(blob)
     return pa.table({"gid": pa.array(out_gid, pa.int32()), "blob": pa.array(out_blob, pa.binary())})
 
 
+def later(sent: list[tuple[np.ndarray, ...]]) -> list[tuple[int, bytes]]:
+    """Groups and places of the strings that another group holds earlier, from (digests, doc, gid, row, at) of each group."""
+    digest, doc, gid, row, at = (np.concatenate(x) for x in zip(*sent))
+    order = np.lexsort((gid, doc, digest[:, 1], digest[:, 0]))
+    digest = digest[order]
+    hit = np.zeros(len(order), bool)
+    hit[1:] = (digest[1:] == digest[:-1]).all(1)
+    hit = order[hit]
+    hit = hit[np.argsort(gid[hit], kind="stable")]
+    cuts = np.flatnonzero(np.diff(gid[hit])) + 1
+    return [(int(gid[x[0]]), pack(**joined(row[x], at[x]))) for x in np.split(hit, cuts) if len(x)]
+
+
 def cut_out(t: pa.Table, hits: pa.Table, length: int, extra: list[str]) -> pa.Table:
     """Rows of a group with the removed byte spans, the bytes that stay, and their text without halves of characters."""
     t = in_order(t, "doc_id", "text")
@@ -326,7 +399,7 @@ def cut_out(t: pa.Table, hits: pa.Table, length: int, extra: list[str]) -> pa.Ta
 
 
 def split_points(docs: DataFrame, parts: int, length: int, gram: int) -> list[bytes]:
-    """At most ``parts`` - 1 sixteen-byte keys that cut the suffixes of a bounded sample of documents evenly."""
+    """At most ``parts`` - 1 keys of ``gram`` bytes that cut the suffixes of a bounded sample of documents evenly."""
     sample = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SPLIT_ROWS).select("text")
 
     def heads(batches):
@@ -335,7 +408,7 @@ def split_points(docs: DataFrame, parts: int, length: int, gram: int) -> list[by
             data, _ = columns(column)
             _, at, *_ = anchors(column, length, gram)
             at = at[:: max(1, len(at) // 4096)]
-            yield pa.RecordBatch.from_arrays([pa.array([data[i:i + 16].tobytes() for i in at], pa.binary())], names=["head"])
+            yield pa.RecordBatch.from_arrays([pa.array([data[i:i + gram].tobytes() for i in at], pa.binary())], names=["head"])
 
     found = sorted({bytes(r["head"]) for r in sample.mapInArrow(heads, "head binary").collect()})
     n = min(parts - 1, len(found))
@@ -343,13 +416,14 @@ def split_points(docs: DataFrame, parts: int, length: int, gram: int) -> list[by
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                   groups: int | None = None, keep: list[str] | None = None) -> DataFrame:
+                   groups: int | None = None, keep: list[str] | None = None, heavy: int = HEAVY) -> DataFrame:
     """``doc_id``, the columns ``keep`` as ``keep_0, keep_1, ...``, and ``text, n_bytes, n_removed, spans, kept``: each text as
     bytes without those covered by a string of ``length`` bytes that also starts earlier (smaller id, or the same document
     further left), judged on the input; ``text`` is ``kept`` without halves of cut characters.
 
     ``spans`` are the maximal removed (start, end) runs. A null text is an empty one; shorter texts lose nothing. A null id
-    comes before all others; rows with one id are ordered by text. Other columns are not read.
+    comes before all others; rows with one id are ordered by text. Other columns are not read. ``heavy`` sets how many surroundings
+    of an anchor one task compares, never the result.
     """
     extra = [f"keep_{i}" for i in range(len(keep or []))]
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -357,15 +431,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n = groups or group_count(total_bytes(d, "text"))
     splitters = split_points(d, n, length, gram)
     d = grouped(d, "doc_id", n)
-    asked = d.groupBy("gid").applyInArrow(light(lambda t: ask(t, n, length, gram)), schema_of("bucket int, gid int, keys binary, multi binary"))
+    asked = d.groupBy("gid").applyInArrow(light(lambda t: ask(t, n, length, gram)), schema_of("bucket int, gid int, keys binary, multi binary, around binary"))
     asked = asked.withColumn("n", (F.octet_length("keys") / 8).cast("int"))
 
     def reply(t: pa.Table) -> pa.Table:
-        return answer(t).append_column("n", t["n"])
+        return answer(t, heavy).append_column("n", t["n"])
 
-    replies = asked.groupBy("bucket").applyInArrow(light(reply), schema_of("gid int, bucket int, bits binary, n int"))
+    replies = asked.groupBy("bucket").applyInArrow(light(reply), schema_of("gid int, bucket int, bits binary, heavy binary, n int"))
     sent = d.groupBy("gid").cogroup(replies.groupBy("gid")).applyInArrow(
-        light(lambda a, b: runs(a, b, splitters, length, gram) if len(a) else _no_runs()), schema_of("part int, gid int, kind int, blob binary"))
+        light(lambda a, b: runs(a, b, splitters, n, length, gram) if len(a) else _no_runs()), schema_of("part int, gid int, kind int, blob binary"))
     hits = sent.groupBy("part").applyInArrow(light(lambda t: merge_range(t, length, gram)), schema_of("gid int, blob binary"))
     out = T.StructType([d.schema[c] for c in ("doc_id", *extra)] +
                        list(schema_of("text string, n_bytes long, n_removed long, spans array<array<long>>, kept binary")))
