@@ -23,10 +23,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 K = BANDS * ROWS
-#: Pairs of different components are checked exactly from this estimate on; 0.8 is three standard errors above it.
-LIKELY = 0.67
 #: Largest part of a bucket that one task compares; a larger one is dealt as pairs of parts.
 TILE = 2000
+#: Places of shingles that a task looks at together.
+BLOCK = 1 << 20
 _U = np.uint64
 
 
@@ -121,27 +121,24 @@ def signatures(c: Chunk, k: int = K) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, copy, bands, sketch``: a digest of the text, the band keys, and 16 bits of each coordinate (null without words)."""
+    """``doc_id, copy, bands``: a digest of the text and the band keys (null without words)."""
     d = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     d = d.select("doc_id", F.md5("text").alias("copy"), "text")
     kind = d.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            bands, sketch = [], []
+            bands = []
             for c in chunks(b.column(2)):
                 sig, some = signatures(c)
                 key = np.zeros((c.n, BANDS), _U)
                 for r in range(ROWS):
                     key = mix(key + sig[:, r::ROWS])
-                low = (sig & _U(0xFFFF)).astype(np.uint16)
                 bands += [x.astype(np.int64).tolist() if s else None for x, s in zip(key.view(np.int64), some)]
-                sketch += [x.tobytes() if s else None for x, s in zip(low, some)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                                             names=["doc_id", "copy", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "copy", "bands"])
         release()
 
-    return d.mapInArrow(run, schema_of(f"doc_id {kind}, copy string, bands array<long>, sketch binary"))
+    return d.mapInArrow(run, schema_of(f"doc_id {kind}, copy string, bands array<long>"))
 
 
 def _shingle_sets(df: DataFrame) -> DataFrame:
@@ -191,11 +188,46 @@ def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, schema_of(f"a {kind}, b {kind}, linked boolean"))
 
 
+class Sets:
+    """Shingle sets of the rows of a task with an index from each shingle to its rows."""
+
+    def __init__(self, parts: list[bytes]):
+        self.parts = parts
+        keys, counts = zip(*map(_set, parts))
+        size = np.array([len(k) for k in keys])
+        self.total = np.array([n.sum() for n in counts])
+        self.off = np.concatenate([[0], np.cumsum(size)])
+        key = np.concatenate(keys)
+        order = np.argsort(key, kind="stable")
+        self.row, self.count = np.repeat(np.arange(len(parts), dtype=np.int32), size)[order], np.concatenate(counts).astype(np.int32)[order]
+        key = key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        self.place = np.empty(len(key), np.int32)
+        self.place[order] = np.arange(len(key), dtype=np.int32)
+        self.first = np.flatnonzero(new).astype(np.int32)[np.cumsum(new) - 1]
+
+    def similar(self, r: int, others: np.ndarray) -> np.ndarray:
+        """Exact weighted Jaccard similarity of row ``r`` with each of some rows before it."""
+        place = self.place[self.off[r]:self.off[r + 1]]
+        n = (place - self.first[place]).astype(np.int64)  # rows before r that hold the shingle
+        end = np.cumsum(n)
+        if len(others) << 11 < end[-1]:
+            return np.array([weighted_jaccard(self.parts[h], self.parts[r]) for h in others])
+        common = np.zeros(r)
+        cut = np.unique(np.append(np.searchsorted(end, np.arange(0, end[-1], BLOCK)), len(n)))
+        for i, j in zip(cut, cut[1:]):
+            m = n[i:j]
+            at = np.arange(m.sum()) + np.repeat(self.first[place[i:j]] - (np.cumsum(m) - m), m)
+            common += np.bincount(self.row[at], np.minimum(self.count[at], np.repeat(self.count[place[i:j]], m)), r)
+        common = common[others]
+        return common / (self.total[r] + self.total[others] - common)
+
+
 def _links_between(rows: DataFrame, similarity: float) -> DataFrame:
-    """Links ``a, b`` between different components in the same bucket, from rows ``band, key, doc_id, root, sketch, parts``.
+    """Links ``a, b`` between different components in the same bucket, from rows ``band, key, doc_id, root, parts``.
 
-    A row is compared with those before it that belong to other components, the likeliest first and exactly; a link joins the
-    components at once, so a bucket gives fewer links than it has rows. A bucket above ``TILE`` rows is dealt into parts, and
+    A row is compared exactly with all those before it that belong to other components; a link joins the components at once, so a bucket gives fewer links than it has rows. A bucket above ``TILE`` rows is dealt into parts, and
     each task compares two of them."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     size = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"))
@@ -204,24 +236,23 @@ def _links_between(rows: DataFrame, similarity: float) -> DataFrame:
     dealt = rows.join(size, ["band", "key"]).withColumn("tiles", tiles).withColumn("mine", mine)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("band", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "doc_id", "root",
-                         "sketch", "parts")
+                         "parts")
 
     def compare(t: pa.Table) -> pa.Table:
         ids = np.array(t["doc_id"].to_pylist(), object)
         order = np.argsort(ids, kind="stable")
-        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint16).reshape(len(t), -1)[order]
         parts = t["parts"].to_pylist()
-        parts = [parts[i] for i in order]
+        sets = Sets([parts[i] for i in order])
         ids, mine = ids[order], np.asarray(t["mine"])[order]
         _, of = np.unique(np.array(t["root"].to_pylist(), object)[order], return_inverse=True)
         across = t["i"][0].as_py() != t["j"][0].as_py()  # pairs inside a part are the business of its own task
         a, b = [], []
         for r in range(1, len(ids)):
             other = np.flatnonzero((of[:r] != of[r]) & (mine[:r] != mine[r] if across else True))
-            got = (sketch[other] == sketch[r]).mean(1)
-            near = np.flatnonzero(got >= LIKELY)
-            for h in other[near[np.argsort(-got[near], kind="stable")]]:
-                if of[h] != of[r] and weighted_jaccard(parts[h], parts[r]) >= similarity:
+            if not len(other):
+                continue
+            for h in other[sets.similar(r, other) >= similarity]:
+                if of[h] != of[r]:
                     a.append(ids[h])
                     b.append(ids[r])
                     of[of == of[r]] = of[h]
@@ -260,7 +291,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     _signed(docs, id_col, text_col).write.parquet(path)
     signed = spark.read.parquet(path)
     # exact copies count once from here on
-    texts = signed.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
+    texts = signed.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"))
     texts = settled(texts)
     each = texts.where("bands is not null and doc_id is not null").select("doc_id", F.posexplode("bands").alias("band", "key"))
     buckets = each.groupBy("band", "key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -278,7 +309,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = members.select("band", "key", F.col("b").alias("doc_id")).union(members.select("band", "key", "a").distinct())
     whole = whole.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     open_ = whole.groupBy("band", "key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("band", "key")
-    rows = whole.join(open_, ["band", "key"]).join(texts.select("doc_id", "sketch"), "doc_id").join(sets, "doc_id")
+    rows = whole.join(open_, ["band", "key"]).join(sets, "doc_id")
     more = settled(_links_between(rows, similarity))
     roots = components(links.union(more))
     heads = texts.select("copy", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(

@@ -83,6 +83,46 @@ def test_buckets_are_dealt_in_parts(spark, monkeypatch):
         assert {r.node: r.root for r in M.components(links).collect()} == {i: 1 for i in range(1, 13)}
 
 
+def test_pair_below_its_estimate_is_linked(spark):
+    """Two texts of similarity 0.8 behind a head like neither: few equal coordinates do not lose the link."""
+    rnd = random.Random(4)
+    pairs = []
+    for _ in range(3000):
+        w = words(rnd, 104)
+        pairs += [" ".join(w[:94]), " ".join(w[10:])]
+    sig = np.concatenate([M.signatures(c)[0] for c in chunks(pa.array(pairs))])
+    agree = (sig[::2] == sig[1::2]).mean(1)
+    k = 2 * int(np.argmin(agree))
+    a, b = bag(pairs[k]), bag(pairs[k + 1])
+    assert agree.min() < 0.65 and 5 * sum((a & b).values()) >= 4 * sum((a | b).values())
+    rows = [(0, " ".join(words(rnd, 94))), (1, pairs[k]), (2, pairs[k + 1])]
+    low = (M.signatures(next(chunks(pa.array([t for _, t in rows]))))[0] & np.uint64(0xFFFF)).astype(np.uint16)
+    sets = M._shingle_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    bucket = spark.createDataFrame([(0, 1, i, i, bytearray(x.tobytes())) for (i, _), x in zip(rows, low)],
+                                   "band int, key long, doc_id long, root long, sketch binary")
+    assert [tuple(r) for r in M._links_between(bucket.join(sets, "doc_id"), 0.8).collect()] == [(1, 2)]
+
+
+def test_similarities_of_many_rows():
+    """The index gives what each pair gives, with counts, in blocks and pair by pair."""
+    texts = [t for _, t in made() if t]
+    parts = []
+    for c in chunks(pa.array(texts)):
+        key, doc, count = M.shingles(c)
+        for i in range(c.n):
+            k, n = key[doc == i] >> np.uint64(24), count[doc == i].astype("<u4")
+            parts.append((k & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (k >> np.uint64(32)).astype(np.uint8).tobytes() + n.tobytes())
+    sets = M.Sets(parts)
+    for block in (M.BLOCK, 7):
+        old, M.BLOCK = M.BLOCK, block
+        try:
+            for r in range(1, len(parts), 5):
+                want = [M.weighted_jaccard(parts[h], parts[r]) for h in range(r)]
+                assert sets.similar(r, np.arange(r)).tolist() == want
+        finally:
+            M.BLOCK = old
+
+
 def test_odd_rows_and_stage(spark):
     df = frame(spark)
     got = M.near_duplicates(df)
