@@ -110,9 +110,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", mark: str = "[SECRET]") -> DataFrame:
     """Rows of ``docs`` with ``mark`` in place of each live or shared candidate; widely copied examples stay as they are.
-    Overlapping spans become one mark. Rows without such spans are unchanged, null texts too."""
-    found = scan_secrets(docs, text_col=text_col, owner_col=owner_col, keep=docs.columns)
-    text = F.col(text_col)
+    Overlapping spans become one mark. Rows without such spans are unchanged, null texts too. All columns stay, one named
+    ``spans`` too."""
+    named = {c: f"column_{i}" for i, c in enumerate(docs.columns)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in named.items()])
+    found = scan_secrets(plain, named["doc_id"], named[text_col], named[owner_col], named["doc_id"], keep=plain.columns)
+    text = F.col(named[text_col])
     bad = F.filter("spans", lambda x: x["class"] != "example")
 
     def step(acc: Column, x: Column) -> Column:
@@ -123,7 +126,8 @@ def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", m
 
     clean = F.aggregate(bad, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return found.withColumn(text_col, F.when(F.size(bad) > 0, clean).otherwise(text)).drop("spans")
+    found = found.withColumn(named[text_col], F.when(F.size(bad) > 0, clean).otherwise(text))
+    return found.select(*[F.col(k).alias(c) for c, k in named.items()])
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,3 +66,11 @@ def test_odd_rows(spark):
     assert S.scan_secrets(empty(spark)).count() == 0
     out = S.redact(df.drop("spans"))
     assert out.columns == df.drop("spans").columns and out.where(F.col("text").isNull()).count() == 1
+
+
+def test_redact_keeps_a_column_named_spans(spark):
+    df = frame(spark)
+    out = S.redact(df)
+    assert out.columns == df.columns and {r.spans for r in out.collect()} == {"old"}
+    staged = S.secrets_stage(spark, df.withColumn("n_chars", F.length("text").cast("long")), SF)
+    assert staged.columns == [*df.columns, "n_chars"] and {r.spans for r in staged.collect()} == {"old"}
