@@ -20,7 +20,7 @@ from sampleloom.llm.registry import query
 from sampleloom.llm.textnum import Chunk, chunks, mix
 
 #: Most documents of each class that the models learn from.
-FIT_ROWS = 2500
+FIT_ROWS = 4000
 THRESHOLD = 0.3
 DISCOUNT = 0.75
 STRONG, MILD = 2.5, 1.2

@@ -36,3 +36,7 @@ def test_a_copied_passage_counts_once():
     once = X.kneser_ney(word, np.zeros(8, int), np.array([1, 0]))
     often = X.kneser_ney(np.tile(word, 50), np.repeat(np.arange(50), 8), np.array([1] * 50 + [0]))
     assert np.allclose(once.word.get(word), often.word.get(word))
+
+
+def test_sample_is_not_cut_for_memory():
+    assert X.FIT_ROWS >= 4000
