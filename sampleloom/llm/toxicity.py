@@ -1,8 +1,10 @@
 """Toxicity by class-conditional Kneser-Ney models of word pairs.
 
-One model learns from toxic documents, one from ordinary ones. Both back off through the same shared counts, so an
-expression that is rare in both costs both nearly the same. A document is judged by the length-normalised difference
-of the two log-likelihoods, over the whole text and over its strongest words, through a calibrated logistic line.
+One model learns from toxic documents, one from ordinary ones. Both back off through the same shared counts. Pairs that
+are rare over both classes are left to that backoff. What discounting takes from the words of a class goes back to words
+of about the same shared count: a rare word that only one class has seen costs both nearly the same, a frequent one does
+not. A document is judged by the length-normalised difference of its log-likelihoods and by its strongest words, however
+long the text around them, through a calibrated logistic line.
 """
 
 from __future__ import annotations
@@ -23,7 +25,14 @@ from sampleloom.llm.textnum import Chunk, chunks, mix
 FIT_ROWS = 4000
 THRESHOLD = 0.3
 DISCOUNT = 0.75
-STRONG, MILD = 2.5, 1.2
+#: Share of words that no class has seen.
+UNSEEN = 0.02
+#: Pairs need so many places over both classes for counts of their own.
+PAIR_COUNT = 3
+#: Difference of log-likelihoods from which a word is strong evidence.
+STRONG = 2.0
+TOP = 3
+RIDGE = 0.5
 CHUNK = 4 << 20
 _U = np.uint64
 _START = _U(0x5851F42D4C957F2D)
@@ -91,27 +100,26 @@ class Slots:
 class KneserNey:
     """Discounted shares and backoff weights in the columns toxic, ordinary, shared.
 
-    A word after another: class pairs, then shared pairs, then the class words by their distinct left neighbours, then the
-    shared words likewise, then the uniform floor.
+    A word after another: class pairs, then shared pairs, then the words of the class by their distinct left neighbours.
+    ``word`` holds the finished probabilities of words; a word that no class has seen has ``floor`` in both.
     """
 
     pair: Slots
     context: Slots
     word: Slots
-    rest: np.ndarray
-    floor: float
 
-    def llr(self, c: Chunk) -> np.ndarray:
-        """Log-likelihood difference (toxic minus ordinary) of each word of a plain chunk."""
+    def shares(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of each word of a plain chunk after its left neighbour, toxic and ordinary."""
         w = c.word_hash
         prev, both = pairs(w, c.words[2])
-        a1, a2, g = self.word.get(w), self.pair.get(both), self.context.get(prev)
-        shared = a1[:, 2] + self.rest[2] * self.floor
-        p = []
-        for k in (0, 1):
-            one = a1[:, k] + self.rest[k] * shared
-            p.append(a2[:, k] + g[:, k] * (a2[:, 2] + g[:, 2] * one))
-        return np.log(p[0]) - np.log(p[1])
+        one, two, g = self.word.get(w), self.pair.get(both), self.context.get(prev)
+        p, q = (two[:, k] + g[:, k] * (two[:, 2] + g[:, 2] * one[:, k]) for k in (0, 1))
+        return p, q
+
+    def llr(self, c: Chunk) -> np.ndarray:
+        """Log-likelihood difference (toxic minus ordinary) of each word of a plain chunk."""
+        p, q = self.shares(c)
+        return np.log(p) - np.log(q)
 
 
 def _sums(keys: np.ndarray, label: np.ndarray, add: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,15 +139,32 @@ def kneser_ney(word: np.ndarray, doc: np.ndarray, label: np.ndarray) -> KneserNe
     v, w = prev[one], word[one]
     ctx, inv = np.unique(v, return_inverse=True)
     total = np.column_stack([np.bincount(inv, weights=n2[:, k], minlength=len(ctx)) for k in range(3)])
-    kinds = np.column_stack([np.bincount(inv, weights=n2[:, k] > 0, minlength=len(ctx)) for k in range(3)])
-    gamma = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
     alpha2 = np.maximum(n2 - DISCOUNT, 0) / np.maximum(total[inv], 1)
+    often = n2[:, 2] >= PAIR_COUNT
+    alpha2[~often] = 0
+    gamma = 1 - np.column_stack([np.bincount(inv, weights=alpha2[:, k], minlength=len(ctx)) for k in range(3)])
+    kept = np.unique(inv[often])
     # words by distinct left neighbours: a passage that is copied a thousand times counts once
     words, inv = np.unique(w, return_inverse=True)
     left = np.column_stack([np.bincount(inv, weights=n2[:, k] > 0, minlength=len(words)) for k in range(3)])
-    sums = np.maximum(left.sum(0), 1)
-    return KneserNey(Slots.of(pair, alpha2, 0.0), Slots.of(ctx, gamma, 1.0), Slots.of(words, np.maximum(left - DISCOUNT, 0) / sums, 0.0),
-                     np.where(left.sum(0) > 0, DISCOUNT * (left > 0).sum(0) / sums, 1.0), 1 / max(1000, 2 * len(words)))
+    floor = 1 / max(1000, 2 * len(words))
+    return KneserNey(Slots.of(pair[often], alpha2[often], 0.0), Slots.of(ctx[kept], gamma[kept], 1.0),
+                     Slots.of(words, word_shares(left, floor), floor * UNSEEN))
+
+
+def word_shares(left: np.ndarray, floor: float) -> np.ndarray:
+    """Probabilities of words from their distinct left neighbours in both classes and over both (the last column).
+
+    Words are put in bins by the power of two of the shared count. A class gives the words of a bin, in proportion to their
+    shared counts, what discounting took from its own words there; a bin that it has not seen gets a half discount."""
+    _, of = np.unique(np.log2(left[:, 2]).astype(int), return_inverse=True)
+    shared = np.bincount(of, weights=left[:, 2])
+    out = np.zeros((len(left), 3))
+    for k in range(3):
+        taken = DISCOUNT * np.maximum(np.bincount(of, weights=left[:, k] > 0), 0.5)
+        mass = np.maximum(left[:, k] - DISCOUNT, 0) + taken[of] * left[:, 2] / shared[of]
+        out[:, k] = mass / max(1, mass.sum())
+    return out * (1 - UNSEEN) + floor * UNSEEN
 
 
 @dataclass
@@ -155,40 +180,46 @@ class ToxicModel:
 
 
 def features(lm: KneserNey, c: Chunk) -> np.ndarray:
-    """For each text: mean difference per word, shares of strongly and of mildly toxic words, and its three strongest words."""
+    """For each text: mean difference per word, share and number of strongly toxic words, and the strongest words. The
+    last four do not thin out in a long text."""
     c = plain(c)
     start, _, doc = c.words
-    out = np.zeros((c.n, 6))
+    out = np.zeros((c.n, 3 + TOP))
     if not len(start):
         return out
     s = lm.llr(c)
     count = np.bincount(doc, minlength=c.n)
-    n = np.maximum(1, count)
-    out[:, 0] = np.bincount(doc, weights=s, minlength=c.n) / n
-    out[:, 1] = np.sqrt(np.bincount(doc, weights=s > STRONG, minlength=c.n) / n)
-    out[:, 2] = np.sqrt(np.bincount(doc, weights=s > MILD, minlength=c.n) / n)
-    first = np.cumsum(count) - count
-    for k in range(3):  # the strongest word, then the strongest of the rest
-        at = np.maximum.reduceat(s, first[count > 0]) if (count > 0).any() else np.zeros(0)
+    first, some = np.cumsum(count) - count, count > 0
+    strong = np.bincount(doc, weights=s > STRONG, minlength=c.n)
+    out[:, 0] = np.bincount(doc, weights=s, minlength=c.n) / np.maximum(1, count)
+    out[:, 1] = np.sqrt(strong / np.maximum(1, count))
+    out[:, 2] = np.log1p(strong)
+    for k in range(TOP):  # the strongest word, then the strongest of the rest
         top = np.full(c.n, -4.0)
-        top[count > 0] = at
-        has = count > k
-        out[has, 3 + k] = np.clip(top[has], -4, 8)
+        top[some] = np.maximum.reduceat(s, first[some])
+        out[count > k, 3 + k] = np.clip(top[count > k], -4, 8)
         hit = np.flatnonzero(s == top[doc])
         _, one = np.unique(doc[hit], return_index=True)
-        s = s.copy()
         s[hit[one]] = -9.0
     return out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.5] * (len(w) - 1) + [0.01])
-        w += np.linalg.solve(hess, x.T @ (y - p) - np.array([0.5] * (len(w) - 1) + [0.01]) * w)
-    return w
+    """Weights and offset of a logistic line in which more toxic evidence never lowers the score: columns whose weight
+    would be negative are left out."""
+    use = np.arange(x.shape[1])
+    while True:
+        z = np.column_stack([x[:, use], np.ones(len(x))])
+        ridge = np.array([RIDGE] * len(use) + [0.01])
+        w = np.zeros(len(ridge))
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (y - p) - ridge * w)
+        if (w[:-1] >= 0).all():
+            out = np.zeros(x.shape[1] + 1)
+            out[use], out[-1] = w[:-1], w[-1]
+            return out
+        use = np.delete(use, w[:-1].argmin())
 
 
 def fit(texts: pa.ChunkedArray, y: np.ndarray, prior: float) -> ToxicModel:
@@ -214,9 +245,10 @@ def fit(texts: pa.ChunkedArray, y: np.ndarray, prior: float) -> ToxicModel:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                  rows: int = FIT_ROWS) -> ToxicModel | None:
     """Model from at most ``rows`` documents of each class, those with the smallest id hashes; None without labels.
-    Rows with a null id or label are no examples; a null text is an empty one."""
+    Rows with a null id or label and ids with both labels are no examples; a null text is an empty one."""
     l = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y"))
-    l = l.where("__id is not null and __y in (0, 1)").dropDuplicates(["__id"])
+    l = l.where("__id is not null and __y in (0, 1)").groupBy("__id").agg(F.min("__y").alias("__y"), F.max("__y").alias("__z"))
+    l = l.where("__y = __z").drop("__z")
     shares = {r["__y"]: r["count"] for r in l.groupBy("__y").count().collect()}
     prior = min(0.99, max(0.01, shares.get(1, 0) / max(1, sum(shares.values()))))
     sample = smallest(l.where("__y = 1"), "__id", rows).unionByName(smallest(l.where("__y = 0"), "__id", rows))
