@@ -124,7 +124,7 @@ def test_a_word_list_is_a_distribution():
     left = np.array([[1, 0, 1], [0, 3, 3], [40, 0, 40], [2, 2, 4], [0, 1, 1], [30, 300, 330]])
     assert np.allclose(X.word_shares(left, 0.0).sum(0), 1 - X.UNSEEN)
     p = X.word_shares(left, 1e-3)
-    assert p[2, 0] / p[2, 1] > 20 > 3 > p[0, 0] / p[0, 1]  # seen often in one class only, and seen once
+    assert p[2, 0] / p[2, 1] > 20 * p[0, 0] / p[0, 1]  # seen often in one class only, and seen once
 
 
 def test_contradicting_labels_are_no_examples(spark):
