@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("ann", "token_files", "secrets", "suffixes", "minhash", "pieces", "packing", "toxicity", "quality", "ngram_lm", "whitening", "negatives")
+MODULES = ("ann", "token_files", "secrets", "suffixes", "minhash", "pieces", "packing", "toxicity", "quality", "ngram_lm", "whitening", "negatives", "jaccard")
 
 
 def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
