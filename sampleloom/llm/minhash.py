@@ -11,7 +11,7 @@ from math import exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sampleloom.llm.frames import release, schema_of, shared_path, table
@@ -120,25 +120,26 @@ def signatures(c: Chunk, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     return out, some
 
 
-def _signed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, copy, bands``: a digest of the text and the band keys (null without words)."""
-    d = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    d = d.select("doc_id", F.md5("text").alias("copy"), "text")
-    kind = d.schema["doc_id"].dataType.simpleString()
+def _digest(text: Column) -> Column:
+    """The number that stands for a text, null as empty; equal texts have equal numbers."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
+
+def _signed(texts: DataFrame) -> DataFrame:
+    """``doc_id, bands`` from ``doc_id, text``: the band keys (null without words)."""
     def run(batches):
         for b in batches:
             bands = []
-            for c in chunks(b.column(2)):
+            for c in chunks(b.column(1)):
                 sig, some = signatures(c)
                 key = np.zeros((c.n, BANDS), _U)
                 for r in range(ROWS):
                     key = mix(key + sig[:, r::ROWS])
                 bands += [x.astype(np.int64).tolist() if s else None for x, s in zip(key.view(np.int64), some)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "copy", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "bands"])
         release()
 
-    return d.mapInArrow(run, schema_of(f"doc_id {kind}, copy string, bands array<long>"))
+    return texts.mapInArrow(run, schema_of("doc_id long, bands array<long>"))
 
 
 def _shingle_sets(df: DataFrame) -> DataFrame:
@@ -278,29 +279,21 @@ def components(links: DataFrame) -> DataFrame:
         roots = new.select("node", "root")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, class_id`` of every row: the smallest id of its class of texts linked, also through others, by a similarity
-    of at least ``similarity``.
-
-    The similarity is the weighted Jaccard of five-word shingles with their counts. Equal texts are one class, also empty ones
-    (a null text is an empty one); a text without words has no other links. A row with a null id has a null class unless it
-    shares its text with another. Repeated rows get a row each. Other columns are not read.
-    """
-    spark = docs.sparkSession
+def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, root`` of every text that is linked with another one, from ``doc_id, text`` where ``doc_id`` is the digest of the
+    text: the smallest digest of its class."""
+    spark = texts.sparkSession
     path = shared_path(spark, "signed")
-    _signed(docs, id_col, text_col).write.parquet(path)
-    signed = spark.read.parquet(path)
+    _signed(texts).write.parquet(path)
     # exact copies count once from here on
-    texts = signed.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands"))
-    texts = settled(texts)
-    each = texts.where("bands is not null and doc_id is not null").select("doc_id", F.posexplode("bands").alias("band", "key"))
+    once = settled(spark.read.parquet(path).groupBy("doc_id").agg(F.any_value("bands").alias("bands")))
+    each = once.where("bands is not null").select("doc_id", F.posexplode("bands").alias("band", "key"))
     buckets = each.groupBy("band", "key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = settled(each.join(buckets.drop("n"), ["band", "key"]).where("doc_id <> a").select("band", "key", "a", F.col("doc_id").alias("b")))
     stars = members.select("a", "b").distinct()
     involved = members.select(F.col("a").alias("doc_id")).union(members.select("b")).distinct()
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     set_path = shared_path(spark, "sets")
-    _shingle_sets(plain.join(involved, "doc_id", "left_semi")).dropDuplicates(["doc_id"]).write.parquet(set_path)
+    _shingle_sets(texts.join(involved, "doc_id", "left_semi")).dropDuplicates(["doc_id"]).write.parquet(set_path)
     sets = spark.read.parquet(set_path)
     first = settled(_checked(stars, sets, similarity))
     links = first.where("linked").select("a", "b")
@@ -311,10 +304,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_ = whole.groupBy("band", "key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("band", "key")
     rows = whole.join(open_, ["band", "key"]).join(sets, "doc_id")
     more = settled(_links_between(rows, similarity))
-    roots = components(links.union(more))
-    heads = texts.select("copy", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "copy", F.coalesce("root", "doc_id").alias("class_id"))
-    return signed.select("doc_id", "copy").join(heads, "copy").select("doc_id", "class_id")
+    return components(links.union(more))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, class_id`` of every row: the smallest id of its class of texts linked, also through others, by a similarity
+    of at least ``similarity``.
+
+    The similarity is the weighted Jaccard of five-word shingles with their counts. Equal texts are one class, also empty ones
+    (a null text is an empty one); a text without words has no other links. A text is known by its 64-bit digest, not by its id:
+    rows that share an id but not a text are compared like any others, and a row with a null id takes part, with a null class if no
+    row of its class has an id. Repeated rows get a row each. Other columns are not read.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), _digest(F.col(text_col)).alias("node"))
+    roots = classes_of(docs.select(_digest(F.col(text_col)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), similarity)
+    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    return named.join(heads, "root").select("doc_id", "class_id")
 
 
 @query("op5_near_duplicates")
@@ -323,8 +329,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest id of each class; rows with a null id stay."""
-    classes = near_duplicates(docs)
-    stay = classes.where("doc_id = class_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """Pipeline stage: one document of each class, by smallest id (null last), then by text digest and the other columns. Distinct texts
+    stay, whatever their ids; equal texts are one class, also where ids are null."""
+    node = _digest(F.col("text"))
+    roots = classes_of(docs.select(node.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
+    others = [F.col(f"`{f.name}`") for f in docs.schema if f.name != "text" and "map<" not in f.dataType.simpleString()]
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), node.alias("node"), F.xxhash64(*others).alias("rest"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), node.alias("node"), rank.alias("rank"))
+    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = named.groupBy("root").agg(F.min("rank").alias("head"))
+    kept = named.join(heads, "root").where(F.col("rank").eqNullSafe(F.col("head")))
+    return kept.dropDuplicates(["root"]).select("row.*")  # what is left of a class are equal rows

@@ -23,10 +23,15 @@ def classes(rows):
             i = up[i]
         return i
 
-    bags = {i: bag(t) for i, t in rows}
-    for k, (i, t) in enumerate(rows):
-        for j, u in rows[:k]:
-            a, b = bags[i], bags[j]
+    bags, holders = {i: bag(t) for i, t in rows}, {}
+    text = dict(rows)
+    for i, t in rows:
+        a = bags[i] or {"": 1}
+        near = {j for g in a for j in holders.get(g, [])}
+        for g in a:
+            holders.setdefault(g, []).append(i)
+        for j in near:
+            u, a, b = text[j], bags[i], bags[j]
             if (t or "") == (u or "") or a and b and 5 * sum((a & b).values()) >= 4 * sum((a | b).values()):
                 x, y = sorted((root(i), root(j)))
                 up[y] = x
@@ -72,10 +77,8 @@ def test_buckets_are_dealt_in_parts(spark, monkeypatch):
     rnd = random.Random(9)
     base = " ".join(words(rnd, 80))
     rows = [(0, " ".join(words(rnd, 80)))] + [(i, base + " " + words(rnd, 1)[0]) for i in range(1, 13)]
-    sig, _ = M.signatures(next(chunks(pa.array([t for _, t in rows]))))
-    sketch = [bytearray(x.tobytes()) for x in (sig & np.uint64(0xFFFF)).astype(np.uint16)]
     sets = M._shingle_sets(spark.createDataFrame(rows, "doc_id long, text string"))
-    bucket = spark.createDataFrame([(0, 1, i, i, s) for (i, _), s in zip(rows, sketch)], "band int, key long, doc_id long, root long, sketch binary")
+    bucket = spark.createDataFrame([(0, 1, i, i) for i, _ in rows], "band int, key long, doc_id long, root long")
     for tile in (2000, 4):
         monkeypatch.setattr(M, "TILE", tile)
         links = M._links_between(bucket.join(sets, "doc_id"), 0.8)
@@ -96,10 +99,8 @@ def test_pair_below_its_estimate_is_linked(spark):
     a, b = bag(pairs[k]), bag(pairs[k + 1])
     assert agree.min() < 0.65 and 5 * sum((a & b).values()) >= 4 * sum((a | b).values())
     rows = [(0, " ".join(words(rnd, 94))), (1, pairs[k]), (2, pairs[k + 1])]
-    low = (M.signatures(next(chunks(pa.array([t for _, t in rows]))))[0] & np.uint64(0xFFFF)).astype(np.uint16)
     sets = M._shingle_sets(spark.createDataFrame(rows, "doc_id long, text string"))
-    bucket = spark.createDataFrame([(0, 1, i, i, bytearray(x.tobytes())) for (i, _), x in zip(rows, low)],
-                                   "band int, key long, doc_id long, root long, sketch binary")
+    bucket = spark.createDataFrame([(0, 1, i, i) for i, _ in rows], "band int, key long, doc_id long, root long")
     assert [tuple(r) for r in M._links_between(bucket.join(sets, "doc_id"), 0.8).collect()] == [(1, 2)]
 
 
@@ -129,8 +130,24 @@ def test_odd_rows_and_stage(spark):
     assert got.count() == df.count()
     by = {r.doc_id: r.class_id for r in got.collect()}
     assert by[None] is None and by[0] == by[1] == 0 and by[10] == by[9]
+    base = " ".join(words(random.Random(2), 60))
+    shared = [(1, base, "b"), (1, "quite another text that shares the id", "a"), (1, base, "a"), (2, base + " more", "c"), (None, "no id here at all", "x"),
+              (None, "no id here at all", "x"), (None, "nor here though the text differs", "x"), (None, base, "z"), (5, None, "n"), (4, "", "n")]
+    df = spark.createDataFrame(shared, "doc_id long, text string, band string")
+    got = sorted(map(tuple, M.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(1, 1)] * 3 + [(2, 1), (None, 1), (5, 4), (4, 4)] + [(None, None)] * 3, key=str)
+    runs = [sorted(map(tuple, M.near_duplicates_stage(spark, df.repartition(n), SF).collect()), key=str) for n in (1, 7)]
+    assert runs[0] == runs[1] and len(runs[0]) == 5
+    assert [(i, t) for i, t, _ in runs[0]] == sorted([(1, base), (1, shared[1][1]), (4, ""), (None, shared[4][1]), (None, shared[6][1])], key=str)
     assert M.near_duplicates(empty(spark)).count() == 0
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = M.near_duplicates_stage(spark, docs.unionByName(docs.limit(3)), SF)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(classes(rows).values()))
+
+
+def test_every_near_pair_of_the_documents_is_joined(spark):
+    """Recall on sf0.01: the classes are those of all pairs of similarity 0.8 and more."""
+    sf = SF.replace("0.001", "0.01")
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert {r.doc_id: r.class_id for r in M.op5(spark, sf).collect()} == classes(rows)
