@@ -137,3 +137,10 @@ def unpack(blob: bytes) -> dict:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name in the folder that driver and executors share."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as written to the shared folder: made once, smaller than a checkpoint, and of a size that Spark knows."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -8,7 +8,8 @@ leaves open are compared exactly.
 One tree for the corpus would not spread, so texts are first dealt to buckets without losing a link: two linked sets share one
 of the first |A| - ceil(0.8 |A|) + 1 shingles of each, in any order that is the same for all. The order is from rare to frequent,
 by a sketch of counts over all texts, so a passage that many texts hold fills no bucket. A bucket first meets its
-smallest member; only what is still in different components afterwards gets a tree.
+smallest member; what is still in different components afterwards gets a tree. Texts of pairs that a tree leaves open are
+a family, and each family is compared once, again through a tree.
 """
 
 from __future__ import annotations
@@ -20,11 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleloom.llm.frames import light, release, schema_of, shared_path, table
+from sampleloom.llm.frames import kept, light, release, schema_of, table
 from sampleloom.llm.minhash import components, shingles
 from sampleloom.llm.registry import query
 from sampleloom.llm.textnum import Chunk, chunks, mix
-from sampleloom.session import settled
 
 #: Similarity from which texts are linked, in hundredths.
 PERCENT = 80
@@ -298,37 +298,78 @@ def common_counts(key: np.ndarray, cut: np.ndarray, i: np.ndarray, j: np.ndarray
     return out[np.searchsorted(rows, i), np.searchsorted(rows, j)].astype(np.int64)
 
 
-def _links_within(rows: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between different components in the same bucket, from rows ``key, node, root, point, shingles``. A
-    bucket gives fewer links than it has rows; a large one is dealt into parts, and each task compares two of them."""
-    size = rows.groupBy("key").agg(F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum(F.octet_length("shingles")) / TILE_BYTES)).cast("int").alias("tiles"))
-    dealt = rows.join(size, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+def _tree(t: pa.Table) -> tuple[CountTree, np.ndarray]:
+    _, group = np.unique(np.asarray(t["root"]), return_inverse=True)
+    return CountTree(np.frombuffer(b"".join(t["point"].to_pylist()), "<u4").reshape(-1, GROUPS), group), group
+
+
+def _candidates(t: pa.Table, tree: CountTree, group: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Open pairs of a task: of different components, and of different parts if it compares two (pairs inside a part are the
+    business of its own task)."""
+    mine = np.asarray(t["mine"])
+    across = t["i"][0].as_py() != t["j"][0].as_py()
+    for i, j in tree.pairs(percent):
+        keep = group[i] != group[j]
+        if across:
+            keep &= mine[i] != mine[j]
+        if keep.any():
+            yield i[keep], j[keep]
+
+
+def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels (the smallest member of each component) after the components of i and j are joined, pair by pair."""
+    while True:
+        low = np.minimum(label[i], label[j])
+        if (label[i] == low).all() and (label[j] == low).all():
+            return label
+        np.minimum.at(label, label[i], low)
+        np.minimum.at(label, label[j], low)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """``key, i, j, mine, node, root, point`` from ``key, node, root, n, point``: rows of a group for each task that needs them. A large group
+    is dealt into parts, and each task compares two of them."""
+    size = rows.groupBy(key).agg(F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("n") * 6 / TILE_BYTES)).cast("int").alias("tiles"))
+    dealt = rows.join(size, key).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "point", "shingles")
+    return dealt.select(key, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "point")
+
+
+def _families(rows: DataFrame, percent: int) -> DataFrame:
+    """``node, family`` of the rows ``key, node, root, n, point`` that the tree over a bucket leaves open with another one: rows of open
+    pairs are of one family, also through others."""
+    def run(t: pa.Table) -> pa.Table:
+        label, node = np.arange(len(t)), np.asarray(t["node"])
+        for i, j in _candidates(t, *_tree(t), percent):
+            label = joined(label, i, j)
+        moved = np.flatnonzero(label != np.arange(len(t)))
+        return pa.table({"a": node[label[moved]], "b": node[moved]})
+
+    edges = _dealt(rows, "key").groupBy("key", "i", "j").applyInArrow(light(run), schema_of("a long, b long"))
+    return components(edges).withColumnRenamed("root", "family")
 
+
+def _links_within(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between different components of a family, from dealt rows with ``shingles``, compared exactly where the tree
+    leaves a pair open. A task gives fewer links than it has rows."""
     def compare(t: pa.Table) -> pa.Table:
-        node, mine = np.asarray(t["node"]), np.asarray(t["mine"])
-        across = t["i"][0].as_py() != t["j"][0].as_py()  # pairs inside a part are the business of its own task
-        _, group = np.unique(np.asarray(t["root"]), return_inverse=True)
-        tree = CountTree(np.frombuffer(b"".join(t["point"].to_pylist()), "<u4").reshape(-1, GROUPS), group)
+        node = np.asarray(t["node"])
+        tree, group = _tree(t)
         key, cut = _unpacked(t["shingles"].to_pylist())
-        a, b = [], []
-        for i, j in tree.pairs(percent):
-            keep = group[i] != group[j]
-            if across:
-                keep &= mine[i] != mine[j]
-            i, j = i[keep], j[keep]
-            if not len(i):
-                continue
-            hit = linked(common_counts(key, cut, i, j), tree.n[i], tree.n[j], percent)
-            for x, y in zip(i[hit], j[hit]):
-                if group[x] != group[y]:
-                    a.append(node[x])
-                    b.append(node[y])
-                    group[group == group[y]] = group[x]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        _, first = np.unique(group, return_index=True)
+        label = np.arange(len(first))
+        for i, j in _candidates(t, tree, group, percent):
+            apart = label[group[i]] != label[group[j]]
+            i, j = i[apart], j[apart]
+            if len(i):
+                hit = linked(common_counts(key, cut, i, j), tree.n[i], tree.n[j], percent)
+                label = joined(label, group[i[hit]], group[j[hit]])
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return pa.table({"a": node[first[label[moved]]], "b": node[first[moved]]})
 
-    return dealt.groupBy("key", "i", "j").applyInArrow(light(compare), schema_of("a long, b long"))
+    return rows.groupBy("family", "i", "j").applyInArrow(light(compare), schema_of("a long, b long"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -343,31 +384,30 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    path = shared_path(spark, "points")
-    _points(plain, plain.schema["doc_id"].dataType.simpleString()).write.parquet(path)
-    made = spark.read.parquet(path)
+    made = kept(_points(plain, plain.schema["doc_id"].dataType.simpleString()), "points")
     rows = made.where("kind = 0").select("doc_id", "node", "n", "point")
     counts = np.zeros(COUNTERS, np.int64)  # of fixed size, whatever the input
     summed = made.where("kind = 1").groupBy("node").agg(F.sum("n").alias("n")).toPandas()
     counts[summed["node"].to_numpy(np.int64)] = summed["n"].to_numpy(np.int64)
 
     texts = plain.select("text")
-    stars = settled(_stars(_keys(texts, counts)))
+    stars = kept(_stars(_keys(texts, counts)), "stars")
     pairs = stars.select("a", "b").distinct()
-    involved = settled(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    points = settled(rows.select("node", "n", "point").join(involved, "node", "left_semi").dropDuplicates(["node"]))
-    set_path = shared_path(spark, "sets")
-    _sets(texts).join(involved, "node", "left_semi").write.parquet(set_path)
-    sets = spark.read.parquet(set_path).groupBy("node").agg(F.first("shingles").alias("shingles"))
-    links = settled(_compared(_bounded(pairs, points, percent), sets, percent))
+    involved = kept(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct(), "involved")
+    points = kept(rows.select("node", "n", "point").join(involved, "node", "left_semi").dropDuplicates(["node"]), "points")
+    near = kept(_bounded(pairs, points, percent), "near")
+    some = kept(_sets(texts).join(involved, "node", "left_semi"), "sets")
+    sets = kept(some.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    links = kept(_compared(near, sets, percent), "links")
     roots = components(links)
     # what is known of a bucket's smallest member is known of all; the others may be like each other
     rest = stars.select("key", F.col("b").alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     buckets = rest.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("m"),
                                       F.sum(F.pmod(F.xxhash64("node"), F.lit(1 << 40))).alias("h"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"))
     open_ = buckets.where("r <> s").groupBy("m", "h", "x").agg(F.min("key").alias("key"))  # buckets of the same members once
-    inner = rest.join(open_.select("key"), "key", "left_semi").join(points.select("node", "point"), "node").join(sets, "node")
-    more = settled(_links_within(inner, percent))
+    family = kept(_families(rest.join(open_.select("key"), "key", "left_semi").join(points, "node"), percent), "families")
+    named = family.join(points, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = kept(_links_within(_dealt(named, "family").join(sets, "node"), percent), "links")
     roots = components(links.union(more))
     named = rows.select("doc_id", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("head"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sampleloom.llm.frames import release, schema_of, shared_path, table
+from sampleloom.llm.frames import kept, release, schema_of, shared_path, table
 from sampleloom.llm.registry import query
 from sampleloom.llm.textnum import Chunk, chunks, mix
 from sampleloom.session import settled
@@ -264,19 +264,27 @@ def _links_between(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, root``: the smallest member of each node's connected component, by minima over neighbours and shortcuts."""
-    edges = settled(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
-    roots = settled(edges.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("root")).select(F.col("a").alias("node"), "root"))
-    while True:
-        near = edges.join(roots.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("near"))
-        step = roots.join(near.withColumnRenamed("a", "node"), "node").select(
-            "node", F.least("root", "near").alias("next"), F.col("root").alias("old"))
-        step = settled(step)
-        jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        new = settled(step.join(jump, "next").select("node", F.least("next", "far").alias("root"), "old"))
-        if new.where("root <> old").limit(1).count() == 0:
-            return new.select("node", "root")
-        roots = new.select("node", "root")
+    """``node, root`` of the ends of ``links`` ``a, b``: the smallest member of each node's connected component.
+
+    Each node hooks to its smallest neighbour below it, chains are shortened, and links between the trees' roots go on to the next
+    round, so links shrink by a factor in every round, also along chains. Each round is written once."""
+    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    first = kept(links.select(low, high).where("a <> b").distinct(), "links")
+    edges, ups = first, []
+    while not edges.isEmpty():
+        up = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
+        for _ in range(2):
+            above = up.select(F.col("node").alias("up"), F.col("up").alias("higher"))
+            up = up.join(above, "up", "left").select("node", F.coalesce("higher", "up").alias("up"))
+        up = kept(up, "hooks")
+        ups.append(up)
+        to = lambda e, c: e.join(up.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("up", c)).drop("up")
+        edges = kept(to(to(edges, "a"), "b").select(low, high).where("a <> b").distinct(), "links")
+    nodes = first.select(F.col("a").alias("node")).union(first.select("b")).distinct().withColumn("root", F.col("node"))
+    for up in ups:
+        step = up.select(F.col("node").alias("root"), "up")
+        nodes = nodes.join(step, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+    return kept(nodes, "components")
 
 
 def classes_of(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

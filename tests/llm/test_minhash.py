@@ -151,3 +151,13 @@ def test_every_near_pair_of_the_documents_is_joined(spark):
     sf = SF.replace("0.001", "0.01")
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert {r.doc_id: r.class_id for r in M.op5(spark, sf).collect()} == classes(rows)
+
+
+def test_components_of_chains_and_stars(spark):
+    rnd = random.Random(1)
+    names = rnd.sample(range(10 ** 6), 400)
+    chain, star, up = names[:200], names[200:300], sorted(names[300:])
+    links = list(zip(chain, chain[1:])) + [(star[0], x) for x in star[1:]] + list(zip(up, up[1:])) + [(7, 7), (up[3], up[2])]
+    got = {r.node: r.root for r in M.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: min(group) for group in (chain, star, up) for x in group}
+    assert M.components(spark.createDataFrame([], "a long, b long")).count() == 0
