@@ -7,9 +7,9 @@ leaves open are compared exactly.
 
 One tree for the corpus would not spread, so texts are first dealt to buckets without losing a link: two linked sets share one
 of the first |A| - ceil(0.8 |A|) + 1 shingles of each, in any order that is the same for all. The order is from rare to frequent,
-by a sketch of counts over all texts, so a passage that many texts hold fills no bucket. A bucket first meets its
-smallest member; what is still in different components afterwards gets a tree. Texts of pairs that a tree leaves open are
-a family, and each family is compared once, again through a tree.
+by a sketch of counts over all texts, so a passage that many texts hold fills no bucket. The points of a bucket meet its
+smallest member and, in a tree, each other. Texts of pairs that the bounds leave open are a family, and each family is
+compared once, in its own tree and then by the whole sets, which only families need.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from sampleloom.llm.textnum import Chunk, chunks, mix
 PERCENT = 80
 #: Coordinates of a point, counters of the sketch that orders shingles, children of a tree node.
 GROUPS, COUNTERS, FAN = 64, 1 << 17, 8
+#: Bits of the map of wanted sets.
+FLAGS = 1 << 21
 #: Most rows, and about how many bytes of sets, that one task compares; a larger bucket is dealt as pairs of parts.
 TILE, TILE_BYTES = 1000, 16 << 20
 #: Pairs and rows that are looked at together.
@@ -150,20 +152,39 @@ def _stars(keys: DataFrame) -> DataFrame:
     return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, schema_of("key long, a long, b long"))
 
 
-def _sets(texts: DataFrame) -> DataFrame:
-    """``node, shingles``: the sets as six bytes a shingle."""
+def _flag(node: np.ndarray) -> np.ndarray:
+    return (mix(node.astype(_U) + _U(11)) & _U(FLAGS - 1)).astype(np.int64)
+
+
+def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, shingles`` of the wanted nodes: their sets as six bytes a shingle. A bitmap of fixed size leaves out most other texts before
+    anything is moved; the join decides."""
+    flags = np.zeros(FLAGS, bool)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_flag(np.asarray(b.column(0)))))], names=["flag"])
+
+    flags[wanted.mapInArrow(number, schema_of("flag long")).distinct().toPandas()["flag"].to_numpy(np.int64)] = True
+    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(flags))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.unpackbits(shared.value).astype(bool)
         for b in batches:
             for c in chunks(b.column(0)):
                 key, cut = sets_of(c)
                 name = names_of(key, cut)
                 some = np.flatnonzero(name)
+                some = some[there[_flag(name[some])]]
+                _, once = np.unique(name[some], return_index=True)
+                some = some[np.sort(once)]
                 raw = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
                 yield pa.RecordBatch.from_arrays([pa.array(name[some].view(np.int64)), pa.array([raw[cut[i]:cut[i + 1]].tobytes() for i in some], pa.binary())],
                                                  names=["node", "shingles"])
         release()
 
-    return texts.mapInArrow(run, schema_of("node long, shingles binary"))
+    made = texts.mapInArrow(run, schema_of("node long, shingles binary"))
+    return made.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -194,43 +215,23 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, schema_of("a long, b long"))
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of some pairs, by their whole sets."""
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            ok = []
-            for x, y in zip(t.column(2), t.column(3)):
-                key, cut = _unpacked([x.as_py(), y.as_py()])
-                common = len(key) - len(np.unique(key))
-                ok.append(bool(linked(common, cut[1], cut[2] - cut[1], percent)))
-            yield t.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
-    return both.mapInArrow(run, schema_of("a long, b long"))
-
-
 class CountTree:
     """An R-tree of count vectors, packed by halving along the widest coordinate. ``order`` lists the points from left
     to right; a node of level 0 stands for ``FAN`` points, one of a higher level for ``FAN`` nodes."""
 
-    def __init__(self, points: np.ndarray, group: np.ndarray):
-        self.points, self.n, self.group = points.astype(np.int64), points.sum(1).astype(np.int64), group
+    def __init__(self, points: np.ndarray):
+        self.points, self.n = points.astype(np.int64), points.sum(1).astype(np.int64)
         self.order = self._packed()
         self.most: list[np.ndarray] = []
         self.least_n: list[np.ndarray] = []
         self.most_n: list[np.ndarray] = []
-        self.one: list[np.ndarray] = []
-        top, low, high, lo_g, hi_g = self.points[self.order], self.n[self.order], self.n[self.order], group[self.order], group[self.order]
+        top, low, high = self.points[self.order], self.n[self.order], self.n[self.order]
         while len(top) > 1 or not self.most:
             at = np.arange(0, len(top), FAN)
             top, low, high = np.maximum.reduceat(top, at), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
-            lo_g, hi_g = np.minimum.reduceat(lo_g, at), np.maximum.reduceat(hi_g, at)
             self.most.append(top)
             self.least_n.append(low)
             self.most_n.append(high)
-            self.one.append(np.where(lo_g == hi_g, lo_g, -1))  # the only group below, if it is one
 
     def _packed(self) -> np.ndarray:
         todo, out = [np.arange(len(self.points))], []
@@ -247,25 +248,21 @@ class CountTree:
         return np.concatenate(out)
 
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs i < j of different groups that the bounds leave open, in blocks."""
+        """Pairs i < j that the bounds leave open, in blocks."""
         step = max(1, BLOCK // max(1, len(self.most[-1]) * FAN * 8))
         for a in range(0, len(self.points), step):
             q = np.arange(a, min(len(self.points), a + step))
             q, node = np.repeat(q, len(self.most[-1])), np.tile(np.arange(len(self.most[-1])), len(q))
             for level in range(len(self.most) - 1, -1, -1):
-                q, node = self._open(q, node, self.most[level], self.least_n[level], self.most_n[level], self.one[level], percent)
+                q, node = self._open(q, node, self.most[level], self.least_n[level], self.most_n[level], percent)
                 width = len(self.most[level - 1]) if level else len(self.order)
                 q, node = np.repeat(q, FAN), (node[:, None] * FAN + np.arange(FAN)).ravel()
                 q, node = q[node < width], node[node < width]
             other = self.order[node]
             ahead = other > q
-            q, other = self._open(q[ahead], other[ahead], self.points, self.n, self.n, self.group, percent)
-            yield q, other
+            yield self._open(q[ahead], other[ahead], self.points, self.n, self.n, percent)
 
-    def _open(self, q: np.ndarray, node: np.ndarray, most: np.ndarray, least_n: np.ndarray, most_n: np.ndarray, one: np.ndarray,
-              percent: int) -> tuple[np.ndarray, np.ndarray]:
-        keep = one[node] != self.group[q]
-        q, node = q[keep], node[keep]
+    def _open(self, q: np.ndarray, node: np.ndarray, most: np.ndarray, least_n: np.ndarray, most_n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         keep = np.zeros(len(q), bool)
         for at in range(0, len(q), BLOCK // 8):
             i, j = q[at:at + BLOCK // 8], node[at:at + BLOCK // 8]
@@ -298,22 +295,20 @@ def common_counts(key: np.ndarray, cut: np.ndarray, i: np.ndarray, j: np.ndarray
     return out[np.searchsorted(rows, i), np.searchsorted(rows, j)].astype(np.int64)
 
 
-def _tree(t: pa.Table) -> tuple[CountTree, np.ndarray]:
-    _, group = np.unique(np.asarray(t["root"]), return_inverse=True)
-    return CountTree(np.frombuffer(b"".join(t["point"].to_pylist()), "<u4").reshape(-1, GROUPS), group), group
+def _tree(t: pa.Table) -> CountTree:
+    return CountTree(np.frombuffer(b"".join(t["point"].to_pylist()), "<u4").reshape(-1, GROUPS))
 
 
-def _candidates(t: pa.Table, tree: CountTree, group: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Open pairs of a task: of different components, and of different parts if it compares two (pairs inside a part are the
-    business of its own task)."""
+def _candidates(t: pa.Table, tree: CountTree, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Open pairs of a task; of different parts if it compares two (pairs inside a part are the business of its own task)."""
     mine = np.asarray(t["mine"])
     across = t["i"][0].as_py() != t["j"][0].as_py()
     for i, j in tree.pairs(percent):
-        keep = group[i] != group[j]
         if across:
-            keep &= mine[i] != mine[j]
-        if keep.any():
-            yield i[keep], j[keep]
+            keep = mine[i] != mine[j]
+            i, j = i[keep], j[keep]
+        if len(i):
+            yield i, j
 
 
 def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -329,45 +324,41 @@ def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _dealt(rows: DataFrame, key: str) -> DataFrame:
-    """``key, i, j, mine, node, root, point`` from ``key, node, root, n, point``: rows of a group for each task that needs them. A large group
-    is dealt into parts, and each task compares two of them."""
+    """``key, i, j, mine, node, point`` from ``key, node, n, point``: rows of a group for each task that needs them. A large group is dealt
+    into parts, and each task compares two of them."""
     size = rows.groupBy(key).agg(F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("n") * 6 / TILE_BYTES)).cast("int").alias("tiles"))
     dealt = rows.join(size, key).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return dealt.select(key, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "point")
+    return dealt.select(key, F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "point")
 
 
-def _families(rows: DataFrame, percent: int) -> DataFrame:
-    """``node, family`` of the rows ``key, node, root, n, point`` that the tree over a bucket leaves open with another one: rows of open
-    pairs are of one family, also through others."""
+def _open_within(rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` that tie together the rows ``key, node, n, point`` of a bucket between which its tree leaves pairs open: fewer than rows."""
     def run(t: pa.Table) -> pa.Table:
         label, node = np.arange(len(t)), np.asarray(t["node"])
-        for i, j in _candidates(t, *_tree(t), percent):
+        for i, j in _candidates(t, _tree(t), percent):
             label = joined(label, i, j)
         moved = np.flatnonzero(label != np.arange(len(t)))
         return pa.table({"a": node[label[moved]], "b": node[moved]})
 
-    edges = _dealt(rows, "key").groupBy("key", "i", "j").applyInArrow(light(run), schema_of("a long, b long"))
-    return components(edges).withColumnRenamed("root", "family")
+    return _dealt(rows, "key").groupBy("key", "i", "j").applyInArrow(light(run), schema_of("a long, b long"))
 
 
 def _links_within(rows: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between different components of a family, from dealt rows with ``shingles``, compared exactly where the tree
-    leaves a pair open. A task gives fewer links than it has rows."""
+    """Links ``a, b`` of a family's dealt rows with ``shingles``, compared exactly where the tree leaves a pair open. Rows that are of one
+    component already are not compared again, so a task gives fewer links than it has rows."""
     def compare(t: pa.Table) -> pa.Table:
-        node = np.asarray(t["node"])
-        tree, group = _tree(t)
+        node, label = np.asarray(t["node"]), np.arange(len(t))
+        tree = _tree(t)
         key, cut = _unpacked(t["shingles"].to_pylist())
-        _, first = np.unique(group, return_index=True)
-        label = np.arange(len(first))
-        for i, j in _candidates(t, tree, group, percent):
-            apart = label[group[i]] != label[group[j]]
+        for i, j in _candidates(t, tree, percent):
+            apart = label[i] != label[j]
             i, j = i[apart], j[apart]
             if len(i):
                 hit = linked(common_counts(key, cut, i, j), tree.n[i], tree.n[j], percent)
-                label = joined(label, group[i[hit]], group[j[hit]])
+                label = joined(label, i[hit], j[hit])
         moved = np.flatnonzero(label != np.arange(len(label)))
-        return pa.table({"a": node[first[label[moved]]], "b": node[first[moved]]})
+        return pa.table({"a": node[label[moved]], "b": node[moved]})
 
     return rows.groupBy("family", "i", "j").applyInArrow(light(compare), schema_of("a long, b long"))
 
@@ -396,19 +387,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     involved = kept(stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct(), "involved")
     points = kept(rows.select("node", "n", "point").join(involved, "node", "left_semi").dropDuplicates(["node"]), "points")
     near = kept(_bounded(pairs, points, percent), "near")
-    some = kept(_sets(texts).join(involved, "node", "left_semi"), "sets")
-    sets = kept(some.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
-    links = kept(_compared(near, sets, percent), "links")
+    # the others of a bucket may be like each other, though not like its smallest member
+    rest = stars.select("key", F.col("b").alias("node"))
+    buckets = rest.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum(F.pmod(F.xxhash64("node"), F.lit(1 << 40))).alias("h"),
+                                      F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"))
+    once = buckets.where("m > 1").groupBy("m", "h", "x").agg(F.min("key").alias("key"))  # buckets of the same members once
+    inner = kept(_open_within(rest.join(once.select("key"), "key", "left_semi").join(points, "node"), percent), "inner")
+    family = components(near.union(inner)).withColumnRenamed("root", "family")
+    sets = _sets(texts, family.select("node"))
+    links = _links_within(_dealt(family.join(points, "node"), "family").join(sets, "node"), percent)
     roots = components(links)
-    # what is known of a bucket's smallest member is known of all; the others may be like each other
-    rest = stars.select("key", F.col("b").alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    buckets = rest.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("m"),
-                                      F.sum(F.pmod(F.xxhash64("node"), F.lit(1 << 40))).alias("h"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x"))
-    open_ = buckets.where("r <> s").groupBy("m", "h", "x").agg(F.min("key").alias("key"))  # buckets of the same members once
-    family = kept(_families(rest.join(open_.select("key"), "key", "left_semi").join(points, "node"), percent), "families")
-    named = family.join(points, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    more = kept(_links_within(_dealt(named, "family").join(sets, "node"), percent), "links")
-    roots = components(links.union(more))
     named = rows.select("doc_id", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("head"))
     return named.join(heads, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(

@@ -118,8 +118,7 @@ def test_tree_leaves_every_link_open_and_prunes():
     texts = [t for _, t in made() if t and t.strip()]
     sets = [J.sets_of(c) for c in chunks(pa.array(texts))]
     key, cut = sets[0]
-    group = np.arange(len(texts))
-    tree = J.CountTree(J.points_of(key, cut), group)
+    tree = J.CountTree(J.points_of(key, cut))
     assert sorted(tree.order) == list(range(len(texts)))
     got = {(int(i), int(j)) for a, b in tree.pairs(80) for i, j in zip(a, b)}
     assert all(i < j for i, j in got)
@@ -129,5 +128,3 @@ def test_tree_leaves_every_link_open_and_prunes():
     assert common.tolist() == [len(plain[x] & plain[y]) for x, y in zip(i, j)]
     hit = J.linked(common, tree.n[i], tree.n[j], 80)
     assert set(zip(i[hit].tolist(), j[hit].tolist())) <= got and len(got) < len(i) / 2
-    one = J.CountTree(J.points_of(key, cut), np.zeros(len(texts), int))
-    assert not [x for a, _ in one.pairs(80) for x in a]
