@@ -11,6 +11,7 @@ from sampleloom.operators import sharding as H
 from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import EMB, SAMPLES, read, w
 from sampleloom.plans.registry import MASK48, MASK54, ints, query, r6, s_ints, s_r6, s_u, s_vec, vec
+from sampleloom.streaming.flows import work_dir
 
 
 def _low(e: str) -> str:
@@ -180,6 +181,85 @@ def _(spark, d):
     return A.sliding_admission(_items(spark, d), "req_time", 21600, 4, 5)
 
 
+def _cut(distinct: int) -> str:
+    """Splits of the stream as a recursive fold: ``q`` holds the ids of the open split before each row."""
+    return f"""
+ord AS (SELECT *, row_number() OVER (ORDER BY req_time, sample_id) AS r FROM src),
+fold AS (
+  SELECT 0::BIGINT AS r, []::BIGINT[] AS q, 0::BIGINT AS nxt, 0::BIGINT AS split
+  UNION ALL
+  SELECT o.r, CASE WHEN list_contains(f.q, o.fid) THEN f.q WHEN len(f.q) + 1 >= {distinct} THEN []::BIGINT[] ELSE list_append(f.q, o.fid) END,
+         f.nxt + CASE WHEN NOT list_contains(f.q, o.fid) AND len(f.q) + 1 >= {distinct} THEN 1 ELSE 0 END, f.nxt
+  FROM fold f JOIN ord o ON o.r = f.r + 1),
+cut AS (SELECT o.*, f.split FROM ord o JOIN fold f USING (r))"""
+
+
+_RING_SRC = "\nsrc AS (SELECT sample_id, req_time, f_user[1] AS fid FROM samples)"
+_KEPT = """
+gap AS (SELECT *, CASE WHEN split - lag(split) OVER (PARTITION BY fid ORDER BY r) > {back} THEN 1 ELSE 0 END AS lost FROM cut),
+run AS (SELECT *, sum(lost) OVER (PARTITION BY fid ORDER BY r) AS run FROM gap),
+cnt AS (SELECT *, row_number() OVER (PARTITION BY fid, run ORDER BY r) - 1 AS before FROM run)"""
+
+
+def _recursive(text: str) -> str:
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _users(spark, d):
+    return bind.samples(spark, d).select("sample_id", "req_time", F.get("f_user", F.lit(0)).alias("fid"))
+
+
+def _ring(distinct: int, back: int, threshold: int):
+    text = _recursive(w(SAMPLES, _RING_SRC, _cut(distinct), _KEPT.format(back=back))) + f"""
+SELECT sample_id, fid, split, before >= {threshold} AS admitted FROM cnt"""
+
+    @query(f"ring_admission_{distinct}", text)
+    def _(spark, d):
+        out = A.ring_admission(_users(spark, d), ["req_time", "sample_id"], distinct, back, {1: threshold}, chunk=1 << 12)
+        return out.select("sample_id", "fid", "split", "admitted")
+
+
+_ring(*A.ring_size(1000, 10), 3)
+_ring(24, 3, 2)
+
+
+@query("ring_state", _recursive(w(SAMPLES, _RING_SRC, _cut(24), _KEPT.format(back=3))) + """
+SELECT fid, CAST(head - split AS INT) AS age, CAST(least(15, before + 1) AS INT) AS cnt
+FROM (SELECT * FROM cnt QUALIFY row_number() OVER (PARTITION BY fid ORDER BY r DESC) = 1), (SELECT max(nxt) AS head FROM fold)
+WHERE head - split <= 3""")
+def _(spark, d):
+    """Two halves of the stream: the second goes on from the saved state of the first."""
+    order = ["req_time", "sample_id"]
+    users = _users(spark, d)
+    half = users.agg(F.percentile_approx("req_time", 0.5)).first()[0]
+    one, two = users.filter(F.col("req_time") <= half), users.filter(F.col("req_time") > half)
+    saved = work_dir(spark, "ring")
+    A.save_counts(A.ring_state(A.ring_splits(one, order, 24), 24, 3), saved, 4)
+    state = A.restore_counts(spark, [saved])
+    return A.ring_state(A.ring_splits(two, order, 24, state), 24, 3, state)
+
+
+@query("touched_set", _recursive(w(SAMPLES, _RING_SRC, _cut(101))) + """
+SELECT DISTINCT fid, CAST(split * 101 AS BIGINT) AS dropped FROM cut WHERE split = (SELECT max(split) FROM cut)""")
+def _(spark, d):
+    return A.touched_set(_users(spark, d), ["req_time", "sample_id"], 100, chunk=1 << 12)
+
+
+@query("restored_admission", w(SAMPLES) + """
+SELECT sample_id, fid, row_number() OVER (PARTITION BY fid ORDER BY req_time, sample_id) - 1 + coalesce(least(15, 2 * n), 0) >= 20 AS admitted
+FROM (SELECT sample_id, req_time, f_item[1] AS fid FROM samples WHERE sample_id % 2 = 0)
+LEFT JOIN (SELECT f_item[1] AS fid, count(*) AS n FROM samples WHERE sample_id % 2 = 1 GROUP BY 1) USING (fid)""")
+def _(spark, d):
+    """Counts saved twice, restored together and counted on."""
+    rows = _items(spark, d)
+    counts, saves = A.fid_frequency(rows.filter("sample_id % 2 = 1"), A.COUNTER_LIMIT), [work_dir(spark, "counts") for _ in range(2)]
+    for path in saves:
+        A.save_counts(counts, path, 4)
+    known = A.restore_counts(spark, saves)
+    new = rows.filter("sample_id % 2 = 0")
+    return A.occurrence_admission(new, ["req_time", "sample_id"], {200: 20}, known=known).select("sample_id", "fid", "admitted")
+
+
 @query("probabilistic_admission", w(SAMPLES, """
 c AS (SELECT f_user[1] AS fid, count(*) AS cnt FROM samples GROUP BY 1)""") + f"""
 SELECT fid, cnt, fid % 7 = 0 OR {s_u('fid', "'3'")} < cnt / 100.0::DOUBLE AS admitted FROM c""")

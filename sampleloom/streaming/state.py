@@ -155,6 +155,47 @@ def stream_admission(rows: DataFrame, threshold: Column, ttl_ms: int | None = No
         "ProcessingTime" if ttl_ms else "None")
 
 
+class TouchedProcessor(StatefulProcessor):
+    """Ids of one set since it was last emptied. A set that holds more than its capacity is cleared before the next id
+    enters; a row that asks to steal gives all ids and empties the set."""
+
+    def __init__(self, capacity: int) -> None:
+        self.capacity = capacity
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ids = handle.getMapState("ids", "fid bigint", "there boolean")
+        self.size = handle.getValueState("size", "n bigint, dropped bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        size, dropped = self.size.get() if self.size.exists() else (0, 0)
+        for frame in rows:  # one frame at a time, in the order of arrival
+            for fid, steal in zip(frame["fid"].tolist(), frame["steal"].tolist()):
+                if steal:
+                    given = [k[0] for k in self.ids.keys()]
+                    yield pd.DataFrame({"set": key[0], "fid": given, "dropped": dropped}).astype({"set": "int64", "fid": "int64", "dropped": "int64"})
+                    self.ids.clear()
+                    size, dropped = 0, 0
+                    continue
+                if size > self.capacity:
+                    dropped += size
+                    self.ids.clear()
+                    size = 0
+                if not self.ids.containsKey((fid,)):
+                    self.ids.updateValue((fid,), (True,))
+                    size += 1
+        self.size.update((size, dropped))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_touched(rows: DataFrame, capacity: int) -> DataFrame:
+    """``(set, fid, dropped)`` at each row of the stream ``(set, fid, steal)`` that asks to steal: the ids of its set and how many
+    were cleared since the last time. Each set (a shard of a table) has its own state of at most ``capacity`` + 1 ids."""
+    return rows.groupBy("set").transformWithStateInPandas(
+        TouchedProcessor(capacity), "set bigint, fid bigint, dropped bigint", "Append", "None")
+
+
 def windowed_counts(rows: DataFrame, ts: str, window: str, slide: str, late: str) -> DataFrame:
     """Occurrences per id and sliding event-time window, with bounded state: late rows beyond the
     watermark are dropped, as the window has been emitted."""
