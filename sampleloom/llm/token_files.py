@@ -27,53 +27,81 @@ FREQUENT = 24
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each stands there."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    s = np.sort(keys)
+    cut = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1], [True]]))
+    return s[cut[:-1]], np.diff(cut)
+
+
 def repair(ids: np.ndarray, last: np.ndarray, base: int, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Symbols of a shard, the rules (left, right) of symbols from ``base`` on, and the rule counts after each round.
 
-    ``last`` marks the last id of each document; no pair reaches over it. Each round counts all pairs and replaces the most
-    frequent ones together, left to right, until no pair is frequent.
+    ``last`` marks the last id of each document; no pair reaches over it. Each round replaces the most frequent pairs together,
+    left to right, until none is frequent. All pairs are counted once. A pair of old symbols only gets rarer, and a pair
+    with a new symbol only stands beside a replaced place, so later rounds count what was replaced and what came of it.
     """
-    seq, end = ids.astype(np.int64), last.copy()
+    seq, end = ids.astype(np.int32), last.copy()
     left, right, rounds = [], [], [0]
     symbols = base
-    while len(seq) > 1:
-        key = seq[:-1] << 24 | seq[1:]
-        open_ = ~end[:-1]
-        s = np.sort(key[open_])
-        if not len(s):
-            break
-        cut = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1], [True]]))
-        count = np.diff(cut)
+
+    def pairs_at(at: np.ndarray) -> np.ndarray:
+        return seq[at].astype(np.int64) << 24 | seq[at + 1]
+
+    def near(at: np.ndarray, *steps: int) -> np.ndarray:
+        """Places beside some, each once, at which a pair stands."""
+        mark = np.zeros(len(seq) + 1, bool)
+        for x in steps:
+            mark[at + x] = True  # place -1 is the spare one
+        mark = mark[:max(0, len(seq) - 1)]
+        return np.flatnonzero(mark & ~end[:len(mark)])
+
+    pair, count = _counted(pairs_at(np.flatnonzero(~end[:-1])))
+    pair, count = pair[count >= frequent], count[count >= frequent]
+    while len(pair):
         top = count.max()
-        if top < frequent:
-            break
         best = np.flatnonzero(count >= max(frequent, top // 8))
-        chosen = s[cut[best]][np.argsort(-count[best], kind="stable")]
+        chosen = pair[best][np.argsort(-count[best], kind="stable")]
         bits = max(10, int(len(chosen) * 4).bit_length())
-        slot = lambda k: ((k.astype(np.uint64) * _HASH) >> np.uint64(64 - bits)).astype(np.int64)
+        slot = lambda k: ((k.view(np.uint64) * _HASH) >> np.uint64(64 - bits)).view(np.int64)
         _, first = np.unique(slot(chosen), return_index=True)  # of two pairs in one slot the rarer waits for the next round
         chosen = chosen[np.sort(first)]
         if symbols + len(chosen) >= 1 << 24:
             break
-        held, number = np.full(1 << bits, -1), np.zeros(1 << bits, np.int64)
+        held, number = np.full(1 << bits, -1), np.zeros(1 << bits, np.int32)
         at = slot(chosen)
         held[at], number[at] = chosen, symbols + np.arange(len(chosen))
-        where = slot(key)
-        hit = np.flatnonzero((held[where] == key) & open_)
+        opens, closes = np.zeros(symbols, bool), np.zeros(symbols, bool)
+        opens[chosen >> 24] = closes[chosen & 0xFFFFFF] = True
+        hit = np.flatnonzero(opens[seq[:-1]] & closes[seq[1:]] & ~end[:-1])
+        key = pairs_at(hit)
+        hit = hit[held[slot(key)] == key]
         run = np.concatenate([[True], hit[1:] != hit[:-1] + 1])  # in a row of overlapping hits every other one counts
         begin = np.maximum.accumulate(np.where(run, np.arange(len(hit)), 0))
         hit = hit[(np.arange(len(hit)) - begin) % 2 == 0]
-        seq[hit] = number[where[hit]]
+        old, times = _counted(pairs_at(near(hit, -1, 0, 1)))
+        where = np.searchsorted(pair, old)
+        where[where == len(pair)] = 0
+        known = pair[where] == old
+        count[where[known]] -= times[known]
+        seq[hit] = number[slot(pairs_at(hit))]
         end[hit] = end[hit + 1]
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
         seq, end = seq[keep], end[keep]
+        new, times = _counted(pairs_at(near(hit - np.arange(len(hit)), -1, 0)))  # beside the new symbols
+        many, stay = times >= frequent, count >= frequent
+        pair, count = np.concatenate([pair[stay], new[many]]), np.concatenate([count[stay], times[many]])
+        order = np.argsort(pair)
+        pair, count = pair[order], count[order]
         left.append(chosen >> 24)
         right.append(chosen & 0xFFFFFF)
         symbols += len(chosen)
         rounds.append(symbols - base)
     none = np.zeros(0, np.int64)
-    return seq, np.column_stack([np.concatenate(left or [none]), np.concatenate(right or [none])]), rounds
+    return seq.astype(np.int64), np.column_stack([np.concatenate(left or [none]), np.concatenate(right or [none])]), rounds
 
 
 def encode_shard(docs: list[bytes], base: int) -> bytes:

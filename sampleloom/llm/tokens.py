@@ -81,8 +81,24 @@ class Encoder:
             else:
                 groups[before].append(body)
 
+        plain: set[str] = set()  # letters only, or what is left of a piece without the marks at its end: most pieces
         for w in pieces:
-            want(w)
+            bare = w if w.isalpha() else w.rstrip(_MARKS)
+            if not bare.isalpha():
+                want(w)
+                continue
+            if bare not in known:
+                got = older.get(bare)
+                if got is None:
+                    plain.add(bare)
+                else:
+                    known[bare] = got
+            if len(bare) < len(w):
+                tail = "\0" + w[len(bare):]
+                split.append((w, bare, tail))
+                if tail not in known:
+                    want(tail)
+        groups[" "] += plain.difference(groups[" "])
         known.update(zip(groups[" "], self._many(groups[" "], " ")))
         known.update(zip(["\n" + x for x in groups["\n"]], self._many(groups["\n"], "\n")))
         known.update(zip(["\0" + x for x in groups["\0"]], self._ids(groups["\0"])))
