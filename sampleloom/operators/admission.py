@@ -86,17 +86,17 @@ def ring_splits(ids: DataFrame, order: Sequence[str], distinct: int, state: Data
 
 
 def _split_counts(split: DataFrame, back: int, state: DataFrame | None) -> DataFrame:
-    """``(fid, split, cnt, before)``: occurrences in each split and those that still counted when it opened. A count is carried on
-    as long as no more than ``back`` splits lie between; the window sees one row per split of an id."""
-    per = split.groupBy("fid", "split").agg(F.count(F.lit(1)).alias("cnt"))
+    """``(fid, split, cnt, before)``: occurrences in each split, and those that counted before the first of them. A count is carried
+    on as long as no more than ``back`` splits lie between; the window sees one row per split of an id."""
+    per = split.groupBy("fid", "split").agg(F.count(F.lit(1)).alias("cnt")).withColumn("_had", F.lit(0).cast("bigint"))
     if state is not None:
-        per = per.unionByName(state.select("fid", (-F.col("age")).cast("bigint").alias("split"), F.col("cnt").cast("bigint")))
-        per = per.groupBy("fid", "split").agg(F.sum("cnt").alias("cnt"))
+        had = state.select("fid", (-F.col("age")).cast("bigint").alias("split"), F.lit(0).cast("bigint").alias("cnt"), F.col("cnt").cast("bigint").alias("_had"))
+        per = per.unionByName(had).groupBy("fid", "split").agg(F.sum("cnt").alias("cnt"), F.sum("_had").alias("_had"))
     by = Window.partitionBy("fid").orderBy("split")
     lost = F.coalesce((F.col("split") - F.lag("split").over(by) > back).cast("int"), F.lit(0))
     run = Window.partitionBy("fid", "_run").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("_lost", lost).withColumn("_run", F.sum("_lost").over(by))
-    return per.select("fid", "split", "cnt", F.coalesce(F.sum("cnt").over(run), F.lit(0)).alias("before"))
+    return per.select("fid", "split", "cnt", (F.coalesce(F.sum(F.col("cnt") + F.col("_had")).over(run), F.lit(0)) + F.col("_had")).alias("before"))
 
 
 def ring_admission(ids: DataFrame, order: Sequence[str], distinct: int, back: int, thresholds: dict[int, int], default: int = 0, version: int = 2,

@@ -12,14 +12,18 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sampleloom.functions import labels as L
 from sampleloom.functions.base import u01, u32
 from sampleloom.operators.joins import lookup_join
 from sampleloom.operators.ordering import HOT_ROWS, largest_group, positions, running, with_totals
+from sampleloom.session import settled
 
+# A full channel with more rows than this is read by many tasks, that many rows in each.
+CHUNK_ROWS = 1 << 15
 ONE_POOL = 3  # fixed value: the channel that stands for "all rows share one pool"
 
 
@@ -79,64 +83,117 @@ def is_cached(cfg: NegativeConfig, positive: Column) -> Column:
     return keep & (F.col("_ch") != 0)
 
 
+class Queue:
+    """A queue of at most ``capacity`` items as it reads them. An entry is known by the place of the row that brought it."""
+
+    def __init__(self, capacity: int, items: Sequence = (), places: Sequence[int] = ()):
+        self.capacity, self.held = capacity, OrderedDict(zip(items, places))
+        self.entered: list[int] = []
+        self.seen: dict[int, int] = {}
+
+    def read(self, items: list, first: int) -> None:
+        """Items of the places from ``first`` on."""
+        held, seen, entered = self.held, self.seen, self.entered
+        for place, item in enumerate(items, first):
+            entry = held.get(item)
+            if entry is not None:
+                seen[entry] = seen.get(entry, 0) + 1
+                continue
+            held[item] = place
+            seen[place] = 1
+            entered.append(place)
+            if len(held) > self.capacity:
+                held.popitem(last=False)
+
+
 def queue_entries(rows: DataFrame, capacity: int) -> DataFrame:
     """``(_ch, _item, seq, origin_cnt, req_time, sample_id)``: the entries of each channel's queue in order, with how often the
     item was seen while it stayed.
 
-    What a queue lets in depends on all before it, so a channel is read by one task, in time order, holding the queue alone:
-    at most ``capacity`` items, whatever the number of rows."""
+    What a queue lets in depends on all before it, so a channel is read by one task, in time order, holding the queue and the entries
+    of the channel. :func:`queue_chunks` reads a large channel in many tasks."""
     kind = rows.schema["_item"].dataType.simpleString()
-    src = rows.select("_ch", "req_time", "sample_id", "_item").repartition("_ch").sortWithinPartitions("_ch", "req_time", "sample_id")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-        queue: OrderedDict = OrderedDict()
-        channel, seq, out = None, 0, []
-
-        def left(item, entry) -> None:
-            out.append((channel, item, *entry))
+    src = rows.select("_ch", "req_time", "sample_id", "_item")
+    types = {n: src.schema[n].dataType.simpleString() for n in ("_ch", "req_time", "sample_id")}
 
-        def made() -> pa.RecordBatch:
-            cols = list(zip(*out)) if out else [[]] * 6
-            types = [schema.field(0).type, schema.field(3).type, pa.int64(), pa.int64(), schema.field(1).type, schema.field(2).type]
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                              names=["_ch", "_item", "seq", "origin_cnt", "req_time", "sample_id"])
+    def run(t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t, sort_keys=[("req_time", "ascending"), ("sample_id", "ascending")], null_placement="at_start"))
+        queue = Queue(capacity)
+        queue.read(t["_item"].to_pylist(), 0)
+        e = t.take(pa.array(queue.entered, pa.int64()))
+        return pa.table({"_ch": e["_ch"], "_item": e["_item"], "seq": pa.array(range(1, len(e) + 1), pa.int64()),
+                         "origin_cnt": pa.array([queue.seen[p] for p in queue.entered], pa.int64()), "req_time": e["req_time"], "sample_id": e["sample_id"]})
+
+    return src.groupBy("_ch").applyInArrow(run, f"_ch {types['_ch']}, _item {kind}, seq bigint, origin_cnt bigint, req_time {types['req_time']}, "
+                                                f"sample_id {types['sample_id']}")
+
+
+def queue_chunks(rows: DataFrame, capacity: int, chunk_rows: int = CHUNK_ROWS, hot_rows: int = HOT_ROWS, largest: int | None = None) -> DataFrame:
+    """As :func:`queue_entries`, with a channel read by many tasks at once.
+
+    A channel is cut into chunks of its time order. All chunks are read from an empty queue first; then each is read again
+    from the queue that the chunk before it left, but only where that is another queue than the one it was read from, until none is. A
+    queue forgets its beginning once it has turned over, so a few rounds settle all but odd streams; each round settles at
+    least one more chunk of each channel. A chunk holds at least some turns of the queue."""
+    size = max(chunk_rows, 4 * capacity) if chunk_rows == CHUNK_ROWS else chunk_rows
+    src = positions(rows.select("_ch", "req_time", "sample_id", "_item"), ["_ch"], [F.col("req_time"), F.col("sample_id")], "_p", hot_rows, largest)
+    at = F.floor((F.col("_p") - 1) / size).cast("bigint")
+    listed = src.groupBy("_ch", at.alias("_chunk")).agg(F.sort_array(F.collect_list(F.struct("_p", "_item", "req_time", "sample_id"))).alias("_rows"))
+    chunks = settled(listed.select("_ch", "_chunk", *[F.col(f"_rows.{c}").alias(c) for c in ("_item", "req_time", "sample_id")]))
+    kind = {n: src.schema[n].dataType.simpleString() for n in ("_ch", "_item", "req_time", "sample_id")}
+    ddl = (f"_ch {kind['_ch']}, _chunk bigint, came array<bigint>, items array<{kind['_item']}>, places array<bigint>, e_item array<{kind['_item']}>, "
+           f"e_place array<bigint>, e_cnt array<bigint>, e_time array<{kind['req_time']}>, e_id array<{kind['sample_id']}>, c_place array<bigint>, c_cnt array<bigint>")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            schema = b.schema
-            for ch, at, key, item in zip(*[c.to_pylist() for c in b.columns]):
-                if ch != channel:
-                    for i, e in queue.items():
-                        left(i, e)
-                    queue.clear()
-                    channel, seq = ch, 0
-                if item in queue:
-                    queue[item][1] += 1
-                    continue
-                seq += 1
-                queue[item] = [seq, 1, at, key]
-                if len(queue) > capacity:
-                    left(*queue.popitem(last=False))
-            if out:
-                yield made()
-        for i, e in queue.items():
-            left(i, e)
-        if out:
-            yield made()
-
-    types = {n: src.schema[n].dataType.simpleString() for n in ("_ch", "req_time", "sample_id")}
-    return src.mapInArrow(run, f"_ch {types['_ch']}, _item {kind}, seq bigint, origin_cnt bigint, req_time {types['req_time']}, "
-                               f"sample_id {types['sample_id']}")
+            for i in range(b.num_rows):
+                row = {n: b.column(n).slice(i, 1) for n in b.schema.names}
+                one = {n: row[n].flatten() for n in ("_item", "req_time", "sample_id", "b_items", "b_places")}
+                first = row["_chunk"][0].as_py() * size
+                came = one["b_places"].to_pylist()
+                queue = Queue(capacity, one["b_items"].to_pylist(), came)
+                queue.read(one["_item"].to_pylist(), first)
+                take = pa.array([p - first for p in queue.entered], pa.int64())
+                mine = set(queue.entered)
+                old = {p: n for p, n in queue.seen.items() if p not in mine}
+                lists = (pa.array(came, pa.int64()), pa.array(list(queue.held), one["_item"].type), pa.array(list(queue.held.values()), pa.int64()),
+                         one["_item"].take(take), pa.array(queue.entered, pa.int64()), pa.array([queue.seen[p] for p in queue.entered], pa.int64()),
+                         one["req_time"].take(take), one["sample_id"].take(take), pa.array(list(old), pa.int64()), pa.array(list(old.values()), pa.int64()))
+                wrapped = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]
+                yield pa.RecordBatch.from_arrays([row["_ch"], row["_chunk"], *wrapped], names=[
+                    "_ch", "_chunk", "came", "items", "places", "e_item", "e_place", "e_cnt", "e_time", "e_id", "c_place", "c_cnt"])
+
+    no_items, no_places = F.array().cast(f"array<{kind['_item']}>"), F.array().cast("array<bigint>")
+    done = settled(chunks.withColumns({"b_items": no_items, "b_places": no_places}).mapInArrow(run, ddl))
+    while True:
+        before = done.select(F.col("_ch").alias("_c"), (F.col("_chunk") + 1).alias("_k"), F.col("items").alias("b_items"), F.col("places").alias("b_places"))
+        told = done.select("_ch", "_chunk", "came").join(before, F.col("_ch").eqNullSafe(F.col("_c")) & (F.col("_chunk") == F.col("_k")))
+        stale = settled(told.filter("came <> b_places").select("_c", "_k", "b_items", "b_places"))
+        if stale.isEmpty():
+            break
+        same = F.col("_ch").eqNullSafe(F.col("_c")) & (F.col("_chunk") == F.col("_k"))
+        again = chunks.join(stale, same).select(*chunks.columns, "b_items", "b_places").mapInArrow(run, ddl)
+        done = settled(done.join(stale, same, "left_anti").unionByName(again))
+
+    by = Window.partitionBy("_ch").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)  # one row per chunk
+    numbered = done.withColumn("_base", F.coalesce(F.sum(F.size("e_place")).over(by), F.lit(0)))
+    made = numbered.select("_ch", "_base", F.posexplode(F.arrays_zip("e_item", "e_place", "e_cnt", "e_time", "e_id")).alias("_i", "e"))
+    carried = done.select("_ch", F.explode(F.arrays_zip("c_place", "c_cnt")).alias("c")).groupBy(F.col("_ch").alias("_c"), F.col("c.c_place").alias("_place")).agg(
+        F.sum("c.c_cnt").alias("_more"))
+    made = made.join(carried, F.col("_ch").eqNullSafe(F.col("_c")) & (F.col("e.e_place") == F.col("_place")), "left")
+    return made.select("_ch", F.col("e.e_item").alias("_item"), (F.col("_base") + F.col("_i") + 1).cast("bigint").alias("seq"),
+                       (F.col("e.e_cnt") + F.coalesce("_more", F.lit(0))).alias("origin_cnt"), F.col("e.e_time").alias("req_time"),
+                       F.col("e.e_id").alias("sample_id"))
 
 
 def item_pool(rows: DataFrame, features: Sequence[str] = (), hot_rows: int = HOT_ROWS,
-              largest: int | None = None, capacity: int | None = None) -> DataFrame:
+              largest: int | None = None, capacity: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``(_ch, _item, seq, origin_cnt, first_at, features…)``: the entries of each channel's queue with the features of the row
     that brought them in.
 
     A channel with no more items than ``capacity`` never loses one: its entries are the first sights, a partial aggregate of
-    which only distinct items are ordered. The other channels go through :func:`queue_entries`."""
+    which only distinct items are ordered. The other channels go through :func:`queue_entries`, or, where a channel may have more than
+    ``chunk_rows`` rows, through :func:`queue_chunks`."""
     at = F.struct("req_time", "sample_id")
     g = rows.groupBy("_ch", "_item").agg(
         F.min(at).alias("first_at"), F.count(F.lit(1)).alias("origin_cnt"),
@@ -145,7 +202,9 @@ def item_pool(rows: DataFrame, features: Sequence[str] = (), hot_rows: int = HOT
         return positions(g, ["_ch"], [F.col("first_at")], "seq", hot_rows, largest)
     full = g.groupBy("_ch").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > capacity).select("_ch")
     calm = positions(g.join(full, "_ch", "left_anti"), ["_ch"], [F.col("first_at")], "seq", hot_rows, largest)
-    busy = queue_entries(rows.join(full, "_ch", "left_semi"), capacity)
+    turning = rows.join(full, "_ch", "left_semi")
+    most = largest_group(rows, ["_ch"], chunk_rows) if largest is None else largest
+    busy = queue_chunks(turning, capacity, chunk_rows, hot_rows, most) if most > chunk_rows else queue_entries(turning, capacity)
     if features:
         busy = busy.join(rows.select("_ch", "sample_id", *features), ["_ch", "sample_id"])
     return calm.unionByName(busy.withColumn("first_at", at).select(*calm.columns))
