@@ -28,8 +28,9 @@ from sampleloom.llm.textnum import Chunk, chunks, mix
 
 #: Similarity from which texts are linked, in hundredths.
 PERCENT = 80
-#: Coordinates of a point, counters of the sketch that orders shingles, children of a tree node.
-GROUPS, COUNTERS, FAN = 64, 1 << 17, 8
+#: Coordinates of a point, and of the folded point that inner nodes of a tree bound; counters of the sketch that orders
+#: shingles; children of a tree node.
+GROUPS, COARSE, COUNTERS, FAN = 256, 64, 1 << 17, 8
 #: Bits of the map of wanted sets.
 FLAGS = 1 << 21
 #: Most rows, and about how many bytes of sets, that one task compares; a larger bucket is dealt as pairs of parts.
@@ -217,10 +218,12 @@ def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 class CountTree:
     """An R-tree of count vectors, packed by halving along the widest coordinate. ``order`` lists the points from left
-    to right; a node of level 0 stands for ``FAN`` points, one of a higher level for ``FAN`` nodes."""
+    to right; a node of level 0 stands for ``FAN`` points, one of a higher level for ``FAN`` nodes. Nodes bound folded points; pairs
+    that those leave open are bounded by the whole points."""
 
     def __init__(self, points: np.ndarray):
-        self.points, self.n = points.astype(np.int64), points.sum(1).astype(np.int64)
+        self.whole, self.n = points.astype(np.int32), points.sum(1).astype(np.int64)
+        self.points = self.whole.reshape(len(points), -1, COARSE).sum(1, dtype=np.int32)
         self.order = self._packed()
         self.most: list[np.ndarray] = []
         self.least_n: list[np.ndarray] = []
@@ -260,14 +263,16 @@ class CountTree:
                 q, node = q[node < width], node[node < width]
             other = self.order[node]
             ahead = other > q
-            yield self._open(q[ahead], other[ahead], self.points, self.n, self.n, percent)
+            q, other = self._open(q[ahead], other[ahead], self.points, self.n, self.n, percent)
+            yield self._open(q, other, self.whole, self.n, self.n, percent)
 
     def _open(self, q: np.ndarray, node: np.ndarray, most: np.ndarray, least_n: np.ndarray, most_n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
         keep = np.zeros(len(q), bool)
-        for at in range(0, len(q), BLOCK // 8):
-            i, j = q[at:at + BLOCK // 8], node[at:at + BLOCK // 8]
-            common = np.minimum(np.minimum(self.points[i], most[j]).sum(1), most_n[j])
-            keep[at:at + BLOCK // 8] = linked(common, self.n[i], least_n[j], percent)
+        points = self.whole if most.shape[1] == GROUPS else self.points
+        for at in range(0, len(q), BLOCK // 16):
+            i, j = q[at:at + BLOCK // 16], node[at:at + BLOCK // 16]
+            common = np.minimum(np.minimum(points[i], most[j]).sum(1, dtype=np.int64), most_n[j])
+            keep[at:at + BLOCK // 16] = linked(common, self.n[i], least_n[j], percent)
         return q[keep], node[keep]
 
 
