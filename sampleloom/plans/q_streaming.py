@@ -13,12 +13,13 @@ from sampleloom.operators import tables as E
 from sampleloom.operators.admission import slot_threshold
 from sampleloom.operators.joins import lookup_join
 from sampleloom.plans import bindings as bind
-from sampleloom.plans.bindings import DIM, EMB, SAMPLES, read, w
+from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, read, w
 from sampleloom.plans.q_negatives import CFG, _pool, wr
 from sampleloom.plans.q_tables import NOW, _show, _step_sql
 from sampleloom.plans.registry import INV, labs, query, r6, s_labs, s_r6, s_vec, vec
 from sampleloom.sources.table_store import TableStore
 from sampleloom.streaming import flows as S
+from sampleloom.streaming import keyed_tables as K
 from sampleloom.streaming import state as ST
 from sampleloom.streaming import updates as UP
 
@@ -131,6 +132,55 @@ def _(spark, d):
     return store.current().select("fid", "last_update_ts")
 
 
+def _table_rows(spark, d):
+    """Updates of the item vectors: the derivative of each sample's loss, to be multiplied with the vector."""
+    pred = sigmoid(F.get("label", F.lit(1)) * 4.0 - 1.0)
+    return _samples(spark, d).select(F.lit("item").alias("table"), F.get("f_item", F.lit(0)).alias("fid"), F.col("req_time").alias("ts"),
+                                     (pred - F.get("label", F.lit(0))).alias("d"), F.timestamp_seconds("req_time").alias("at"))
+
+
+def _table_run(spark, d, mode="update", **conf):
+    """Checkpoint and change files of a run over all events, begun with the stored vectors."""
+    base = S.work_dir(spark, "keyed")
+    rows = _table_rows(spark, d)
+    rows = rows.withWatermark("at", "0 seconds") if "expire_seconds" in conf else rows
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    changes = K.stream_table(rows, lambda num, frame: num * frame["d"].sum(), K.adagrad(0.05), bind.emb(spark, d).drop("opt"), **conf)
+    with ST.state_settings(spark, STATE_PARTS):
+        S.run_available(changes, f"{base}/ckpt", write, mode=mode)
+    return f"{base}/ckpt", f"{base}/out"
+
+
+_KEYED = """
+m AS (SELECT fid, max(s.req_time) AS ts FROM gr JOIN samples s ON s.sample_id = gr.seq GROUP BY 1),
+e2 AS (SELECT e.fid, m.fid IS NOT NULL AS hit, greatest(e.last_update_ts, coalesce(m.ts, 0)) AS last_update_ts,
+              CASE WHEN m.fid IS NULL THEN e.num ELSE (SELECT list(w - 0.05::DOUBLE / sqrt(0.1::DOUBLE + g * g) * g ORDER BY dim)
+                FROM (SELECT merged.dim, e.num[merged.dim + 1] AS w, merged.g FROM merged WHERE merged.fid = e.fid)) END AS num
+       FROM emb e LEFT JOIN m ON m.fid = e.fid)"""
+
+
+@query("stream_table_state", w(SAMPLES, EMB, GRADS, _KEYED) + f"SELECT fid, {s_vec('num')} AS num, last_update_ts FROM e2")
+def _(spark, d):
+    checkpoint, _out = _table_run(spark, d)
+    return K.state_table(spark, checkpoint).select("fid", vec("num").alias("num"), "last_update_ts")
+
+
+@query("stream_table_changes", w(SAMPLES, EMB, GRADS, _KEYED) + f"SELECT fid, {s_vec('num')} AS num, last_update_ts FROM e2 WHERE hit")
+def _(spark, d):
+    _checkpoint, out = _table_run(spark, d)
+    return K.latest_changes(spark.read.parquet(out)).select("fid", vec("num").alias("num"), "last_update_ts")
+
+
+@query("stream_table_expiry", w(SAMPLES, EMB, GRADS, _KEYED) + """
+SELECT fid, last_update_ts FROM e2 WHERE last_update_ts + 20 * 86400 > (SELECT max(req_time) FROM samples)""")
+def _(spark, d):
+    checkpoint, _out = _table_run(spark, d, mode="append", expire_seconds=20 * 86400)
+    return K.state_table(spark, checkpoint).select("fid", "last_update_ts")
+
+
 @query("stream_flow_split", w(SAMPLES) + "SELECT sample_id, device_type AS flow FROM samples WHERE device_type IN ('pc', 'cloud')")
 def _(spark, d):
     s = _samples(spark, d).select("sample_id", data_source_key("device_type").alias("data_source_key"))

@@ -50,6 +50,16 @@ class PoolProcessor(StatefulProcessor):
         self.order = handle.getMapState("order", "seq bigint", "item bigint")
         self.items = handle.getMapState("items", "item bigint", "payload string, origin_cnt bigint, sample_cnt bigint")
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        head, tail = self.ends.get() if self.ends.exists() else (None, None)
+        for seq, item, payload, origin, drawn in zip(*[initialState[c] for c in ("seq", "item", "payload", "origin_cnt", "sample_cnt")]):
+            self.order.updateValue((int(seq),), (int(item),))
+            self.items.updateValue((int(item),), (payload, int(origin), int(drawn)))
+            head = int(seq) if head is None else min(head, int(seq))
+            tail = int(seq) + 1 if tail is None else max(tail, int(seq) + 1)
+        if head is not None:
+            self.ends.update((head, tail))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         head, tail = self.ends.get() if self.ends.exists() else (0, 0)
         order: dict[int, int] = {}
@@ -67,15 +77,16 @@ class PoolProcessor(StatefulProcessor):
 
         made, dropped = [], set()
         batch = pd.concat(list(rows)).sort_values(["req_time", "sample_id"])
-        for r in batch.itertuples(index=False):
-            if r.cached:
-                known = item(r.item_id)
+        for sample_id, item_id, positive, cached, payload, draws in zip(*[batch[c].tolist() for c in (
+                "sample_id", "item_id", "positive", "cached", "payload", "draws")]):
+            if cached:
+                known = item(item_id)
                 if known is not None:
                     known[1] += 1
                 else:
-                    items[r.item_id] = [r.payload, 1, 0]
-                    order[tail] = r.item_id
-                    dropped.discard(r.item_id)
+                    items[item_id] = [payload, 1, 0]
+                    order[tail] = item_id
+                    dropped.discard(item_id)
                     tail += 1
                 if tail - head > self.max_item_num:
                     old = at(head)
@@ -84,14 +95,14 @@ class PoolProcessor(StatefulProcessor):
                     order[head] = None
                     head += 1
             size = tail - head
-            if not r.positive or size <= self.start_num:
+            if not positive or size <= self.start_num:
                 continue
             for k in range(self.neg_num):
-                place = int(r.draws[k]) % size
+                place = int(draws[k]) % size
                 i = at(head + place)
                 hit = item(i)
                 hit[2] += 1
-                made.append((r.sample_id, k, i, hit[0], 1.0 / hit[2], (place + 1.0) / size))
+                made.append((sample_id, k, i, hit[0], 1.0 / hit[2], (place + 1.0) / size))
 
         for seq, i in order.items():
             if i is None:
@@ -116,14 +127,25 @@ NEGATIVE_SCHEMA = "sample_id bigint, k int, drawn_item bigint, payload string, f
 
 
 def stream_negatives(rows: DataFrame, neg_num: int, start_num: int, max_item_num: int, channel: str,
-                     sub_pools: int = 1) -> DataFrame:
+                     sub_pools: int = 1, pools: DataFrame | None = None) -> DataFrame:
     """Draws for the positives of a stream of ``(sample_id, req_time, item_id, positive, cached,
     payload, channel)``. ``sub_pools`` > 1 cuts each channel into independent pools by sample, for
-    channels too big for one task; a pool then sees only its share of the items."""
+    channels too big for one task; a pool then sees only its share of the items. ``pools`` (see :func:`state_pools`, with as many
+    ``sub_pools``) are the pools of an earlier query, with which this one goes on."""
     random = F.array(*[u32(F.concat_ws("|", "sample_id", F.lit(k), F.lit("item"))) for k in range(neg_num)]).cast("array<bigint>")
     rows = rows.withColumn("_sub", F.pmod(F.xxhash64("sample_id"), F.lit(sub_pools))).withColumn("draws", random)
+    kept = pools.groupBy(channel, "_sub") if pools is not None else None
     return rows.groupBy(channel, "_sub").transformWithStateInPandas(
-        PoolProcessor(neg_num, start_num, max_item_num), NEGATIVE_SCHEMA, "Append", "None")
+        PoolProcessor(neg_num, start_num, max_item_num), NEGATIVE_SCHEMA, "Append", "None", initialState=kept)
+
+
+def state_pools(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``(channel, _sub, seq, item, payload, origin_cnt, sample_cnt)``: the pools that a :func:`stream_negatives` query holds after its
+    last finished batch, the channel under its own name."""
+    read = lambda name: spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+    order = read("order").select("key.*", F.col("user_map_key.seq").alias("seq"), F.col("user_map_value.item").alias("item"))
+    items = read("items").select("key.*", F.col("user_map_key.item").alias("item"), "user_map_value.*")
+    return order.join(items, [*[c for c in order.columns if c not in ("seq", "item")], "item"])
 
 
 class AdmissionProcessor(StatefulProcessor):
