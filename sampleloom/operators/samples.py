@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,6 +177,26 @@ def retention(df: DataFrame, predicates: dict[str, Column]) -> DataFrame:
         "retention", F.when(F.col("input") > 0, F.col("output") / F.col("input")).otherwise(0.0))
 
 
+def filtered(df: DataFrame, predicates: dict[str, Column], seen: Observation) -> DataFrame:
+    """Rows that pass all filters. ``seen`` counts, in the run that uses them, the rows that reach each filter and those that pass
+    it; read them with :func:`retention_of`."""
+    alive, counts = F.lit(True), [F.count(F.lit(1)).alias("in")]
+    for i, p in enumerate(predicates.values()):
+        alive = alive & F.coalesce(p, F.lit(False))
+        counts.append(F.count(F.when(alive, 1)).alias(f"out_{i}"))
+    return df.observe(seen, *counts).filter(alive)
+
+
+def retention_of(predicates: dict[str, Column], seen: Observation) -> list[tuple[str, int, int, float]]:
+    """Name, rows in, rows out and their share for each filter of :func:`filtered`, after its run."""
+    got, came, out = seen.get, None, []
+    for i, name in enumerate(predicates):
+        came = got["in"] if came is None else came
+        out.append((name, came, got[f"out_{i}"], got[f"out_{i}"] / came if came else 0.0))
+        came = got[f"out_{i}"]
+    return out
+
+
 # ---------------------------------------------------------------- row operators
 
 def special_strategy(df: DataFrame, strategies: Sequence[int], rates: dict[int, float],

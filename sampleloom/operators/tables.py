@@ -7,6 +7,7 @@ row per id before they meet the table, and the table itself is joined on its key
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -20,7 +21,7 @@ from sampleloom.functions.fid import slot_of
 from sampleloom.functions.optimizers import rule
 from sampleloom.operators.gradients import merge_gradients
 from sampleloom.operators.joins import lookup_join
-from sampleloom.operators.ordering import HOT_ROWS, positions
+from sampleloom.operators.ordering import HOT_ROWS, first_in_key, positions
 
 KEY = ["table", "fid"]
 DEFAULT_EXPIRE_DAYS = 36500  # fixed value
@@ -187,6 +188,44 @@ def merge_plan(configs: dict[str, str]) -> dict[str, str]:
     return {n: merged_name(g) for g in groups.values() for n in g}
 
 
+def restore_names(configs: dict[str, str], extra: dict[str, Sequence[str]] | None = None) -> dict[str, list[str]]:
+    """For each merged table the names that it may be stored under, its own first: then the name from before its slots were called
+    ``fc_slot_N``, then those of ``extra`` for any of its tables."""
+    groups: dict[str, list[str]] = {}
+    for name, merged in merge_plan(configs).items():
+        groups.setdefault(merged, []).append(name)
+    out = {}
+    for merged, names in groups.items():
+        old = merged_name([n[3:] if re.fullmatch("fc_slot_[0-9]*", n) else n for n in names])
+        more = [x for n in sorted(names) for x in (extra or {}).get(n, ())]
+        out[merged] = list(dict.fromkeys([merged, old, *more]))
+    return out
+
+
+def resolve_names(wanted: dict[str, Sequence[str]], stored: Sequence[str]) -> dict[str, str]:
+    """Stored name to table name, by the first name of each table that is stored. Two tables that would read the same stored
+    one are refused; a table with no stored name starts empty."""
+    there, out = set(stored), {}
+    for table, names in wanted.items():
+        found = next((n for n in names if n in there), None)
+        if found is None:
+            continue
+        if found in out:
+            raise ValueError(f"tables {out[found]} and {table} would both be restored from {found}")
+        out[found] = table
+    return out
+
+
+def restore_merged(saved: DataFrame, configs: dict[str, str], extra: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """A save with its tables under the merged names of ``configs``, also where it was made under older ones. Stored tables that no
+    configuration asks for are left out."""
+    stored = [r["table"] for r in saved.select("table").distinct().collect()]  # a name for each table
+    names = resolve_names(restore_names(configs, extra), stored)
+    if not names:
+        return saved.filter("false")
+    return saved.filter(F.col("table").isin(list(names))).withColumn("table", lit_map(names, "string", "string")[F.col("table")])
+
+
 def merge_tables(tables: DataFrame, configs: dict[str, str]) -> DataFrame:
     """Rewrite the table column to merged names; ids must differ between merged tables."""
     return tables.withColumn("table", F.coalesce(
@@ -206,6 +245,14 @@ def iterate(tables: DataFrame, shards: int, shard: int, limit: int, offset: int
     return n.filter((F.col("_pos") > offset) & (F.col("_pos") <= offset + limit)).drop("_pos")
 
 
+def page_after(tables: DataFrame, shards: int, shard: int, limit: int, after: int | None = None) -> DataFrame:
+    """The next ``limit`` entries of one shard of each table behind the id ``after`` (None: from the start), in id order. Nothing is
+    numbered: each task keeps its first ``limit`` entries. Entries that come or go between two pages move no other."""
+    mine = tables.filter(F.pmod("fid", F.lit(shards).cast("bigint")) == shard)
+    mine = mine if after is None else mine.filter(F.col("fid") > after)
+    return first_in_key(mine, ["table"], limit, [F.col("fid")], "_pos").drop("_pos")
+
+
 def expired(fid: ColumnLike, last_ts: ColumnLike, max_ts: Column, expire_days: dict[int, int],
             default_days: int = DEFAULT_EXPIRE_DAYS) -> Column:
     """Age in seconds reaches the days of the id's (v2) slot."""

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from sampleloom.functions import predicates as P
 from sampleloom.functions.fid import make_fid
 from sampleloom.operators import samples as S
+from sampleloom.operators import steps as ST
 from sampleloom.operators.joins import semi_file
 from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import MULTI, SAMPLES, read, w
-from sampleloom.plans.registry import INV, ints, labs, query, s_ints, s_labs, s_u
+from sampleloom.plans.registry import INV, ORACLES, ints, labs, query, s_ints, s_labs, s_u
+from sampleloom.sources.table_store import read_text, write_text
+from sampleloom.streaming.flows import work_dir
 
 
 def _tag(n: int) -> int:
@@ -155,6 +158,28 @@ def _(spark, d):
     return bind.samples(spark, d).transform(either).select("sample_id")
 
 
+def _stored(spark, name, tree):
+    """A tree of steps, written as text and read back."""
+    path = f"{work_dir(spark, name)}/steps.json"
+    write_text(spark, path, ST.to_json(tree))
+    return ST.compiled(ST.from_json(read_text(spark, path)))
+
+
+@query("steps_from_text", ORACLES["transform_compose"])
+def _(spark, d):
+    tree = ST.every(ST.step("by_fids", fids="f_tags", filter_fids=[_tag(70)]),
+                    ST.every(ST.step("any_action", actions="actions", wanted=[1, 2, 4]), ST.step("by_label", label="label", thresholds=[1.0, 0.2])),
+                    ST.step("compare", value="uid", op="lt", operand=100),
+                    ST.step("add_label", key="sample_id", label="label", actions="actions", config="4::1.0"))
+    return bind.samples(spark, d).transform(_stored(spark, "steps", tree)).select("sample_id", labs("label").alias("label"))
+
+
+@query("either_from_text", ORACLES["logical_or"])
+def _(spark, d):
+    tree = ST.either(ST.step("any_action", actions="actions", wanted=[4]), ST.step("by_label", label="label", thresholds=[9.0, 0.3]))
+    return bind.samples(spark, d).transform(_stored(spark, "either", tree)).select("sample_id")
+
+
 @query("retention_stats", w(SAMPLES, """
 p AS (SELECT actions[1] IN (1, 2, 4) AS a, uid < 100 AS b FROM samples)""") + """
 SELECT 'by_action' AS transform, count(*) AS input, count(*) FILTER (WHERE a) AS output,

@@ -13,6 +13,8 @@ from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import DIM, EMB, GRADS, SAMPLES, w
 from sampleloom.plans.q_pooling import _vec_of
 from sampleloom.plans.registry import query, s_u, s_vec, vec
+from sampleloom.sources.table_store import save_pages, stored_page
+from sampleloom.streaming.flows import work_dir
 
 NOW = 1800000000
 
@@ -230,6 +232,45 @@ def _(spark, d):
     return _show(E.iterate(bind.emb(spark, d), 3, 1, 100, 20))
 
 
+@query("table_page_after", w(EMB) + f"""
+SELECT tbl AS "table", fid, {s_vec('num')} AS num, last_update_ts
+FROM (SELECT *, row_number() OVER (ORDER BY fid) AS rn FROM emb WHERE fid % 3 = 1) WHERE rn > 20 AND rn <= 120""")
+def _(spark, d):
+    """The second page, behind the last id of the first."""
+    first = E.page_after(bind.emb(spark, d), 3, 1, 20)
+    return _show(E.page_after(bind.emb(spark, d), 3, 1, 100, first.agg(F.max("fid")).first()[0]))
+
+
+@query("stored_pages", w(EMB) + f"""
+SELECT tbl AS "table", fid, {s_vec('num')} AS num, last_update_ts FROM emb WHERE fid % 3 = 1""")
+def _(spark, d):
+    """A whole shard, page by page."""
+    path = work_dir(spark, "pages")
+    save_pages(bind.emb(spark, d).drop("opt"), path, 3, 50)
+    pages, after = [], None
+    while True:
+        page = stored_page(spark, path, "item", 1, 70, after)
+        last = page.agg(F.max("fid")).first()[0]
+        if last is None:
+            return _show(E.union_tables(pages))
+        pages.append(page)
+        after = last
+
+
+@query("restore_old_names", w(SAMPLES) + f"""
+SELECT md5('fc_slot_1,fc_slot_200') AS "table", fid, n FROM (
+  SELECT f_item[1] AS fid, count(*) AS n FROM samples GROUP BY 1 UNION ALL SELECT f_user[1], count(*) FROM samples GROUP BY 1)""")
+def _(spark, d):
+    """Saved when the two tables were still called ``slot_N``."""
+    s = bind.samples(spark, d)
+    rows = s.select(F.inline(F.concat(*[F.transform(c, _named(t)) for t, c in (("slot_200", "f_item"), ("slot_1", "f_user"), ("slot_5", "f_tags"))])))
+    old = E.merge_tables(rows.groupBy("table", "fid").agg(F.count(F.lit(1)).alias("n")), {"slot_200": "dim=64", "slot_1": "dim=64", "slot_5": "dim=8"})
+    path = work_dir(spark, "old-names")
+    old.write.partitionBy("table").parquet(path)
+    saved = spark.read.parquet(path).select("table", "fid", "n")
+    return E.restore_merged(saved, {"fc_slot_200": "dim=64", "fc_slot_1": "dim=64"})
+
+
 def _two_slots(spark, d):
     """Every second vector moved to slot 7, so that two expiry rules meet; a third of them in a table whose newest entry is
     ten days older; some without an update time."""

@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sampleloom.operators.ordering import positions
 from sampleloom.operators.tables import DEFAULT_EXPIRE_DAYS, evict
+from sampleloom.session import settled
 
 ROWS_PER_BUCKET = 5_000_000
 
@@ -183,6 +185,34 @@ def save_bucketed(table: DataFrame, name: str, path: str, buckets: int, mode: st
     return table.sparkSession.table(name)
 
 
+def save_pages(tables: DataFrame, path: str, shards: int, rows_per_file: int = ROWS_PER_BUCKET, mode: str = "errorifexists") -> None:
+    """Store tables for reading shard by shard in id order: files of ``rows_per_file`` entries in a row, and a list of the
+    first and last id of each file."""
+    shard = F.pmod("fid", F.lit(shards).cast("bigint")).cast("int")
+    rows = positions(tables.withColumn("shard", shard), ["table", "shard"], [F.col("fid")], "_pos")
+    rows = settled(rows.withColumn("part", F.floor((F.col("_pos") - 1) / rows_per_file).cast("int")).drop("_pos"))
+    spread = rows.repartition("table", "shard", "part").sortWithinPartitions("table", "shard", "part", "fid")
+    spread.write.mode(mode).partitionBy("table", "shard", "part").parquet(f"{path}/entries")
+    ends = rows.groupBy("table", "shard", "part").agg(F.min("fid").alias("low"), F.max("fid").alias("high"), F.count(F.lit(1)).alias("n"))
+    ends.repartition("shard").sortWithinPartitions("table", "part").write.mode(mode).partitionBy("shard").parquet(f"{path}/ends")
+
+
+def stored_page(spark: SparkSession, path: str, table: str, shard: int, limit: int, after: int | None = None) -> DataFrame:
+    """The next ``limit`` entries of a stored shard behind the id ``after``, in id order. Only the files that hold them are read."""
+    ends = spark.read.parquet(f"{path}/ends").filter((F.col("shard") == shard) & (F.col("table") == table))
+    ends = ends if after is None else ends.filter(F.col("high") > after)
+    # the first files with enough entries; the first of them may lie before the cursor in part
+    some, parts = 0, []
+    for r in ends.orderBy("low").limit(2 + limit // max(1, ends.agg(F.min("n")).first()[0] or 1)).toLocalIterator():
+        parts.append(r["part"])
+        some += r["n"] if after is None or r["low"] > after else 0
+        if some >= limit:
+            break
+    rows = spark.read.parquet(f"{path}/entries").filter((F.col("table") == table) & (F.col("shard") == shard) & F.col("part").isin(parts))
+    rows = rows if after is None else rows.filter(F.col("fid") > after)
+    return rows.drop("shard", "part").orderBy("fid").limit(limit)
+
+
 def max_update_ts(tables: DataFrame) -> DataFrame:
     return tables.agg(F.max("last_update_ts").alias("max_update_ts"))
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from sampleloom.operators.samples import route_flow
 from sampleloom.session import checkpoint_dir
@@ -109,18 +110,55 @@ def observed(df: DataFrame, name: str, metrics: dict[str, Column]) -> DataFrame:
 
 
 def counting(metrics: dict[str, Column], path: str, fn: BatchFn | None = None) -> BatchFn:
-    """Batch function that writes the counters of each micro-batch to ``path`` (``batch, millis, rows`` and ``metrics``), then
-    calls ``fn``. A repeated batch replaces its own counters, so sums over ``path`` are right after any number of batches."""
+    """Batch function that calls ``fn`` and writes the counters of each micro-batch to ``path`` (``batch, millis, rows`` and ``metrics``). A
+    repeated batch replaces its own counters, so sums over ``path`` are right after any number of batches.
+
+    The counters are observed on the rows on their way through ``fn``, whose first action must read the whole batch; there
+    is no pass of their own. Without ``fn`` the rows go nowhere."""
     def count(batch: DataFrame, batch_id: int) -> None:
         began = time.time()
+        sums = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]]
+        seen = Observation()
+        rows = batch.observe(seen, *sums)
         if fn is not None:
-            fn(batch, batch_id)
-        sums = batch.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
-        sums.select(F.lit(batch_id).alias("batch_no"), F.lit(int(1000 * (time.time() - began))).alias("millis"), "*").coalesce(1).write.mode(
+            fn(rows, batch_id)
+        else:
+            rows.write.format("noop").mode("overwrite").save()
+        got = seen.get
+        spark, schema = batch.sparkSession, batch.agg(*sums).schema  # the types only
+        made = spark.createDataFrame([tuple(got[f.name] for f in schema)], schema)
+        made.select(F.lit(batch_id).alias("batch_no"), F.lit(int(1000 * (time.time() - began))).alias("millis"), "*").coalesce(1).write.mode(
             "overwrite").parquet(f"{path}/batch={batch_id}")
     return count
 
 
+class CounterLog(StreamingQueryListener):
+    """Writes the :func:`observed` counters ``name`` of every finished batch of the session's queries to ``path``, as the
+    query reports them: for sinks that take no batch function. One line for each batch of a query, replaced if it is run again."""
+
+    def __init__(self, spark: SparkSession, name: str, path: str) -> None:
+        self.spark, self.name, self.path = spark, name, path.rstrip("/")
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = (p.observedMetrics or {}).get(self.name)
+        if row is not None and p.numInputRows:
+            line = {"query": str(p.id), "batch_no": p.batchId, "millis": p.durationMs.get("triggerExecution", 0), **row.asDict()}
+            write_text(self.spark, f"{self.path}/{p.id}-{p.batchId}.json", json.dumps(line))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def counters(self) -> DataFrame:
+        return self.spark.read.json(f"{self.path}/*.json")
+
+
 def throughput(query: StreamingQuery) -> list[dict]:
     """Number, rows, rows per second, duration and observed metrics of the batches that Spark still remembers (the last
     hundred by default): a look at a running query. Use :func:`counting` for totals."""
