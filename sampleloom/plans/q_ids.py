@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sampleloom.functions import fid as U
 from sampleloom.functions import numeric as N
+from sampleloom.functions import sql as SQL
 from sampleloom.operators import admission as A
 from sampleloom.operators import sharding as H
 from sampleloom.plans import bindings as bind
@@ -152,6 +153,34 @@ def _(spark, d):
                     r6(N.polynomial_decay("step", 0.1, 300, 0.001, cycle=True)).alias("cyclic"))
 
 
+# ---------------------------------------------------------------- the same for SQL users
+
+@query("sql_functions", w(SAMPLES) + f"""
+SELECT sample_id, (7::BIGINT << 48) | uid AS fid, 200 AS slot, item_id AS signature, CAST(floor(log2(abs(label[2]) + 1)) AS BIGINT) AS bucket,
+       {s_ints('list_transform(range(0, 3), lambda i: CASE WHEN i < len(f_tags) THEN 1 ELSE 0 END)')} AS mask,
+       {s_r6('-(greatest(label[2], 0.0::DOUBLE) - label[2] + ln(1.0::DOUBLE + exp(-abs(label[2]))))')} AS logsig,
+       {s_r6('label[2] - ln(sample_rate)')} AS corrected, {s_ints('list_transform(f_tags, lambda f: (9::BIGINT << 48) | (f & 281474976710655))')} AS moved
+FROM samples WHERE actions[1] IN (1, 2, 4) AND (label[1] >= 1 OR label[2] >= 0.2::DOUBLE)""")
+def _(spark, d):
+    SQL.register(spark)
+    bind.samples(spark, d).createOrReplaceTempView("sl_samples")
+    got = spark.sql("""
+        SELECT sample_id, sl_make_fid(7, uid) AS fid, sl_slot_of(f_item[0]) AS slot, sl_signature_of(f_item[0]) AS signature,
+               sl_float_bucket(label[1]) AS bucket, sl_seq_mask(size(f_tags), 3) AS mask, sl_safe_log_sigmoid(label[1]) AS logsig,
+               sl_logit_correction(label[1], sample_rate) AS corrected, sl_switch_slot(f_tags, 9) AS moved
+        FROM sl_samples WHERE sl_any_action(actions, array(1, 2, 4)) AND sl_by_label(label, array(1.0D, 0.2D))""")
+    return got.withColumns({"mask": ints("mask"), "moved": ints("moved"), "logsig": r6("logsig"), "corrected": r6("corrected")})
+
+
+@query("sql_explode_request", w(SAMPLES) + """
+SELECT sample_id, CAST(i AS INT) AS pos, f_tags[i + 1] AS fid, i * 2 AS score FROM samples, range(0, 4) t(i) WHERE i < len(f_tags)""")
+def _(spark, d):
+    SQL.register_request(spark, "fid BIGINT, score BIGINT")
+    bind.samples(spark, d).select("sample_id", F.transform("f_tags", lambda f, i: F.struct(f.alias("fid"), (i * 2).cast("bigint").alias("score"))).alias(
+        "instances")).createOrReplaceTempView("sl_requests")
+    return spark.sql("SELECT sample_id, pos, fid, score FROM sl_requests, LATERAL sl_explode_request(instances)")
+
+
 # ---------------------------------------------------------------- counting and admission
 
 def _items(spark, d):
