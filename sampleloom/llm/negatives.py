@@ -191,7 +191,7 @@ def scaled(df: DataFrame, id_col: str, vec_col: str, label: Column) -> DataFrame
     ok = (F.col(id_col).isNotNull() & label.isNotNull() & v.isNotNull() & (F.size(v) > 0)
           & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < LIMIT / SCALE)))
     return df.where(ok).select(F.col(id_col).cast("long").alias("vec_id"), label.cast("long").alias("label"),
-                               F.transform(v, lambda c: F.floor(c * SCALE)).alias("x"))
+                               F.transform(v, lambda c: F.when(F.abs(c) < LIMIT / SCALE, F.floor(c * SCALE))).alias("x"))
 
 
 def _meet(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int, run: Callable[[pa.Table, pa.Table], pa.Table], ddl: str) -> DataFrame:

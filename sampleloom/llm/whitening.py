@@ -37,7 +37,7 @@ def integer_rows(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``vec_id, x`` of rows whose vector has only finite entries: x = floor(64 c) + 1000000."""
     v = F.col(vec_col).cast("array<double>")
     ok = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < TOO_LARGE))
-    return df.where(ok).select(F.col(id_col).alias("vec_id"), F.transform(v, lambda c: F.floor(c * SCALE) + SHIFT).alias("x"))
+    return df.where(ok).select(F.col(id_col).alias("vec_id"), F.transform(v, lambda c: F.when(F.abs(c) < TOO_LARGE, F.floor(c * SCALE) + SHIFT)).alias("x"))
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
