@@ -10,7 +10,7 @@ import json
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sampleloom.operators.ordering import positions
@@ -213,6 +213,18 @@ def stored_page(spark: SparkSession, path: str, table: str, shard: int, limit: i
     return rows.drop("shard", "part").orderBy("fid").limit(limit)
 
 
+def stored_pages(spark: SparkSession, path: str, table: str, shard: int, limit: int) -> DataFrame:
+    """All pages of a stored shard at once: its entries with ``page_no``, cut as a walk with :func:`stored_page` cuts them, in one
+    job for any number of pages. Entries are numbered inside their file; the list of files says how many lie before it."""
+    mine = (F.col("shard") == shard) & (F.col("table") == table)
+    ends = spark.read.parquet(f"{path}/ends").filter(mine)
+    earlier = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    before = ends.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
+    rows = spark.read.parquet(f"{path}/entries").filter(mine).join(before, "part")
+    at = F.col("_before") + F.row_number().over(Window.partitionBy("part").orderBy("fid")) - 1
+    return rows.withColumn("page_no", F.floor(at / limit).cast("bigint")).drop("shard", "part", "_before")
+
+
 def max_update_ts(tables: DataFrame) -> DataFrame:
     return tables.agg(F.max("last_update_ts").alias("max_update_ts"))
 

@@ -9,7 +9,7 @@ from sampleloom.operators import samples as S
 from sampleloom.operators import steps as ST
 from sampleloom.operators import tables as E
 from sampleloom.plans import bindings as bind
-from sampleloom.sources.table_store import save_pages, stored_page
+from sampleloom.sources.table_store import save_pages, stored_page, stored_pages
 from sampleloom.streaming import flows as W
 
 SF = "/root/testdata/sf0.001"
@@ -104,6 +104,21 @@ def test_pages_join_to_the_shard_and_read_few_files(spark, tmp_path):
     assert got == want
 
 
+def test_all_pages_at_once_are_the_pages_of_a_walk(spark, tmp_path):
+    rows = spark.range(700).select(F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("table"), F.col("id").alias("fid"))
+    save_pages(rows, str(tmp_path / "p"), 2, 40)
+    got = {}
+    for r in stored_pages(spark, str(tmp_path / "p"), "a", 1, 50).collect():
+        got.setdefault(r.page_no, []).append(r.fid)
+    after = None
+    for page_no in range(len(got)):
+        page = [r.fid for r in stored_page(spark, str(tmp_path / "p"), "a", 1, 50, after).collect()]
+        assert sorted(got[page_no]) == page
+        after = page[-1]
+    assert stored_page(spark, str(tmp_path / "p"), "a", 1, 50, after).isEmpty()
+    assert stored_pages(spark, str(tmp_path / "p"), "a", 0, 50).count() == 280 and stored_pages(spark, str(tmp_path / "p"), "c", 1, 50).isEmpty()
+
+
 def test_pages_hold_under_inserts(spark):
     table = lambda ids: spark.createDataFrame([("t", i) for i in ids], "table string, fid bigint")
     one = [r.fid for r in E.page_after(table(range(0, 100, 2)), 1, 0, 20).collect()]
