@@ -10,6 +10,8 @@ from sampleloom.operators.ordering import sampling
 # Keys heavier than this go the broadcast way; at most MAX_HOT of them, the rest is shuffled.
 HOT_ROWS = 1_000_000
 MAX_HOT = 1_000
+# So many rows of a table, vectors for example, may be sent to every task.
+SENT_ROWS = 1 << 15
 
 
 def heavy_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT) -> list:
@@ -48,6 +50,18 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "left",
     return cold.unionByName(warm)
 
 
+def few_keys(left: DataFrame, key: str, most: int = SENT_ROWS) -> bool:
+    """Whether ``left`` names at most ``most`` different keys: a job over its key column."""
+    return not left.isStreaming and left.select(key).filter(F.col(key).isNotNull()).distinct().limit(most + 1).count() <= most
+
+
+def sent_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """The rows of ``right`` that ``left``, one of :func:`few_keys`, names, to be sent to every task of a join: the other side
+    stays where it is and keeps its partitioning."""
+    named = left.select(key).filter(F.col(key).isNotNull()).distinct()
+    return F.broadcast(right.join(named, key, "left_semi"))
+
+
 def context_join(rows: DataFrame, context: DataFrame, key: str) -> DataFrame:
     """Attach shared per-request features to the rows of the request."""
     return lookup_join(rows, context, key)

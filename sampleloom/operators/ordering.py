@@ -34,6 +34,13 @@ def largest_group(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) ->
     return round((counts.agg(F.max("count")).first()[0] or 0) / share)
 
 
+def together(df: DataFrame, key: str) -> DataFrame:
+    """The rows of a key in one task. The number of partitions is given, because adaptive execution would join narrow ones that
+    grow wide in the same task."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), key)
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
             totals: dict[str, Column], hot_rows: int = HOT_ROWS,
             largest: int | None = None) -> DataFrame:

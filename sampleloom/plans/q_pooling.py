@@ -26,8 +26,8 @@ def _vec_of(inner: str, keys: str, x: str = "x") -> str:
             f"ORDER BY dim) AS num FROM ({inner}) GROUP BY {keys}")
 
 
-def _looked(spark, d):
-    return P.lookup(bind.order_ids(spark, d), bind.emb(spark, d), DIM)
+def _looked(spark, d, row_key=None):
+    return P.lookup(bind.order_ids(spark, d), bind.emb(spark, d), DIM, row_key=row_key)
 
 
 @query("embedding_lookup", w(EMB, ORDER_IDS) + f"""
@@ -78,17 +78,17 @@ def _(spark, d):
 
 @query("pool_sum", w(EMB, ORDER_IDS, _LOOKED) + _vec_of("SELECT row, dim, sum(x) AS x FROM looked GROUP BY row, dim", "row"))
 def _(spark, d):
-    return P.pool(_looked(spark, d), "row", DIM).withColumn("num", vec("num"))
+    return P.pool(_looked(spark, d, "row"), "row", DIM).withColumn("num", vec("num"))
 
 
 @query("pool_mean", w(EMB, ORDER_IDS, _LOOKED) + _vec_of("SELECT row, dim, sum(x) / count(*) AS x FROM looked GROUP BY row, dim", "row"))
 def _(spark, d):
-    return P.pool(_looked(spark, d), "row", DIM, "mean").withColumn("num", vec("num"))
+    return P.pool(_looked(spark, d, "row"), "row", DIM, "mean").withColumn("num", vec("num"))
 
 
 @query("pool_sqrt_sum_sq", w(EMB, ORDER_IDS, _LOOKED) + _vec_of("SELECT row, dim, sqrt(sum(x * x)) AS x FROM looked GROUP BY row, dim", "row"))
 def _(spark, d):
-    return P.pool(_looked(spark, d), "row", DIM, "sqrt_sum_sq").withColumn("num", vec("num"))
+    return P.pool(_looked(spark, d, "row"), "row", DIM, "sqrt_sum_sq").withColumn("num", vec("num"))
 
 
 @query("pool_first_n", w(EMB, ORDER_IDS, """
@@ -118,7 +118,7 @@ ts AS (SELECT sample_id, dim, sum(x * x) AS sq, count(*) AS n FROM tl GROUP BY 1
 
 
 def _pool_grad(spark, d, how):
-    looked = P.lookup(_tag_ids(spark, d), bind.emb(spark, d), DIM)
+    looked = P.lookup(_tag_ids(spark, d), bind.emb(spark, d), DIM, row_key="sample_id")
     row = bind.samples(spark, d).select("sample_id", F.transform(
         F.sequence(F.lit(1), F.lit(DIM)), lambda i: F.get("label", F.lit(1)) * i).alias("grad"))
     return P.pool_gradients(looked, row, "sample_id", DIM, how).withColumn("grad", vec("grad"))

@@ -185,3 +185,32 @@ def test_rank_limit_goes_before_the_shuffle(skewed):
     assert plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
     many = O.first_in_key(skewed, ["k"], 1200, [F.col("t"), F.col("id")])
     assert rows(many) == rows(O.positions(skewed, ["k"], [F.col("t"), F.col("id")]).filter("position <= 1200"))
+
+
+def _lists(spark, n=200):
+    ids = spark.range(n).select((F.col("id") % 40).alias("row"), F.col("id").alias("pos"), (F.col("id") % 7).alias("fid"))
+    table = spark.range(5).select(F.lit("t").alias("table"), F.col("id").alias("fid"), F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: i * F.col("id") * 0.5).alias("num"))
+    return ids, table
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pooling_moves_ids_not_vectors(spark):
+    ids, table = _lists(spark)
+    near = P.lookup(ids, table, 8, row_key="row")
+    plan = _plan(P.pool(near, "row", 8))
+    assert plan.count("hashpartitioning(row") == 1 and "REPARTITION_BY_NUM" in plan
+    far = P.lookup(ids, table, 8, row_key="row", hot_rows=2)  # rows of more ids stay spread
+    assert "REPARTITION_BY_NUM" not in _plan(P.pool(far, "row", 8))
+    for how in ("sum", "mean", "sqrt_sum_sq"):
+        close(P.pool(near, "row", 8, how), P.pool(far, "row", 8, how))
+
+
+def test_many_ids_take_the_shuffle(spark, monkeypatch):
+    ids, table = _lists(spark)
+    few = rows(P.lookup(ids, table, 8))
+    monkeypatch.setattr(P, "few_keys", lambda left, key: J.few_keys(left, key, 3))
+    assert rows(P.lookup(ids, table, 8)) == few
+    assert not J.few_keys(ids, "fid", 6) and J.few_keys(ids, "fid", 7)
