@@ -1,13 +1,15 @@
-"""Packing of token sequences into full windows of one context size, the end of each block into shorter ones.
+"""Packing of token sequences into full windows of four context sizes.
 
-One pass without a shuffle: each block of documents is packed by itself. Documents are cut into full windows; what is
-left of each is kept by its exact length. A window opens with the longest rest, takes the longest rests that fit, and is
-closed by a cut of the shortest one. The last tokens of a block go to shorter windows that they fill exactly, so nothing
-is padded. There are no pools for shorter context sizes, and steps are cut from a running count of tokens.
+One pass without a shuffle: each block of documents is packed by itself. Documents are cut into full windows of the longest size;
+what is left of each is routed to the pool of the shortest context that holds it. The pools are packed from the longest to the
+shortest: a window opens with the longest rest of its pool, its gap takes the longest rests that fit, from its own pool and the shorter
+ones, and is closed by a cut of the shortest rest, whose remainder goes to the pool of its new length. The last tokens of a block go to
+shorter windows that they fill exactly, so nothing is padded. The windows of a block are dealt to steps of equal token sums.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +28,48 @@ CONTEXT = 2048
 END_ID = 1
 #: Sequences of one training step hold about so many full windows together.
 STEP_WINDOWS = 64
+#: Context sizes: 2048, 1024, 512 and 256 tokens.
+TIERS = 4
+
+
+def tiers_of(context: int) -> list[int]:
+    """The context sizes, longest first: ``context``, its half, quarter and eighth."""
+    return [context >> s for s in range(TIERS) if context >> s]
+
+
+class Pools:
+    """Rests by tier: a rest waits in the pool of the shortest context that holds it, there by its exact length."""
+
+    def __init__(self, tiers: list[int]) -> None:
+        self.tiers = tiers
+        self.rests: dict[int, list[tuple[int, int]]] = {}
+        self.there = dict.fromkeys(tiers, 0)  # of each tier: bit n is set where a rest of n tokens waits
+
+    def tier(self, n: int) -> int:
+        return next((t for t in reversed(self.tiers) if n <= t), self.tiers[0])
+
+    def put(self, k: int, at: int, n: int) -> None:
+        self.rests.setdefault(n, []).append((k, at))
+        self.there[self.tier(n)] |= 1 << n
+
+    def take(self, n: int) -> tuple[int, int]:
+        got = self.rests[n].pop()
+        if not self.rests[n]:
+            self.there[self.tier(n)] &= ~(1 << n)
+        return got
+
+    def longest(self, most: int) -> int:
+        """Length of the longest rest of at most ``most`` tokens, from the pool of the longest tier that has one; 0 if none has."""
+        for t in self.tiers:
+            fits = self.there[t] & ((2 << most) - 1)
+            if fits:
+                return fits.bit_length() - 1
+        return 0
+
+    def shortest(self) -> int:
+        """Length of the shortest rest of all pools, 0 if they are empty."""
+        bits = next((self.there[t] for t in reversed(self.tiers) if self.there[t]), 0)
+        return (bits & -bits).bit_length() - 1 if bits else 0
 
 
 def pack_lengths(lengths: list[int], context: int = CONTEXT) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
@@ -34,57 +78,65 @@ def pack_lengths(lengths: list[int], context: int = CONTEXT) -> Iterator[tuple[i
     ``context`` is a power of two, and so is every window size; every window is full."""
     if context < 1 or context & (context - 1):
         raise ValueError("the context size is a power of two")
-    rests: dict[int, list[tuple[int, int]]] = {}
-    there = 0  # bit n is set where a rest of n tokens waits
+    pools = Pools(tiers_of(context))
     for k, n in enumerate(lengths):
         full = n - n % context
         for at in range(0, full, context):
             yield context, [(k, at, context)]
         if n > full:
-            rests.setdefault(n - full, []).append((k, full))
-            there |= 1 << (n - full)
-
-    def take(n: int) -> tuple[int, int]:
-        nonlocal there
-        got = rests[n].pop()
-        if not rests[n]:
-            there &= ~(1 << n)
-        return got
-
-    while there:
-        window, gap = [], context
-        while gap and there:
-            fits = there & ((2 << gap) - 1)
-            if fits:
-                n = fits.bit_length() - 1
-                k, at = take(n)
-                window.append((k, at, n))
-                gap -= n
-            else:  # all rests are longer: cut the shortest
-                n = (there & -there).bit_length() - 1
-                k, at = take(n)
+            pools.put(k, full, n - full)
+
+    for tier in pools.tiers:
+        while pools.there[tier] or (tier == pools.tiers[-1] and pools.shortest()):
+            window, gap = [], tier
+            while gap:
+                n = pools.longest(gap)
+                if n:
+                    window.append((*pools.take(n), n))
+                    gap -= n
+                    continue
+                n = pools.shortest()
+                if not n:
+                    break
+                k, at = pools.take(n)  # all rests are longer: cut the shortest
                 window.append((k, at, gap))
-                rests.setdefault(n - gap, []).append((k, at + gap))
-                there |= 1 << (n - gap)
+                pools.put(k, at + gap, n - gap)
                 gap = 0
-        if not gap:
-            yield context, window
-            continue
-        used = context - gap
-        i = 0
-        for tier in (1 << b for b in range(used.bit_length() - 1, -1, -1)):
-            if used & tier:
-                short, room = [], tier
-                while room:
-                    k, at, n = window[i]
-                    cut = min(n, room)
-                    short.append((k, at, cut))
-                    room -= cut
-                    if cut == n:
-                        i += 1
-                    else:
-                        window[i] = (k, at + cut, n - cut)
-                yield tier, short
+            if not gap:
+                yield tier, window
+            else:
+                yield from short_windows(window, tier - gap)
+
+
+def short_windows(window: list[tuple[int, int, int]], used: int) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+    """The last ``used`` tokens in windows of falling powers of two that they fill."""
+    i = 0
+    for size in (1 << b for b in range(used.bit_length() - 1, -1, -1)):
+        if used & size:
+            short, room = [], size
+            while room:
+                k, at, n = window[i]
+                cut = min(n, room)
+                short.append((k, at, cut))
+                room -= cut
+                if cut == n:
+                    i += 1
+                else:
+                    window[i] = (k, at + cut, n - cut)
+            yield size, short
+
+
+def deal_steps(sizes: list[int], step_tokens: int) -> list[int]:
+    """Step of each window: the windows are dealt, longest first, to the step that holds the fewest tokens, so two steps differ by
+    one window at most."""
+    steps = max(1, round(sum(sizes) / step_tokens))
+    loads = [(0, s) for s in range(steps)]
+    out = [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        load, s = loads[0]
+        out[i] = s
+        heapq.heapreplace(loads, (load + sizes[i], s))
+    return out
 
 
 PIECES = "start long, length long, tokens binary, doc_tokens long, sequence_id long, offset long, window int, step long"
@@ -106,19 +158,21 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
-        seq, tokens_before = 0, 0
+        seq, steps = 0, 0
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             ids = [x + end for s in slices(b.column(b.num_columns - 1).to_pylist()) for x in encoder(path).encode(s)]
             rows = []
-            for window, pieces in pack_lengths([len(x) // 4 for x in ids], context):
+            windows = list(pack_lengths([len(x) // 4 for x in ids], context))
+            dealt = deal_steps([window for window, _ in windows], STEP_WINDOWS * context)
+            for (window, pieces), step in zip(windows, dealt):
                 at = 0
                 for k, start, n in pieces:
                     rows.append((k, start, n, ids[k][4 * start:4 * (start + n)], len(ids[k]) // 4, base + seq, at, window,
-                                 base + tokens_before // (STEP_WINDOWS * context)))
+                                 base + steps + step))
                     at += n
                 seq += 1
-                tokens_before += window
+            steps += max(dealt, default=-1) + 1
             for i in range(0, len(rows), 1 << 13):
                 some = rows[i:i + (1 << 13)]
                 pick = pa.array([r[0] for r in some], pa.int64())

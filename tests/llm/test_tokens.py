@@ -94,6 +94,24 @@ def test_windows_are_full(lengths, context):
         assert at == n
 
 
+def test_rests_go_to_the_pool_of_their_context():
+    sizes = [w for w, _ in P.pack_lengths([200] * 40)]
+    assert sizes[:31] == [256] * 31 and sum(sizes) == 8000  # not into windows of 2048
+    got = list(P.pack_lengths([1500, 700, 500, 48]))
+    assert got[0] == (2048, [(0, 0, 1500), (2, 0, 500), (3, 0, 48)])  # its gap is filled from the shorter pools
+    assert {w for w, _ in P.pack_lengths([3000, 1000, 600, 400, 300, 100, 2048, 250])} >= {2048, 1024}
+
+
+def test_steps_hold_equal_tokens():
+    sizes = [256] * 100 + [2048] * 33 + [512] * 7
+    steps = P.deal_steps(sizes, 8 * 2048)
+    held = {}
+    for s, n in zip(steps, sizes):
+        held[s] = held.get(s, 0) + n
+    assert len(held) == round(sum(sizes) / (8 * 2048)) and max(held.values()) - min(held.values()) <= 256
+    assert P.deal_steps([], 100) == []
+
+
 def test_context_must_be_a_power_of_two():
     with pytest.raises(ValueError):
         list(P.pack_lengths([3], 6))
