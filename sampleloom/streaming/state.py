@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,39 @@ def state_settings(spark: SparkSession, partitions: int | None = None):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+#: Rows of draws that are given back at once, and rows of a micro-batch that are plain Python values at once.
+GIVEN_ROWS = 1 << 16
+READ_ROWS = 1 << 14
+
+
+def _in_time_order(rows: Iterator[pd.DataFrame], draws: int) -> Iterator[tuple]:
+    """The rows of a pool by time and sample. They are held as flat numbers, and each different payload once: some 60 bytes a row
+    while payloads repeat."""
+    flat = ("req_time", "sample_id", "item_id", "positive", "cached")
+    parts: dict[str, list[np.ndarray]] = {c: [] for c in (*flat, "payload", "draws")}
+    codes: dict[str | None, int] = {}
+    for frame in rows:
+        for c in flat:
+            parts[c].append(frame[c].to_numpy())
+        parts["payload"].append(np.fromiter((codes.setdefault(p, len(codes)) for p in frame["payload"]), np.int32, len(frame)))
+        parts["draws"].append(np.array(frame["draws"].tolist(), np.int64).reshape(len(frame), draws))
+    held = {}
+    for c in list(parts):
+        held[c] = np.concatenate(parts.pop(c)) if parts[c] else np.zeros(0)
+    payloads = list(codes)
+    by = np.lexsort((held["sample_id"], held.pop("req_time")))
+    for i in range(0, len(by), READ_ROWS):
+        some = by[i:i + READ_ROWS]
+        cols = [held[c][some].tolist() for c in ("sample_id", "item_id", "positive", "cached", "payload", "draws")]
+        cols[4] = [payloads[n] for n in cols[4]]
+        yield from zip(*cols)
+
+
+def _drawn(made: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(made, columns=["sample_id", "k", "drawn_item", "payload", "freq", "time_factor"]).astype(
+        {"sample_id": "int64", "k": "int32", "drawn_item": "int64", "freq": "float64", "time_factor": "float64"})
+
+
 class PoolProcessor(StatefulProcessor):
     """Exact FIFO pool of one channel: items enter at first sight, the oldest leaves beyond the
     capacity and may come back later. State holds at most ``max_item_num`` items."""
@@ -75,10 +109,9 @@ class PoolProcessor(StatefulProcessor):
                 order[seq] = self.order.getValue((seq,))[0]
             return order[seq]
 
-        made, dropped = [], set()
-        batch = pd.concat(list(rows)).sort_values(["req_time", "sample_id"])
-        for sample_id, item_id, positive, cached, payload, draws in zip(*[batch[c].tolist() for c in (
-                "sample_id", "item_id", "positive", "cached", "payload", "draws")]):
+        dropped: set[int] = set()
+        made: list[tuple] = []
+        for sample_id, item_id, positive, cached, payload, draws in _in_time_order(rows, self.neg_num):
             if cached:
                 known = item(item_id)
                 if known is not None:
@@ -103,6 +136,9 @@ class PoolProcessor(StatefulProcessor):
                 hit = item(i)
                 hit[2] += 1
                 made.append((sample_id, k, i, hit[0], 1.0 / hit[2], (place + 1.0) / size))
+            if len(made) >= GIVEN_ROWS:
+                yield _drawn(made)
+                made = []
 
         for seq, i in order.items():
             if i is None:
@@ -116,8 +152,7 @@ class PoolProcessor(StatefulProcessor):
             elif i in dropped and self.items.containsKey((i,)):
                 self.items.removeKey((i,))
         self.ends.update((head, tail))
-        yield pd.DataFrame(made, columns=["sample_id", "k", "drawn_item", "payload", "freq", "time_factor"]).astype(
-            {"sample_id": "int64", "k": "int32", "drawn_item": "int64", "freq": "float64", "time_factor": "float64"})
+        yield _drawn(made)
 
     def close(self) -> None:
         pass

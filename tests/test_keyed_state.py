@@ -1,6 +1,7 @@
 """Tables, pools and touched sets kept in the state of a stream: restarts, deltas, expiry, initial states."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,59 @@ def test_touched_set_is_stolen_after_a_restart(spark, tmp_path, n, dropped, left
     rows = spark.read.parquet(f"{base}/out").collect()
     assert sorted(r.fid for r in rows if r.set == 1) == left and {r.dropped for r in rows if r.set == 1} == {dropped}
     assert [(r.fid, r.dropped) for r in rows if r.set == 2] == [(7, 0)]
+
+
+class _State:
+    """State variables of one key without a stream."""
+
+    def __init__(self):
+        self.of = {}
+
+    def getValueState(self, name, *_):
+        return self.of.setdefault(name, _State())
+
+    getMapState = getValueState
+
+    def exists(self):
+        return bool(self.of)
+
+    def get(self):
+        return self.of[()]
+
+    def update(self, value):
+        self.of[()] = value
+
+    def containsKey(self, key):
+        return key in self.of
+
+    def getValue(self, key):
+        return self.of[key]
+
+    def updateValue(self, key, value):
+        self.of[key] = value
+
+    def removeKey(self, key):
+        del self.of[key]
+
+
+def _pool_rows(n, frames):
+    rng = np.random.default_rng(3)
+    for at in range(0, n, n // frames):
+        k = n // frames
+        yield pd.DataFrame({"req_time": rng.permutation(k) + at, "sample_id": np.arange(at, at + k), "item_id": rng.integers(0, 40, k), "positive": True,
+                            "cached": True, "payload": [f"item {i}" for i in rng.integers(0, 40, k)], "draws": [np.array(d) for d in rng.integers(0, 1 << 32, (k, 3))]})
+
+
+def test_pool_gives_draws_in_parts(monkeypatch):
+    def run(frames):
+        p = ST.PoolProcessor(3, 4, 8)
+        p.init(_State())
+        return list(p.handleInputRows((1, 0), frames, None))
+
+    monkeypatch.setattr(ST, "GIVEN_ROWS", 300, raising=False)
+    monkeypatch.setattr(ST, "READ_ROWS", 70, raising=False)
+    parts = run(_pool_rows(1000, 4))
+    assert max(map(len, parts)) <= 303 and len(parts) > 3
+    whole = run(iter([pd.concat(list(_pool_rows(1000, 4)))]))
+    assert pd.concat(parts).reset_index(drop=True).equals(pd.concat(whole).reset_index(drop=True))
+    assert run(iter([next(_pool_rows(4, 1)).head(0)]))[0].empty
