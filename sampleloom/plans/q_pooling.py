@@ -98,8 +98,9 @@ FROM (SELECT DISTINCT row, list_resize([]::DOUBLE[], 64, 0.0::DOUBLE) AS z FROM
 LEFT JOIN firsts f1 ON f1.row = r.row AND f1.rn = 1 LEFT JOIN emb a ON a.fid = f1.fid
 LEFT JOIN firsts f2 ON f2.row = r.row AND f2.rn = 2 LEFT JOIN emb b ON b.fid = f2.fid""")
 def _(spark, d):
-    ids = first_in_key(bind.order_ids(spark, d), ["row"], 2, [F.col("seq"), F.col("fid")], "pos").withColumn("pos", F.col("pos") - 1)
-    out = P.pool_first_n(P.lookup(ids, bind.emb(spark, d), DIM), "row", DIM, 2)
+    every = bind.order_ids(spark, d)
+    ids = first_in_key(every, ["row"], 2, [F.col("seq"), F.col("fid")], "pos").withColumn("pos", F.col("pos") - 1)
+    out = P.first_n(ids, bind.emb(spark, d), "row", DIM, 2, named=every)
     return out.select("row", vec(F.get("nums", F.lit(0))).alias("first_vec"), vec(F.get("nums", F.lit(1))).alias("second_vec"))
 
 

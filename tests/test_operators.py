@@ -337,3 +337,21 @@ def test_queries_hash_their_last_writes(spark, name):
 
     registry.load()
     assert "SortAggregate" not in registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_n_gathers_ids_before_vectors(spark):
+    table = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 4.0])], "fid bigint, num array<double>")
+    rows = [(0, 0, 2), (0, 1, 1), (0, 2, 9), (1, 0, 9), (2, None, None), (3, 0, None), (3, 1, 1), (4, 1, 2), (5, 0, 1), (5, 1, 1)]
+    ids = spark.createDataFrame(rows, "row int, pos int, fid bigint")
+    got = P.first_n(ids, table, "row", 2, 2)
+    want = {r["row"]: r["nums"] for r in P.pool_first_n(P.lookup(ids, table, 2), "row", 2, 2).collect()}
+    assert {r["row"]: r["nums"] for r in got.collect()} == want
+    assert want[0] == [[3.0, 4.0], [1.0, 2.0]] and want[1] == [[0.0, 0.0]] * 2 and want[2] == [[0.0, 0.0]] * 2 and want[3] == [None, [1.0, 2.0]]
+    assert "collect_list" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_n_query_collects_no_vectors(spark):
+    from sampleloom.plans import registry
+
+    registry.load()
+    assert "collect_list" not in registry.QUERIES["pool_first_n"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
