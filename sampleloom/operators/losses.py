@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from sampleloom.functions import numeric as N
 from sampleloom.functions import vectors as V
 from sampleloom.functions.base import ColumnLike, col_of, let, u01
+from sampleloom.operators.ordering import largest_group
 from sampleloom.operators.pairs import TILE_ROWS, Pairs, map_pairs, per_left, tile_pairs
 
 
@@ -60,18 +62,41 @@ def _partition_sums(queries: pd.Series, items: pd.Series, shifts: pd.Series, tem
     return pd.Series(out)
 
 
+def _one_tile(t: pa.Table, temperature: float) -> pa.Table:
+    """Loss of one batch, its similarities as one matrix product. Rows without a key or weight have items, but no loss of their own."""
+    t = t.combine_chunks()
+    q, v = (np.stack(t[c].to_numpy()) for c in ("_q", "_v"))
+    f, r = np.asarray(t["_f"]), np.asarray(t["_r"].fill_null(0.0))
+    sim = q @ v.T / temperature - f[None, :]
+    each = r * (np.diagonal(sim) - np.log(np.exp(sim).sum(axis=1)))
+    counted = np.asarray(pc.and_(t["_key"], pc.is_valid(t["_r"])))
+    loss = pa.array([-each[counted].sum()] if counted.any() else [None], pa.float64())
+    return pa.table({t.column_names[0]: t[t.column_names[0]].slice(0, 1), "loss": loss})
+
+
 def batch_softmax_loss(df: DataFrame, batch: str, key: str, query: str, item: str, interval: str,
                        r: str, normalize: bool = True, temperature: float = 1.0,
                        tile_rows: int = TILE_ROWS) -> DataFrame:
     """``(batch, loss)``: −Σ r·log softmax of a row's own item among all items of its batch, with
-    the popularity correction −log(1/max(interval, 1)) on every similarity."""
+    the popularity correction −log(1/max(interval, 1)) on every similarity.
+
+    Batches within one tile are read one after the other by the task that holds them; rows that come partitioned and sorted by
+    ``batch`` (:func:`ordering.together_sorted`) are neither moved, sorted nor collected for it. Larger batches meet tile by tile."""
     if temperature <= 0:
         raise ValueError("temperature must be positive")
     unit = V.l2_normalize if normalize else V.doubles
     freq = F.lit(1.0) / F.greatest(F.col(interval).cast("double"), F.lit(1.0))
     rows = df.select(batch, key, unit(V.doubles(query)).alias("_q"), unit(V.doubles(item)).alias("_v"),
                      F.log(freq).alias("_f"), F.col(r).cast("double").alias("_r"))
-    t = tile_pairs(rows, batch, key, [key, "_q"], [key, "_v", "_f"], tile_rows=tile_rows)
+    if largest_group(df, [batch], tile_rows) <= tile_rows:
+        kind = rows.schema[batch].dataType.simpleString()
+        scored = rows.filter(F.col(batch).isNotNull()).withColumn("_key", F.col(key).isNotNull()).select(batch, "_key", "_q", "_v", "_f", "_r")
+
+        def run(tile: pa.Table) -> pa.Table:
+            return _one_tile(tile, float(temperature))
+
+        return scored.groupBy(batch).applyInArrow(run, f"{batch} {kind}, loss double")
+    t = tile_pairs(rows, batch, key, [key, "_q"], [key, "_v", "_f"], tile_rows=tile_rows, largest=tile_rows + 1)
     scores = _partition_sums(V.each("left", "_q"), V.each("right", "_v"), V.each("right", "_f"), F.lit(float(temperature)))
     each_key = F.arrays_zip(V.each("left", key).alias(key), scores.alias("value"))
     sums = t.select(batch, F.inline(each_key)).toDF(batch, key, "value").groupBy(batch, key).agg(F.sum("value").alias("_all"))

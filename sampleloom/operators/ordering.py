@@ -41,6 +41,12 @@ def together(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), key)
 
 
+def together_sorted(df: DataFrame, key: str) -> DataFrame:
+    """As :func:`together`, the rows of a key one after the other. Narrow rows brought so before broadcast joins make them wide need
+    no sort afterwards."""
+    return together(df, key).sortWithinPartitions(key)
+
+
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
             totals: dict[str, Column], hot_rows: int = HOT_ROWS,
             largest: int | None = None) -> DataFrame:

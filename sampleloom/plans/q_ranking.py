@@ -11,6 +11,7 @@ from sampleloom.functions.fid import make_fid
 from sampleloom.operators import batches as B
 from sampleloom.operators import losses as X
 from sampleloom.operators import ranking as R
+from sampleloom.operators.ordering import together_sorted
 from sampleloom.plans import bindings as bind
 from sampleloom.plans.bindings import EMB, LISTS, SAMPLES, read, w
 from sampleloom.plans.registry import query, r6, s_r6, s_u
@@ -242,7 +243,7 @@ def _(spark, d):
 def _batches(spark, d):
     """Batches of 64 consecutive samples with a query and an item vector each."""
     s = bind.samples(spark, d).select("sample_id", "uid", "item_id", F.get("label", F.lit(0)).alias("y"), (F.get("label", F.lit(1)) * 4.0 - 1.0).alias("s"))
-    b = B.count_window(s, [], ["sample_id"], 64, drop_remainder=False)
+    b = together_sorted(B.count_window(s, [], ["sample_id"], 64, drop_remainder=False), "batch_no")
     t = bind.emb(spark, d).select("fid", "num")
     q = t.withColumnsRenamed({"fid": "qf", "num": "q"})
     v = t.withColumnsRenamed({"fid": "vf", "num": "v"})

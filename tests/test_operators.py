@@ -355,3 +355,24 @@ def test_first_n_query_collects_no_vectors(spark):
 
     registry.load()
     assert "collect_list" not in registry.QUERIES["pool_first_n"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batch_softmax_of_small_batches(spark):
+    """Small batches give the same as tiles, rows without a weight count as items only, and nothing is collected."""
+    rnd = random.Random(3)
+    rows = [(i // 5 if i < 23 else None, i, [rnd.random() for _ in range(3)], [rnd.random() for _ in range(3)], float(i % 4), None if i % 7 == 3 else 0.5 + i)
+            for i in range(25)]
+    df = spark.createDataFrame(rows, "b bigint, i bigint, q array<double>, v array<double>, gap double, r double")
+    small = X.batch_softmax_loss(df, "b", "i", "q", "v", "gap", "r", temperature=0.7)
+    tiles = X.batch_softmax_loss(df.filter("b is not null"), "b", "i", "q", "v", "gap", "r", temperature=0.7, tile_rows=2)
+    got, want = ({r["b"]: r["loss"] for r in x.collect()} for x in (small, tiles))
+    assert set(got) == set(want) == {0, 1, 2, 3, 4}
+    assert all(abs(got[b] - want[b]) < 1e-9 for b in want)
+
+
+def test_batch_softmax_query_collects_no_vectors(spark):
+    from sampleloom.plans import registry
+
+    registry.load()
+    plan = registry.QUERIES["batch_softmax_loss"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
