@@ -135,8 +135,9 @@ def _(spark, d):
 def _table_rows(spark, d):
     """Updates of the item vectors: the derivative of each sample's loss, to be multiplied with the vector."""
     pred = sigmoid(F.get("label", F.lit(1)) * 4.0 - 1.0)
-    return _samples(spark, d).select(F.lit("item").alias("table"), F.get("f_item", F.lit(0)).alias("fid"), F.col("req_time").alias("ts"),
+    rows = _samples(spark, d).select(F.lit("item").alias("table"), F.get("f_item", F.lit(0)).alias("fid"), F.col("req_time").alias("ts"),
                                      (pred - F.get("label", F.lit(0))).alias("d"), F.timestamp_seconds("req_time").alias("at"))
+    return K.combined(rows, ["d"], ["ts", "at"])
 
 
 def _table_run(spark, d, mode="update", **conf):

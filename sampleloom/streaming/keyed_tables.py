@@ -8,10 +8,11 @@ read the state of a finished batch from the query's checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -92,6 +93,22 @@ class TableProcessor(StatefulProcessor):
         pass
 
 
+def combined(rows: DataFrame, sums: Sequence[str], newest: Sequence[str] = ("ts",)) -> DataFrame:
+    """``(table, fid, newest…, sums…)``: the rows of an id in one Arrow batch as one row, for gradients that use their rows only by the sums of
+    ``sums``. It comes before the shuffle to the state, so a hot id sends a row per batch, not all its rows. Columns of ``newest`` keep
+    their maximum; of a watermark set on one of them after this, a late row is spared by a newer one of its id in its batch."""
+    cols = ["table", "fid", *newest, *sums]
+    src = rows.select("table", "fid", *newest, *[F.col(c).cast("double").alias(c) for c in sums])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by(["table", "fid"], use_threads=False).aggregate([*[(c, "max") for c in newest], *[(c, "sum") for c in sums]])
+            names = ["table", "fid", *[f"{c}_max" for c in newest], *[f"{c}_sum" for c in sums]]
+            yield from t.select(names).rename_columns(cols).to_batches()
+
+    return src.mapInArrow(run, src.schema)
+
+
 def stream_table(rows: DataFrame, gradient: Gradient, rule: Rule, table: DataFrame | None = None, first: list[float] | None = None,
                  expire_seconds: int | None = None) -> DataFrame:
     """The changes of a table by a stream ``(table, fid, ts, …)``: one row for each id that a micro-batch updates, and one with

@@ -153,3 +153,13 @@ def test_pool_gives_draws_in_parts(monkeypatch):
     whole = run(iter([pd.concat(list(_pool_rows(1000, 4)))]))
     assert pd.concat(parts).reset_index(drop=True).equals(pd.concat(whole).reset_index(drop=True))
     assert run(iter([next(_pool_rows(4, 1)).head(0)]))[0].empty
+
+
+def test_combined_rows_of_an_id(spark):
+    """Rows of an id leave as one row for each Arrow batch, with the same sums and newest times."""
+    rows = spark.range(0, 4000, 1, 2).select(F.lit("t").alias("table"), (F.col("id") % 3).alias("fid"), F.col("id").alias("ts"),
+                                             F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("d"))
+    got = K.combined(rows, ["d"])
+    assert got.columns == ["table", "fid", "ts", "d"] and got.count() == 6
+    want = {r[0]: (r[1], r[2]) for r in rows.groupBy("fid").agg(F.max("ts"), F.sum("d").cast("double")).collect()}
+    assert {r[0]: (r[1], r[2]) for r in got.groupBy("fid").agg(F.max("ts"), F.sum("d")).collect()} == want
