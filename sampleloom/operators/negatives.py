@@ -257,7 +257,8 @@ def draws(samples: DataFrame, cfg: NegativeConfig, hot_rows: int = HOT_ROWS,
     # One count bounds every group below; easy draws may gather in any channel.
     rows = largest_group(base, [] if easy_draws else ["_ch"], hot_rows)
     asked = rows * cfg.neg_num
-    pool = item_pool(base.filter(is_cached(cfg, pos)), cfg.item_features, hot_rows, rows, cfg.max_item_num)
+    # read by every step below, and none of them reads the samples for it again
+    pool = settled(item_pool(base.filter(is_cached(cfg, pos)), cfg.item_features, hot_rows, rows, cfg.max_item_num))
 
     ask = base.filter(pos & (F.col("_ch") != 0)).select("_ch", "req_time", key)
     if cfg.neg_num < 1:

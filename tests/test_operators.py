@@ -376,3 +376,11 @@ def test_batch_softmax_query_collects_no_vectors(spark):
     registry.load()
     plan = registry.QUERIES["batch_softmax_loss"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan
+
+
+@pytest.mark.parametrize("name", ["negative_gen", "negative_gen_easy_hard"])
+def test_item_pool_is_read_not_made_again(spark, name):
+    from sampleloom.plans import registry
+
+    registry.load()
+    assert "FlatMapGroupsInArrow" not in registry.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
