@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from sampleloom.functions.base import lit_map, u01
 from sampleloom.functions.fid import slot_of
 from sampleloom.operators.joins import HOT_ROWS, lookup_join
-from sampleloom.operators.ordering import first_in_key
+from sampleloom.operators.ordering import first_in_key, largest_group
 from sampleloom.operators.segments import CHUNK, GROUP, distinct_segments
+from sampleloom.session import settled
 
 # Fixed value: a 4-bit counter stops here.
 COUNTER_LIMIT = 15
@@ -106,15 +107,25 @@ def ring_admission(ids: DataFrame, order: Sequence[str], distinct: int, back: in
 
     A row is admitted if the count before it has reached its slot's threshold. Counts stop at :data:`COUNTER_LIMIT`, so a
     higher threshold admits nothing. Rows of slots without a threshold are admitted and do not enter the ring (null split).
-    ``state`` (see :func:`ring_state`) goes on where an earlier run stopped."""
+    ``state`` (see :func:`ring_state`) goes on where an earlier run stopped. Up to ``hot_rows`` rows of an id are counted by windows,
+    with one shuffle; beyond that, and from a state, counts are joined to the rows."""
     t = slot_threshold(thresholds, default, version)
-    counted = ring_splits(ids.filter(t > 0), order, distinct, state, chunk, group)
+    never = t > COUNTER_LIMIT
+    entering = ids.filter(t > 0)
+    counted = ring_splits(entering, order, distinct, state, chunk, group)
+    free = ids.filter(t <= 0).select("*", F.lit(None).cast("bigint").alias("split"), F.lit(True).alias("admitted"))
+    if state is None and largest_group(entering, ["fid"], hot_rows) <= hot_rows:
+        at = [F.col(c) for c in order]
+        by, run = Window.partitionBy("fid").orderBy(*at), Window.partitionBy("fid", "_run").orderBy(*at)
+        lost = F.coalesce((F.col("split") - F.lag("split").over(by) > back).cast("int"), F.lit(0))
+        rows = counted.withColumn("_lost", lost).withColumn("_run", F.sum("_lost").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+        out = rows.withColumn("admitted", (F.row_number().over(run) > t) & ~never)
+        return out.select(*ids.columns, "split", "admitted").unionByName(free)
+    counted = settled(counted)
     before = _split_counts(counted, back, state).select(F.struct("fid", "split").alias("_at"), "before")
     rows = lookup_join(counted.withColumn("_at", F.struct("fid", "split")), before, "_at", hot_rows=hot_rows).drop("_at")
-    never = t > COUNTER_LIMIT
     rows = rows.withColumn("_t", F.when(never, F.lit(COUNTER_LIMIT)).otherwise(t) - F.least("before", F.lit(COUNTER_LIMIT)))
     out = _past_cut(rows, ["fid", "split"], order, COUNTER_LIMIT, hot_rows).withColumn("admitted", F.col("admitted") & ~never)
-    free = ids.filter(t <= 0).select("*", F.lit(None).cast("bigint").alias("split"), F.lit(True).alias("admitted"))
     return out.select(*ids.columns, "split", "admitted").unionByName(free)
 
 

@@ -90,6 +90,24 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return running(df, keys, order, {name: F.lit(1).cast("bigint")}, hot_rows, largest)
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "position") -> tuple[DataFrame, int]:
+    """``df``, cut from its lineage, with the 1-based position of each row along ``order`` (a total order), and the row count. Rows move
+    once: they lie sorted in ranges, and a range adds the rows of the earlier ones, of which there is one number each."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    at = F.col("_at")  # partition and place in it
+    rows = settled(ranged.withColumn("_at", F.monotonically_increasing_id()))
+    per = rows.groupBy(F.shiftright(at, 33).alias("_part")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_part").collect()
+    begins, total = [], 0
+    for r in per:
+        begins.append((r["_part"], total))
+        total += r["_n"]
+    first = df.sparkSession.createDataFrame(begins, "_part bigint, _first bigint")  # one row per partition
+    joined = rows.withColumn("_part", F.shiftright(at, 33)).join(F.broadcast(first), "_part")
+    place = F.col("_first") + at.bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return joined.select(*df.columns, place.alias(name)), total
+
+
 def first_in_key(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[Column],
                  name: str = "position") -> DataFrame:
     """The first ``n`` rows of each key with their position. The rank limit is applied before the

@@ -78,6 +78,31 @@ def test_ring(spark, distinct, back, hot):
     assert not any(r.admitted for r in A.ring_admission(df.filter("t < 500"), ["t"], distinct, back, {200: 16}, chunk=32, group=2).collect())
 
 
+def test_ring_of_heavy_ids(spark):
+    """Ids with many rows are counted by joins, others by windows: the same rows."""
+    ids = stream(9, 300, 30, nulls=0, hot=0.5)
+    ring = Ring(6, 3)
+    want = [ring.add(x) for x in ids]
+    df = spark.createDataFrame([(i, (200 << 48) + x) for i, x in enumerate(ids)], "t long, fid long").repartition(4)
+    for hot_rows in (5, 1000):
+        rows = sorted(A.ring_admission(df, ["t"], 6, 3, {200: 3}, hot_rows=hot_rows, chunk=32, group=2).collect(), key=lambda r: r.t)
+        assert [r.admitted for r in rows] == [n >= 3 for n in want]
+        assert [r.split for r in rows] == folded(ids, 6)
+
+
+def test_jobs_do_not_grow_with_the_stream(spark):
+    def jobs(n):
+        sc = spark.sparkContext
+        sc.setJobGroup(f"ring{n}", "")
+        df = spark.range(n).selectExpr("id as t", f"({200 << 48} + id * 7919 % 61) as fid")
+        got = A.ring_admission(df, ["t"], 24, 3, {200: 2}, chunk=16).orderBy("t").collect()
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        assert [r.split for r in got] == folded([r.fid for r in got], 24)
+        return len(sc.statusTracker().getJobIdsForGroup(f"ring{n}"))
+
+    assert jobs(12_000) <= jobs(2_000) + 5  # 12 groups of 64 chunks and 2
+
+
 def test_ring_goes_on_from_a_save(spark, tmp_path):
     ids = stream(5, 240, 25, nulls=0)
     df = spark.createDataFrame([(i, (200 << 48) + x) for i, x in enumerate(ids)], "t long, fid long")
