@@ -43,22 +43,27 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int, frequent: int = FREQUEN
     left to right, until none is frequent. All pairs are counted once. A pair of old symbols only gets rarer, and a pair
     with a new symbol only stands beside a replaced place, so later rounds count what was replaced and what came of it.
     """
-    seq, end = ids.astype(np.int32), last.copy()
+    seq, ends = ids.astype(np.int64), np.flatnonzero(last)  # few places, so they are kept as such
     left, right, rounds = [], [], [0]
     symbols = base
 
     def pairs_at(at: np.ndarray) -> np.ndarray:
-        return seq[at].astype(np.int64) << 24 | seq[at + 1]
+        return seq.take(at, mode="clip") << 24 | seq.take(at + 1, mode="clip")  # faster than an index, and always in range
 
     def near(at: np.ndarray, *steps: int) -> np.ndarray:
-        """Places beside some, each once, at which a pair stands."""
+        """Places beside some, each once, at which a pair stands; those themselves only with step 0."""
         mark = np.zeros(len(seq) + 1, bool)
         for x in steps:
             mark[at + x] = True  # place -1 is the spare one
-        mark = mark[:max(0, len(seq) - 1)]
-        return np.flatnonzero(mark & ~end[:len(mark)])
+        if 0 not in steps:
+            mark[at] = False
+        return np.flatnonzero(within(mark[:max(0, len(seq) - 1)]))
 
-    pair, count = _counted(pairs_at(np.flatnonzero(~end[:-1])))
+    def within(mark: np.ndarray) -> np.ndarray:
+        mark[ends[ends < len(mark)]] = False
+        return mark
+
+    pair, count = _counted((seq[:-1] << 24 | seq[1:])[within(np.ones(max(0, len(seq) - 1), bool))])
     pair, count = pair[count >= frequent], count[count >= frequent]
     while len(pair):
         top = count.max()
@@ -70,27 +75,33 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int, frequent: int = FREQUEN
         chosen = chosen[np.sort(first)]
         if symbols + len(chosen) >= 1 << 24:
             break
-        held, number = np.full(1 << bits, -1), np.zeros(1 << bits, np.int32)
+        held, number = np.full(1 << bits, -1), np.zeros(1 << bits, np.int64)
         at = slot(chosen)
         held[at], number[at] = chosen, symbols + np.arange(len(chosen))
-        opens, closes = np.zeros(symbols, bool), np.zeros(symbols, bool)
-        opens[chosen >> 24] = closes[chosen & 0xFFFFFF] = True
-        hit = np.flatnonzero(opens[seq[:-1]] & closes[seq[1:]] & ~end[:-1])
+        role = np.zeros(symbols, np.uint8)  # 1: opens a pair, 2: closes one
+        role[chosen >> 24] = 1
+        role[chosen & 0xFFFFFF] |= 2
+        role = role.take(seq, mode="clip")
+        hit = np.flatnonzero(within((role[:-1] & (role[1:] >> 1)).view(bool)))
         key = pairs_at(hit)
-        hit = hit[held[slot(key)] == key]
+        at = slot(key)
+        same = np.flatnonzero(held.take(at, mode="clip") == key)
+        hit, made = hit.take(same), number.take(at.take(same))
         run = np.concatenate([[True], hit[1:] != hit[:-1] + 1])  # in a row of overlapping hits every other one counts
         begin = np.maximum.accumulate(np.where(run, np.arange(len(hit)), 0))
-        hit = hit[(np.arange(len(hit)) - begin) % 2 == 0]
-        old, times = _counted(pairs_at(near(hit, -1, 0, 1)))
+        even = np.flatnonzero((np.arange(len(hit)) - begin) & 1 == 0)
+        hit, made = hit.take(even), made.take(even)
+        count[np.searchsorted(pair, chosen)] -= np.bincount(made - symbols, minlength=len(chosen))
+        old, times = _counted(pairs_at(near(hit, -1, 1)))
         where = np.searchsorted(pair, old)
         where[where == len(pair)] = 0
         known = pair[where] == old
         count[where[known]] -= times[known]
-        seq[hit] = number[slot(pairs_at(hit))]
-        end[hit] = end[hit + 1]
+        seq[hit] = made
+        ends = ends - np.searchsorted(hit + 1, ends, side="right")
         keep = np.ones(len(seq), bool)
         keep[hit + 1] = False
-        seq, end = seq[keep], end[keep]
+        seq = seq[keep]
         new, times = _counted(pairs_at(near(hit - np.arange(len(hit)), -1, 0)))  # beside the new symbols
         many, stay = times >= frequent, count >= frequent
         pair, count = np.concatenate([pair[stay], new[many]]), np.concatenate([count[stay], times[many]])
@@ -101,7 +112,7 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int, frequent: int = FREQUEN
         symbols += len(chosen)
         rounds.append(symbols - base)
     none = np.zeros(0, np.int64)
-    return seq.astype(np.int64), np.column_stack([np.concatenate(left or [none]), np.concatenate(right or [none])]), rounds
+    return seq, np.column_stack([np.concatenate(left or [none]), np.concatenate(right or [none])]), rounds
 
 
 def encode_shard(docs: list[bytes], base: int) -> bytes:
@@ -181,7 +192,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
         for b in batches:
             keys, at = b.column(0).to_pylist(), 0
-            for s in slices(b.column(1).to_pylist(), 1 << 21):
+            for s in slices(b.column(1).to_pylist()):
                 for x in model.encode(s):
                     blobs.append(x + end)
                     ids.append(keys[at])

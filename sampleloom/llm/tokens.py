@@ -13,12 +13,35 @@ from array import array
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces remembered in a worker process; at that number the older half is only kept as far as it is used again.
 REMEMBERED = 500_000
 _MARKS = ".,;:!?*#$%&|"
+#: Marks behind a word that are cut off for all words of a call at once.
+MOST_MARKS = 3
+
+
+def _pieces(words: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Distinct pieces, and for each word the numbers of its two: letters and the marks after them, or the word and no piece (the
+    number behind the last). The encoder cuts other words of that kind itself."""
+    bare = pc.ascii_rtrim(words, characters=_MARKS)
+    over = pc.subtract(pc.binary_length(words), pc.binary_length(bare)).to_numpy()
+    over = np.where(pc.ascii_is_alpha(bare).to_numpy(zero_copy_only=False) & (over <= MOST_MARKS), over, 0)
+    heads = pc.if_else(pa.array(over > 0), bare, words).dictionary_encode()
+    pieces = heads.dictionary.to_numpy(zero_copy_only=False).tolist()
+    tails = np.full(len(words), -1)
+    for n in range(1, MOST_MARKS + 1):
+        at = np.flatnonzero(over == n)
+        if len(at):
+            marks = pc.utf8_slice_codeunits(words.take(pa.array(at)), -n).dictionary_encode()
+            tails[at] = len(pieces) + np.asarray(marks.indices)
+            pieces += ["\0" + x for x in marks.dictionary.to_pylist()]
+    tails[tails < 0] = len(pieces)
+    return pieces, np.column_stack([np.asarray(heads.indices), tails]).ravel()
 
 
 class Encoder:
@@ -110,29 +133,29 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
-        get, rows, new = self.known.get, [], {}
-        for t in texts:
-            if not t or "\0" in t:
-                rows.append((None, None, None))
-                continue
-            words = t.replace("\n", " \n").split(" ")
-            words[0] = "\0" + words[0]
-            ids = list(map(get, words))
+        cut = [k for k, t in enumerate(texts) if t and "\0" not in t]
+        out: list[bytes | None] = [None] * len(texts)
+        if cut:
+            lists = pc.split_pattern(pa.array(["\0" + texts[k].replace("\n", " \n") for k in cut], pa.large_string()), " ")
+            pieces, places = _pieces(lists.flatten())
+            ids = list(map(self.known.get, pieces))
             holes = [i for i, x in enumerate(ids) if x is None]
+            self._learn([pieces[i] for i in holes])
             for i in holes:
-                new[words[i]] = None
-            rows.append((ids, holes, words))
-        self._learn(list(new))
-        out, known = [], self.known
-        for t, (ids, holes, words) in zip(texts, rows):
-            if ids is not None:
-                for i in holes:
-                    ids[i] = known[words[i]]
-            try:
-                out.append(b"".join(ids))
-            except TypeError:  # no cuts, or one that is not safe
-                out.append(self._ids([t])[0])
-        return out
+                ids[i] = self.known[pieces[i]]
+            unsafe = np.zeros(len(ids) + 1, bool)  # the last one stands for no piece
+            for i in [i for i, x in enumerate(ids) if x is False]:
+                unsafe[i], ids[i] = True, b""
+            joined = pa.array([*ids, b""], pa.large_binary()).take(pa.array(places))
+            ends = 2 * np.asarray(lists.offsets)
+            begins = np.frombuffer(joined.buffers()[1], np.int64)[ends].tolist()
+            whole = np.cumsum(np.concatenate([[False], unsafe[places]]))[ends].tolist()
+            raw = memoryview(joined.buffers()[2])
+            for k, a, b, x, y in zip(cut, begins, begins[1:], whole, whole[1:]):
+                if x == y:
+                    out[k] = bytes(raw[a:b])
+        # no cuts, or one that is not safe
+        return [self._ids([t])[0] if x is None else x for t, x in zip(texts, out)]
 
 
 @cache

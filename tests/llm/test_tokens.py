@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from sampleloom.llm import packing as P
 from sampleloom.llm import token_files as T
 from sampleloom.llm.frames import shared_path
-from sampleloom.llm.tokens import encoder
+from sampleloom.llm.tokens import Encoder, encoder
 
 from .cases import SF, empty, frame, texts
 
@@ -38,6 +38,22 @@ def test_encoder_on_white_space(text):
     assert encoder(PATH).encode([text]) == [packed(ids(text))]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\0ab'é.,;!?"), max_size=30), max_size=4))
+def test_encoder_on_marks(many):
+    assert encoder(PATH).encode(many) == [packed(ids(t)) for t in many]
+
+
+def test_new_words_with_marks_are_learned_bare():
+    """A word behind which different marks stand is looked up and remembered once."""
+    model = Encoder(PATH)
+    seen, learn = [], model._learn
+    model._learn = lambda pieces: (seen.extend(pieces), learn(pieces))
+    text = " ".join(["qwzxv" + m for m in ("", ",", ".", "!", "?!", ";")])
+    assert model.encode([text]) == [packed(ids(text))]
+    assert seen.count("qwzxv") == 1 and not any(x.startswith("qwzxv") and x != "qwzxv" for x in seen)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 5), min_size=1, max_size=40), min_size=1, max_size=8), st.integers(2, 5))
 def test_repair_round_trip(docs, frequent):
