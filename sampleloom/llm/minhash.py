@@ -30,9 +30,10 @@ BLOCK = 1 << 20
 _U = np.uint64
 
 
-def shingles(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(c: Chunk, bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text of a chunk, sorted by text and hash, with text numbers and counts.
-    A text with fewer words than a shingle has one shingle of all its words."""
+    A text with fewer words than a shingle has one shingle of all its words. With fewer ``bits``, shingles of a text whose
+    hashes share their upper bits count as one."""
     h, doc = c.word_hash, c.words[2]
     n = np.bincount(doc, minlength=c.n)
     first = np.cumsum(n) - n
@@ -43,6 +44,7 @@ def shingles(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for j in range(SHINGLE):
         there = j < n[of]
         key = np.where(there, mix(key + h[np.minimum(at + j, len(h) - 1)] if len(h) else key), key)
+    key >>= _U(64 - bits)
     order = np.lexsort((key, of))
     of, key = of[order], key[order]
     new = np.ones(len(of), bool)
@@ -143,16 +145,15 @@ def _signed(texts: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(df: DataFrame) -> DataFrame:
-    """``doc_id, parts``: sorted 40-bit shingle hashes with counts, from ``doc_id, text``."""
+    """``doc_id, parts``: sorted distinct 40-bit shingle hashes with counts, from ``doc_id, text``."""
     kind = df.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             out = []
             for c in chunks(b.column(1)):
-                key, doc, count = shingles(c)
+                key, doc, count = shingles(c, 40)  # cut any later, two of one text could be equal
                 cut = np.searchsorted(doc, np.arange(c.n + 1))
-                key = key >> _U(24)
                 low, high = (key & _U(0xFFFFFFFF)).astype("<u4"), (key >> _U(32)).astype(np.uint8)
                 count = count.astype("<u4")
                 out += [low[i:j].tobytes() + high[i:j].tobytes() + count[i:j].tobytes() for i, j in zip(cut, cut[1:])]

@@ -124,6 +124,45 @@ def test_similarities_of_many_rows():
             M.BLOCK = old
 
 
+#: Shingles whose 64-bit hashes differ and agree in their upper 40 bits.
+ALIKE = [("upw wac kbz lnm hst", "rxv pig sbp xib myf"), ("gex mag ndk icm hlp", "qys qws bei qgl fsi")]
+
+
+def alike(seed=6):
+    """Near copies of a text that holds both shingles of each of two such pairs, one of them three times."""
+    rnd = random.Random(seed)
+    base = words(rnd, 150)
+    for a, b in ALIKE:
+        base[rnd.randrange(50):0] = a.split()
+        base += b.split() + words(rnd, 9)
+    base += (ALIKE[0][1] + " " + " ".join(words(rnd, 9))).split() * 2
+    return [" ".join(base)] + [" ".join(base + words(rnd, n)) for n in (1, 2, 3, 5, 8)]
+
+
+def test_shingles_of_one_text_that_share_a_stored_hash(spark):
+    """Two such shingles count as one in the sets; near copies that hold both are compared with heads and in buckets."""
+    texts = alike()
+    c = next(chunks(pa.array(texts)))
+    key, doc, count = M.shingles(c)
+    assert all(len(np.unique(key[doc == i] >> np.uint64(24))) == len(key[doc == i]) - 2 for i in range(c.n))
+    rows = list(enumerate(texts))
+    sets = M._shingle_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    parts = [bytes(r.parts) for r in sets.orderBy("doc_id").collect()]
+    for i, p in enumerate(parts):
+        k, n = M._set(p)
+        assert (k[1:] > k[:-1]).all() and n.sum() == count[doc == i].sum()
+    bags = [bag(t) for t in texts]
+    for r in range(1, len(texts)):
+        want = [sum((bags[h] & bags[r]).values()) / sum((bags[h] | bags[r]).values()) for h in range(r)]
+        assert [M.weighted_jaccard(parts[h], parts[r]) for h in range(r)] == want
+        assert M.Sets(parts).similar(r, np.arange(r)).tolist() == want
+    bucket = spark.createDataFrame([(0, 1, i, i) for i, _ in rows], "band int, key long, doc_id long, root long")
+    assert M._links_between(bucket.join(sets, "doc_id"), 0.8).count() == len(rows) - 1
+    docs = spark.createDataFrame(rows + [(9, "quite another text of seven words")], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in M.near_duplicates(docs).collect()} == {i: 0 for i, _ in rows} | {9: 9}
+    assert sorted(r.doc_id for r in M.near_duplicates_stage(spark, docs, SF).collect()) == [0, 9]
+
+
 def test_odd_rows_and_stage(spark):
     df = frame(spark)
     got = M.near_duplicates(df)
